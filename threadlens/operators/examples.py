@@ -23,6 +23,7 @@ from threadlens.functions import text as TX
 from threadlens.operators import tree as TR
 from threadlens.operators.features import thread_features
 from threadlens.operators.index import dense_index
+from threadlens.session import materialize
 
 EXAMPLE_COLUMNS = [
     "fold", "id", "branch_id", "tweet_id", "stance_label", "raw_text", "raw_text_prev",
@@ -82,8 +83,7 @@ def example_nodes(posts: DataFrame, edges: DataFrame, convs: DataFrame | None =
     post ids (T3 + T4 + T7 + T8 in id form)."""
     if convs is None:
         convs = conversation_table(posts, conv_order, fold_col)
-    nd = TR.nodes(edges, posts, max_depth)
-    nd = nd.join(convs, "conv_id")
+    nd = TR.nodes(edges, posts, max_depth).join(convs, "conv_id")
     numbered = TR.number_branches(nd, conv_order, [fold_col])
     return numbered.where("present").select(
         F.col(fold_col).alias("fold"), "conv_id", "post_id", "branch_no",
@@ -103,7 +103,8 @@ def build_examples(posts: DataFrame, edges: DataFrame, convs: DataFrame | None =
     ex = first_occurrence(ex)
     ex = with_example_id(ex)
     if features is None:
-        features = thread_features(posts, lexicon, gazetteer)
+        # read three times below (post, previous, source): computed once
+        features = materialize(thread_features(posts, lexicon, gazetteer))
     f = features.select("conv_id", "post_id", "stance", "raw_text", "clean_text", "ner", "issource",
                         "hasqmark", "hasemark", "hashashtag", "hasurl", "haspic", "hasnegation",
                         "hasswearwords", "src_rumour", "thread_rumour")

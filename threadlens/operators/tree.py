@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.operators.index import dense_index, prefix_sum
-from threadlens.session import prepare
+from threadlens.session import materialize, prepare
 
 DEFAULT_MAX_DEPTH = 1000
 GRAFT_BASE = 1_000_000_000  # sib_pos of grafted children: after every original child
@@ -66,12 +66,13 @@ def graft(edges: DataFrame, fixes: DataFrame) -> DataFrame:
     """Move subtrees: ``fixes(conv_id, post_id, new_parent, fix_pos)``.
 
     A grafted child comes after every original child of its new parent, in
-    ``fix_pos`` order (a dict key added last). ``fixes`` is a hand-made,
-    small table; it is broadcast.
+    ``fix_pos`` order (a dict key added last). ``fixes`` is left to the
+    planner: a hand-made table of a few rows is broadcast by size, a large one
+    is shuffle-joined.
     """
     f = fixes.select("conv_id", "post_id", F.col("new_parent").alias("_np"),
                      F.col("fix_pos").alias("_fp"))
-    j = edges.join(F.broadcast(f), ["conv_id", "post_id"], "left")
+    j = edges.join(f, ["conv_id", "post_id"], "left")
     return j.select(
         "conv_id",
         F.coalesce("_np", "parent_id").alias("parent_id"),
@@ -127,14 +128,21 @@ def walk(edges: DataFrame, posts: DataFrame | None = None,
 
 
 def nodes(edges: DataFrame, posts: DataFrame | None = None,
-          max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
-    """``walk`` plus ``is_leaf`` (no reachable child: a left-anti join)."""
+          max_depth: int = DEFAULT_MAX_DEPTH, materialized: bool = True) -> DataFrame:
+    """``walk`` plus ``is_leaf`` (no child edge: a left-anti join).
+
+    The walk runs one job per tree level; everything downstream reads the
+    node table several times, so by default it is checkpointed once into the
+    shared checkpoint folder (``materialized=False`` keeps it lazy).
+    """
     w = walk(edges, posts, max_depth)
-    parents = w.where(F.col("depth") > 0).select("conv_id", F.col("parent_id").alias("post_id"))
-    leaves = w.join(parents, ["conv_id", "post_id"], "left_anti").select(
-        "conv_id", "post_id").withColumn("is_leaf", F.lit(True))
-    return w.join(leaves, ["conv_id", "post_id"], "left") \
+    parents = edges.where(F.col("parent_id").isNotNull()) \
+        .select("conv_id", F.col("parent_id").alias("post_id"))
+    leaves = w.select("conv_id", "post_id").join(parents, ["conv_id", "post_id"], "left_anti") \
+        .withColumn("is_leaf", F.lit(True))
+    out = w.join(leaves, ["conv_id", "post_id"], "left") \
         .withColumn("is_leaf", F.coalesce("is_leaf", F.lit(False)))
+    return materialize(out) if materialized else out
 
 
 def branches(node_df: DataFrame, conv_order: Sequence[str] = ("conv_id",)) -> DataFrame:

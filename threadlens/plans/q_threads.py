@@ -11,6 +11,7 @@ from threadlens.operators.features import thread_features
 from threadlens.plans import duck as D
 from threadlens.plans.fixtures import duck_with, fixture
 from threadlens.plans.registry import register
+from threadlens.session import materialize
 
 
 def ints_str(c):
@@ -79,18 +80,34 @@ def flagship(spark, d):
     return ex.withColumn("ner", ints_str("ner"))
 
 
-register("examples_flagship", duck_with("posts", "edges", recursive=True) + ","
-         + D.features_cte("posts") + DUCK_TREE + DUCK_EXAMPLES + """
+DUCK_EXAMPLES_WITH = (duck_with("posts", "edges", recursive=True) + "," + D.features_cte("posts")
+                      + DUCK_TREE + DUCK_EXAMPLES + """,
+examples AS (
 SELECT n.fold, n.id, CAST(n.branch_no AS VARCHAR) || '.' || CAST(n.pos AS VARCHAR) AS branch_id,
   n.post_id AS tweet_id, f.stance AS stance_label, f.raw_text,
   coalesce(fp.raw_text, '') AS raw_text_prev, coalesce(fs.raw_text, '') AS raw_text_src,
-  f.issource, f.clean_text, """ + duck_ints_str("f.ner") + """ AS ner,
+  f.issource, f.clean_text, f.ner,
   f.hasqmark, f.hasemark, f.hashashtag, f.hasurl, f.haspic, f.hasnegation, f.hasswearwords,
   f.src_rumour, f.thread_rumour,
   coalesce(fp.clean_text, '') AS clean_text_prev, coalesce(fs.clean_text, '') AS clean_text_src
 FROM numbered n JOIN feat f ON f.conv_id = n.conv_id AND f.post_id = n.post_id
 LEFT JOIN feat fp ON fp.conv_id = n.conv_id AND fp.post_id = n.prev_id
-LEFT JOIN feat fs ON fs.conv_id = n.conv_id AND fs.post_id = n.src_id""")(flagship)
+LEFT JOIN feat fs ON fs.conv_id = n.conv_id AND fs.post_id = n.src_id)""")
+
+EXAMPLE_COLS = ("fold, id, branch_id, tweet_id, stance_label, raw_text, raw_text_prev, raw_text_src, issource, "
+                "clean_text, ner, hasqmark, hasemark, hashashtag, hasurl, haspic, hasnegation, hasswearwords, "
+                "src_rumour, thread_rumour, clean_text_prev, clean_text_src")
+
+register("examples_flagship", DUCK_EXAMPLES_WITH + "\nSELECT " + EXAMPLE_COLS.replace(
+    " ner,", " " + duck_ints_str("ner") + " AS ner,") + " FROM examples")(flagship)
+
+
+def examples_df(spark, d, materialized: bool = True):
+    """The flagship example table (arrays kept) for the queries built on it;
+    checkpointed, since those queries read it more than once."""
+    posts, edges = _posts_edges(spark, d)
+    ex = EX.build_examples(posts, edges)
+    return materialize(ex) if materialized else ex
 
 
 # --- T2 / T12 -------------------------------------------------------------------------

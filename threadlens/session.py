@@ -62,6 +62,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df):
+    """Cut the lineage of a DataFrame that later steps read several times
+    (a recursive walk, the regex-heavy feature table): a reliable, eager
+    checkpoint into the shared ``spark.checkpoint.dir``, so the work is done
+    once and a lost executor re-reads files instead of re-running the plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint location."""
     base = checkpoint_dir(spark)
