@@ -94,9 +94,9 @@ FROM {base} WHERE NOT unlabelled"""),
 SELECT event_type AS run, CAST({DAYS} AS INT) AS epoch,
   CASE user_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'dev' ELSE 'test' END AS split,
   round(avg(value), 6) AS loss,
-  round(avg(CASE WHEN value < 50 THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
-  round(avg(CASE WHEN value < 25 THEN 1.0 ELSE 0.0 END), 6) AS f1_macro,
-  round(avg(CASE WHEN value < 75 THEN 1.0 ELSE 0.0 END), 6) AS f1_weighted
+  round(avg(CAST(CASE WHEN value < 50 THEN 1 ELSE 0 END AS DOUBLE)), 6) AS accuracy,
+  round(avg(CAST(CASE WHEN value < 25 THEN 1 ELSE 0 END AS DOUBLE)), 6) AS f1_macro,
+  round(avg(CAST(CASE WHEN value < 75 THEN 1 ELSE 0 END AS DOUBLE)), 6) AS f1_weighted
 FROM {events}
 GROUP BY 1, 2, 3"""),
     "docs_eval": (["documents", "labels"], """
