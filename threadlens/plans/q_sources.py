@@ -1 +1,211 @@
-"""Queries (filled in below)."""
+"""Queries for the sources and sinks (S1-S11, T1 on files, A5).
+
+Each query first writes, from the fixture tables and with executors doing
+the writing, the on-disk layout the reader expects (key documents, one JSON
+file per post, structure.json, lexicon lines, example sets) into a fresh
+folder below the shared ``spark.checkpoint.dir``, then reads it back with
+the library's scanners.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from threadlens.functions import text as TX
+from threadlens.operators import normalize as NO
+from threadlens.operators import profile as PR
+from threadlens.plans import duck as D
+from threadlens.plans.fixtures import duck_with, fixture, table
+from threadlens.plans.q_eval import _REDDIT_ORACLE, STANCE_CASE, reddit_raw
+from threadlens.plans.q_threads import DUCK_EXAMPLES_WITH, EXAMPLE_COLS, duck_ints_str, examples_df, ints_str
+from threadlens.plans.registry import register
+from threadlens.session import shared_dir
+from threadlens.sources import examples_io as IO
+from threadlens.sources import labels as LB
+from threadlens.sources import layout as LY
+from threadlens.sources import threads as TH
+from threadlens.sources.lexicon import read_lexicon, strip_ws
+
+SPLITS = ["train", "dev", "test"]
+
+
+def _conv_of(post_id):
+    return F.substring_index(F.col(post_id), "_", 1)
+
+
+# --- S1 / S11 / A5 --------------------------------------------------------------------------
+def _write_keys(spark, keys, name):
+    """One NDJSON key folder per split; a document per conversation."""
+    root = shared_dir(spark, name)
+    paths = {}
+    for s in SPLITS:
+        docs = LB.label_documents(keys.where(F.col("split") == s), _conv_of("post_id"))
+        docs.write.text(f"{root}/{s}")
+        paths[s] = f"{root}/{s}"
+    return paths
+
+
+@register("src_label_keys", duck_with("label_keys") + "SELECT post_id, split, label FROM label_keys")
+def q_label_keys(spark, d):
+    paths = _write_keys(spark, fixture(spark, d, "label_keys"), "keys")
+    return LB.read_label_keys(spark, paths, whole_file=False)
+
+
+def _answers(spark, d):
+    p = fixture(spark, d, "preds")
+    names = {0: "support", 1: "comment", 2: "deny", 3: "query"}
+    label = F.element_at(F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))]), F.col("pred"))
+    root = shared_dir(spark, "answers")
+    LB.label_documents(p.select("post_id", label.alias("label")), _conv_of("post_id")).write.text(root)
+    return LB.read_answers(spark, root, whole_file=False)
+
+
+_ANSWERS_ORACLE = duck_with("preds") + """,
+ans AS (SELECT post_id, CASE pred WHEN 0 THEN 'support' WHEN 1 THEN 'comment' WHEN 2 THEN 'deny'
+                                  ELSE 'query' END AS label FROM preds)
+"""
+
+
+@register("src_answers", _ANSWERS_ORACLE + "SELECT post_id, label FROM ans")
+def q_answers(spark, d):
+    return _answers(spark, d)
+
+
+@register("agg_answer_balance", _ANSWERS_ORACLE + """,
+c AS (SELECT """ + STANCE_CASE.format(c="label") + """ AS class, count(*) AS n FROM ans GROUP BY 1),
+k AS (SELECT CAST(range AS INT) AS class FROM range(4))
+SELECT k.class, coalesce(c.n, 0) AS n, coalesce(c.n, 0) * 0 AS n_source FROM k LEFT JOIN c ON c.class = k.class""")
+def q_answer_balance(spark, d):
+    a = _answers(spark, d).select(TX.encode_label("label").alias("stance_label"), F.lit(0).alias("issource"))
+    return PR.class_balance(a)
+
+
+# --- S2 / S6 / T1: Twitter layout -----------------------------------------------------------------
+def _twitter_root(spark, d):
+    b = fixture(spark, d, "base")
+    root = shared_dir(spark, "twitter")
+    topic = F.concat(F.lit("topic"), (F.col("conv_id") % 3).cast("string"))
+    folder = F.concat(F.col("conv_id").cast("string"), F.lit("_0"))
+    role = F.when(F.col("is_source"), F.lit("source-tweet")).otherwise(F.lit("replies"))
+    posts = b.select(
+        F.concat_ws("/", F.lit(root), topic, folder, role, F.concat(F.col("post_id"), F.lit(".json"))).alias("path"),
+        F.to_json(F.struct(F.col("post_id").alias("id_str"), F.col("turn").alias("id"),
+                           F.col("dtext").alias("text"))).alias("content"))
+    docs = LY.tree_documents(fixture(spark, d, "edges"))
+    structs = docs.select(
+        F.concat_ws("/", F.lit(root), topic, folder, F.lit("structure.json")).alias("path"),
+        # an older tree on the first line: only the last line counts
+        F.concat(F.lit('{"stale": []}\n'), F.col("value"), F.lit("\n")).alias("content"))
+    LY.write_files(posts.unionByName(structs))
+    return root
+
+
+@register("src_twitter_posts", duck_with("base") + """
+SELECT 'twitter' AS platform, 'topic' || CAST(conv_id % 3 AS VARCHAR) AS topic,
+       CAST(conv_id AS VARCHAR) || '_0' AS conv_id, post_id, is_source, dtext AS text FROM base""")
+def q_twitter(spark, d):
+    root = _twitter_root(spark, d)
+    return TH.scan_twitter(spark, root).drop("file_path")
+
+
+@register("tree_json_edges", duck_with("base") + """
+SELECT CAST(conv_id AS VARCHAR) || '_0' AS conv_id, parent_id, post_id,
+       CAST(row_number() OVER (PARTITION BY conv_id, parent_id ORDER BY turn) - 1 AS INT) AS sib_pos
+FROM base""")
+def q_tree_json(spark, d):
+    root = _twitter_root(spark, d)
+    return TH.scan_edges(spark, root, "twitter")
+
+
+# --- S3 / S5: Reddit layout --------------------------------------------------------------------------
+STRAY = "conv_id % 9 = 0"
+
+
+def _reddit_root(spark, d, stray: bool = False):
+    raw = reddit_raw(spark, d)
+    root = shared_dir(spark, "reddit")
+    folder = F.concat(F.col("conv_id").cast("string"), F.lit("_0"))
+    role = F.when(F.col("is_source"), F.lit("source-tweet")).otherwise(F.lit("replies"))
+    files = raw.select(
+        F.concat_ws("/", F.lit(root), folder, role, F.concat(F.col("post_id"), F.lit(".json"))).alias("path"),
+        F.to_json(F.struct("data")).alias("content"))
+    if stray:
+        b = fixture(spark, d, "base").where(F.expr(STRAY) & (F.col("turn") == 0))
+        files = files.unionByName(b.select(
+            F.concat_ws("/", F.lit(root), folder, F.lit("replies"), F.lit("notes.txt")).alias("path"),
+            F.lit("not a post").alias("content")))
+    LY.write_files(files)
+    return root
+
+
+@register("src_reddit_posts", _REDDIT_ORACLE.replace(
+    "SELECT conv_id, post_id,", "SELECT CAST(conv_id AS VARCHAR) || '_0' AS conv_id, post_id,"))
+def q_reddit(spark, d):
+    root = _reddit_root(spark, d)
+    return NO.normalize_posts(TH.scan_reddit_raw(spark, root), "reddit").select(
+        "conv_id", "post_id", "is_source", "text", "user")
+
+
+@register("src_id_from_path", duck_with("base") + f"""
+SELECT CAST(conv_id AS VARCHAR) || '_0' AS conv_id, post_id || '.json' AS file_name, TRUE AS is_json, post_id
+FROM base
+UNION ALL
+SELECT CAST(conv_id AS VARCHAR) || '_0', 'notes.txt', FALSE, CAST(NULL AS VARCHAR) FROM base
+WHERE {STRAY} AND turn = 0""")
+def q_id_from_path(spark, d):
+    root = _reddit_root(spark, d, stray=True)
+    return TH.list_post_files(spark, root, depth=1)
+
+
+@register("set_union_platforms", duck_with("base") + f"""
+SELECT 'twitter' AS platform, CAST(conv_id AS VARCHAR) || '_0' AS conv_id, post_id, is_source, dtext AS text,
+       CAST(NULL AS VARCHAR) AS user FROM base
+UNION ALL
+SELECT 'reddit', CAST(conv_id AS VARCHAR) || '_0', post_id, is_source,
+  CASE WHEN {'turn > 0 AND (conv_id + turn) % 5 = 4'} THEN '' ELSE dtext END,
+  CASE WHEN {'turn > 0 AND (conv_id + turn) % 5 = 4'} THEN '' ELSE role || '_' || CAST(conv_id AS VARCHAR) END
+FROM base""")
+def q_union(spark, d):
+    tw = NO.normalize_posts(TH.scan_twitter(spark, _twitter_root(spark, d)), "twitter")
+    rd = NO.normalize_posts(TH.scan_reddit_raw(spark, _reddit_root(spark, d)), "reddit")
+    u = NO.union_platforms(tw, rd)
+    return u.select("platform", "conv_id", "post_id", "is_source", "text", "user")
+
+
+# --- S8 / S9: example sets ----------------------------------------------------------------------------
+def _written_examples(spark, d):
+    root = shared_dir(spark, "examples")
+    IO.write_examples(examples_df(spark, d), root)
+    return root
+
+
+_EX_SELECT = "SELECT " + EXAMPLE_COLS.replace(" ner,", " " + duck_ints_str("ner") + " AS ner,") + " FROM examples"
+
+
+@register("sink_roundtrip", DUCK_EXAMPLES_WITH + "\n" + _EX_SELECT)
+def q_sink(spark, d):
+    back = IO.read_examples(spark, _written_examples(spark, d))
+    return back.select(*[c.strip() for c in EXAMPLE_COLS.split(",")]).withColumn("ner", ints_str("ner"))
+
+
+CAP = 50
+
+
+@register("limit_examples", DUCK_EXAMPLES_WITH + "\n" + _EX_SELECT + f" WHERE id < {CAP}")
+def q_limit(spark, d):
+    back = IO.read_examples(spark, _written_examples(spark, d), max_examples=CAP)
+    return back.select(*[c.strip() for c in EXAMPLE_COLS.split(",")]).withColumn("ner", ints_str("ner"))
+
+
+# --- S10: lexicon file ----------------------------------------------------------------------------------
+@register("src_lexicon", f"""
+SELECT DISTINCT lower(regexp_replace(line, {D.q('^' + TX.WS + '|' + TX.WS + '$')}, '', 'g')) AS word
+FROM (SELECT unnest(string_split(replace(text, chr(13), ' '), chr(10))) AS line FROM benchmark)""")
+def q_lexicon(spark, d):
+    b = table(spark, d, "benchmark")
+    root = shared_dir(spark, "lexicon")
+    b.select(F.explode(F.split(F.regexp_replace("text", "\r", " "), "\n")).alias("value")).write.text(root)
+    return read_lexicon(spark, root)
+
+
+__all__ = ["strip_ws"]

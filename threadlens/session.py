@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -16,6 +15,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.cteRecursionRowLimit": "-1",
+    # JSON objects with a repeated key: the last one wins, as in Python
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 
@@ -40,6 +41,7 @@ def get_spark(master: str | None = None, app: str = "threadlens",
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session (idempotent)."""
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     checkpoint_dir(spark)
     return spark
 
@@ -72,10 +74,8 @@ def materialize(df):
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint location."""
+    """A fresh, unique (not yet existing) path below the shared checkpoint
+    location, for tables and files a job writes and reads back."""
     base = checkpoint_dir(spark)
     sep = "" if base.endswith("/") else "/"
-    path = f"{base}{sep}threadlens/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{base}{sep}threadlens/{name}-{uuid.uuid4().hex[:12]}"
