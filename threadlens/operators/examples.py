@@ -100,7 +100,8 @@ def build_examples(posts: DataFrame, edges: DataFrame, convs: DataFrame | None =
     edges: conv_id, parent_id, post_id, sib_pos
     """
     ex = example_nodes(posts, edges, convs, conv_order, fold_col, max_depth)
-    ex = first_occurrence(ex)
+    # one thin row per example; the running id samples and scans it twice
+    ex = materialize(first_occurrence(ex))
     ex = with_example_id(ex)
     if features is None:
         # read three times below (post, previous, source): computed once
