@@ -139,10 +139,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Spark DataFrame of a fixture (or a raw table)."""
+def fixture(spark: SparkSession, sf_dir: str, name: str, sources: dict | None = None) -> DataFrame:
+    """The Spark DataFrame of a fixture (or a raw table); ``sources`` can
+    replace raw tables (e.g. a streaming read of ``conversations``)."""
     prepare(spark)
+    if sources and name in sources:
+        return sources[name]
     if name not in FIXTURES:
         return table(spark, sf_dir, name)
-    deps = {d: fixture(spark, sf_dir, d) for d in FIXTURES[name][0]}
+    deps = {d: fixture(spark, sf_dir, d, sources) for d in FIXTURES[name][0]}
     return spark.sql(_text(name, "spark"), **deps)

@@ -182,3 +182,23 @@ def q_features_all(spark, d):
     return f.select("conv_id", "post_id", "issource", "raw_text", "clean_text", ints_str("ner").alias("ner"),
                     "hasqmark", "hasemark", "hasperiod", "hashashtag", "hasurl", "haspic", "hasnegation",
                     "hasswearwords", "src_rumour", "thread_rumour")
+
+
+# --- stateless features on a stream ------------------------------------------------
+@register("stream_post_features", POSTS_FEAT + f"""
+SELECT conv_id, post_id, issource, hasqmark, hasemark, hasperiod, hashashtag, hasurl, haspic, hasnegation,
+       hasswearwords, src_rumour, clean_text, {duck_ints_str('ner')} AS ner FROM f1""")
+def q_stream_features(spark, d):
+    """The conversations file read as a stream (file source, availableNow),
+    decorated by the same fixture SQL, row-local features, memory sink."""
+    import uuid
+
+    from threadlens.streaming import features as SF
+    conv = SF.read_post_stream(spark, d, glob="conversations.parquet")
+    posts = fixture(spark, d, "posts_all", sources={"conversations": conv})
+    name = f"stream_features_{uuid.uuid4().hex[:8]}"
+    SF.run_feature_stream(SF.feature_stream(posts), name=name)
+    out = spark.table(name)
+    return out.select("conv_id", "post_id", "issource", "hasqmark", "hasemark", "hasperiod", "hashashtag",
+                      "hasurl", "haspic", "hasnegation", "hasswearwords", "src_rumour", "clean_text",
+                      ints_str("ner").alias("ner"))
