@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _BKT, _LOCAL, _OFF, _TOT = "_tl_bkt", "_tl_local", "_tl_off", "_tl_tot"
+MAX_BUCKETS = 4096
 
 
 def _typed_lit(value, dtype: T.DataType) -> Column:
@@ -59,6 +60,9 @@ def range_bucket(df: DataFrame, order_cols: Sequence[str], buckets: int | None =
             buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         except (TypeError, ValueError):
             buckets = 200
+        # the boundaries become literals in the plan: keep the search tree
+        # (2 x buckets expression nodes, depth log2) reasonable
+        buckets = min(buckets, MAX_BUCKETS)
     buckets = max(1, buckets)
     names = [f"k{i}" for i in range(len(order_cols))]
     key = F.struct(*[F.col(c).alias(n) for c, n in zip(order_cols, names)])
