@@ -104,8 +104,11 @@ def build_examples(posts: DataFrame, edges: DataFrame, convs: DataFrame | None =
     ex = materialize(first_occurrence(ex))
     ex = with_example_id(ex)
     if features is None:
-        # read three times below (post, previous, source): computed once
-        features = materialize(thread_features(posts, lexicon, gazetteer))
+        # Joined three times below (post, previous, source post), always on the
+        # feature side's (conv_id, post_id): computed once and stored
+        # hash-partitioned on exactly that key, so none of the three joins
+        # shuffles it again — only the thin example rows move.
+        features = materialize(thread_features(posts, lexicon, gazetteer), ["conv_id", "post_id"])
     f = features.select("conv_id", "post_id", "stance", "raw_text", "clean_text", "ner", "issource",
                         "hasqmark", "hasemark", "hashashtag", "hasurl", "haspic", "hasnegation",
                         "hasswearwords", "src_rumour", "thread_rumour")

@@ -105,8 +105,9 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], out: str, weight: str |
     win = (Window.partitionBy(*group_cols, _BKT).orderBy(*order_cols)
            .rowsBetween(Window.unboundedPreceding, end))
     local = b.withColumn(_LOCAL, F.coalesce(F.sum("_tl_w").over(win), F.lit(0)).cast("long"))
-    # Totals come from the same partitioned data as the window (the exchange
-    # is reused), so the input is not computed twice.
+    # Per-bucket totals: Catalyst prunes the window from this branch and
+    # plans a partial aggregate; callers pass a materialized input, so the
+    # second scan is cheap.
     totals = local.groupBy(*group_cols, _BKT).agg(F.sum("_tl_w").alias(_TOT))
     ow = (Window.partitionBy(*group_cols).orderBy(_BKT)
           .rowsBetween(Window.unboundedPreceding, -1))

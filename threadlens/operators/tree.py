@@ -110,7 +110,7 @@ def walk(edges: DataFrame, posts: DataFrame | None = None,
     # Every level joins the frontier with the edge table on (conv_id, parent).
     # Checkpointed once, hash-partitioned on exactly those keys, the edge side
     # is neither recomputed nor re-shuffled per level: only the frontier moves.
-    e = materialize(e.repartition("conv_id", "parent_id"))
+    e = materialize(e, ["conv_id", "parent_id"])
     idt = _id_type(edges)
     return spark.sql(f"""
         WITH RECURSIVE w(conv_id, post_id, parent_id, present, ord, path, depth, n_anc, prev_id, src_id)

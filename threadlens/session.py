@@ -64,13 +64,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def materialize(df):
+def materialize(df, partition_cols=None, num_partitions: int | None = None):
     """Cut the lineage of a DataFrame that later steps read several times
     (a recursive walk, the regex-heavy feature table): a reliable, eager
     checkpoint into the shared ``spark.checkpoint.dir``, so the work is done
-    once and a lost executor re-reads files instead of re-running the plan."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    once and a lost executor re-reads files instead of re-running the plan.
+
+    With ``partition_cols`` the rows are stored hash-partitioned on those
+    columns and the checkpoint keeps that partitioning, so later joins on
+    exactly those keys do not shuffle this side again. (An adaptive plan
+    hides its output partitioning from the checkpoint, so that one write
+    runs with AQE off; later queries are adaptive as usual.)
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    if not partition_cols:
+        return df.checkpoint(eager=True)
+    cols = list(partition_cols)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(n, *cols).checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
