@@ -17,7 +17,9 @@ from threadlens.operators import profile as PR
 from threadlens.plans import duck as D
 from threadlens.plans.fixtures import duck_with, fixture, table
 from threadlens.plans.q_eval import _REDDIT_ORACLE, STANCE_CASE, reddit_raw
-from threadlens.plans.q_threads import DUCK_EXAMPLES_WITH, EXAMPLE_COLS, duck_ints_str, examples_df, ints_str
+from threadlens.plans import prepare as PREP
+from threadlens.plans.q_threads import (DUCK_EXAMPLES, DUCK_EXAMPLES_TABLE, DUCK_EXAMPLES_WITH, DUCK_TREE,
+                                        EXAMPLE_COLS, duck_ints_str, examples_df, ints_str)
 from threadlens.plans.registry import register
 from threadlens.session import shared_dir
 from threadlens.sources import examples_io as IO
@@ -81,8 +83,12 @@ def q_answer_balance(spark, d):
 
 
 # --- S2 / S6 / T1: Twitter layout -----------------------------------------------------------------
-def _twitter_root(spark, d):
+def _twitter_root(spark, d, missing: bool = False):
+    """The Twitter layout of the thread fixture; with ``missing`` the posts
+    the fixture marks missing have no file (their ids stay in structure.json)."""
     b = fixture(spark, d, "base")
+    if missing:
+        b = b.where(~F.col("missing"))
     root = shared_dir(spark, "twitter")
     topic = F.concat(F.lit("topic"), (F.col("conv_id") % 3).cast("string"))
     folder = F.concat(F.col("conv_id").cast("string"), F.lit("_0"))
@@ -209,3 +215,34 @@ def q_lexicon(spark, d):
 
 
 __all__ = ["strip_ws"]
+
+
+# --- end to end: folders + key files -> example sets -------------------------------------------
+_TOPIC_OF = "'topic' || CAST(CAST(split_part(conv_id, '_', 1) AS BIGINT) % 3 AS VARCHAR)"
+_FOLDERS_ORACLE = duck_with("base", "label_keys", recursive=True) + """,
+best AS (
+  SELECT post_id, split, label FROM label_keys
+  QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY
+    CASE split WHEN 'dev' THEN 0 WHEN 'train' THEN 1 ELSE 2 END, split, label) = 1),
+pa AS (
+  SELECT CAST(b.conv_id AS VARCHAR) || '_0' AS conv_id, b.post_id, b.is_source, b.dtext AS text,
+         """ + STANCE_CASE.format(c="bl.label") + """ AS stance, bl.split
+  FROM base b LEFT JOIN best bl ON bl.post_id = b.post_id WHERE NOT b.missing),
+cf AS (
+  SELECT conv_id, coalesce(max_by(split, post_id || '.json') FILTER (WHERE NOT is_source AND split IS NOT NULL),
+                           'train') AS fold
+  FROM pa GROUP BY conv_id),
+posts AS (SELECT pa.*, cf.fold FROM pa JOIN cf ON cf.conv_id = pa.conv_id),
+edges AS (SELECT CAST(conv_id AS VARCHAR) || '_0' AS conv_id, parent_id, post_id, sib_pos FROM base),
+""" + D.features_cte("posts") + DUCK_TREE + DUCK_EXAMPLES.replace(
+    "ORDER BY conv_id, ord", f"ORDER BY {_TOPIC_OF}, conv_id, ord") + DUCK_EXAMPLES_TABLE + "\n" + _EX_SELECT
+
+
+@register("examples_from_folders", _FOLDERS_ORACLE)
+def q_from_folders(spark, d):
+    """The whole preparation step from files: thread folders (posts, trees)
+    and key documents -> labels with priority, folds, pruned trees, examples."""
+    root = _twitter_root(spark, d, missing=True)
+    keys = LB.read_label_keys(spark, _write_keys(spark, fixture(spark, d, "label_keys"), "keys"), whole_file=False)
+    ex = PREP.prepare_examples(spark, [PREP.ThreadFolder(root, "twitter")], keys)
+    return ex.select(*[c.strip() for c in EXAMPLE_COLS.split(",")]).withColumn("ner", ints_str("ner"))

@@ -80,8 +80,7 @@ def flagship(spark, d):
     return ex.withColumn("ner", ints_str("ner"))
 
 
-DUCK_EXAMPLES_WITH = (duck_with("posts", "edges", recursive=True) + "," + D.features_cte("posts")
-                      + DUCK_TREE + DUCK_EXAMPLES + """,
+DUCK_EXAMPLES_TABLE = """,
 examples AS (
 SELECT n.fold, n.id, CAST(n.branch_no AS VARCHAR) || '.' || CAST(n.pos AS VARCHAR) AS branch_id,
   n.post_id AS tweet_id, f.stance AS stance_label, f.raw_text,
@@ -92,7 +91,10 @@ SELECT n.fold, n.id, CAST(n.branch_no AS VARCHAR) || '.' || CAST(n.pos AS VARCHA
   coalesce(fp.clean_text, '') AS clean_text_prev, coalesce(fs.clean_text, '') AS clean_text_src
 FROM numbered n JOIN feat f ON f.conv_id = n.conv_id AND f.post_id = n.post_id
 LEFT JOIN feat fp ON fp.conv_id = n.conv_id AND fp.post_id = n.prev_id
-LEFT JOIN feat fs ON fs.conv_id = n.conv_id AND fs.post_id = n.src_id)""")
+LEFT JOIN feat fs ON fs.conv_id = n.conv_id AND fs.post_id = n.src_id)"""
+
+DUCK_EXAMPLES_WITH = (duck_with("posts", "edges", recursive=True) + "," + D.features_cte("posts")
+                      + DUCK_TREE + DUCK_EXAMPLES + DUCK_EXAMPLES_TABLE)
 
 EXAMPLE_COLS = ("fold, id, branch_id, tweet_id, stance_label, raw_text, raw_text_prev, raw_text_src, issource, "
                 "clean_text, ner, hasqmark, hasemark, hashashtag, hasurl, haspic, hasnegation, hasswearwords, "
