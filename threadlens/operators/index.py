@@ -10,11 +10,11 @@ into one task. Instead:
 3. running sum inside ``(group, bucket)`` with a window (each bucket holds
    about 1/k of the rows, whatever the key skew, because keys are unique);
 4. per-bucket totals (at most ``k + #groups`` rows) -> prefix sum on that tiny
-   table -> broadcast join of the offsets.
+   table -> join of the offsets (AQE broadcasts it from its run-time size).
 
-``group_cols`` must have low cardinality (e.g. ``fold``): the offset table is
-bounded by ``buckets + distinct groups`` rows, which is what makes the
-broadcast safe.
+``group_cols`` should have low cardinality (e.g. ``fold``): the offset table
+has ``buckets + distinct groups`` rows and its prefix sum is a window per
+group.
 """
 
 from __future__ import annotations
@@ -113,7 +113,10 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], out: str, weight: str |
           .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*group_cols, _BKT,
                             F.coalesce(F.sum(_TOT).over(ow), F.lit(0)).cast("long").alias(_OFF))
-    res = local.join(F.broadcast(offsets), [*group_cols, _BKT], "left")
+    # No broadcast hint: the offset table is an aggregate whose exact size AQE
+    # knows at run time (buckets + groups rows), so it is broadcast when small
+    # and shuffle-joined otherwise — even if a caller passes many groups.
+    res = local.join(offsets, [*group_cols, _BKT], "left")
     return (res.withColumn(out, (F.col(_LOCAL) + F.coalesce(F.col(_OFF), F.lit(0))).cast("long"))
             .drop(_BKT, _LOCAL, _OFF, "_tl_w"))
 

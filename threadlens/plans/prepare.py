@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from threadlens.operators import normalize as NO
 from threadlens.operators import tree as TR
 from threadlens.operators.examples import build_examples
+from threadlens.session import materialize
 from threadlens.sources import threads as TH
 
 PLATFORM_RANK = {"twitter": 0, "reddit": 1}
@@ -69,5 +70,9 @@ def prepare_examples(spark: SparkSession, folders: Sequence[ThreadFolder], label
         p, e = folder_posts(spark, f, labels, priority), folder_edges(spark, f)
         posts = p if posts is None else posts.unionByName(p, allowMissingColumns=True)
         edges = e if edges is None else edges.unionByName(e)
+    # the scanned, labelled posts are read three times (presence in the walk,
+    # conversation table, features): parse the JSON once, keep it partitioned
+    # on the post key the presence join uses
+    posts = materialize(posts, ["conv_id", "post_id"])
     return build_examples(posts, edges, conv_order=["platform_rank", "topic", "conv_id"],
                           lexicon=lexicon, gazetteer=gazetteer)
