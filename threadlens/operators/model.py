@@ -59,3 +59,37 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored.withColumn("z", z).withColumn("pred", argmax("z")) \
         .drop("_tok", "_tf", "_tfidf", "_all", "rawPrediction", "probability", "prediction", "model_text",
               *[f"_f_{c}" for c in MODEL_FEATURES])
+
+
+def evaluate_splits(scored: DataFrame, weights: DataFrame, gold: str = "stance_label",
+                    split_col: str = "fold") -> DataFrame:
+    """Per split: class-weighted loss (M8), accuracy (M4), macro and weighted
+    F1 (M6, M7) of scored examples (``z`` logits, ``pred``) — one row per
+    split, all aggregations."""
+    from threadlens.operators.evaluate import accuracy, f1, weighted_log_loss
+    s = scored.where(F.col(gold).isNotNull()).select(
+        F.col(split_col).alias("split"), F.col(gold).cast("int").alias("gold"), "pred", "z")
+    keys = ["split"]
+    return (weighted_log_loss(s, weights, group_cols=keys)
+            .join(accuracy(s, group_cols=keys).select("split", "accuracy"), keys)
+            .join(f1(s, "macro", group_cols=keys), keys)
+            .join(f1(s, "weighted", group_cols=keys), keys))
+
+
+def learning_curve(examples: DataFrame, epochs: int = 2, with_features: bool = False, run: str = "lr",
+                   train_fold: str = "train", num_features: int = 1 << 16) -> DataFrame:
+    """The epoch loop of training, as a table: after each epoch e the model is
+    the pipeline fitted with ``e + 1`` solver iterations, scored on every fold.
+    Returns ``(run, epoch, split, loss, accuracy, f1_macro, f1_weighted)`` —
+    the input of ``running_best`` / ``early_stop`` / ``learning_curves``.
+    ``epochs`` is a small number of driver iterations; each is a Spark job set."""
+    train = examples.where(F.col("fold") == train_fold)
+    weights = class_weights(train.where(F.col("stance_label").isNotNull()))
+    out = None
+    for e in range(epochs):
+        model = fit_stance(train, with_features=with_features, num_features=num_features, max_iter=e + 1)
+        m = evaluate_splits(predict(model, examples), weights) \
+            .select(F.lit(run).alias("run"), F.lit(e).alias("epoch"), "split", "loss", "accuracy",
+                    "f1_macro", "f1_weighted")
+        out = m if out is None else out.unionByName(m)
+    return out

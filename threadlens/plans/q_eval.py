@@ -515,8 +515,18 @@ def q_fit_predict(spark, d):
     # the fit scans its input many times: cut the lineage once (reliable
     # checkpoint in the shared spark.checkpoint.dir)
     e = examples_df(spark, d)
-    model = fit_stance(e.where(F.col("fold") == "train"), with_features=True, max_iter=20)
+    model = fit_stance(e.where(F.col("fold") == "train"), with_features=True, max_iter=10, num_features=1 << 14)
     return predict(model, e).select("fold", "id", "stance_label", "pred")
 
 
+@register("ml_learning_curve")
+def q_learning_curve(spark, d):
+    """M2 + M4/M6-M8 per epoch and split, then M11 on it: the training loop's
+    table (rows-only check: solver output is not SQL)."""
+    from threadlens.operators.model import learning_curve
+    curve = learning_curve(examples_df(spark, d), epochs=3)
+    return curve.select("run", "epoch", "split", r6("loss").alias("loss"), r6("accuracy").alias("accuracy"),
+                        r6("f1_macro").alias("f1_macro"), r6("f1_weighted").alias("f1_weighted"))
+
+
 __all__ = ["duck_ints_str"]
