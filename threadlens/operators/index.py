@@ -3,8 +3,9 @@
 ``row_number() over (partition by fold order by ...)`` would put a whole fold
 into one task. Instead:
 
-1. draw a bounded random sample of the ordering key (``m`` rows, never more),
-   sort it with Spark's own ordering and keep ``k - 1`` boundary keys;
+1. draw a Bernoulli sample of the ordering key sized for ``m`` rows (at most
+   ``2m`` are collected), sort it with Spark's own ordering and keep ``k - 1``
+   boundary keys;
 2. ``bucket`` = binary search of the key among those literal boundaries — a
    pure function of the row, so a recomputed task can never disagree;
 3. running sum inside ``(group, bucket)`` with a window (each bucket holds
@@ -69,9 +70,16 @@ def range_bucket(df: DataFrame, order_cols: Sequence[str], buckets: int | None =
     if buckets == 1:
         return F.lit(0)
     m = buckets * sample_per_bucket
-    sample_df = df.select(key.alias("k")).orderBy(F.rand(seed)).limit(m).orderBy("k")
+    # A Bernoulli sample sized for ~m rows: every partition contributes only
+    # its few sampled keys (a random top-m would ship m rows per partition to
+    # one place). Sorted by Spark's own ordering; the cap keeps the collected
+    # set bounded even in the unlikely case the sample overshoots (boundaries
+    # then skew low, which costs balance, never correctness).
+    n = df.count()
+    fraction = min(1.0, m / max(n, 1))
+    sample_df = df.select(key.alias("k")).sample(False, fraction, seed).orderBy("k").limit(2 * m)
     ktype = sample_df.schema["k"].dataType
-    rows = [r["k"] for r in sample_df.collect()]  # at most m rows: bounded
+    rows = [r["k"] for r in sample_df.collect()]  # at most 2m rows: bounded
     picked = []
     n = len(rows)
     for i in range(1, buckets):
