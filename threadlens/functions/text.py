@@ -143,13 +143,13 @@ def processed_text(text) -> Column:
     return processed_text_from_tokens(sent_tokens(text))
 
 
-def entity_class(token: Column, gazetteer: dict[str, list[str]] | None = None) -> Column:
+def entity_class(token: Column, gazetteer: dict[str, list[str]] | None = None, lowered: bool = False) -> Column:
     """Rule-based entity class id of one token (0 = unknown).
 
     Order: gazetteer words (case-insensitive) by class, then numerals.
     """
     gaz = L.DEFAULT_GAZETTEER if gazetteer is None else gazetteer
-    low = F.lower(token)
+    low = token if lowered else F.lower(token)
     expr = None
     for cls in L.ENTITY_CLASSES:
         words = gaz.get(cls)
@@ -165,10 +165,12 @@ def entity_class(token: Column, gazetteer: dict[str, list[str]] | None = None) -
 
 
 def entity_vector_from_tokens(sents, gazetteer: dict[str, list[str]] | None = None) -> Column:
-    """class per token, 0 for each sentence's [EOS]; aligned with F17."""
+    """class per token, 0 for each sentence's [EOS]; aligned with F17.
+    Tokens are lower-cased once (the numeral rule is unaffected by case)."""
     return F.flatten(F.transform(
         _col(sents),
-        lambda a: F.concat(F.transform(a, lambda t: entity_class(t, gazetteer)), F.array(F.lit(0)))))
+        lambda a: F.concat(F.transform(F.transform(a, F.lower), lambda t: entity_class(t, gazetteer, lowered=True)),
+                           F.array(F.lit(0)))))
 
 
 def token_count(processed) -> Column:

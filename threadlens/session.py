@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -64,6 +65,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_AQE_TOGGLE = threading.Lock()
+
+
 def materialize(df, partition_cols=None, num_partitions: int | None = None):
     """Cut the lineage of a DataFrame that later steps read several times
     (a recursive walk, the regex-heavy feature table): a reliable, eager
@@ -82,12 +86,14 @@ def materialize(df, partition_cols=None, num_partitions: int | None = None):
         return df.checkpoint(eager=True)
     cols = list(partition_cols)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    prev = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.repartition(n, *cols).checkpoint(eager=True)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    # serialised, so concurrent callers never read each other's temporary value
+    with _AQE_TOGGLE:
+        prev = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            return df.repartition(n, *cols).checkpoint(eager=True)
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", prev)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
