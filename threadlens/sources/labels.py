@@ -14,6 +14,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# FIXED VALUE: the section name under which key and prediction documents
+# keep their {post_id: label} map.
 SECTION = "subtaskaenglish"
 
 
