@@ -30,26 +30,33 @@ _BKT, _LOCAL, _OFF, _TOT = "_tl_bkt", "_tl_local", "_tl_off", "_tl_tot"
 MAX_BUCKETS = 4096
 
 
-def _typed_lit(value, dtype: T.DataType) -> Column:
+def _sql_lit(value, dtype: T.DataType) -> str:
+    """A typed SQL literal for a collected value (built as text so the whole
+    search expression costs one parse, not one JVM call per literal)."""
     if value is None:
-        return F.lit(None).cast(dtype)
+        return f"CAST(NULL AS {dtype.simpleString()})"
     if isinstance(dtype, T.StructType):
-        return F.struct(*[_typed_lit(value[i], f.dataType).alias(f.name)
-                          for i, f in enumerate(dtype.fields)])
+        parts = ", ".join(f"'{f.name}', {_sql_lit(value[i], f.dataType)}" for i, f in enumerate(dtype.fields))
+        return f"named_struct({parts})"
     if isinstance(dtype, T.ArrayType):
-        if len(value) == 0:
-            return F.array().cast(dtype)
-        return F.array(*[_typed_lit(v, dtype.elementType) for v in value]).cast(dtype)
-    return F.lit(value).cast(dtype)
-
-
-def _search(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
+        inner = ", ".join(_sql_lit(v, dtype.elementType) for v in value)
+        return f"CAST(array({inner}) AS {dtype.simpleString()})"
+    if isinstance(dtype, T.StringType):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if value else "FALSE"
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return f"CAST({int(value)} AS {dtype.simpleString()})"
+    return f"CAST('{value}' AS {dtype.simpleString()})"
+
+
+def _search(key: str, bounds: list[str], lo: int, hi: int) -> str:
     # bucket b in [lo, hi] holds bounds[b-1] <= key < bounds[b]
     if lo == hi:
-        return F.lit(lo)
+        return str(lo)
     mid = (lo + hi + 1) // 2
-    return F.when(key >= bounds[mid - 1], _search(key, bounds, mid, hi)).otherwise(
-        _search(key, bounds, lo, mid - 1))
+    return (f"CASE WHEN {key} >= {bounds[mid - 1]} THEN {_search(key, bounds, mid, hi)} "
+            f"ELSE {_search(key, bounds, lo, mid - 1)} END")
 
 
 def range_bucket(df: DataFrame, order_cols: Sequence[str], buckets: int | None = None,
@@ -67,6 +74,7 @@ def range_bucket(df: DataFrame, order_cols: Sequence[str], buckets: int | None =
     buckets = max(1, buckets)
     names = [f"k{i}" for i in range(len(order_cols))]
     key = F.struct(*[F.col(c).alias(n) for c, n in zip(order_cols, names)])
+    key_sql = "named_struct(" + ", ".join(f"'{n}', `{c}`" for c, n in zip(order_cols, names)) + ")"
     if buckets == 1:
         return F.lit(0)
     m = buckets * sample_per_bucket
@@ -90,8 +98,8 @@ def range_bucket(df: DataFrame, order_cols: Sequence[str], buckets: int | None =
                 picked.append(v)
     if not picked:
         return F.lit(0)
-    lits = [_typed_lit(v, ktype) for v in picked]
-    return _search(key, lits, 0, len(lits))
+    lits = [_sql_lit(v, ktype) for v in picked]
+    return F.expr(_search(key_sql, lits, 0, len(lits)))
 
 
 def prefix_sum(df: DataFrame, order_cols: Sequence[str], out: str, weight: str | Column | None = None,

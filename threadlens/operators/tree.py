@@ -140,12 +140,14 @@ def nodes(edges: DataFrame, posts: DataFrame | None = None,
     shared checkpoint folder (``materialized=False`` keeps it lazy).
     """
     w = walk(edges, posts, max_depth)
+    # The recursive result is referenced once (a second reference would run
+    # the whole recursion again): leaf = no child edge, by a left join with
+    # the distinct parent ids.
     parents = edges.where(F.col("parent_id").isNotNull()) \
-        .select("conv_id", F.col("parent_id").alias("post_id"))
-    leaves = w.select("conv_id", "post_id").join(parents, ["conv_id", "post_id"], "left_anti") \
-        .withColumn("is_leaf", F.lit(True))
-    out = w.join(leaves, ["conv_id", "post_id"], "left") \
-        .withColumn("is_leaf", F.coalesce("is_leaf", F.lit(False)))
+        .select("conv_id", F.col("parent_id").alias("post_id")).distinct() \
+        .withColumn("_has_child", F.lit(True))
+    out = w.join(parents, ["conv_id", "post_id"], "left") \
+        .withColumn("is_leaf", F.col("_has_child").isNull()).drop("_has_child")
     return materialize(out) if materialized else out
 
 
