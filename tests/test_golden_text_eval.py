@@ -126,3 +126,12 @@ def test_label_priority(spark):
     got = {r.post_id: (r.split, r.stance) for r in NO.attach_labels(posts, keys).collect()}
     assert got == {"p1": ("dev", 3), "p2": ("train", 0), "p3": (None, None)}
     assert [r.post_id for r in NO.unlabelled(posts, keys).collect()] == ["p3"]
+
+
+def test_branch_profile_exact_and_approx(spark):
+    from threadlens.operators import profile as PR
+    rows = [("c", 0, 0, "1", 1), ("c", 0, 1, "2", 0), ("c", 1, 0, "1", 1), ("c", 1, 1, "3", 0)]
+    df = spark.createDataFrame(rows, "conv_id string, branch_no int, pos int, post_id string, issource int")
+    exact = PR.branch_profile(df).first()
+    assert (exact.n_occurrences, exact.n_posts, exact.n_source_occurrences) == (4, 3, 2)
+    assert PR.branch_profile(df, approx=True).first().n_posts == 3
