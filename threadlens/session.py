@@ -28,6 +28,8 @@ def get_spark(master: str | None = None, app: str = "threadlens",
     if master:
         b = b.master(master)
     b = b.config("spark.ui.enabled", "false")
+    # checkpoint files of DataFrames that are gone are removed by the cleaner
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in SESSION_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
