@@ -158,7 +158,8 @@ def entity_class(token: Column, gazetteer: dict[str, list[str]] | None = None, l
         cid = L.ENTITY_CLASSES.index(cls)
         cond = low.isin(sorted(set(words)))
         expr = F.when(cond, F.lit(cid)) if expr is None else expr.when(cond, F.lit(cid))
-    numeral = token.rlike(r"^[0-9]+$")
+    # all ASCII digits (tokens are never empty): a character map, no regex per token
+    numeral = (F.length(token) > 0) & (F.translate(token, "0123456789", "") == "")
     card = L.ENTITY_CLASSES.index("CARDINAL")
     expr = F.when(numeral, F.lit(card)) if expr is None else expr.when(numeral, F.lit(card))
     return expr.otherwise(F.lit(0))
