@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +51,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so functions
+    that run there can import it although only the driver has it on its path.
+    (``--py-files`` does the same; a second copy does no harm.)"""
+    sc = spark.sparkContext
+    if getattr(sc, "_threadlens_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    # Spark serves the driver's file to every executor; nobody else reads it
+    path = os.path.join(tempfile.mkdtemp(prefix="threadlens-py-"), "threadlens.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("threadlens", os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    sc._threadlens_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
