@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.session import checkpoint_dir, shared_dir
+from threadlens.session import checkpoint_dir, shared_dir, ship_package
 
 #: A word is a run of anything but space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -35,6 +35,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
+    """mapInArrow with this package on the executors' path."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def words_of(c: Column) -> Column:
     """The words of a text as a native array (empty for null)."""
     return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"({WORD})"), F.lit(1))

@@ -1,4 +1,4 @@
 """Imports every operator, which registers its query."""
 
-from threadlens.llm import mixing  # noqa: F401
+from threadlens.llm import mixing, near_dups, quality_rules, token_counts  # noqa: F401
 from threadlens.llm.registry import OP_ORACLES, OP_QUERIES  # noqa: F401
