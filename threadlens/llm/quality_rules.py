@@ -35,8 +35,11 @@ CLASSES = {"upper": "[A-Z]+", "digit": "[0-9]+", "punctuation": r"[.,;:!?'\"()\-
            "symbol": r"[#*$%&|<>@+/=_~^`\[\]{}\\]+", "beyond_ascii": r"[^\x00-\x7F]+"}
 MIN_WORDS = 50          # base rule, and guard of the character histogram
 MIN_WORDS_COMMON = 100  # guard of the word histogram
-MAX_CLASS_DISTANCE = 0.30
-MAX_COMMON_DISTANCE = 0.50
+#: A document may be as far from its reference as this, plus NOISE / sqrt(words):
+#: the distance that sampling alone makes shrinks with the root of the length.
+MAX_CLASS_DISTANCE = 0.16
+MAX_COMMON_DISTANCE = 0.17
+NOISE = 1.0
 UNIT = 1_000_000_000
 
 
@@ -130,7 +133,8 @@ def judge(docs: DataFrame) -> DataFrame:
     j = j.withColumn("class_distance", F.when(F.col("n_words") >= MIN_WORDS, js_distance(F.col("class_shares"), F.col("ref_classes"))))
     j = j.withColumn("common_distance", F.when(F.col("n_words") >= MIN_WORDS_COMMON, js_distance(F.col("common_shares"), F.col("ref_commons"))))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("common_distance", F.lit(0.0)) > MAX_COMMON_DISTANCE)
+    slack = F.lit(NOISE) / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)).cast("double"))
+    far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE + slack) | (F.coalesce("common_distance", F.lit(0.0)) > MAX_COMMON_DISTANCE + slack)
     return j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     failed.alias("base_failed"), (~failed & ~far).alias("kept"),
                     F.round("class_distance", 6).alias("class_distance"), F.round("common_distance", 6).alias("common_distance"))
