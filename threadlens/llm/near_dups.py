@@ -233,6 +233,16 @@ def near_dups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFr
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """The documents less all but one of each group, all columns as they are.
+    Of rows equal in id and text one stays."""
+    kept = near_dups(docs, k, num, den).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        out = out.dropDuplicates(["doc_id", "text"])
+    return out
+
+
 @query("op1_near_dups")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups(documents(spark, sf_dir), k=3, num=85, den=100)
