@@ -52,7 +52,7 @@ def test_thread_flag(spark):
     rows = [("a", "a0", True, "this is a rumour"), ("a", "a1", False, "ok"), ("a", "a2", False, "fine"),
             ("b", "b0", True, "x"), ("b", "b1", False, "gossip here"), ("b", "b2", False, "y")]
     posts = spark.createDataFrame(rows, "conv_id string, post_id string, is_source boolean, text string")
-    got = {r.post_id: r.thread_rumour for r in FE.thread_features(posts).collect()}
+    got = {r.post_id: r.thread_rumour for r in FE.thread_features(posts, ["hell"]).collect()}
     assert got == {"a0": 0, "a1": 1, "a2": 1, "b0": 1, "b1": 1, "b2": 1}
 
 

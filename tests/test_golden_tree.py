@@ -49,7 +49,7 @@ def test_first_root_a_leaf_walks_all_roots(spark):
 def test_examples_of_full_tree(spark):
     edges = edges_of(spark, {"c": TREE})
     posts = posts_of(spark, "c", [str(i) for i in range(1, 8)])
-    ex = EX.build_examples(posts, edges).orderBy("id").collect()
+    ex = EX.build_examples(posts, edges, ["hell"]).orderBy("id").collect()
     got = " ".join(f"{r.branch_id}:{r.tweet_id}" for r in ex)
     assert got == "0.0:1 0.1:2 0.2:3 1.1:4 2.1:5 2.2:6 3.2:7"
     assert [r.id for r in ex] == list(range(7))
@@ -61,7 +61,7 @@ def test_examples_of_full_tree(spark):
 def test_missing_post_takes_nearest_present_ancestor(spark):
     edges = edges_of(spark, {"c": TREE})
     posts = posts_of(spark, "c", ["1", "3", "4", "5", "6", "7"])
-    ex = {r.tweet_id: r for r in EX.build_examples(posts, edges).collect()}
+    ex = {r.tweet_id: r for r in EX.build_examples(posts, edges, ["hell"]).collect()}
     assert "2" not in ex
     assert ex["3"].branch_id == "0.1"
     assert ex["3"].raw_text_prev == "text 1" and ex["3"].raw_text_src == "text 1"
@@ -70,7 +70,7 @@ def test_missing_post_takes_nearest_present_ancestor(spark):
 def test_missing_root(spark):
     edges = edges_of(spark, {"c": '{"1":{"2":{"3":[]},"4":[]}}'})
     posts = posts_of(spark, "c", ["2", "3", "4"])
-    ex = {r.tweet_id: r for r in EX.build_examples(posts, edges).collect()}
+    ex = {r.tweet_id: r for r in EX.build_examples(posts, edges, ["hell"]).collect()}
     # branches 1-2-3 -> [2,3], 1-4 -> [4]
     assert ex["2"].branch_id == "0.0" and ex["2"].raw_text_prev == ""
     assert ex["3"].branch_id == "0.1" and ex["3"].raw_text_src == "text 2"
@@ -90,7 +90,7 @@ def test_prune_and_graft(spark):
 def test_post_in_two_threads_of_a_fold(spark):
     edges = edges_of(spark, {"a": '{"1":{"2":[]}}', "b": '{"3":{"2":[]}}'})
     posts = posts_of(spark, "a", ["1", "2"]).unionByName(posts_of(spark, "b", ["3", "2"]))
-    ex = EX.build_examples(posts, edges).orderBy("id").collect()
+    ex = EX.build_examples(posts, edges, ["hell"]).orderBy("id").collect()
     assert [(r.branch_id, r.tweet_id) for r in ex] == [("0.0", "1"), ("0.1", "2"), ("1.0", "3")]
 
 
@@ -104,7 +104,7 @@ def test_cycle_in_parent_table_is_cut(spark):
 def test_branch_numbers_run_over_the_fold(spark):
     edges = edges_of(spark, {"a": '{"1":{"2":[],"3":[]}}', "b": '{"4":{"5":[]}}'})
     posts = posts_of(spark, "a", ["1", "2", "3"]).unionByName(posts_of(spark, "b", ["4", "5"]))
-    ex = EX.build_examples(posts, edges).orderBy("id").collect()
+    ex = EX.build_examples(posts, edges, ["hell"]).orderBy("id").collect()
     assert [(r.id, r.branch_id) for r in ex] == [(0, "0.0"), (1, "0.1"), (2, "1.1"), (3, "2.0"), (4, "2.1")]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from threadlens.operators import encode as EN
 from threadlens.operators import tree as TR
-from threadlens.operators.index import dense_index, prefix_sum, range_bucket
+from threadlens.operators.index import dense_index, prefix_sum, range_bucketed
 from threadlens.plans.fixtures import fixture
 from threadlens.plans.q_threads import examples_df
 
@@ -56,8 +56,8 @@ def test_dense_index_matches_row_number_under_skew(spark):
     j = got.join(ref, ["fold", "uid"])
     assert j.where(F.col("idx") != F.col("ref")).count() == 0
     # the hot conversation is spread over several buckets
-    b = range_bucket(df, ["fold", "conv_id", "ord", "uid"], buckets=16)
-    hot = df.where("conv_id = 0").select(b.alias("b")).distinct().count()
+    b = range_bucketed(df, ["fold", "conv_id", "ord", "uid"], buckets=16, out="b")
+    hot = b.where("conv_id = 0").select("b").distinct().count()
     assert hot > 3
 
 

@@ -67,7 +67,7 @@ def test_prepare_examples_twitter_then_reddit(spark):
     write(spark, keys, {"train-key.json": json.dumps({"subtaskaenglish": {
         "1": "query", "2": "comment", "r1": "support", "r2": "deny", "r3": "comment"}})})
     labels = LB.read_label_keys(spark, {"train": f"{keys}/train-key.json"})
-    ex = prepare_examples(spark, [ThreadFolder(rd, "reddit", fold="train"), ThreadFolder(tw, "twitter")], labels)
+    ex = prepare_examples(spark, [ThreadFolder(rd, "reddit", fold="train"), ThreadFolder(tw, "twitter")], labels, ["hell"])
     got = [(r.fold, r.id, r.branch_id, r.tweet_id, r.stance_label, r.raw_text, r.raw_text_src)
            for r in ex.orderBy("id").collect()]
     assert got == [

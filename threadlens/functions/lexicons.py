@@ -31,9 +31,6 @@ ENTITY_CLASSES = [
     "QUANTITY", "ORDINAL", "CARDINAL",
 ]
 
-# Mask tokens kept whole by the sentence tokenizer.
-MASK_TOKENS = ["URL", "MENTION", "HASHTAG", "RESERVED", "EMOJI", "SMILEY", "NUMBER"]
-
 # Whole-word splits the word tokenizer applies after punctuation is gone
 # (public behaviour of the Penn-Treebank style tokenizer).
 CONTRACTION_SPLITS = [
@@ -59,9 +56,9 @@ DEFAULT_TRUE_BATCH_SIZE = 32
 DEFAULT_PATIENCE = 4
 DEFAULT_VOCAB_SIZE = 30522
 
-# A short default swear-word lexicon for fixtures and examples only; real
-# runs pass the full lexicon file to read_lexicon().
-DEFAULT_SWEAR_LEXICON = ["crap", "hell", "damn", "bastard", "bitch", "shit"]
+# A short swear-word lexicon for the fixtures; the operators take the lexicon as
+# an argument and have no default.
+FIXTURE_SWEAR_LEXICON = ["crap", "hell", "damn", "bastard", "bitch", "shit"]
 
 # Default gazetteer of the rule-based entity tagger (ours: statistical NER is
 # replaced by a word list plus a numeral rule). Entity name -> lower-case words.

@@ -21,6 +21,7 @@ from threadlens.functions import lexicons as L
 WS = r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\p{Z}]+"
 LEX_DROP = r"[^ \p{L}\p{N}]+"
 WORD = r"[\p{L}\p{N}_]"
+# FIXED VALUE: the URL pattern, with the word class written out for all scripts.
 R1_URL = (r"(http|ftp|https)://([\p{L}\p{N}_-]+(?:(?:\.[\p{L}\p{N}_-]+)+))"
           r"([\p{L}\p{N}_.,@?^=%&:/~+#-]*[\p{L}\p{N}_@?^=%&/~+#-])?")
 R2_MENTION = r"@[\p{L}\p{N}_]+"
@@ -143,35 +144,43 @@ def processed_text(text) -> Column:
     return processed_text_from_tokens(sent_tokens(text))
 
 
-def entity_class(token: Column, gazetteer: dict[str, list[str]] | None = None, lowered: bool = False) -> Column:
-    """Rule-based entity class id of one token (0 = unknown).
+def lower_tokens(tokens) -> Column:
+    """The tokens of a sentence in lower case, lowered as one string (tokens
+    hold no blank)."""
+    t = _col(tokens)
+    return F.when(F.size(t) > 0, F.split(F.lower(F.array_join(t, " ")), " ")).otherwise(F.array().cast("array<string>"))
 
-    Order: gazetteer words (case-insensitive) by class, then numerals.
+
+def is_numeral(token: Column) -> Column:
+    """All ASCII digits; the first character decides for most tokens."""
+    return F.substring(token, 1, 1).between("0", "9") & (F.translate(token, "0123456789", "") == "")
+
+
+def entity_class(low: Column, gazetteer: dict[str, list[str]] | None = None) -> Column:
+    """Rule-based entity class id of one lower-cased token (0 = unknown).
+
+    Order: gazetteer words by class, then numerals. One look-up among all
+    words sorts out the tokens that are in no list.
     """
     gaz = L.DEFAULT_GAZETTEER if gazetteer is None else gazetteer
-    low = token if lowered else F.lower(token)
+    lists = {c: sorted({w.lower() for w in gaz.get(c) or ()}) for c in L.ENTITY_CLASSES}
+    listed = sorted({w for ws in lists.values() for w in ws})
+    numeral = F.when(is_numeral(low), F.lit(L.ENTITY_CLASSES.index("CARDINAL"))).otherwise(F.lit(0))
+    if not listed:
+        return numeral
     expr = None
-    for cls in L.ENTITY_CLASSES:
-        words = gaz.get(cls)
-        if not words:
-            continue
-        cid = L.ENTITY_CLASSES.index(cls)
-        cond = low.isin(sorted(set(words)))
-        expr = F.when(cond, F.lit(cid)) if expr is None else expr.when(cond, F.lit(cid))
-    # all ASCII digits (tokens are never empty): a character map, no regex per token
-    numeral = (F.length(token) > 0) & (F.translate(token, "0123456789", "") == "")
-    card = L.ENTITY_CLASSES.index("CARDINAL")
-    expr = F.when(numeral, F.lit(card)) if expr is None else expr.when(numeral, F.lit(card))
-    return expr.otherwise(F.lit(0))
+    for cid, cls in enumerate(L.ENTITY_CLASSES):
+        if lists[cls]:
+            cond = low.isin(lists[cls])
+            expr = F.when(cond, F.lit(cid)) if expr is None else expr.when(cond, F.lit(cid))
+    return F.when(low.isin(listed), expr).otherwise(numeral)
 
 
 def entity_vector_from_tokens(sents, gazetteer: dict[str, list[str]] | None = None) -> Column:
-    """class per token, 0 for each sentence's [EOS]; aligned with F17.
-    Tokens are lower-cased once (the numeral rule is unaffected by case)."""
+    """class per token, 0 for each sentence's [EOS]; aligned with F17."""
     return F.flatten(F.transform(
         _col(sents),
-        lambda a: F.concat(F.transform(F.transform(a, F.lower), lambda t: entity_class(t, gazetteer, lowered=True)),
-                           F.array(F.lit(0)))))
+        lambda a: F.concat(F.transform(lower_tokens(a), lambda t: entity_class(t, gazetteer)), F.array(F.lit(0)))))
 
 
 def token_count(processed) -> Column:
@@ -189,14 +198,6 @@ def encode_label(label) -> Column:
     return expr
 
 
-def decode_label(stance) -> Column:
-    c = _col(stance)
-    expr = None
-    for i, name in enumerate(L.STANCE_CLASSES):
-        expr = F.when(c == i, F.lit(name)) if expr is None else expr.when(c == i, F.lit(name))
-    return expr
-
-
 # --- T11: branch id string and its depth part ------------------------------
 def branch_id(branch_no, pos) -> Column:
     return F.concat_ws(".", _col(branch_no).cast("string"), _col(pos).cast("string"))

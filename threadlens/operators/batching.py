@@ -18,7 +18,7 @@ def bucket_batches(df: DataFrame, batch_size: int = L.DEFAULT_BATCH_SIZE, seq_co
     a window over the whole fold."""
     d = df.withColumn("seq_len", F.size(seq_col)).withColumn("_neg", -F.col("seq_len"))
     d = dense_index(d, ["_neg", id_col], "_rank", group_cols)
-    return d.withColumn("batch_no", (F.col("_rank") / F.lit(batch_size)).cast("long")) \
+    return d.withColumn("batch_no", F.expr(f"_rank div {int(batch_size)}")) \
         .drop("_neg", "_rank")
 
 
@@ -37,4 +37,4 @@ def update_group(batch_no, batch_size: int = L.DEFAULT_BATCH_SIZE,
     """Batches accumulated into one optimiser step."""
     ratio = max(1, true_batch_size // batch_size)
     c = F.col(batch_no) if isinstance(batch_no, str) else batch_no
-    return (c / F.lit(ratio)).cast("long")
+    return F.floor((c - F.pmod(c, F.lit(ratio))) / F.lit(ratio)).cast("long") if ratio > 1 else c.cast("long")

@@ -5,18 +5,24 @@ vocabulary is built from the corpus (pretrained word-piece vocabularies are
 not part of this library): token counts -> top-k -> ids from 4, with
 [PAD] 0, [UNK] 1, [CLS] 2, [SEP] 3.
 
-Encoding explodes tokens with their position, joins the vocabulary (at most
-k rows — a proven bound, so it is broadcast) and regroups per example.
+A vocabulary of at most MAX_SENT_VOCAB rows (counted first) is sent to the
+tasks, and a vectorised function looks the tokens up where they stand: no
+token is exploded or shuffled. A larger one is joined, with the same result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.functions import lexicons as L
+from threadlens.session import ship_package
+
+MAX_SENT_VOCAB = 1_000_000
 
 
 def text_tokens(col) -> Column:
@@ -38,17 +44,60 @@ def build_vocab(df: DataFrame, text_cols: Sequence[str], size: int = L.DEFAULT_V
     return top.select("token", (F.row_number().over(w) - 1 + L.FIRST_TOKEN_ID).cast("int").alias("token_id"), "n")
 
 
-def encode(df: DataFrame, key_cols: Sequence[str], text_col: str, vocab: DataFrame, out: str) -> DataFrame:
-    """Ids of the tokens of ``text_col`` (unknown -> [UNK]) as
-    ``(key_cols..., out ARRAY<INT>)``; rows with no token get an empty array."""
+def _looked_up(ids: dict[str, int]):
+    """A vectorised ARRAY<STRING> -> ARRAY<INT> look-up."""
+    @F.arrow_udf("array<int>")
+    def look(tokens: pa.Array) -> pa.Array:
+        flat = tokens.flatten()
+        enc = pc.dictionary_encode(flat) if len(flat) else None
+        if enc is None:
+            got = pa.array([], pa.int32())
+        else:
+            values = pa.array([ids.get(t, L.UNK_ID) for t in enc.dictionary.to_pylist()], pa.int32())
+            got = values.take(enc.indices)
+        sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array([0, *sizes.cumsum().tolist()], pa.int32())
+        return pa.ListArray.from_arrays(offsets, got)
+
+    return look
+
+
+def encode_texts(df: DataFrame, key_cols: Sequence[str], texts: dict[str, str], vocab: DataFrame,
+                 most: int = MAX_SENT_VOCAB) -> DataFrame:
+    """E2 for several text columns at once; ``texts`` maps output -> input.
+    Unknown tokens are [UNK]; a text without tokens is an empty array. The key
+    columns must be unique where the vocabulary is joined."""
     key_cols = list(key_cols)
-    ex = df.select(*key_cols, F.posexplode(text_tokens(text_col)).alias("_p", "token"))
-    v = F.broadcast(vocab.select("token", "token_id"))
+    outs = list(texts)
+    v = vocab.select("token", "token_id")
+    if v.limit(most + 1).count() <= most:
+        ship_package(df.sparkSession)
+        look = _looked_up({r["token"]: r["token_id"] for r in v.collect()})
+        return df.select("*", *[look(text_tokens(texts[o])).alias(o) for o in outs])
+
+    def tag(j):
+        return lambda t, i: F.struct(F.lit(j).alias("w"), i.alias("p"), t.alias("token"))
+
+    def of(j):
+        return lambda s: s["w"] == j
+
+    parts = [F.transform(text_tokens(texts[o]), tag(j)) for j, o in enumerate(outs)]
+    ex = df.select(*key_cols, F.explode(F.concat(*parts)).alias("_e")) \
+        .select(*key_cols, "_e.w", "_e.p", "_e.token")
     j = ex.join(v, "token", "left").withColumn("token_id", F.coalesce("token_id", F.lit(L.UNK_ID)))
-    g = j.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("_p", "token_id"))).alias("_s"))
-    g = g.select(*key_cols, F.transform("_s", lambda s: s["token_id"]).alias(out))
-    return df.select(*key_cols).join(g, key_cols, "left") \
-        .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+    g = j.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("w", "p", "token_id"))).alias("_s"))
+    g = g.select(*key_cols, *[F.transform(F.filter("_s", of(j)), lambda s: s["token_id"]).alias(o)
+                              for j, o in enumerate(outs)])
+    out = df.join(g, key_cols, "left")
+    for o in outs:
+        out = out.withColumn(o, F.coalesce(F.col(o), F.array().cast("array<int>")))
+    return out
+
+
+def encode(df: DataFrame, key_cols: Sequence[str], text_col: str, vocab: DataFrame, out: str,
+           most: int = MAX_SENT_VOCAB) -> DataFrame:
+    """Ids of the tokens of ``text_col`` as ``(key_cols..., out ARRAY<INT>)``."""
+    return encode_texts(df.select(*key_cols, text_col), key_cols, {out: text_col}, vocab, most).select(*key_cols, out)
 
 
 def segments(a, b) -> Column:
@@ -79,32 +128,6 @@ def masks(a, b) -> tuple[Column, Column]:
     return type_mask, input_mask
 
 
-def encode_texts(df: DataFrame, key_cols: Sequence[str], texts: dict[str, str], vocab: DataFrame) -> DataFrame:
-    """E2 for several text columns at once: one explode of
-    (column index, position, token), one broadcast join with the vocabulary
-    (<= k rows), one regroup per example; ``texts`` maps output -> input."""
-    key_cols = list(key_cols)
-    outs = list(texts)
-    def tag(j):
-        return lambda t, i: F.struct(F.lit(j).alias("w"), i.alias("p"), t.alias("token"))
-
-    def of(j):
-        return lambda s: s["w"] == j
-
-    parts = [F.transform(text_tokens(texts[o]), tag(j)) for j, o in enumerate(outs)]
-    ex = df.select(*key_cols, F.explode(F.concat(*parts)).alias("_e")) \
-        .select(*key_cols, "_e.w", "_e.p", "_e.token")
-    v = F.broadcast(vocab.select("token", "token_id"))
-    j = ex.join(v, "token", "left").withColumn("token_id", F.coalesce("token_id", F.lit(L.UNK_ID)))
-    g = j.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("w", "p", "token_id"))).alias("_s"))
-    g = g.select(*key_cols, *[F.transform(F.filter("_s", of(j)), lambda s: s["token_id"]).alias(o)
-                              for j, o in enumerate(outs)])
-    out = df.join(g, key_cols, "left")
-    for o in outs:
-        out = out.withColumn(o, F.coalesce(F.col(o), F.array().cast("array<int>")))
-    return out
-
-
 def encode_examples(examples: DataFrame, vocab: DataFrame, max_length: int = L.DEFAULT_MAX_LENGTH) -> DataFrame:
     """Text ids, type mask and input mask per example."""
     e = encode_texts(examples, ["fold", "id"],

@@ -21,18 +21,10 @@ from pyspark.sql import functions as F
 
 from threadlens.functions import text as TX
 from threadlens.operators import tree as TR
-from threadlens.operators.features import thread_features
+from threadlens.operators.features import one_post, thread_features
 from threadlens.operators.index import dense_index
 from threadlens.session import materialize
 
-EXAMPLE_COLUMNS = [
-    "fold", "id", "branch_id", "tweet_id", "stance_label", "raw_text", "raw_text_prev",
-    "raw_text_src", "issource", "clean_text", "ner", "hasqmark", "hasemark", "hashashtag",
-    "hasurl", "haspic", "hasnegation", "hasswearwords", "src_rumour", "thread_rumour",
-    "clean_text_prev", "clean_text_src",
-]
-
-
 # --- T7 / T8 on the long branch form --------------------------------------------
 def with_prev(branch_rows: DataFrame, text_col: str = "text", out: str = "text_prev") -> DataFrame:
     """T7 on explicit branch rows: previous post's text in the branch, '' first."""
@@ -72,55 +64,67 @@ def with_example_id(rows: DataFrame, group_cols: Sequence[str] = ("fold",),
 
 # --- T13 ------------------------------------------------------------------------
 def conversation_table(posts: DataFrame, conv_order: Sequence[str], fold_col: str) -> DataFrame:
-    cols = [c for c in dict.fromkeys([fold_col, *conv_order]) if c != "conv_id"]
-    return posts.groupBy("conv_id").agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+    """(conv_id, fold) pairs with the ordering columns: a conversation whose
+    posts are given for two folds is in both."""
+    cols = [c for c in dict.fromkeys(conv_order) if c not in ("conv_id", fold_col)]
+    return posts.groupBy("conv_id", fold_col).agg(*[F.min(c).alias(c) for c in cols], F.count(F.lit(1)).alias("_n")).drop("_n")
+
+
+def _by_fold(df: DataFrame, fold_col: str) -> DataFrame:
+    """The conversation key made (fold, conv_id)."""
+    return df.withColumn("conv_id", F.struct(F.col(fold_col).alias("fold"), F.col("conv_id").alias("conv")))
 
 
 def example_nodes(posts: DataFrame, edges: DataFrame, convs: DataFrame | None = None,
-                  conv_order: Sequence[str] = ("conv_id",), fold_col: str = "fold",
-                  max_depth: int = TR.DEFAULT_MAX_DEPTH) -> DataFrame:
+                  conv_order: Sequence[str] = ("conv_id",), fold_col: str = "fold") -> DataFrame:
     """Present nodes with fold, branch number, position, previous and source
     post ids (T3 + T4 + T7 + T8 in id form)."""
     if convs is None:
         convs = conversation_table(posts, conv_order, fold_col)
-    nd = TR.nodes(edges, posts, max_depth).join(convs, "conv_id")
+    extra = [c for c in dict.fromkeys(conv_order) if c not in ("conv_id", fold_col)]
+    edges = _by_fold(edges.join(convs.select("conv_id", fold_col), "conv_id"), fold_col).select("conv_id", "parent_id", "post_id", "sib_pos")
+    nd = TR.nodes(edges, _by_fold(posts, fold_col))
+    if extra:
+        nd = nd.join(_by_fold(convs, fold_col).select("conv_id", *extra), "conv_id")
+    nd = nd.withColumn(fold_col, F.col("conv_id.fold")).withColumn("conv_id", F.col("conv_id.conv"))
     numbered = TR.number_branches(nd, conv_order, [fold_col])
     return numbered.where("present").select(
         F.col(fold_col).alias("fold"), "conv_id", "post_id", "branch_no",
         F.col("n_anc").cast("int").alias("pos"), "prev_id", "src_id")
 
 
-def build_examples(posts: DataFrame, edges: DataFrame, convs: DataFrame | None = None,
+def build_examples(posts: DataFrame, edges: DataFrame, lexicon, convs: DataFrame | None = None,
                    conv_order: Sequence[str] = ("conv_id",), fold_col: str = "fold",
-                   lexicon=None, gazetteer=None, features: DataFrame | None = None,
-                   max_depth: int = TR.DEFAULT_MAX_DEPTH) -> DataFrame:
+                   gazetteer=None, features: DataFrame | None = None) -> DataFrame:
     """T13, the flagship: posts + reply edges -> one example per post and fold.
 
-    posts: conv_id, post_id, is_source, text, stance (nullable), fold
-    edges: conv_id, parent_id, post_id, sib_pos
+    posts: conv_id, post_id, is_source, text, stance (nullable), fold; several
+           rows of one post are one post (``one_post``)
+    edges: conv_id, parent_id, post_id, sib_pos; repeated edges are one edge
+
+    The post's own, the previous and the first post's columns are joined to
+    thin (fold, id, key) rows, each join a plain shuffle join that AQE can
+    split at a hot post or thread; the three text-bearing parts meet last, on
+    the unique (fold, id).
     """
-    ex = example_nodes(posts, edges, convs, conv_order, fold_col, max_depth)
-    # one thin row per example; the running id samples and scans it twice
-    ex = materialize(first_occurrence(ex))
-    ex = with_example_id(ex)
+    posts = one_post(posts, ("conv_id", "post_id", fold_col))
+    ex = first_occurrence(example_nodes(posts, edges, convs, conv_order, fold_col))
+    ex = materialize(with_example_id(ex), "example-ids")
     if features is None:
-        # Joined three times below (post, previous, source post), always on the
-        # feature side's (conv_id, post_id): computed once and stored
-        # hash-partitioned on exactly that key, so none of the three joins
-        # shuffles it again — only the thin example rows move.
-        features = materialize(thread_features(posts, lexicon, gazetteer), ["conv_id", "post_id"])
-    f = features.select("conv_id", "post_id", "stance", "raw_text", "clean_text", "ner", "issource",
-                        "hasqmark", "hasemark", "hashashtag", "hasurl", "haspic", "hasnegation",
-                        "hasswearwords", "src_rumour", "thread_rumour")
-    prev = features.select("conv_id", F.col("post_id").alias("prev_id"),
-                           F.col("raw_text").alias("raw_text_prev"),
-                           F.col("clean_text").alias("clean_text_prev"))
-    src = features.select("conv_id", F.col("post_id").alias("src_id"),
-                          F.col("raw_text").alias("raw_text_src"),
-                          F.col("clean_text").alias("clean_text_src"))
-    j = ex.join(f, ["conv_id", "post_id"]) \
-        .join(prev, ["conv_id", "prev_id"], "left") \
-        .join(src, ["conv_id", "src_id"], "left")
+        # stored as Parquet: the three joins below read only the columns they take
+        features = materialize(thread_features(posts, lexicon, gazetteer), "features")
+    flags = ["issource", "hasqmark", "hasemark", "hashashtag", "hasurl", "haspic", "hasnegation",
+             "hasswearwords", "src_rumour", "thread_rumour"]
+    f = features.select("conv_id", "post_id", "stance", "raw_text", "clean_text", "ner", *flags)
+
+    def context(id_col: str, tag: str) -> DataFrame:
+        side = features.select("conv_id", F.col("post_id").alias(id_col), F.col("raw_text").alias(f"raw_text_{tag}"),
+                               F.col("clean_text").alias(f"clean_text_{tag}"))
+        thin = ex.select("fold", "id", "conv_id", id_col).where(F.col(id_col).isNotNull())
+        return thin.join(side, ["conv_id", id_col]).select("fold", "id", f"raw_text_{tag}", f"clean_text_{tag}")
+
+    own = ex.select("fold", "id", "conv_id", "post_id", "branch_no", "pos").join(f, ["conv_id", "post_id"])
+    j = own.join(context("prev_id", "prev"), ["fold", "id"], "left").join(context("src_id", "src"), ["fold", "id"], "left")
     return j.select(
         "fold", "id", TX.branch_id("branch_no", "pos").alias("branch_id"),
         F.col("post_id").alias("tweet_id"), F.col("stance").alias("stance_label"),

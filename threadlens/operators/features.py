@@ -16,30 +16,20 @@ from pyspark.sql import functions as F
 from threadlens.functions import lexicons as L
 from threadlens.functions import text as TX
 
-# Lexicons/gazetteers above this many entries are not turned into literals;
-# they are joined as tables instead.
-MAX_LITERAL_LEXICON = 100_000
-
 FEATURE_FLAGS = ["hasqmark", "hasemark", "hashashtag", "hasurl", "haspic",
                  "hasnegation", "hasswearwords", "src_rumour", "thread_rumour"]
 
-# The feature set written into each example, in output order.
-EXAMPLE_FEATURE_SET = ["issource", "raw_text", "clean_text", "ner", "hasqmark", "hasemark",
-                       "hashashtag", "hasurl", "haspic", "hasnegation", "hasswearwords",
-                       "src_rumour", "thread_rumour"]
-
 
-def _lexicon_words(lexicon) -> list[str] | None:
-    """A list as-is; a one-column DataFrame is collected only when its size is
-    proven small (count first), else None -> join path."""
-    if lexicon is None:
-        return list(L.DEFAULT_SWEAR_LEXICON)
-    if isinstance(lexicon, (list, tuple, set)):
-        return list(lexicon)
-    n = lexicon.count()
-    if n > MAX_LITERAL_LEXICON:
-        return None
-    return [r[0] for r in lexicon.collect() if r[0] is not None]
+def one_post(posts: DataFrame, key_cols: Sequence[str] = ("conv_id", "post_id"),
+             order_cols: Sequence[str] = ("file_path", "line_no")) -> DataFrame:
+    """One row per post: the source before a reply, then the last by
+    ``order_cols`` (those the table has), ties by the other columns. An
+    aggregate, so a post repeated very often never gathers in one task."""
+    keys = list(key_cols)
+    first = [c for c in ("is_source", *order_cols) if c in posts.columns and c not in keys]
+    rest = [c for c in posts.columns if c not in keys and c not in first]
+    m = F.max(F.struct(*first, *rest)).alias("_m")
+    return posts.groupBy(*keys).agg(m).select(*[F.col(c) if c in keys else F.col(f"_m.{c}").alias(c) for c in posts.columns])
 
 
 def lexicon_hits_join(df: DataFrame, tokens_col: str, lexicon: DataFrame, out: str,
@@ -52,10 +42,33 @@ def lexicon_hits_join(df: DataFrame, tokens_col: str, lexicon: DataFrame, out: s
     return df.join(hits, list(key_cols), "left").withColumn(out, F.coalesce(out, F.lit(0)))
 
 
-def post_features(posts: DataFrame, lexicon=None, gazetteer=None) -> DataFrame:
-    """Row-local features of every post (everything but the thread flag)."""
-    words = _lexicon_words(lexicon)
-    gaz = _gazetteer_dict(gazetteer)
+def entity_vector_join(df: DataFrame, sents_col: str, gazetteer: DataFrame, out: str,
+                       key_cols: Sequence[str]) -> DataFrame:
+    """F18 with the gazetteer as a table (token, entity) of any size: explode
+    tokens, join, regroup per post. A token listed for several classes takes
+    the first class; ``key_cols`` must be unique."""
+    keys = list(key_cols)
+    ids = F.create_map(*[x for i, c in enumerate(L.ENTITY_CLASSES) for x in (F.lit(c), F.lit(i))])
+    gaz = (gazetteer.select(F.lower(F.col(gazetteer.columns[0])).alias("_tok"), F.try_element_at(ids, F.col(gazetteer.columns[1])).alias("_cls"))
+           .where("_cls is not null").groupBy("_tok").agg(F.min("_cls").alias("_cls")))
+    sent = df.select(*keys, F.posexplode(sents_col).alias("_s", "_a"))
+    tok = sent.select(*keys, "_s", F.posexplode(F.concat(TX.lower_tokens("_a"), F.array(F.lit(None).cast("string")))).alias("_p", "_tok"))
+    j = tok.join(gaz, "_tok", "left").withColumn(
+        "_cls", F.coalesce("_cls", F.when(TX.is_numeral(F.col("_tok")), F.lit(L.ENTITY_CLASSES.index("CARDINAL"))), F.lit(0)))
+    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_s", "_p", "_cls"))).alias("_v"))
+    g = g.select(*keys, F.transform("_v", lambda x: x["_cls"]).alias(out))
+    return df.join(g, keys, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+
+
+def post_features(posts: DataFrame, lexicon, gazetteer=None) -> DataFrame:
+    """Row-local features of every post (everything but the thread flag).
+
+    ``lexicon``: a list of words (a literal set) or a one-column DataFrame (a
+    join, any size). ``gazetteer``: a dict class -> words, a (token, entity)
+    DataFrame, or None for the default one. Tables need one row per post.
+    """
+    words = list(lexicon) if isinstance(lexicon, (list, tuple, set, frozenset)) else None
+    listed = gazetteer is None or isinstance(gazetteer, dict)
     text = TX.safe_text("text")
     base = posts.select(
         "conv_id", "post_id", "is_source", text.alias("raw_text"),
@@ -72,29 +85,18 @@ def post_features(posts: DataFrame, lexicon=None, gazetteer=None) -> DataFrame:
     df = df.select(
         "*",
         TX.lexicon_distinct("_lex", L.NEGATION_WORDS).alias("hasnegation"),
-        (TX.lexicon_hits("_lex", words) if words is not None else F.lit(None).cast("int")).alias("hasswearwords"),
+        *([TX.lexicon_hits("_lex", words).alias("hasswearwords")] if words is not None else []),
         TX.contains_any("_lex", L.RUMOUR_WORDS).alias("src_rumour"),
         TX.processed_text_from_tokens("_sents").alias("clean_text"),
-        TX.entity_vector_from_tokens("_sents", gaz).alias("ner"),
+        *([TX.entity_vector_from_tokens("_sents", gazetteer).alias("ner")] if listed else []),
     )
     if words is None:
-        df = lexicon_hits_join(df.drop("hasswearwords"), "_lex", lexicon, "hasswearwords",
-                               ["conv_id", "post_id"])
+        df = lexicon_hits_join(df, "_lex", lexicon, "hasswearwords", ["conv_id", "post_id"])
+    if not listed:
+        df = entity_vector_join(df, "_sents", gazetteer, "ner", ["conv_id", "post_id"])
     return df.drop("_lex", "_sents")
 
 
-def _gazetteer_dict(gazetteer) -> dict[str, list[str]] | None:
-    if gazetteer is None or isinstance(gazetteer, dict):
-        return gazetteer
-    n = gazetteer.count()
-    if n > MAX_LITERAL_LEXICON:
-        raise ValueError(f"gazetteer has {n} entries; at most {MAX_LITERAL_LEXICON} are supported")
-    out: dict[str, list[str]] = {}
-    for tok, ent in gazetteer.select(gazetteer.columns[0], gazetteer.columns[1]).collect():
-        out.setdefault(ent, []).append(tok.lower())
-    return out
-
-
 def thread_flags(df: DataFrame, flag: str = "src_rumour", out: str = "thread_rumour") -> DataFrame:
     """for a reply, the flag anywhere in its thread (itself included);
     for the source, the flag in any reply only."""
@@ -107,9 +109,9 @@ def thread_flags(df: DataFrame, flag: str = "src_rumour", out: str = "thread_rum
         .drop("_any_all", "_any_reply")
 
 
-def thread_features(posts: DataFrame, lexicon=None, gazetteer=None) -> DataFrame:
-    """every post feature in one pass (one shuffle, for the thread flag)."""
-    return thread_flags(post_features(posts, lexicon, gazetteer))
+def thread_features(posts: DataFrame, lexicon, gazetteer=None) -> DataFrame:
+    """every post feature, one row per post (see ``one_post``)."""
+    return thread_flags(post_features(one_post(posts), lexicon, gazetteer))
 
 
 def feature_vector(df: DataFrame, feature_set: Sequence[str], out: str = "features") -> DataFrame:

@@ -3,19 +3,16 @@
 ``row_number() over (partition by fold order by ...)`` would put a whole fold
 into one task. Instead:
 
-1. draw a Bernoulli sample of the ordering key sized for ``m`` rows (at most
-   ``2m`` are collected), sort it with Spark's own ordering and keep ``k - 1``
-   boundary keys;
-2. ``bucket`` = binary search of the key among those literal boundaries — a
-   pure function of the row, so a recomputed task can never disagree;
-3. running sum inside ``(group, bucket)`` with a window (each bucket holds
-   about 1/k of the rows, whatever the key skew, because keys are unique);
-4. per-bucket totals (at most ``k + #groups`` rows) -> prefix sum on that tiny
-   table -> join of the offsets (AQE broadcasts it from its run-time size).
-
-``group_cols`` should have low cardinality (e.g. ``fold``): the offset table
-has ``buckets + distinct groups`` rows and its prefix sum is a window per
-group.
+1. the input is written once to the shared folder (it may be the end of a long
+   plan; everything below only re-reads it);
+2. ``repartitionByRange`` deals the rows by (group, order key) into ``buckets``
+   ranges of about equal size, whatever the skew, because keys are unique; the
+   range's number is written with the row, so no later re-run can disagree;
+3. a running sum inside ``(group, bucket)`` is a window over one range;
+4. the totals per (group, bucket) — ``buckets + #groups`` rows — are summed up
+   and joined as offsets (AQE broadcasts them by their size at run time).
+
+``group_cols`` should have low cardinality (e.g. ``fold``).
 """
 
 from __future__ import annotations
@@ -24,82 +21,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_BKT, _LOCAL, _OFF, _TOT = "_tl_bkt", "_tl_local", "_tl_off", "_tl_tot"
-MAX_BUCKETS = 4096
 
+from threadlens.session import materialize
 
-def _sql_lit(value, dtype: T.DataType) -> str:
-    """A typed SQL literal for a collected value (built as text so the whole
-    search expression costs one parse, not one JVM call per literal)."""
-    if value is None:
-        return f"CAST(NULL AS {dtype.simpleString()})"
-    if isinstance(dtype, T.StructType):
-        parts = ", ".join(f"'{f.name}', {_sql_lit(value[i], f.dataType)}" for i, f in enumerate(dtype.fields))
-        return f"named_struct({parts})"
-    if isinstance(dtype, T.ArrayType):
-        inner = ", ".join(_sql_lit(v, dtype.elementType) for v in value)
-        return f"CAST(array({inner}) AS {dtype.simpleString()})"
-    if isinstance(dtype, T.StringType):
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(dtype, T.BooleanType):
-        return "TRUE" if value else "FALSE"
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return f"CAST({int(value)} AS {dtype.simpleString()})"
-    return f"CAST('{value}' AS {dtype.simpleString()})"
-
-
-def _search(key: str, bounds: list[str], lo: int, hi: int) -> str:
-    # bucket b in [lo, hi] holds bounds[b-1] <= key < bounds[b]
-    if lo == hi:
-        return str(lo)
-    mid = (lo + hi + 1) // 2
-    return (f"CASE WHEN {key} >= {bounds[mid - 1]} THEN {_search(key, bounds, mid, hi)} "
-            f"ELSE {_search(key, bounds, lo, mid - 1)} END")
+_BKT, _LOCAL, _OFF, _TOT = "_tl_bkt", "_tl_local", "_tl_off", "_tl_tot"
 
 
-def range_bucket(df: DataFrame, order_cols: Sequence[str], buckets: int | None = None,
-                 sample_per_bucket: int = 32, seed: int = 7) -> Column:
-    """A Column giving the range bucket of each row's ``order_cols`` key."""
-    spark = df.sparkSession
+def range_bucketed(df: DataFrame, order_cols: Sequence[str], buckets: int | None = None,
+                   out: str = _BKT) -> DataFrame:
+    """The rows with the number of their range (0 to ``buckets`` - 1) of the
+    ``order_cols`` key, stored in the shared folder."""
     if buckets is None:
-        try:
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        except (TypeError, ValueError):
-            buckets = 200
-        # the boundaries become literals in the plan: keep the search tree
-        # (2 x buckets expression nodes, depth log2) reasonable
-        buckets = min(buckets, MAX_BUCKETS)
-    buckets = max(1, buckets)
-    names = [f"k{i}" for i in range(len(order_cols))]
-    key = F.struct(*[F.col(c).alias(n) for c, n in zip(order_cols, names)])
-    key_sql = "named_struct(" + ", ".join(f"'{n}', `{c}`" for c, n in zip(order_cols, names)) + ")"
-    if buckets == 1:
-        return F.lit(0)
-    m = buckets * sample_per_bucket
-    # A Bernoulli sample sized for ~m rows: every partition contributes only
-    # its few sampled keys (a random top-m would ship m rows per partition to
-    # one place). Sorted by Spark's own ordering; the cap keeps the collected
-    # set bounded even in the unlikely case the sample overshoots (boundaries
-    # then skew low, which costs balance, never correctness).
-    n = df.count()
-    fraction = min(1.0, m / max(n, 1))
-    sample_df = df.select(key.alias("k")).sample(False, fraction, seed).orderBy("k").limit(2 * m)
-    ktype = sample_df.schema["k"].dataType
-    rows = [r["k"] for r in sample_df.collect()]  # at most 2m rows: bounded
-    picked = []
-    n = len(rows)
-    for i in range(1, buckets):
-        j = i * n // buckets
-        if 0 < j < n:
-            v = rows[j]
-            if not picked or picked[-1] != v:
-                picked.append(v)
-    if not picked:
-        return F.lit(0)
-    lits = [_sql_lit(v, ktype) for v in picked]
-    return F.expr(_search(key_sql, lits, 0, len(lits)))
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stored = materialize(df, "ranged-input")
+    ranged = stored.repartitionByRange(max(1, buckets), *[F.col(c).asc_nulls_first() for c in order_cols])
+    return materialize(ranged.withColumn(out, F.spark_partition_id()), "ranged")
 
 
 def prefix_sum(df: DataFrame, order_cols: Sequence[str], out: str, weight: str | Column | None = None,
@@ -115,26 +51,21 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], out: str, weight: str |
     group_cols = list(group_cols)
     w = F.lit(1).cast("long") if weight is None else (
         F.col(weight) if isinstance(weight, str) else weight).cast("long")
-    bucket = range_bucket(df, group_cols + order_cols, buckets)
-    b = df.withColumn(_BKT, bucket).withColumn("_tl_w", w)
-    end = 0 if inclusive else -1
+    b = range_bucketed(df.withColumn("_tl_w", w), group_cols + order_cols, buckets)
     win = (Window.partitionBy(*group_cols, _BKT).orderBy(*order_cols)
-           .rowsBetween(Window.unboundedPreceding, end))
+           .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     local = b.withColumn(_LOCAL, F.coalesce(F.sum("_tl_w").over(win), F.lit(0)).cast("long"))
-    # Per-bucket totals: Catalyst prunes the window from this branch and
-    # plans a partial aggregate; callers pass a materialized input, so the
-    # second scan is cheap.
-    totals = local.groupBy(*group_cols, _BKT).agg(F.sum("_tl_w").alias(_TOT))
+    totals = b.groupBy(*group_cols, _BKT).agg(F.sum("_tl_w").alias(_TOT))
     ow = (Window.partitionBy(*group_cols).orderBy(_BKT)
           .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*group_cols, _BKT,
+    offsets = totals.select(*[F.col(c).alias(f"_tl_g{i}") for i, c in enumerate(group_cols)], F.col(_BKT).alias("_tl_b"),
                             F.coalesce(F.sum(_TOT).over(ow), F.lit(0)).cast("long").alias(_OFF))
-    # No broadcast hint: the offset table is an aggregate whose exact size AQE
-    # knows at run time (buckets + groups rows), so it is broadcast when small
-    # and shuffle-joined otherwise — even if a caller passes many groups.
-    res = local.join(offsets, [*group_cols, _BKT], "left")
+    on = F.col(_BKT) == F.col("_tl_b")
+    for i, c in enumerate(group_cols):
+        on = on & F.col(c).eqNullSafe(F.col(f"_tl_g{i}"))
+    res = local.join(offsets, on, "left")
     return (res.withColumn(out, (F.col(_LOCAL) + F.coalesce(F.col(_OFF), F.lit(0))).cast("long"))
-            .drop(_BKT, _LOCAL, _OFF, "_tl_w"))
+            .select(*df.columns, out))
 
 
 def dense_index(df: DataFrame, order_cols: Sequence[str], out: str,

@@ -18,7 +18,7 @@ def normalize_posts(raw: DataFrame, platform: str) -> DataFrame:
              reply  -> ``data.{body,author}``, a reply without ``body`` is a
              deleted post: text '' and user ''.
     """
-    keep = [c for c in raw.columns if c in ("platform", "topic", "file_path")]
+    keep = [c for c in raw.columns if c in ("platform", "topic", "file_path", "line_no")]
     if platform == "twitter":
         return raw.select("conv_id", "post_id", "is_source", "text",
                           F.lit(None).cast("string").alias("user"), *keep)

@@ -12,7 +12,7 @@ def branch_profile(branch_rows: DataFrame, approx: bool = False) -> DataFrame:
     """A1: post occurrences over all branches, distinct posts, and
     occurrences of source posts. ``approx`` uses a HyperLogLog sketch for the
     distinct count (fixed memory at any scale)."""
-    distinct = F.approx_count_distinct("post_id") if approx else F.countDistinct("conv_id", "post_id")
+    distinct = F.approx_count_distinct("post_id") if approx else F.countDistinct("post_id")
     return branch_rows.agg(
         F.count(F.lit(1)).alias("n_occurrences"),
         distinct.alias("n_posts"),

@@ -8,50 +8,108 @@ Trees are keyed tables, never one nested row per conversation:
 
 ``ord`` holds the sibling positions from the root down; comparing ``ord``
 arrays lexicographically is pre-order, so no branch ever has to be
-materialised to number it. The walk is a recursive CTE (one join per tree
-level, keyed on the node, so a hot conversation is spread over many tasks).
+materialised to number it. The walk doubles pointers: after k rounds every
+node knows its nearest 2^k ancestors, so a tree of any depth takes log2(depth)
+joins. They are plain shuffle joins on the node, so AQE splits the many
+replies of one hot post.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.operators.index import dense_index, prefix_sum
-from threadlens.session import materialize, prepare
+from threadlens.session import materialize, ship_package
 
-DEFAULT_MAX_DEPTH = 1000
 GRAFT_BASE = 1_000_000_000  # sib_pos of grafted children: after every original child
 
 
-def _id_type(df: DataFrame, col: str = "post_id") -> str:
-    return df.schema[col].dataType.simpleString()
-
-
 # --- T1 --------------------------------------------------------------------
-def tree_json_to_edges(raw: DataFrame, json_col: str = "value", conv_col: str = "conv_id",
-                       max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
-    """Nested id tree ``{"id": {children} | []}`` -> edge rows.
-
-    Key order is sibling order (``from_json`` into a MAP keeps file order; a
-    leaf ``[]`` does not parse as a map, which ends the recursion; ``{}`` is a
-    leaf too). Duplicate keys: the last one wins, as in Python.
-    """
-    spark = prepare(raw.sparkSession)
-    src = raw.select(F.col(conv_col).alias("conv_id"), F.col(json_col).alias("doc"))
-    return spark.sql(f"""
-        WITH RECURSIVE t(conv_id, parent_id, post_id, sib_pos, sub) MAX RECURSION LEVEL {max_depth} AS (
-          SELECT s.conv_id, CAST(NULL AS STRING), e.key, CAST(e.pos AS INT), e.value
-          FROM {{src}} s LATERAL VIEW posexplode(from_json(s.doc, 'map<string,string>')) e AS pos, key, value
-          UNION ALL
-          SELECT t.conv_id, t.post_id, e.key, CAST(e.pos AS INT), e.value
-          FROM t LATERAL VIEW posexplode(from_json(t.sub, 'map<string,string>')) e AS pos, key, value
-          WHERE t.sub IS NOT NULL
-        )
-        SELECT conv_id, parent_id, post_id, sib_pos FROM t
-    """, src=src)
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\]:,]|[^\s{}\[\]:,"]+')
+
+
+def _tree_edges(doc: str | None) -> list[tuple]:
+    """(parent, id, sibling position) of a nested id tree, in one scan of the
+    text with a stack of its own, so depth has no limit. A repeated key keeps
+    its first position and its last subtree, as in a Python dict; a document
+    that is no tree of objects gives nothing."""
+    if not doc:
+        return []
+    root: dict = {}
+    stack: list = []      # open objects
+    key, want_value = None, False
+    for m in _TOKEN.finditer(doc):
+        t = m.group()
+        if t == "{":
+            if not stack:
+                if root:
+                    break
+                stack.append(root)
+            elif stack[-1] is None:
+                stack.append(None)
+            else:
+                child: dict = {}
+                stack[-1][key] = child
+                stack.append(child)
+            want_value = False
+        elif t == "[":
+            if stack and stack[-1] is not None and want_value:
+                stack[-1][key] = {}
+            stack.append(None)  # a list is a leaf whatever it holds
+            want_value = False
+        elif t in "}]":
+            if not stack:
+                return []
+            stack.pop()
+            if not stack:
+                break
+        elif t == ":":
+            want_value = True
+        elif t == ",":
+            want_value = False
+        elif stack and stack[-1] is not None:
+            if want_value:
+                stack[-1][key] = {}  # a scalar ends the branch
+                want_value = False
+            else:
+                try:
+                    key = json.loads(t, strict=False) if t[0] == '"' else t
+                except ValueError:
+                    return []
+    if stack:
+        return []  # the text ends inside
+    out, todo = [], [(None, root)]
+    while todo:
+        parent, node = todo.pop()
+        for pos, (k, sub) in enumerate(node.items()):
+            out.append((parent, k, pos))
+            if sub:
+                todo.append((k, sub))
+    return out
+
+
+def _parse_batches(batches):
+    import pyarrow as pa
+
+    for b in batches:
+        rows = [(c, *e) for c, doc in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for e in _tree_edges(doc)]
+        c, p, i, n = zip(*rows) if rows else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, b.schema.field(0).type), pa.array(p, pa.string()), pa.array(i, pa.string()), pa.array(n, pa.int32())],
+                                         ["conv_id", "parent_id", "post_id", "sib_pos"])
+
+
+def tree_json_to_edges(raw: DataFrame, json_col: str = "value", conv_col: str = "conv_id") -> DataFrame:
+    """Nested id tree ``{"id": {children} | []}`` -> edge rows; key order is
+    sibling order, a list or ``{}`` is a leaf. Each document is read once."""
+    ship_package(raw.sparkSession)
+    src = raw.select(F.col(conv_col).alias("conv_id"), F.col(json_col).cast("string").alias("doc"))
+    conv = src.schema["conv_id"].dataType.simpleString()
+    return src.mapInArrow(_parse_batches, f"conv_id {conv}, parent_id string, post_id string, sib_pos int")
 
 
 # --- N8 / N9 ---------------------------------------------------------------
@@ -62,13 +120,13 @@ def prune_roots(edges: DataFrame, root_id: Column | str = "conv_id") -> DataFram
     return edges.where(F.col("parent_id").isNotNull() | (F.col("post_id") == rid))
 
 
-def graft(edges: DataFrame, fixes: DataFrame) -> DataFrame:
+def graft(edges: DataFrame, fixes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Move subtrees: ``fixes(conv_id, post_id, new_parent, fix_pos)``.
 
     A grafted child comes after every original child of its new parent, in
     ``fix_pos`` order (a dict key added last). ``fixes`` is left to the
     planner: a hand-made table of a few rows is broadcast by size, a large one
-    is shuffle-joined.
+    is shuffle-joined. ``keep`` names further columns of the edges to keep.
     """
     f = fixes.select("conv_id", "post_id", F.col("new_parent").alias("_np"),
                      F.col("fix_pos").alias("_fp"))
@@ -79,6 +137,7 @@ def graft(edges: DataFrame, fixes: DataFrame) -> DataFrame:
         "post_id",
         F.when(F.col("_np").isNotNull(), F.lit(GRAFT_BASE) + F.col("_fp").cast("int"))
          .otherwise(F.col("sib_pos")).cast("int").alias("sib_pos"),
+        *keep,
     )
 
 
@@ -94,8 +153,13 @@ def with_presence(edges: DataFrame, posts: DataFrame | None) -> DataFrame:
 
 
 # --- T2: the walk -----------------------------------------------------------------
-def walk(edges: DataFrame, posts: DataFrame | None = None,
-         max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+def unique_edges(edges: DataFrame) -> DataFrame:
+    """One row per (conversation, parent, post): a reply listed twice under
+    one parent keeps its first sibling position."""
+    return edges.groupBy("conv_id", "parent_id", "post_id").agg(F.min(F.col("sib_pos").cast("int")).alias("sib_pos"))
+
+
+def walk(edges: DataFrame, posts: DataFrame | None = None) -> DataFrame:
     """Every node reachable from a root, with its pre-order key and the
     present-ancestor bookkeeping used by example assembly:
 
@@ -103,52 +167,52 @@ def walk(edges: DataFrame, posts: DataFrame | None = None,
     prev_id nearest present strict ancestor (the previous post of the branch)
     src_id  first present post on the path above the node (the branch source)
 
-    A cycle in a parent table is cut (``path`` guard).
-    """
-    spark = prepare(edges.sparkSession)
-    e = with_presence(edges.select("conv_id", "parent_id", "post_id", F.col("sib_pos").cast("int")), posts)
-    # Every level joins the frontier with the edge table on (conv_id, parent).
-    # Checkpointed once, hash-partitioned on exactly those keys, the edge side
-    # is neither recomputed nor re-shuffled per level: only the frontier moves.
-    e = materialize(e, ["conv_id", "parent_id"])
-    idt = _id_type(edges)
-    return spark.sql(f"""
-        WITH RECURSIVE w(conv_id, post_id, parent_id, present, ord, path, depth, n_anc, prev_id, src_id)
-        MAX RECURSION LEVEL {max_depth} AS (
-          SELECT conv_id, post_id, parent_id, present, array(sib_pos), array(post_id), 0, 0,
-                 CAST(NULL AS {idt}), CAST(NULL AS {idt})
-          FROM {{e}} WHERE parent_id IS NULL
-          UNION ALL
-          SELECT e.conv_id, e.post_id, e.parent_id, e.present,
-                 concat(w.ord, array(e.sib_pos)), concat(w.path, array(e.post_id)), w.depth + 1,
-                 w.n_anc + CAST(w.present AS INT),
-                 CASE WHEN w.present THEN w.post_id ELSE w.prev_id END,
-                 CASE WHEN w.src_id IS NOT NULL THEN w.src_id WHEN w.present THEN w.post_id END
-          FROM w JOIN {{e}} e ON e.conv_id = w.conv_id AND e.parent_id = w.post_id
-          WHERE NOT array_contains(w.path, e.post_id)
-        )
-        SELECT * FROM w
-    """, e=e)
-
-
-def nodes(edges: DataFrame, posts: DataFrame | None = None,
-          max_depth: int = DEFAULT_MAX_DEPTH, materialized: bool = True) -> DataFrame:
-    """``walk`` plus ``is_leaf`` (no child edge: a left-anti join).
-
-    The walk runs one job per tree level; everything downstream reads the
-    node table several times, so by default it is checkpointed once into the
-    shared checkpoint folder (``materialized=False`` keeps it lazy).
+    Pointer doubling: a row holds what lies between its node and the ancestor
+    it points to (``_up``; null once a root is reached); a round appends what
+    that ancestor's row holds. A post listed under two parents has a row for
+    each path; a cycle in a parent table is cut (no post twice on a path).
     """
-    w = walk(edges, posts, max_depth)
-    # The recursive result is referenced once (a second reference would run
-    # the whole recursion again): leaf = no child edge, by a left join with
-    # the distinct parent ids.
+    e = with_presence(unique_edges(edges), posts)
+    present = F.col("present").cast("int")
+    own = F.when(F.col("present"), F.col("post_id"))
+    state = materialize(e.select(
+        "conv_id", "post_id", "parent_id", "present", F.col("parent_id").alias("_up"),
+        F.array("sib_pos").alias("ord"), F.array("post_id").alias("path"),
+        # over the covered stretch, the node itself left out / taken in
+        F.lit(0).alias("n_anc"), F.lit(None).cast(e.schema["post_id"].dataType).alias("prev_id"), F.lit(None).cast(e.schema["post_id"].dataType).alias("src_id"),
+        present.alias("_n"), own.alias("_last"), own.alias("_first")), "walk")
+    done = state.where("_up is null")
+    active = state.where("_up is not null")
+    while True:
+        everything = done.unionByName(active)
+        a = everything.select(F.col("conv_id").alias("a_conv"), F.col("post_id").alias("a_post"), F.col("_up").alias("a_up"), F.col("ord").alias("a_ord"),
+                              F.col("path").alias("a_path"), F.col("_n").alias("a_n"), F.col("_last").alias("a_last"), F.col("_first").alias("a_first"))
+        j = active.join(a, (F.col("conv_id") == F.col("a_conv")) & (F.col("_up") == F.col("a_post"))).where(~F.arrays_overlap("path", "a_path"))
+        step = materialize(j.select(
+            "conv_id", "post_id", "parent_id", "present", F.col("a_up").alias("_up"),
+            F.concat("a_ord", "ord").alias("ord"), F.concat("a_path", "path").alias("path"),
+            (F.col("n_anc") + F.col("a_n")).alias("n_anc"),
+            F.coalesce("prev_id", "a_last").alias("prev_id"), F.coalesce("a_first", "src_id").alias("src_id"),
+            (F.col("_n") + F.col("a_n")).alias("_n"), F.coalesce("_last", "a_last").alias("_last"), F.coalesce("a_first", "_first").alias("_first")), "walk")
+        new = step.where("_up is null")
+        # depths are contiguous: a round that reaches no root leaves only cycles and orphans
+        if not new.limit(1).count():
+            break
+        done = done.unionByName(new)
+        active = step.where("_up is not null")
+    return done.select("conv_id", "post_id", "parent_id", "present", "ord", "path", (F.size("path") - 1).alias("depth"), "n_anc", "prev_id", "src_id")
+
+
+def nodes(edges: DataFrame, posts: DataFrame | None = None, materialized: bool = True) -> DataFrame:
+    """``walk`` plus ``is_leaf`` (no child edge). Everything downstream reads
+    the node table several times, so by default it is stored once."""
+    w = walk(edges, posts)
     parents = edges.where(F.col("parent_id").isNotNull()) \
         .select("conv_id", F.col("parent_id").alias("post_id")).distinct() \
         .withColumn("_has_child", F.lit(True))
     out = w.join(parents, ["conv_id", "post_id"], "left") \
         .withColumn("is_leaf", F.col("_has_child").isNull()).drop("_has_child")
-    return materialize(out) if materialized else out
+    return materialize(out, "nodes") if materialized else out
 
 
 def branches(node_df: DataFrame, conv_order: Sequence[str] = ("conv_id",)) -> DataFrame:
@@ -156,7 +220,7 @@ def branches(node_df: DataFrame, conv_order: Sequence[str] = ("conv_id",)) -> Da
     every root-to-leaf path; ``branch_no`` counts leaves in pre-order inside
     the conversation (0-based)."""
     leaves = node_df.where("is_leaf").select(*dict.fromkeys([*conv_order, "conv_id"]), "ord", "path")
-    g = dense_index(leaves, [*conv_order, "ord"], "_g")
+    g = materialize(dense_index(leaves, [*conv_order, "ord"], "_g"), "leaves")
     first = g.groupBy("conv_id").agg(F.min("_g").alias("_g0"))
     numbered = g.join(first, "conv_id").withColumn("branch_no", (F.col("_g") - F.col("_g0")).cast("int"))
     return numbered.select("conv_id", "branch_no", F.posexplode("path").alias("pos", "post_id")) \

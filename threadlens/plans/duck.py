@@ -62,7 +62,7 @@ def int_list_str(e: str) -> str:
 
 def features_cte(src: str = "posts", swear=None) -> str:
     """CTEs f0, f1, conv_flags, feat: every post feature of ``src``."""
-    swear = L.DEFAULT_SWEAR_LEXICON if swear is None else swear
+    swear = L.FIXTURE_SWEAR_LEXICON if swear is None else swear
     return f"""
 f0 AS (
   SELECT conv_id, post_id, is_source, stance, fold, coalesce(text, '') AS raw_text,

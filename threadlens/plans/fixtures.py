@@ -27,11 +27,19 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 APOS = "chr(39)"
 DECORATION = (
-    "CASE turn % 6 WHEN 0 THEN ' Is this rumour true?' "
+    "CASE turn % 6 WHEN 0 THEN ' Is this rumour true? Second of May, noon.' "
     "WHEN 1 THEN ' I cannot believe it, no no!' "
     "WHEN 2 THEN ' see http://t.co/ab_1 and pic.twitter.com/x #tag' "
     "WHEN 3 THEN ' @user_1 this is crap, hell crap.' "
-    f"WHEN 4 THEN ' nobody isn' || {APOS} || 't gossip' ELSE '' END"
+    f"WHEN 4 THEN ' nobody isn' || {APOS} || 't gossip on Monday in French' ELSE '' END"
+)
+
+
+# appended to whole documents, so the rules that their invented prose never meets fire there too
+DOC_DECORATION = (
+    "CASE CAST(doc_id AS BIGINT) % 3 "
+    f"WHEN 0 THEN ' I don' || {APOS} || 't, he can' || {APOS} || 't. Monday the third of May at noon, 12 in English!' "
+    "WHEN 1 THEN ' @user_7 (see http://a_b.example.org/x?y=1.), seven.' ELSE '' END"
 )
 
 
@@ -44,6 +52,11 @@ def _id(conv: str, turn: str) -> str:
     return f"CAST({conv} AS STRING) || '_' || CAST({turn} AS STRING)"
 
 
+def _shared(conv: str, turn: str) -> str:
+    return (f"CASE WHEN {turn} % 6 = 5 THEN 's' || CAST(CAST(floor({conv} / 10) AS BIGINT) AS STRING) || '_' || CAST({turn} AS STRING) "
+            f"ELSE {_id(conv, turn)} END")
+
+
 _DAYS = {
     "spark": "datediff(CAST(ts AS DATE), DATE'2024-01-01')",
     "duck": "date_diff('day', DATE '2024-01-01', CAST(ts AS DATE))",
@@ -76,6 +89,31 @@ SELECT p.* FROM {posts_all} p JOIN {base} b ON p.conv_id = b.conv_id AND p.post_
 WHERE NOT b.missing"""),
     "edges": (["base"], """
 SELECT conv_id, parent_id, post_id, sib_pos FROM {base}"""),
+    # every reply of turn 1 mod 4 is there a second time, an older version in an earlier file
+    "posts_repeated": (["posts"], """
+SELECT *, 1 AS file_path FROM {posts}
+UNION ALL
+SELECT conv_id, post_id, is_source, 'old ' || text, CAST(NULL AS INT), CAST(NULL AS STRING), fold, 0 AS file_path
+FROM {posts} WHERE NOT is_source AND length(text) % 4 = 1
+UNION ALL
+SELECT conv_id, post_id, FALSE, 'a reply with the id of the source', stance, label, fold, 2 AS file_path
+FROM {posts} WHERE is_source AND conv_id % 2 = 0"""),
+    "edges_repeated": (["edges"], """
+SELECT * FROM {edges} UNION ALL SELECT conv_id, parent_id, post_id, sib_pos + 100 FROM {edges} WHERE conv_id % 3 = 0"""),
+    # replies of turn 5 mod 6 share one id over ten conversations, so a post stands in many threads of a fold
+    "base_shared": (["base"], f"""
+SELECT conv_id, turn, {_shared('conv_id', 'turn')} AS post_id,
+  CASE WHEN turn > 0 THEN {_shared('conv_id', 'CAST(floor((turn - 1) / 2) AS BIGINT)')} END AS parent_id,
+  sib_pos, is_source, dtext, gold, fold, unlabelled
+FROM {{base}}"""),
+    "posts_shared": (["base_shared"], f"""
+SELECT conv_id, post_id, is_source, dtext AS text, CASE WHEN unlabelled THEN CAST(NULL AS INT) ELSE gold END AS stance,
+  CASE WHEN unlabelled THEN CAST(NULL AS STRING) ELSE {label_name('gold')} END AS label, fold
+FROM {{base_shared}}"""),
+    "edges_shared": (["base_shared"], """
+SELECT conv_id, parent_id, post_id, sib_pos FROM {base_shared}"""),
+    "docs_decorated": (["documents"], f"""
+SELECT doc_id, text || {DOC_DECORATION} AS text FROM {{documents}}"""),
     "label_keys": (["base"], f"""
 SELECT post_id, fold AS split, {label_name('gold')} AS label FROM {{base}} WHERE NOT unlabelled
 UNION ALL
@@ -98,7 +136,12 @@ SELECT event_type AS run, CAST({DAYS} AS INT) AS epoch,
   round(avg(CAST(CASE WHEN value < 25 THEN 1 ELSE 0 END AS DOUBLE)), 6) AS f1_macro,
   round(avg(CAST(CASE WHEN value < 75 THEN 1 ELSE 0 END AS DOUBLE)), 6) AS f1_weighted
 FROM {events}
-GROUP BY 1, 2, 3"""),
+GROUP BY 1, 2, 3
+UNION ALL
+SELECT 'improving' AS run, CAST({DAYS} AS INT) AS epoch, split, round(1.0 / (1 + {DAYS}), 6) AS loss,
+  round(CAST(least(0.99, {DAYS} / 1000.0) AS DOUBLE), 6) AS accuracy, round(CAST(least(0.99, {DAYS} / 1000.0) AS DOUBLE), 6) AS f1_macro,
+  round(CAST(least(0.99, {DAYS} / 1000.0) AS DOUBLE), 6) AS f1_weighted
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS ts, CASE user_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'dev' ELSE 'test' END AS split FROM {events})"""),
     "docs_eval": (["documents", "labels"], """
 SELECT d.doc_id, l.quality AS gold, CAST(d.n_chars > 500 AS INT) AS pred
 FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id"""),

@@ -1,19 +1,24 @@
 """From raw thread folders and key files to example sets — the data
-preparation step of the original project as one lazy composition.
+preparation step of the original project as one composition.
 
     posts  = scan (Twitter / Reddit)          S2, S3, N1, N2
     labels = key documents                    S1; dev before train (N4)
     fold   = per conversation                 N6 (Twitter) or given (Reddit)
-    edges  = structure.json -> edge rows      S6, T1; Twitter keeps only the
-             root named like the conversation N8
+    edges  = structure.json -> edge rows      S6, T1; hand-made repairs (N9);
+             Twitter keeps only the root named like the conversation N8
     examples = build_examples                 T13, ordered by
              (fold, platform twitter < reddit, topic, conversation)
+    reports                                   N3, N5, N7, N11, corrupt lines
+
+A conversation is known by its folder, topic and name, so one name in two
+folders or topics is two conversations. A post given several times is one post
+(``features.one_post``): the source first, else the last file and line.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +26,7 @@ from pyspark.sql import functions as F
 from threadlens.operators import normalize as NO
 from threadlens.operators import tree as TR
 from threadlens.operators.examples import build_examples
+from threadlens.operators.features import one_post
 from threadlens.session import materialize
 from threadlens.sources import threads as TH
 
@@ -37,42 +43,74 @@ class ThreadFolder:
     fold: str | None = None
 
 
+@dataclass
+class Prepared:
+    """The example sets and what the original prints while it loads."""
+    examples: DataFrame
+    posts: DataFrame
+    reports: dict[str, DataFrame] = field(default_factory=dict)
+
+
+def _conversation(no: int):
+    """The key of a conversation of folder ``no``."""
+    return F.concat_ws("/", F.lit(str(no)), "topic", "conv_name")
+
+
 def folder_posts(spark: SparkSession, folder: ThreadFolder, labels: DataFrame,
-                 priority: Sequence[str] = ("dev", "train")) -> DataFrame:
-    """Posts of one folder with topic, split, label, stance and fold."""
+                 priority: Sequence[str] = ("dev", "train"), no: int = 0) -> DataFrame:
+    """Posts of one folder with topic, split, label, stance and fold, one row
+    per post; ``conv_id`` is the key, ``conv_name`` the folder's name."""
     if folder.platform == "twitter":
-        raw = TH.scan_twitter(spark, folder.root)
-        posts = NO.normalize_posts(raw, "twitter")
+        posts = NO.normalize_posts(TH.scan_twitter(spark, folder.root), "twitter")
     else:
-        raw = TH.scan_reddit_raw(spark, folder.root)
-        posts = NO.normalize_posts(raw, "reddit").withColumn("topic", F.lit(""))
-    posts = posts.withColumn("platform", F.lit(folder.platform)) \
-        .withColumn("platform_rank", F.lit(PLATFORM_RANK[folder.platform]))
+        posts = NO.normalize_posts(TH.scan_reddit_raw(spark, folder.root), "reddit").withColumn("topic", F.lit(""))
+    posts = posts.withColumn("conv_name", F.col("conv_id")).withColumn("conv_id", _conversation(no))
+    posts = one_post(posts.withColumn("platform", F.lit(folder.platform)).withColumn("platform_rank", F.lit(PLATFORM_RANK[folder.platform])))
     posts = NO.attach_labels(posts, labels, priority)
     # file-name order of the reply files decides the fold
     folds = NO.assign_fold(posts, order_col="file_path", fixed=folder.fold)
-    return posts.join(folds, "conv_id")
+    return posts.join(folds, "conv_id").withColumn("fixed_fold", F.lit(folder.fold is not None))
 
 
-def folder_edges(spark: SparkSession, folder: ThreadFolder) -> DataFrame:
-    edges = TH.scan_edges(spark, folder.root, folder.platform)
+def folder_edges(spark: SparkSession, folder: ThreadFolder, no: int = 0, fixes: DataFrame | None = None) -> DataFrame:
+    """Reply edges of one folder. ``fixes(conv_id, post_id, new_parent,
+    fix_pos)``: moved subtrees, by the conversation's own name."""
+    edges = TH.scan_edges(spark, folder.root, folder.platform, with_topic=True)
+    if fixes is not None:
+        # repairs come before the other roots go: a moved subtree may hang below one of them
+        edges = TR.graft(edges, fixes, keep=["topic"])
     if folder.platform == "twitter":
         edges = TR.prune_roots(edges, F.col("conv_id"))
-    return edges
+    return edges.withColumn("conv_name", F.col("conv_id")).withColumn("conv_id", _conversation(no)) \
+        .select("conv_id", "parent_id", "post_id", "sib_pos")
 
 
-def prepare_examples(spark: SparkSession, folders: Sequence[ThreadFolder], labels: DataFrame,
-                     priority: Sequence[str] = ("dev", "train"), lexicon=None, gazetteer=None) -> DataFrame:
-    """Example sets of all folders, one row per post and fold (column ``fold``);
-    write them with ``sources.examples_io.write_examples``."""
-    posts, edges = None, None
-    for f in folders:
-        p, e = folder_posts(spark, f, labels, priority), folder_edges(spark, f)
+def prepare(spark: SparkSession, folders: Sequence[ThreadFolder], labels: DataFrame, lexicon,
+            priority: Sequence[str] = ("dev", "train"), gazetteer=None, fixes: DataFrame | None = None) -> Prepared:
+    """Example sets of all folders, one row per post and fold (column
+    ``fold``; write them with ``sources.examples_io.write_examples``), and the
+    reports: ``missing_text`` (N3), ``unlabelled`` (N5), ``split_trees`` (N7),
+    ``unknown_labels`` (N11), ``corrupt_lines``."""
+    posts, edges, corrupt = None, None, None
+    for no, f in enumerate(folders):
+        p, e = folder_posts(spark, f, labels, priority, no), folder_edges(spark, f, no, fixes)
+        c = TH.corrupt_lines(spark, f.root, f.platform)
         posts = p if posts is None else posts.unionByName(p, allowMissingColumns=True)
         edges = e if edges is None else edges.unionByName(e)
-    # the scanned, labelled posts are read three times (presence in the walk,
-    # conversation table, features): parse the JSON once, keep it partitioned
-    # on the post key the presence join uses
-    posts = materialize(posts, ["conv_id", "post_id"])
-    return build_examples(posts, edges, conv_order=["platform_rank", "topic", "conv_id"],
-                          lexicon=lexicon, gazetteer=gazetteer)
+        corrupt = c if corrupt is None else corrupt.unionByName(c)
+    # read several times (presence in the walk, conversations, features, reports): the JSON is parsed once
+    posts = materialize(posts, "posts")
+    examples = build_examples(posts, edges, lexicon, conv_order=["platform_rank", "topic", "conv_name", "conv_id"], gazetteer=gazetteer)
+    return Prepared(examples, posts, {
+        "missing_text": NO.missing_text(posts),
+        "unlabelled": NO.unlabelled(posts, labels).select("conv_id", "post_id"),
+        "split_trees": NO.split_trees(posts.where(~F.col("fixed_fold"))),
+        "unknown_labels": NO.unknown_labels(posts),
+        "corrupt_lines": corrupt,
+    })
+
+
+def prepare_examples(spark: SparkSession, folders: Sequence[ThreadFolder], labels: DataFrame, lexicon,
+                     priority: Sequence[str] = ("dev", "train"), gazetteer=None, fixes: DataFrame | None = None) -> DataFrame:
+    """The example sets of ``prepare``."""
+    return prepare(spark, folders, labels, lexicon, priority, gazetteer, fixes).examples

@@ -324,7 +324,7 @@ def q_learning_curves(spark, d):
 
 # --- A1-A4, A6 --------------------------------------------------------------------------------------------
 @register("agg_branch_profile", duck_with("posts", "edges", recursive=True) + DUCK_TREE + """
-SELECT count(*) AS n_occurrences, count(DISTINCT (b.conv_id, b.post_id)) AS n_posts,
+SELECT count(*) AS n_occurrences, count(DISTINCT b.post_id) AS n_posts,
        CAST(sum(CASE WHEN p.is_source THEN 1 ELSE 0 END) AS BIGINT) AS n_source_occurrences
 FROM present_bp b JOIN posts p ON p.conv_id = b.conv_id AND p.post_id = b.post_id""")
 def q_branch_profile(spark, d):
@@ -519,6 +519,29 @@ def q_fit_predict(spark, d):
     return predict(model, e).select("fold", "id", "stance_label", "pred")
 
 
+def _fitted(spark, d):
+    from threadlens.operators.model import fit_stance, predict
+    e = examples_df(spark, d)
+    model = fit_stance(e.where(F.col("fold") == "train"), with_features=True, max_iter=10, num_features=1 << 14)
+    return predict(model, e)
+
+
+@register("ml_fit_check", DUCK_EXAMPLES_WITH + """
+SELECT fold, count(*) AS n_examples, count(*) AS n_predicted, 0 AS n_outside, TRUE AS beats_majority
+FROM examples GROUP BY fold""")
+def q_fit_check(spark, d):
+    """M2, what must hold for any solver: one prediction an example, within
+    the classes, and on the training fold better than the largest class."""
+    p = _fitted(spark, d).select("fold", "id", "stance_label", "pred")
+    lab = p.where(F.col("stance_label").isNotNull() & (F.col("fold") == "train"))
+    biggest = lab.groupBy("stance_label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m"))
+    right = lab.agg(F.sum((F.col("pred") == F.col("stance_label")).cast("long")).alias("r"))
+    beats = right.crossJoin(biggest).select((F.col("r") > F.col("m")).alias("beats_majority"))  # one row
+    per = p.groupBy("fold").agg(F.count(F.lit(1)).alias("n_examples"), F.countDistinct(F.when(F.col("pred").isNotNull(), F.col("id"))).alias("n_predicted"),
+                                F.sum((~F.col("pred").between(0, 3)).cast("int")).cast("int").alias("n_outside"))
+    return per.crossJoin(beats)
+
+
 @register("ml_learning_curve")
 def q_learning_curve(spark, d):
     """M2 + M4/M6-M8 per epoch and split, then M11 on it: the training loop's

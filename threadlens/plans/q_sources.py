@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from threadlens.functions import lexicons as L
 from threadlens.functions import text as TX
 from threadlens.operators import normalize as NO
 from threadlens.operators import profile as PR
 from threadlens.plans import duck as D
 from threadlens.plans.fixtures import duck_with, fixture, table
-from threadlens.plans.q_eval import _REDDIT_ORACLE, STANCE_CASE, reddit_raw
+from threadlens.plans.q_eval import _REDDIT_ORACLE, DELETED, STANCE_CASE, reddit_raw
 from threadlens.plans import prepare as PREP
 from threadlens.plans.q_threads import (DUCK_EXAMPLES, DUCK_EXAMPLES_TABLE, DUCK_EXAMPLES_WITH, DUCK_TREE,
                                         EXAMPLE_COLS, duck_ints_str, examples_df, ints_str)
@@ -83,10 +84,10 @@ def q_answer_balance(spark, d):
 
 
 # --- S2 / S6 / T1: Twitter layout -----------------------------------------------------------------
-def _twitter_root(spark, d, missing: bool = False):
+def _twitter_root(spark, d, missing: bool = False, only: str = "true"):
     """The Twitter layout of the thread fixture; with ``missing`` the posts
     the fixture marks missing have no file (their ids stay in structure.json)."""
-    b = fixture(spark, d, "base")
+    b = fixture(spark, d, "base").where(only)
     if missing:
         b = b.where(~F.col("missing"))
     root = shared_dir(spark, "twitter")
@@ -97,7 +98,7 @@ def _twitter_root(spark, d, missing: bool = False):
         F.concat_ws("/", F.lit(root), topic, folder, role, F.concat(F.col("post_id"), F.lit(".json"))).alias("path"),
         F.to_json(F.struct(F.col("post_id").alias("id_str"), F.col("turn").alias("id"),
                            F.col("dtext").alias("text"))).alias("content"))
-    docs = LY.tree_documents(fixture(spark, d, "edges"))
+    docs = LY.tree_documents(fixture(spark, d, "edges").where(only))
     structs = docs.select(
         F.concat_ws("/", F.lit(root), topic, folder, F.lit("structure.json")).alias("path"),
         # an older tree on the first line: only the last line counts
@@ -111,7 +112,7 @@ SELECT 'twitter' AS platform, 'topic' || CAST(conv_id % 3 AS VARCHAR) AS topic,
        CAST(conv_id AS VARCHAR) || '_0' AS conv_id, post_id, is_source, dtext AS text FROM base""")
 def q_twitter(spark, d):
     root = _twitter_root(spark, d)
-    return TH.scan_twitter(spark, root).drop("file_path")
+    return TH.scan_twitter(spark, root).drop("file_path", "line_no")
 
 
 @register("tree_json_edges", duck_with("base") + """
@@ -127,8 +128,8 @@ def q_tree_json(spark, d):
 STRAY = "conv_id % 9 = 0"
 
 
-def _reddit_root(spark, d, stray: bool = False):
-    raw = reddit_raw(spark, d)
+def _reddit_root(spark, d, stray: bool = False, only: str = "true", trees: bool = False):
+    raw = reddit_raw(spark, d).where(only)
     root = shared_dir(spark, "reddit")
     folder = F.concat(F.col("conv_id").cast("string"), F.lit("_0"))
     role = F.when(F.col("is_source"), F.lit("source-tweet")).otherwise(F.lit("replies"))
@@ -140,6 +141,9 @@ def _reddit_root(spark, d, stray: bool = False):
         files = files.unionByName(b.select(
             F.concat_ws("/", F.lit(root), folder, F.lit("replies"), F.lit("notes.txt")).alias("path"),
             F.lit("not a post").alias("content")))
+    if trees:
+        docs = LY.tree_documents(fixture(spark, d, "edges").where(only))
+        files = files.unionByName(docs.select(F.concat_ws("/", F.lit(root), folder, F.lit("structure.json")).alias("path"), F.col("value").alias("content")))
     LY.write_files(files)
     return root
 
@@ -214,35 +218,66 @@ def q_lexicon(spark, d):
     return read_lexicon(spark, root)
 
 
-__all__ = ["strip_ws"]
-
-
 # --- end to end: folders + key files -> example sets -------------------------------------------
-_TOPIC_OF = "'topic' || CAST(CAST(split_part(conv_id, '_', 1) AS BIGINT) % 3 AS VARCHAR)"
+# Twitter folders (posts missing), a Reddit folder with a given fold, and a Twitter test folder; the
+# three hold different conversations, but all number them alike.
+IN_TWITTER, IN_REDDIT, IN_TEST = "conv_id % 4 < 2", "conv_id % 4 = 2", "conv_id % 4 = 3"
 _FOLDERS_ORACLE = duck_with("base", "label_keys", recursive=True) + """,
 best AS (
   SELECT post_id, split, label FROM label_keys
   QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY
     CASE split WHEN 'dev' THEN 0 WHEN 'train' THEN 1 ELSE 2 END, split, label) = 1),
+src AS (
+  SELECT *, 0 AS folder, 0 AS platform_rank, 'topic' || CAST(conv_id % 3 AS VARCHAR) AS topic, dtext AS ptext FROM base WHERE """ + IN_TWITTER + """ AND NOT missing
+  UNION ALL
+  SELECT *, 1, 1, '', CASE WHEN """ + DELETED + """ THEN '' ELSE dtext END FROM base WHERE """ + IN_REDDIT + """
+  UNION ALL
+  SELECT *, 2, 0, 'topic' || CAST(conv_id % 3 AS VARCHAR), dtext FROM base WHERE """ + IN_TEST + """ AND NOT missing),
 pa AS (
-  SELECT CAST(b.conv_id AS VARCHAR) || '_0' AS conv_id, b.post_id, b.is_source, b.dtext AS text,
-         """ + STANCE_CASE.format(c="bl.label") + """ AS stance, bl.split
-  FROM base b LEFT JOIN best bl ON bl.post_id = b.post_id WHERE NOT b.missing),
+  SELECT [CAST(platform_rank AS VARCHAR), topic, CAST(b.conv_id AS VARCHAR) || '_0', CAST(folder AS VARCHAR)] AS conv_id, folder,
+         b.post_id, b.is_source, b.ptext AS text, """ + STANCE_CASE.format(c="bl.label") + """ AS stance, bl.split
+  FROM src b LEFT JOIN best bl ON bl.post_id = b.post_id),
 cf AS (
-  SELECT conv_id, coalesce(max_by(split, post_id || '.json') FILTER (WHERE NOT is_source AND split IS NOT NULL),
-                           'train') AS fold
+  SELECT conv_id, CASE min(folder) WHEN 1 THEN 'dev' WHEN 2 THEN 'test' ELSE
+           coalesce(max_by(split, post_id || '.json') FILTER (WHERE NOT is_source AND split IS NOT NULL), 'train') END AS fold
   FROM pa GROUP BY conv_id),
 posts AS (SELECT pa.*, cf.fold FROM pa JOIN cf ON cf.conv_id = pa.conv_id),
-edges AS (SELECT CAST(conv_id AS VARCHAR) || '_0' AS conv_id, parent_id, post_id, sib_pos FROM base),
-""" + D.features_cte("posts") + DUCK_TREE + DUCK_EXAMPLES.replace(
-    "ORDER BY conv_id, ord", f"ORDER BY {_TOPIC_OF}, conv_id, ord") + DUCK_EXAMPLES_TABLE + "\n" + _EX_SELECT
+edges AS (SELECT k.conv_id, parent_id, post_id, sib_pos FROM base JOIN
+            (SELECT DISTINCT conv_id, conv_id[3] AS name FROM pa) k ON k.name = CAST(base.conv_id AS VARCHAR) || '_0'),
+""" + D.features_cte("posts") + DUCK_TREE + DUCK_EXAMPLES + DUCK_EXAMPLES_TABLE + "\n" + _EX_SELECT
+
+
+def _prepared(spark, d):
+    folders = [PREP.ThreadFolder(_twitter_root(spark, d, missing=True, only=IN_TWITTER), "twitter"),
+               PREP.ThreadFolder(_reddit_root(spark, d, only=IN_REDDIT, trees=True), "reddit", fold="dev"),
+               PREP.ThreadFolder(_twitter_root(spark, d, missing=True, only=IN_TEST), "twitter", fold="test")]
+    keys = LB.read_label_keys(spark, _write_keys(spark, fixture(spark, d, "label_keys"), "keys"), whole_file=False)
+    return PREP.prepare(spark, folders, keys, L.FIXTURE_SWEAR_LEXICON)
 
 
 @register("examples_from_folders", _FOLDERS_ORACLE)
 def q_from_folders(spark, d):
-    """The whole preparation step from files: thread folders (posts, trees)
-    and key documents -> labels with priority, folds, pruned trees, examples."""
-    root = _twitter_root(spark, d, missing=True)
-    keys = LB.read_label_keys(spark, _write_keys(spark, fixture(spark, d, "label_keys"), "keys"), whole_file=False)
-    ex = PREP.prepare_examples(spark, [PREP.ThreadFolder(root, "twitter")], keys)
-    return ex.select(*[c.strip() for c in EXAMPLE_COLS.split(",")]).withColumn("ner", ints_str("ner"))
+    """The whole preparation step from files: thread folders of both platforms
+    and a test folder, key documents -> labels with priority, folds, pruned
+    trees, examples."""
+    return _prepared(spark, d).examples.select(*[c.strip() for c in EXAMPLE_COLS.split(",")]).withColumn("ner", ints_str("ner"))
+
+
+@register("reports_from_folders", duck_with("base", "label_keys") + f""",
+src AS (SELECT *, CAST(conv_id % 4 AS INT) AS part FROM base WHERE {IN_REDDIT} OR NOT missing)
+SELECT 'unlabelled' AS report, count(*) AS n FROM src WHERE post_id NOT IN (SELECT post_id FROM label_keys)
+UNION ALL SELECT 'missing_text', 0
+UNION ALL SELECT 'unknown_labels', 0
+UNION ALL SELECT 'corrupt_lines', 0
+UNION ALL SELECT 'split_trees', count(*) FROM (
+  SELECT conv_id FROM (
+    SELECT s.conv_id, coalesce(max(CASE WHEN k.split = 'dev' THEN 'dev' END), max(CASE WHEN k.split = 'train' THEN 'train' END), min(k.split)) AS split
+    FROM src s JOIN label_keys k ON k.post_id = s.post_id WHERE {IN_TWITTER} GROUP BY s.conv_id, s.post_id)
+  GROUP BY conv_id HAVING count(DISTINCT split) > 1)""")
+def q_reports(spark, d):
+    """What the preparation reports while it loads, counted."""
+    out = None
+    for name, df in _prepared(spark, d).reports.items():
+        row = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -49,7 +49,7 @@ SELECT conv_id, post_id, hasswearwords FROM f1""")
 def q_lexicon_hits(spark, d):
     return _posts(spark, d).select(
         "conv_id", "post_id",
-        TX.lexicon_hits(TX.lex_tokens("text"), L.DEFAULT_SWEAR_LEXICON).alias("hasswearwords"))
+        TX.lexicon_hits(TX.lex_tokens("text"), L.FIXTURE_SWEAR_LEXICON).alias("hasswearwords"))
 
 
 @register("txt_lexicon_hits_join", POSTS_FEAT + """
@@ -58,7 +58,7 @@ def q_lexicon_hits_join(spark, d):
     """F9 through the table path (explode + join + count), for lexicons too
     large to inline; the lexicon here is a DataFrame."""
     p = _posts(spark, d).select("conv_id", "post_id", TX.lex_tokens("text").alias("_lex"))
-    lex = p.sparkSession.createDataFrame([(w,) for w in L.DEFAULT_SWEAR_LEXICON], "word string")
+    lex = p.sparkSession.createDataFrame([(w,) for w in L.FIXTURE_SWEAR_LEXICON], "word string")
     return FE.lexicon_hits_join(p, "_lex", lex, "hasswearwords", ["conv_id", "post_id"]) \
         .select("conv_id", "post_id", "hasswearwords")
 
@@ -90,19 +90,19 @@ def q_mask_urls(spark, d):
     return pg.select("page_id", TX.mask_urls(F.concat_ws(" ", "url", "html")).alias("masked"))
 
 
-@register("txt_mask_mentions", f"""
+@register("txt_mask_mentions", duck_with("docs_decorated") + f"""
 SELECT doc_id, regexp_replace(trim(regexp_replace(text, {D.q(TX.WS)}, ' ', 'g')),
-                              {D.q(TX.R2_MENTION)}, '$MENTION$', 'g') AS masked FROM documents""")
+                              {D.q(TX.R2_MENTION)}, '$MENTION$', 'g') AS masked FROM docs_decorated""")
 def q_mask_mentions(spark, d):
-    doc = table(spark, d, "documents")
+    doc = fixture(spark, d, "docs_decorated")
     return doc.select("doc_id", TX.mask_mentions(TX.canon_ws("text")).alias("masked"))
 
 
-@register("txt_negated_contraction", f"""
+@register("txt_negated_contraction", duck_with("docs_decorated") + f"""
 SELECT doc_id, regexp_replace(trim(regexp_replace(text, {D.q(TX.WS)}, ' ', 'g')),
-                              {D.q(TX.R3_NT)}, ' not\\1', 'g') AS text_not FROM documents""")
+                              {D.q(TX.R3_NT)}, ' not\\1', 'g') AS text_not FROM docs_decorated""")
 def q_negated(spark, d):
-    doc = table(spark, d, "documents")
+    doc = fixture(spark, d, "docs_decorated")
     return doc.select("doc_id", TX.negated_contraction(TX.canon_ws("text")).alias("text_not"))
 
 
@@ -127,10 +127,10 @@ def q_processed(spark, d):
     return doc.unionByName(pg)
 
 
-@register("join_entity_vector", f"""
-SELECT doc_id, {duck_ints_str(D.entity_vector(D.sent_tokens('text')))} AS ner FROM documents""")
+@register("join_entity_vector", duck_with("docs_decorated") + f"""
+SELECT doc_id, {duck_ints_str(D.entity_vector(D.sent_tokens('text')))} AS ner FROM docs_decorated""")
 def q_entity_vector(spark, d):
-    doc = table(spark, d, "documents")
+    doc = fixture(spark, d, "docs_decorated")
     return doc.select("doc_id", ints_str(TX.entity_vector_from_tokens(TX.sent_tokens("text"))).alias("ner"))
 
 
@@ -141,7 +141,7 @@ def q_entity_vector_gaz(spark, d):
     spark_ = spark
     rows = [(w, cls) for cls, ws in L.DEFAULT_GAZETTEER.items() for w in ws]
     gaz = spark_.createDataFrame(rows, "token string, entity string")
-    f = FE.post_features(_posts(spark, d), gazetteer=gaz)
+    f = FE.post_features(_posts(spark, d), L.FIXTURE_SWEAR_LEXICON, gazetteer=gaz)
     return f.select("conv_id", "post_id", ints_str("ner").alias("ner"))
 
 
@@ -155,8 +155,8 @@ def q_alignment(spark, d):
     doc = table(spark, d, "documents").select(TX.sent_tokens("text").alias("s"))
     feats = doc.select(TX.processed_text_from_tokens("s").alias("clean_text"),
                        TX.entity_vector_from_tokens("s").alias("ner"))
-    bad = (TX.token_count("clean_text") != F.size("ner")).cast("int")
-    return feats.agg(F.count(F.lit(1)).alias("n_checked"), F.sum(bad).cast("long").alias("n_misaligned"))
+    bad = FE.check_alignment(feats).agg(F.count(F.lit(1)).alias("n_misaligned"))
+    return doc.agg(F.count(F.lit(1)).alias("n_checked")).crossJoin(bad)  # one row beside one row
 
 
 @register("proj_feature_vector", POSTS_FEAT + """
@@ -165,7 +165,7 @@ SELECT conv_id, post_id, array_to_string(list_transform(
             src_rumour, thread_rumour], ner]), lambda x: CAST(x AS VARCHAR)), ',') AS features
 FROM feat""")
 def q_feature_vector(spark, d):
-    f = FE.thread_features(_posts(spark, d))
+    f = FE.thread_features(_posts(spark, d), L.FIXTURE_SWEAR_LEXICON)
     fs = ["issource", "hasqmark", "hasemark", "hashashtag", "hasurl", "haspic", "hasnegation",
           "hasswearwords", "src_rumour", "thread_rumour", "ner"]
     v = FE.feature_vector(f, fs)
@@ -178,7 +178,7 @@ SELECT conv_id, post_id, issource, raw_text, clean_text, {duck_ints_str('ner')}
        hasperiod, hashashtag, hasurl, haspic, hasnegation, hasswearwords, src_rumour, thread_rumour
 FROM feat""")
 def q_features_all(spark, d):
-    f = FE.thread_features(_posts(spark, d))
+    f = FE.thread_features(_posts(spark, d), L.FIXTURE_SWEAR_LEXICON)
     return f.select("conv_id", "post_id", "issource", "raw_text", "clean_text", ints_str("ner").alias("ner"),
                     "hasqmark", "hasemark", "hasperiod", "hashashtag", "hasurl", "haspic", "hasnegation",
                     "hasswearwords", "src_rumour", "thread_rumour")
@@ -190,15 +190,12 @@ SELECT conv_id, post_id, issource, hasqmark, hasemark, hasperiod, hashashtag, ha
        hasswearwords, src_rumour, clean_text, {duck_ints_str('ner')} AS ner FROM f1""")
 def q_stream_features(spark, d):
     """The conversations file read as a stream (file source, availableNow),
-    decorated by the same fixture SQL, row-local features, memory sink."""
-    import uuid
-
+    decorated by the same fixture SQL, row-local features, written as files."""
     from threadlens.streaming import features as SF
     conv = SF.read_post_stream(spark, d, glob="conversations.parquet")
     posts = fixture(spark, d, "posts_all", sources={"conversations": conv})
-    name = f"stream_features_{uuid.uuid4().hex[:8]}"
-    SF.run_feature_stream(SF.feature_stream(posts), name=name)
-    out = spark.table(name)
+    _, path = SF.run_feature_stream(SF.feature_stream(posts, L.FIXTURE_SWEAR_LEXICON))
+    out = spark.read.parquet(path)
     return out.select("conv_id", "post_id", "issource", "hasqmark", "hasemark", "hasperiod", "hashashtag",
                       "hasurl", "haspic", "hasnegation", "hasswearwords", "src_rumour", "clean_text",
                       ints_str("ner").alias("ner"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from threadlens.functions import lexicons as L
 from threadlens.functions import text as TX
 from threadlens.operators import examples as EX
 from threadlens.operators import tree as TR
@@ -76,7 +77,7 @@ def _posts_edges(spark, d):
 # --- T13 flagship ---------------------------------------------------------------
 def flagship(spark, d):
     posts, edges = _posts_edges(spark, d)
-    ex = EX.build_examples(posts, edges)
+    ex = EX.build_examples(posts, edges, L.FIXTURE_SWEAR_LEXICON)
     return ex.withColumn("ner", ints_str("ner"))
 
 
@@ -104,11 +105,18 @@ register("examples_flagship", DUCK_EXAMPLES_WITH + "\nSELECT " + EXAMPLE_COLS.re
     " ner,", " " + duck_ints_str("ner") + " AS ner,") + " FROM examples")(flagship)
 
 
+# the same rows from a table in which posts and edges are given several times
+register("examples_repeated_posts", DUCK_EXAMPLES_WITH + "\nSELECT " + EXAMPLE_COLS.replace(
+    " ner,", " " + duck_ints_str("ner") + " AS ner,") + " FROM examples")(
+    lambda spark, d: EX.build_examples(fixture(spark, d, "posts_repeated"), fixture(spark, d, "edges_repeated"), L.FIXTURE_SWEAR_LEXICON)
+    .withColumn("ner", ints_str("ner")))
+
+
 def examples_df(spark, d, materialized: bool = True):
     """The flagship example table (arrays kept) for the queries built on it;
     checkpointed, since those queries read it more than once."""
     posts, edges = _posts_edges(spark, d)
-    ex = EX.build_examples(posts, edges)
+    ex = EX.build_examples(posts, edges, L.FIXTURE_SWEAR_LEXICON)
     return materialize(ex) if materialized else ex
 
 
@@ -174,7 +182,7 @@ FROM present_bp b JOIN feat f ON f.conv_id = b.conv_id AND f.post_id = b.post_id
 GROUP BY b.conv_id, b.branch_no""")
 def q_branch_features(spark, d):
     posts, pb = _present_branches(spark, d)
-    feats = thread_features(posts)
+    feats = thread_features(posts, L.FIXTURE_SWEAR_LEXICON)
     bf = TR.branch_features(pb, feats, ["hasqmark", "hasnegation", "thread_rumour"])
     return bf.select("conv_id", "branch_no", F.array_join(F.transform(
         "features", lambda s: F.concat_ws(":", s["post_id"], s["hasqmark"].cast("string"),
@@ -205,10 +213,15 @@ def q_src(spark, d):
 
 
 # --- T9 / T10 / T11 ------------------------------------------------------------------------
-@register("win_first_occurrence", duck_with("posts", "edges", recursive=True) + DUCK_TREE + DUCK_EXAMPLES + """
+DUCK_SHARED = duck_with("posts_shared", "edges_shared", recursive=True) + """,
+posts AS (SELECT * FROM posts_shared), edges AS (SELECT * FROM edges_shared)""" + DUCK_TREE + DUCK_EXAMPLES
+
+
+@register("win_first_occurrence", DUCK_SHARED + """
 SELECT fold, post_id, conv_id, branch_no, CAST(pos AS INT) AS pos FROM firsts""")
 def q_first(spark, d):
-    posts, edges = _posts_edges(spark, d)
+    """On threads that share post ids within a fold."""
+    posts, edges = fixture(spark, d, "posts_shared"), fixture(spark, d, "edges_shared")
     ex = EX.first_occurrence(EX.example_nodes(posts, edges))
     return ex.select("fold", "post_id", "conv_id", "branch_no", "pos")
 

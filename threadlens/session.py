@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
-import threading
 import uuid
 import zipfile
 
@@ -74,14 +74,17 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (tests, a laptop) do we pick a folder of
-    our own; on a cluster the configured shared location is always used.
+    Only where it is unset *and* the master is local (tests, a laptop) a folder
+    of our own is picked; a cluster without the setting is refused, because a
+    folder on one machine is no place for tables that other machines read.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[.*\])?$", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="threadlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -89,40 +92,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-_AQE_TOGGLE = threading.Lock()
-
-
-def materialize(df, partition_cols=None, num_partitions: int | None = None):
-    """Cut the lineage of a DataFrame that later steps read several times
-    (a recursive walk, the regex-heavy feature table): a reliable, eager
-    checkpoint into the shared ``spark.checkpoint.dir``, so the work is done
-    once and a lost executor re-reads files instead of re-running the plan.
-
-    With ``partition_cols`` the rows are stored hash-partitioned on those
-    columns and the checkpoint keeps that partitioning, so later joins on
-    exactly those keys do not shuffle this side again. (An adaptive plan
-    hides its output partitioning from the checkpoint, so that one write
-    runs with AQE off; later queries are adaptive as usual.)
-    """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    if not partition_cols:
-        return df.checkpoint(eager=True)
-    cols = list(partition_cols)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # serialised, so concurrent callers never read each other's temporary value
-    with _AQE_TOGGLE:
-        prev = spark.conf.get("spark.sql.adaptive.enabled")
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        try:
-            return df.repartition(n, *cols).checkpoint(eager=True)
-        finally:
-            spark.conf.set("spark.sql.adaptive.enabled", prev)
+def materialize(df, name: str = "table"):
+    """Cut the lineage of a DataFrame that later steps read several times: it
+    is written as Parquet below the shared folder and read back, so the work is
+    done once, readers take only the columns they need, and a lost executor
+    costs a re-read instead of a re-run."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique (not yet existing) path below the shared checkpoint
-    location, for tables and files a job writes and reads back."""
+    location, for tables and files a job writes and reads back. All paths of
+    one application have one parent (see ``remove_scratch``)."""
     base = checkpoint_dir(spark)
     sep = "" if base.endswith("/") else "/"
-    return f"{base}{sep}threadlens/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}{sep}threadlens/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete everything this application wrote through ``shared_dir``. Call
+    it at the end; tables returned by the library are no longer readable then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/threadlens/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the default file system where it names none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()

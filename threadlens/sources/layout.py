@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.operators.tree import nodes
+from threadlens.session import qualified, ship_package
 
 
-def _filesystem(path: str):
+def filesystem(path: str):
+    """The pyarrow file system of a path and the path in it."""
     import pyarrow.fs as pafs
     if path.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
@@ -32,7 +34,7 @@ def _write_batch(it):
         n = 0
         made = set()
         for path, content in zip(pdf["path"], pdf["content"]):
-            fs, p = _filesystem(path)
+            fs, p = filesystem(path)
             d = os.path.dirname(p)
             if d not in made:
                 fs.create_dir(d, recursive=True)
@@ -44,8 +46,13 @@ def _write_batch(it):
 
 
 def write_files(files: DataFrame) -> int:
-    """Write every ``(path, content)`` row as one file; returns the count."""
-    out = files.select("path", "content").mapInPandas(_write_batch, "n long").agg(F.sum("n")).first()[0]
+    """Write every ``(path, content)`` row as one file; returns the count. A
+    path without a scheme belongs to the default file system, as for Spark."""
+    spark = files.sparkSession
+    ship_package(spark)
+    default = qualified(spark, "/").rstrip("/")
+    path = F.when(F.col("path").rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), F.col("path")).otherwise(F.concat(F.lit(default), F.col("path")))
+    out = files.select(path.alias("path"), "content").mapInPandas(_write_batch, "n long").agg(F.sum("n")).first()[0]
     return int(out or 0)
 
 

@@ -5,10 +5,12 @@ Twitter:  <root>/<topic>/<conv>/source-tweet/<id>.json, replies/<id>.json,
 Reddit:   <root>/<conv>/source-tweet/<id>.json, replies/<id>.json,
           <conv>/structure.json (the whole file)
 
-Scans are ``spark.read.schema(...).json`` over a glob with the file path
-from the ``_metadata`` column; topic, conversation and role come from the
-path. Spark already skips names starting with ``.`` (and also ``_``: a post
-file named ``_x.json`` is not read — a documented limit).
+A post file is read as a whole and cut into lines, so the number of a line
+stays known (of several versions of a post the last counts) and a line that is
+no JSON object is kept as a corrupt line instead of an empty post. Topic,
+conversation and role come from the path. Names starting with ``.`` are no
+posts. Spark's file listing also hides names starting with ``_``; those are
+listed through the file system's own interface and read by the executors.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.operators.tree import tree_json_to_edges
+from threadlens.session import qualified, ship_package
 
 TWEET_SCHEMA = T.StructType([
     T.StructField("id_str", T.StringType()),
@@ -47,40 +50,102 @@ def post_id_from_path(path) -> Column:
     return F.regexp_extract(p, r"([^/]+)\.json$", 1)
 
 
+def underscore_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Files of a glob whose names begin with ``_`` (Spark's listing hides
+    them). A folder of threads has few or none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{qualified(spark, pattern.rsplit('/', 1)[0])}/_{pattern.rsplit('/', 1)[1]}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [f.getPath().toString() for f in (found or []) if f.isFile()]
+
+
+def _read_each(batches):
+    import pyarrow as pa
+
+    from threadlens.sources.layout import filesystem
+
+    for b in batches:
+        texts = []
+        for path in b.column("file_path").to_pylist():
+            fs, p = filesystem(path)
+            with fs.open_input_stream(p) as f:
+                texts.append(f.read().decode("utf-8", "replace"))
+        yield pa.RecordBatch.from_arrays([b.column("file_path"), pa.array(texts, pa.string())], ["file_path", "value"])
+
+
+def post_texts(spark: SparkSession, pattern: str) -> DataFrame:
+    """(file_path, value) of every post file of a glob ending in ``*.json``."""
+    df = spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    hidden = underscore_files(spark, pattern)
+    if hidden:
+        ship_package(spark)
+        paths = spark.createDataFrame([(p,) for p in hidden], "file_path string").repartition(min(len(hidden), 64))
+        df = df.unionByName(paths.mapInArrow(_read_each, "file_path string, value string"))
+    return df
+
+
+def _parsed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """(file_path, line_no, j, corrupt): one JSON object a line."""
+    with_bad = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    lines = df.select("file_path", F.posexplode(F.split("value", "\n")).alias("line_no", "_line")).where(F.trim(F.regexp_replace("_line", "\r", "")) != "")
+    lines = lines.withColumn("j", F.from_json("_line", with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    bad = F.col("j").isNull() | F.col("j._corrupt").isNotNull()
+    return lines.select("file_path", "line_no", "j", F.when(bad, F.col("_line")).alias("corrupt"))
+
+
 def _path_parts(df: DataFrame, with_topic: bool) -> DataFrame:
-    p = F.col("_metadata.file_path")
+    p = F.col("file_path")
     if with_topic:
         rx = r"/([^/]+)/([^/]+)/(source-tweet|replies)/[^/]+$"
         return df.select("*", F.regexp_extract(p, rx, 1).alias("topic"), F.regexp_extract(p, rx, 2).alias("conv_id"),
-                         (F.regexp_extract(p, rx, 3) == "source-tweet").alias("is_source"), p.alias("file_path"))
+                         (F.regexp_extract(p, rx, 3) == "source-tweet").alias("is_source"))
     rx = r"/([^/]+)/(source-tweet|replies)/[^/]+$"
     return df.select("*", F.regexp_extract(p, rx, 1).alias("conv_id"),
-                     (F.regexp_extract(p, rx, 2) == "source-tweet").alias("is_source"), p.alias("file_path"))
+                     (F.regexp_extract(p, rx, 2) == "source-tweet").alias("is_source"))
+
+
+def _glob(root: str, platform: str) -> str:
+    return f"{root}/*/*/{ROLE_DIRS}/*.json" if platform == "twitter" else f"{root}/*/{ROLE_DIRS}/*.json"
+
+
+def corrupt_lines(spark: SparkSession, root: str, platform: str) -> DataFrame:
+    """(file_path, line_no, line) of the lines that are no posts: no JSON
+    object, or (Twitter) one without an id."""
+    schema = TWEET_SCHEMA if platform == "twitter" else REDDIT_SCHEMA
+    df = _parsed(post_texts(spark, _glob(root, platform)), schema)
+    bad = F.col("corrupt").isNotNull()
+    if platform == "twitter":
+        bad = bad | F.col("j.id_str").isNull()
+    return df.where(bad).select("file_path", "line_no", F.coalesce("corrupt", F.to_json("j")).alias("line"))
 
 
 def scan_twitter(spark: SparkSession, root: str) -> DataFrame:
-    """``(topic, conv_id, post_id, is_source, text, file_path)``; the post
-    id is the tweet's own ``id_str``; NULL text is kept (see missing_text)."""
-    df = spark.read.schema(TWEET_SCHEMA).json(f"{root}/*/*/{ROLE_DIRS}/*.json")
+    """``(platform, topic, conv_id, post_id, is_source, text, file_path,
+    line_no)``; the post id is the tweet's own ``id_str``; NULL text is kept
+    (see missing_text); corrupt lines are in ``corrupt_lines``."""
+    df = _parsed(post_texts(spark, _glob(root, "twitter")), TWEET_SCHEMA).where("corrupt is null and j.id_str is not null")
     df = _path_parts(df, True)
-    return df.select(F.lit("twitter").alias("platform"), "topic", "conv_id", F.col("id_str").alias("post_id"),
-                     "is_source", "text", "file_path")
+    return df.select(F.lit("twitter").alias("platform"), "topic", "conv_id", F.col("j.id_str").alias("post_id"),
+                     "is_source", F.col("j.text").alias("text"), "file_path", "line_no")
 
 
 def scan_reddit_raw(spark: SparkSession, root: str) -> DataFrame:
-    """S3: raw Reddit posts ``(conv_id, post_id, is_source, data, file_path)``;
-    the post id is the file name (S5). Normalise with ``normalize_posts``."""
-    df = spark.read.schema(REDDIT_SCHEMA).json(f"{root}/*/{ROLE_DIRS}/*.json")
+    """S3: raw Reddit posts ``(conv_id, post_id, is_source, data, file_path,
+    line_no)``; the post id is the file name (S5). Normalise with ``normalize_posts``."""
+    df = _parsed(post_texts(spark, _glob(root, "reddit")), REDDIT_SCHEMA).where("corrupt is null")
     df = _path_parts(df, False)
     return df.select(F.lit("reddit").alias("platform"), "conv_id", post_id_from_path("file_path").alias("post_id"),
-                     "is_source", "data", "file_path")
+                     "is_source", F.col("j.data").alias("data"), "file_path", "line_no")
 
 
 def list_post_files(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
     """S5 report: every file below the role folders with the id taken from its
     name; ``is_json`` is false for names the scans do not read."""
     stars = "/".join(["*"] * depth)
-    df = spark.read.format("binaryFile").load(f"{root}/{stars}/{ROLE_DIRS}/*").select("path")
+    pattern = f"{root}/{stars}/{ROLE_DIRS}/*"
+    df = spark.read.format("binaryFile").load(pattern).select("path")
+    hidden = underscore_files(spark, pattern)
+    if hidden:
+        df = df.unionByName(spark.createDataFrame([(p,) for p in hidden], "path string"))
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     return df.select(F.regexp_extract("path", r"/([^/]+)/(source-tweet|replies)/[^/]+$", 1).alias("conv_id"),
                      name.alias("file_name"), F.col("path").endswith(".json").alias("is_json"),
@@ -88,17 +153,24 @@ def list_post_files(spark: SparkSession, root: str, depth: int = 1) -> DataFrame
 
 
 def scan_structures(spark: SparkSession, root: str, platform: str) -> DataFrame:
-    """``(conv_id, value)`` — the tree document of every conversation
+    """``(topic, conv_id, value)`` — the tree document of every conversation
     (Twitter: the last non-empty line of the file; Reddit: the whole file)."""
     glob = f"{root}/*/*/structure.json" if platform == "twitter" else f"{root}/*/structure.json"
     raw = spark.read.text(glob, wholetext=True).select(
+        (F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+/structure\.json$", 1) if platform == "twitter" else F.lit("")).alias("topic"),
         F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/structure\.json$", 1).alias("conv_id"), "value")
     if platform == "twitter":
         lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != F.lit(""))
-        raw = raw.select("conv_id", F.element_at(lines, -1).alias("value"))
+        raw = raw.select("topic", "conv_id", F.element_at(lines, -1).alias("value"))
     return raw
 
 
-def scan_edges(spark: SparkSession, root: str, platform: str) -> DataFrame:
-    """S6 + T1: the reply edges of every conversation under ``root``."""
-    return tree_json_to_edges(scan_structures(spark, root, platform))
+def scan_edges(spark: SparkSession, root: str, platform: str, with_topic: bool = False) -> DataFrame:
+    """S6 + T1: the reply edges of every conversation under ``root``; with
+    ``with_topic`` the key is (topic, conv_id), for ids that recur in topics."""
+    docs = scan_structures(spark, root, platform)
+    if not with_topic:
+        return tree_json_to_edges(docs)
+    e = tree_json_to_edges(docs.withColumn("_key", F.to_json(F.struct("topic", "conv_id"))), conv_col="_key")
+    key = F.from_json("conv_id", "topic string, conv_id string")
+    return e.select(key["topic"].alias("topic"), key["conv_id"].alias("conv_id"), "parent_id", "post_id", "sib_pos")

@@ -13,7 +13,6 @@ from its checkpoint folder, which must be on shared storage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.operators.features import post_features
@@ -27,11 +26,13 @@ POST_SCHEMA = T.StructType([
 ])
 
 
-def feature_stream(posts: DataFrame, lexicon=None, gazetteer=None) -> DataFrame:
-    """Row-local features of a (streaming or batch) post DataFrame.
-    ``lexicon`` must be a list here (a literal set), not a table."""
-    if lexicon is not None and not isinstance(lexicon, (list, tuple, set)):
+def feature_stream(posts: DataFrame, lexicon, gazetteer=None) -> DataFrame:
+    """Row-local features of a (streaming or batch) post DataFrame. ``lexicon``
+    and ``gazetteer`` must be lists here (literal sets), not tables."""
+    if not isinstance(lexicon, (list, tuple, set, frozenset)):
         raise ValueError("on a stream the lexicon must be a list of words")
+    if gazetteer is not None and not isinstance(gazetteer, dict):
+        raise ValueError("on a stream the gazetteer must be a dict of words")
     return post_features(posts, lexicon, gazetteer)
 
 
@@ -50,26 +51,13 @@ def read_post_stream(spark: SparkSession, path: str, fmt: str = "parquet", schem
     return r.load(path)
 
 
-def run_feature_stream(features: DataFrame, sink: str = "memory", name: str | None = None,
-                       path: str | None = None, checkpoint: str | None = None, fmt: str = "parquet"):
-    """Start the stream with ``availableNow``; wait for it; return the query.
-    ``sink='memory'`` registers the result as table ``name`` (tests, small
-    runs); otherwise rows are appended as ``fmt`` files under ``path``."""
+def run_feature_stream(features: DataFrame, path: str | None = None, checkpoint: str | None = None, fmt: str = "parquet"):
+    """Run the stream with ``availableNow`` to its end, appending ``fmt`` files
+    under ``path`` (default: a fresh folder in the shared location); returns
+    (the finished query, the path)."""
     spark = features.sparkSession
-    checkpoint = checkpoint or shared_dir(spark, "stream-ckpt")
-    w = features.writeStream.outputMode("append").option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True)
-    if sink == "memory":
-        q = w.format("memory").queryName(name or "post_features").start()
-    else:
-        q = w.format(fmt).option("path", path).start()
+    path = path or shared_dir(spark, "stream-out")
+    q = (features.writeStream.outputMode("append").option("checkpointLocation", checkpoint or shared_dir(spark, "stream-ckpt"))
+         .trigger(availableNow=True).format(fmt).option("path", path).start())
     q.awaitTermination()
-    return q
-
-
-def stream_flag_counts(features: DataFrame) -> DataFrame:
-    """A streaming aggregate over the feature stream (complete mode): how many
-    posts fire each flag, per source/reply."""
-    return features.groupBy("issource").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(c).cast("long").alias(c) for c in ("hasqmark", "hasemark", "hashashtag", "hasurl", "haspic")])
+    return q, path
