@@ -41,7 +41,8 @@ def con(sf_small):
 
 
 def test_every_query_has_oracle_or_is_known():
-    assert set(E.queries()) - set(E.oracle_sql()) == {"ml_fit_predict", "ml_learning_curve"}
+    optional = {k for k in E.queries() if k.startswith("op") or k == "pipeline"}
+    assert set(E.queries()) - set(E.oracle_sql()) - optional == {"ml_fit_predict", "ml_learning_curve"}
 
 
 @pytest.mark.parametrize("key", KEYS)
