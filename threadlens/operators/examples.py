@@ -87,7 +87,8 @@ def example_nodes(posts: DataFrame, edges: DataFrame, convs: DataFrame | None =
     if extra:
         nd = nd.join(_by_fold(convs, fold_col).select("conv_id", *extra), "conv_id")
     nd = nd.withColumn(fold_col, F.col("conv_id.fold")).withColumn("conv_id", F.col("conv_id.conv"))
-    numbered = TR.number_branches(nd, conv_order, [fold_col])
+    # without further ordering columns this is a projection of the stored nodes
+    numbered = TR.number_branches(nd, conv_order, [fold_col], stored=not extra)
     return numbered.where("present").select(
         F.col(fold_col).alias("fold"), "conv_id", "post_id", "branch_no",
         F.col("n_anc").cast("int").alias("pos"), "prev_id", "src_id")

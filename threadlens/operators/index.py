@@ -28,19 +28,20 @@ _BKT, _LOCAL, _OFF, _TOT = "_tl_bkt", "_tl_local", "_tl_off", "_tl_tot"
 
 
 def range_bucketed(df: DataFrame, order_cols: Sequence[str], buckets: int | None = None,
-                   out: str = _BKT) -> DataFrame:
+                   out: str = _BKT, stored: bool = False) -> DataFrame:
     """The rows with the number of their range (0 to ``buckets`` - 1) of the
-    ``order_cols`` key, stored in the shared folder."""
+    ``order_cols`` key, stored in the shared folder. ``stored``: the input is
+    a plain scan already and need not be written first."""
     if buckets is None:
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stored = materialize(df, "ranged-input")
-    ranged = stored.repartitionByRange(max(1, buckets), *[F.col(c).asc_nulls_first() for c in order_cols])
+    source = df if stored else materialize(df, "ranged-input")
+    ranged = source.repartitionByRange(max(1, buckets), *[F.col(c).asc_nulls_first() for c in order_cols])
     return materialize(ranged.withColumn(out, F.spark_partition_id()), "ranged")
 
 
 def prefix_sum(df: DataFrame, order_cols: Sequence[str], out: str, weight: str | Column | None = None,
                group_cols: Sequence[str] = (), buckets: int | None = None,
-               inclusive: bool = False) -> DataFrame:
+               inclusive: bool = False, stored: bool = False) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over rows before this one (exclusive by
     default) in the total order ``order_cols`` inside each ``group_cols`` group.
 
@@ -51,7 +52,7 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], out: str, weight: str |
     group_cols = list(group_cols)
     w = F.lit(1).cast("long") if weight is None else (
         F.col(weight) if isinstance(weight, str) else weight).cast("long")
-    b = range_bucketed(df.withColumn("_tl_w", w), group_cols + order_cols, buckets)
+    b = range_bucketed(df.withColumn("_tl_w", w), group_cols + order_cols, buckets, stored=stored)
     win = (Window.partitionBy(*group_cols, _BKT).orderBy(*order_cols)
            .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     local = b.withColumn(_LOCAL, F.coalesce(F.sum("_tl_w").over(win), F.lit(0)).cast("long"))
@@ -69,6 +70,6 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], out: str, weight: str |
 
 
 def dense_index(df: DataFrame, order_cols: Sequence[str], out: str,
-                group_cols: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+                group_cols: Sequence[str] = (), buckets: int | None = None, stored: bool = False) -> DataFrame:
     """0-based row number in the order ``order_cols`` within each group."""
-    return prefix_sum(df, order_cols, out, None, group_cols, buckets)
+    return prefix_sum(df, order_cols, out, None, group_cols, buckets, stored=stored)

@@ -215,12 +215,12 @@ def nodes(edges: DataFrame, posts: DataFrame | None = None, materialized: bool =
     return materialize(out, "nodes") if materialized else out
 
 
-def branches(node_df: DataFrame, conv_order: Sequence[str] = ("conv_id",)) -> DataFrame:
+def branches(node_df: DataFrame, conv_order: Sequence[str] = ("conv_id",), stored: bool = True) -> DataFrame:
     """Long form ``(conv_id, branch_no, pos, post_id)``: one row per post of
     every root-to-leaf path; ``branch_no`` counts leaves in pre-order inside
     the conversation (0-based)."""
     leaves = node_df.where("is_leaf").select(*dict.fromkeys([*conv_order, "conv_id"]), "ord", "path")
-    g = materialize(dense_index(leaves, [*conv_order, "ord"], "_g"), "leaves")
+    g = materialize(dense_index(leaves, [*conv_order, "ord"], "_g", stored=stored), "leaves")
     first = g.groupBy("conv_id").agg(F.min("_g").alias("_g0"))
     numbered = g.join(first, "conv_id").withColumn("branch_no", (F.col("_g") - F.col("_g0")).cast("int"))
     return numbered.select("conv_id", "branch_no", F.posexplode("path").alias("pos", "post_id")) \
@@ -228,14 +228,14 @@ def branches(node_df: DataFrame, conv_order: Sequence[str] = ("conv_id",)) -> Da
 
 
 def number_branches(node_df: DataFrame, conv_order: Sequence[str] = ("conv_id",),
-                    group_cols: Sequence[str] = ()) -> DataFrame:
+                    group_cols: Sequence[str] = (), stored: bool = False) -> DataFrame:
     """``branch_no`` of a node = number of non-empty branches before the
     first branch through it, counted over the whole group (fold) in
     (conversation order, pre-order). A branch is non-empty when at least one
     post on it exists."""
     counted = (F.col("is_leaf") & (F.col("present") | (F.col("n_anc") > 0))).cast("long")
     return prefix_sum(node_df.withColumn("_counted", counted), [*conv_order, "ord"],
-                      "branch_no", "_counted", group_cols).drop("_counted")
+                      "branch_no", "_counted", group_cols, stored=stored).drop("_counted")
 
 
 # --- T4-T6, T12 ---------------------------------------------------------------
