@@ -131,8 +131,9 @@ def _cut(batches):
             if s is not None:
                 for x, y in zip(*merged(*(s.field(f).to_numpy(zero_copy_only=False) for f in ("a", "b")))):
                     keep[x:y] = False
-            raw = buf.tobytes()
-            kept = b" ".join([raw[x:y] for x, y in zip(starts[keep].tolist(), ends[keep].tolist())])
+            lo = int(starts[0]) if len(h) else 0
+            raw = buf[lo:int(ends[-1])].tobytes() if len(h) else b""
+            kept = b" ".join([raw[x:y] for x, y in zip((starts[keep] - lo).tolist(), (ends[keep] - lo).tolist())])
             out.append((b.column("oid")[i].as_py(), b.column("key")[i].as_py(), int(len(h) - keep.sum()), kept))
         if out:
             o, k, r, t = zip(*out)
@@ -144,13 +145,14 @@ def removed_passages(docs: DataFrame) -> DataFrame:
     """oid, key, n_removed, kept_text, kept_sha256 of the documents that may lose words."""
     d = docs.select("oid", "key", "text")
     anchors = saved(mapped(d, _anchors, "h bigint, oid bigint, key bigint, pos int"), "anchors")
-    index = (anchors.groupBy("h").agg(F.min(F.struct("oid", "pos")).alias("m"), F.max("oid").alias("last")).where("m.oid < last")
-             .select("h", F.col("m.oid").alias("ref"), F.col("m.pos").alias("ref_pos")))
+    # stored, so both sides of the join are dealt anew and a frequent anchor can be split
+    index = saved(anchors.groupBy("h").agg(F.min(F.struct("oid", "pos")).alias("m"), F.max("oid").alias("last")).where("m.oid < last")
+                  .select("h", F.col("m.oid").alias("ref"), F.col("m.pos").alias("ref_pos")), "anchor-index")
     hits = (anchors.join(index, "h").groupBy("oid", "key").agg(F.collect_list(F.struct("pos", "ref", "ref_pos")).alias("hits")))
     parsed = d.join(hits, ["oid", "key"]).mapInArrow(_parse, "oid bigint, key bigint, h bigint, a int, b int, text string")
     parsed = saved(parsed, "factors")
     look = parsed.where("h is not null").select("h", "oid", "key", "a")
-    first = look.groupBy("h").agg(F.min("oid").alias("ref"), F.max("oid").alias("last")).where("ref < last").select("h", "ref")
+    first = saved(look.groupBy("h").agg(F.min("oid").alias("ref"), F.max("oid").alias("last")).where("ref < last").select("h", "ref"), "window-index")
     windows = look.join(first, "h").where("ref < oid").select("oid", "key", "a", (F.col("a") + WINDOW).alias("b"))
     spans = (parsed.where("b is not null").select("oid", "key", "a", "b").unionByName(windows)
              .groupBy("oid", "key").agg(F.collect_list(F.struct("a", "b")).alias("spans")))
