@@ -284,7 +284,8 @@ def removed_strings(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """oid, key, n_removed, n_spans, kept, kept_sha256 of documents that lose bytes."""
     d = docs.select("oid", "key", "text")
     anchors = saved(mapped(d, _anchors, "h bigint, oid bigint, key bigint, n int"), "anchors")
-    index = anchors.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
+    # stored, so both sides of the join are dealt anew and a frequent anchor can be split
+    index = saved(anchors.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "anchor-index")
     hits = anchors.join(index, "h").groupBy("oid", "key").agg(F.collect_list("h").alias("hits"))
     segs = saved(d.join(hits, ["oid", "key"]).mapInArrow(_segments, _SEGMENT), "segments")
     pieces = segs.where("h is not null")
