@@ -12,6 +12,12 @@ first and last rows of each. Candidates whose signatures agree far too little
 are dropped, the others are confirmed on full sets; components of the links
 give the groups.
 
+In a crowd of near copies a class is linked with most others, but one at its
+edge may be linked with the least changed ones only and miss them among its
+nearest rows. So each large group has a consensus signature, its CENTRES
+classes nearest to that, and every class that met a member of the group without
+belonging to it meets these too.
+
 Chance to miss a link of similarity 0.85 in all lists, by depth alone:
 (1 - 0.85^3)^16 = 2e-7.
 
@@ -37,6 +43,7 @@ from threadlens.llm.registry import query
 
 TREES, DEPTH, MIN_DEPTH, REACH = 16, 6, 3, 4
 HASHES = TREES * DEPTH
+CROWD, CENTRES = 2 * REACH, 64  # groups with more classes than CROWD have CENTRES middle classes that those beside them meet
 SLACK = 5.5  # standard deviations below the wanted similarity at which signatures still pass
 
 _RNG = np.random.default_rng(7)
@@ -203,6 +210,44 @@ def _confirmed(num: int, den: int):
     return run
 
 
+def _votes(batches):
+    """Members of large groups -> how many of a batch have a value at a place
+    of the signature."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        roots, inv = np.unique(np.array(b.column("root").to_pylist(), object), return_inverse=True)
+        sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), ">u4").reshape(-1, HASHES).astype(np.int64)
+        place = np.tile(np.arange(HASHES), len(sig))
+        cell = np.column_stack((np.repeat(inv, HASHES), place, sig.ravel()))
+        u, n = np.unique(cell, axis=0, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array([roots[i] for i in u[:, 0].tolist()], pa.binary()), pa.array(u[:, 1].astype(np.int32)), pa.array(u[:, 2]), pa.array(n.astype(np.int64))], ["root", "place", "value", "n"])
+
+
+def _agreement(batches):
+    for b in batches:
+        scores = []
+        for sig, cons in zip(b.column("sig").to_pylist(), b.column("cons")):
+            want = np.empty(HASHES, np.int64)
+            want[cons.values.field("place").to_numpy(zero_copy_only=False)] = cons.values.field("value").to_numpy(zero_copy_only=False)
+            scores.append(int((np.frombuffer(sig, ">u4") == want).sum()))
+        yield pa.RecordBatch.from_arrays([b.column("root"), b.column("node"), pa.array(scores, pa.int32())], ["root", "node", "score"])
+
+
+def centres(roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """(root, centre): for each group of more than CROWD classes the CENTRES
+    classes nearest to its consensus, the most frequent value at each place of
+    the signature. Votes are partial counts; no group is gathered."""
+    big = saved(roots.groupBy("root").agg(F.count("*").alias("m")).where(F.col("m") > CROWD).select("root"), "crowds")
+    members = saved(roots.join(big, "root").join(classes.select("node", "sig"), "node").select("root", "node", "sig"), "members")
+    votes = members.select("root", "sig").mapInArrow(_votes, "root binary, place int, value bigint, n bigint").groupBy("root", "place", "value").agg(F.sum("n").alias("n"))
+    mode = votes.groupBy("root", "place").agg(F.max(F.struct("n", "value")).alias("x")).select("root", "place", F.col("x.value").alias("value"))
+    cons = saved(mode.groupBy("root").agg(F.collect_list(F.struct("place", "value")).alias("cons")), "consensus")  # HASHES entries a group
+    near = members.join(cons, "root").select("root", "node", "sig", "cons").mapInArrow(_agreement, "root binary, node binary, score int")
+    best = near.groupBy("root", F.pmod(F.xxhash64("node"), F.lit(CENTRES)).alias("slot")).agg(F.max(F.struct("score", "node")).alias("x"))
+    return best.select("root", F.col("x.node").alias("centre"))
+
+
 def near_dups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept. Two documents are linked if
     den * |intersection| >= num * |union| of their k-word shingle sets."""
@@ -213,20 +258,37 @@ def near_dups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFr
     classes = saved(classes, "classes")
     least = num / den - SLACK * (num / den * (1 - num / den) / HASHES) ** 0.5
     c = classes.select("node", "n", "sig")
-    pairs = (candidates(classes).join(c.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("sig").alias("su")), "u")
-             .join(c.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("sig").alias("sv")), "v")
-             .where(F.least("nu", "nv") * den >= F.greatest("nu", "nv") * num)
-             .select("u", "v", "su", "sv").mapInArrow(_agree(least), "u binary, v binary"))
-    pairs = saved(pairs, "candidates")
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        """Pairs whose sizes and signatures allow a link."""
+        return (pairs.join(c.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("sig").alias("su")), "u")
+                .join(c.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("sig").alias("sv")), "v")
+                .where(F.least("nu", "nv") * den >= F.greatest("nu", "nv") * num)
+                .select("u", "v", "su", "sv").mapInArrow(_agree(least), "u binary, v binary"))
+
+    pairs = saved(likely(candidates(classes)), "candidates")
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     reps = classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("_rep")).distinct()
     sets = saved(d.join(reps, d["doc_id"].eqNullSafe(reps["_rep"])).select("text").mapInArrow(_sets(k), "node binary, set binary"), "sets")
-    links = (pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("set_u")), "u")
-             .join(sets.select(F.col("node").alias("v"), F.col("set").alias("set_v")), "v")
-             .mapInArrow(_confirmed(num, den), "u binary, v binary"))
-    roots = components(links)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return (pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("set_u")), "u")
+                .join(sets.select(F.col("node").alias("v"), F.col("set").alias("set_v")), "v")
+                .mapInArrow(_confirmed(num, den), "u binary, v binary").distinct())
+
+    roots = saved(components(linked(pairs)), "roots")
+    # a class beside a crowd, but in no link with those of it that it met, meets its centres
+    middle = saved(centres(roots, classes), "centres")
+    if middle.limit(1).count():
+        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        at = roots.select(F.col("node").alias("v"), F.col("root").alias("root_v")).join(middle.select(F.col("root").alias("root_v")).distinct(), "root_v", "left_semi")
+        beside = (both.join(at, "v").join(roots.select(F.col("node").alias("u"), F.col("root").alias("root_u")), "u", "left")
+                  .where(~F.col("root_v").eqNullSafe(F.col("root_u"))).select("u", F.col("root_v").alias("root")).distinct())
+        meet = beside.join(middle, "root").select(F.least("u", "centre").alias("u"), F.greatest("u", "centre").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti")
+        stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))  # what is joined already
+        roots = saved(components(stars.unionByName(linked(likely(meet)))), "roots")
     grouped = classes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = grouped.groupBy("root").agg(F.min("rep").alias("component"))
+    named = saved(grouped.groupBy("root").agg(F.min("rep").alias("component")), "components")  # stored: a large group's join can be split
     named = grouped.join(named, "root").select("node", "component")
     out = signed.select("doc_id", "n", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
