@@ -16,7 +16,8 @@ In a crowd of near copies a class is linked with most others, but one at its
 edge may be linked with the least changed ones only and miss them among its
 nearest rows. So each large group has a consensus signature, its CENTRES
 classes nearest to that, and every class that met a member of the group without
-belonging to it meets these too.
+belonging to it is compared by signature with all of these and by set with
+the MEETS nearest.
 
 Chance to miss a link of similarity 0.85 in all lists, by depth alone:
 (1 - 0.85^3)^16 = 2e-7.
@@ -43,7 +44,7 @@ from threadlens.llm.registry import query
 
 TREES, DEPTH, MIN_DEPTH, REACH = 16, 6, 3, 4
 HASHES = TREES * DEPTH
-CROWD, CENTRES = 2 * REACH, 64  # groups with more classes than CROWD have CENTRES middle classes that those beside them meet
+CROWD, CENTRES, MEETS = 2 * REACH, 64, 16  # groups with more classes than CROWD have CENTRES middle classes; one beside them meets the MEETS nearest of these
 SLACK = 5.5  # standard deviations below the wanted similarity at which signatures still pass
 
 _RNG = np.random.default_rng(7)
@@ -248,6 +249,22 @@ def centres(roots: DataFrame, classes: DataFrame) -> DataFrame:
     return best.select("root", F.col("x.node").alias("centre"))
 
 
+def _nearest(batches):
+    """A class beside a crowd and the crowd's middle classes -> the pairs with
+    those whose signatures agree best with its own (one link is enough)."""
+    for b in batches:
+        us, vs = [], []
+        for u, sig, middle in zip(b.column("u").to_pylist(), b.column("sig").to_pylist(), b.column("middle").to_pylist()):
+            own = np.frombuffer(sig, ">u4")
+            other = np.frombuffer(b"".join(m["sig"] for m in middle), ">u4").reshape(-1, HASHES)
+            agree = (other == own).sum(axis=1)
+            for i in np.argsort(-agree, kind="stable")[:MEETS].tolist():
+                c = middle[i]["centre"]
+                us.append(min(u, c))
+                vs.append(max(u, c))
+        yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
+
+
 def near_dups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept. Two documents are linked if
     den * |intersection| >= num * |union| of their k-word shingle sets."""
@@ -284,7 +301,10 @@ def near_dups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFr
         at = roots.select(F.col("node").alias("v"), F.col("root").alias("root_v")).join(middle.select(F.col("root").alias("root_v")).distinct(), "root_v", "left_semi")
         beside = (both.join(at, "v").join(roots.select(F.col("node").alias("u"), F.col("root").alias("root_u")), "u", "left")
                   .where(~F.col("root_v").eqNullSafe(F.col("root_u"))).select("u", F.col("root_v").alias("root")).distinct())
-        meet = beside.join(middle, "root").select(F.least("u", "centre").alias("u"), F.greatest("u", "centre").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti")
+        # at most CENTRES entries a crowd
+        packed = saved(middle.join(c.select(F.col("node").alias("centre"), "sig"), "centre").groupBy("root").agg(F.array_sort(F.collect_list(F.struct("centre", "sig"))).alias("middle")), "middles")
+        meet = (beside.join(c.select(F.col("node").alias("u"), "sig"), "u").join(packed, "root").select("u", "sig", "middle")
+                .mapInArrow(_nearest, "u binary, v binary").distinct().join(pairs, ["u", "v"], "left_anti"))
         stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))  # what is joined already
         roots = saved(components(stars.unionByName(linked(likely(meet)))), "roots")
     grouped = classes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
