@@ -43,6 +43,39 @@ def test_near_dups_crowded_prefixes(spark):
     assert all(got[1000 + i][0] == 1000 + i for i in range(20))
 
 
+def test_near_dups_beside_an_unlinked_crowd(spark):
+    """A linked pair of short pages on each template, among hundreds of longer
+    ones that are below the threshold among themselves and with the pair."""
+    rows, pairs = [], []
+    for t in range(4):
+        template = " ".join(f"t{t}_{i}" for i in range(322))
+        for i in range(600):
+            d = 10_000 * t + i
+            rows.append((d, f"{template} " + " ".join(f"w{d}_{j}" for j in range(20 if i < 2 else 60))))
+        pairs.append((10_000 * t, 10_000 * t + 1))
+    got = table(near_dups.near_dups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85, 100), "component_id")
+    assert [got[b][0] for _, b in pairs] == [a for a, _ in pairs]
+    assert all(got[d][0] == d for d, _ in rows if d % 10_000 != 1)
+
+
+def test_near_dups_main_component_in_blocks(spark):
+    """Blocks of one row lose no pair."""
+    r, sets = __import__("random").Random(3), {}
+    base = [r.getrandbits(62) for _ in range(60)]
+    for i in range(40):
+        v = list(base)
+        for _ in range(r.randrange(8)):
+            v[r.randrange(60)] = r.getrandbits(62)
+        sets[bytes([i])] = set(v)
+    rows = [(k, b"\0" if k[0] % 3 else k, b"".join(x.to_bytes(8, "little") for x in sorted(v))) for k, v in sets.items()]
+    root = {k: x for k, x, _ in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    for block in (1, 7, 4096):
+        got = {(bytes(x.u), bytes(x.v)) for x in near_dups.beyond(spark.createDataFrame(rows, "node binary, root binary, set binary"), 85, 100, block).collect()}
+        assert want and want <= got
+        assert all(root[a] != root[b] for a, b in got)
+
+
 def test_token_counts(small):
     import public_tokenizers as P
     df, docs = small

@@ -12,12 +12,13 @@ first and last rows of each. Candidates whose signatures agree far too little
 are dropped, the others are confirmed on full sets; components of the links
 give the groups.
 
-In a crowd of near copies a class is linked with most others, but one at its
-edge may be linked with the least changed ones only and miss them among its
-nearest rows. So each large group has a consensus signature, its CENTRES
-classes nearest to that, and every class that met a member of the group without
-belonging to it is compared by signature with all of these and by set with
-the MEETS nearest.
+Where more than REACH + 1 classes agree in the MIN_DEPTH leading values of a
+tree, a link may stand between rows further apart. All classes of such crowds
+are joined exactly: shingles are put in one order, the rarest among the crowded
+classes first, and two linked classes share one of the first n - ceil(t n) + 1
+of each, at places that leave room for the overlap wanted. Pairs within a
+component of the links found so far need no look. A shingle's classes are dealt
+in blocks of BLOCK, of which each two meet in a task.
 
 Chance to miss a link of similarity 0.85 in all lists, by depth alone:
 (1 - 0.85^3)^16 = 2e-7.
@@ -44,7 +45,7 @@ from threadlens.llm.registry import query
 
 TREES, DEPTH, MIN_DEPTH, REACH = 16, 6, 3, 4
 HASHES = TREES * DEPTH
-CROWD, CENTRES, MEETS = 2 * REACH, 64, 16  # groups with more classes than CROWD have CENTRES middle classes; one beside them meets the MEETS nearest of these
+BLOCK = 4096  # classes of one shingle that meet as many others in a task
 SLACK = 5.5  # standard deviations below the wanted similarity at which signatures still pass
 
 _RNG = np.random.default_rng(7)
@@ -164,8 +165,10 @@ def _scan(edges: bool):
     return run
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Distinct pairs (u, v) of classes that are neighbours in some tree."""
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (u, v) of classes that are neighbours in some tree, and
+    the classes (node) that may have links beyond: in some tree more than
+    REACH others agree with them in MIN_DEPTH values."""
     spark = classes.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = mapped(classes.select("node", "sig"), _tree_rows, "tree int, key binary, node binary")
@@ -175,7 +178,10 @@ def candidates(classes: DataFrame) -> DataFrame:
     found = saved(found, "neighbours")
     # 2 REACH rows of each partition: bounded by the number of partitions
     seams = found.where("edge").select("tree", "key", F.col("u").alias("node")).distinct().coalesce(1).sortWithinPartitions("tree", "key", "node").mapInArrow(_scan(False), schema)
-    return found.where(~F.col("edge")).select("u", "v").unionByName(seams.select("u", "v")).distinct()
+    pairs = found.where(~F.col("edge")).select("u", "v").unionByName(seams.select("u", "v")).distinct()
+    rows = rows.select("tree", F.substring("key", 1, 4 * MIN_DEPTH).alias("head"), "node")
+    full = rows.groupBy("tree", "head").count().where(F.col("count") > REACH + 1).select("tree", "head")
+    return pairs, rows.join(full, ["tree", "head"], "left_semi").select("node").distinct()
 
 
 def _agree(least: float):
@@ -211,58 +217,75 @@ def _confirmed(num: int, den: int):
     return run
 
 
-def _votes(batches):
-    """Members of large groups -> how many of a batch have a value at a place
-    of the signature."""
+def _exploded(batches):
     for b in batches:
-        if not b.num_rows:
-            continue
-        roots, inv = np.unique(np.array(b.column("root").to_pylist(), object), return_inverse=True)
-        sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), ">u4").reshape(-1, HASHES).astype(np.int64)
-        place = np.tile(np.arange(HASHES), len(sig))
-        cell = np.column_stack((np.repeat(inv, HASHES), place, sig.ravel()))
-        u, n = np.unique(cell, axis=0, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array([roots[i] for i in u[:, 0].tolist()], pa.binary()), pa.array(u[:, 1].astype(np.int32)), pa.array(u[:, 2]), pa.array(n.astype(np.int64))], ["root", "place", "value", "n"])
+        sets = b.column("set").to_pylist()
+        at = np.repeat(np.arange(len(sets)), [len(x) // 8 for x in sets])
+        yield pa.RecordBatch.from_arrays([b.column("node").take(pa.array(at)), pa.array(np.frombuffer(b"".join(sets), np.int64))], ["node", "s"])
 
 
-def _agreement(batches):
-    for b in batches:
-        scores = []
-        for sig, cons in zip(b.column("sig").to_pylist(), b.column("cons")):
-            want = np.empty(HASHES, np.int64)
-            want[cons.values.field("place").to_numpy(zero_copy_only=False)] = cons.values.field("value").to_numpy(zero_copy_only=False)
-            scores.append(int((np.frombuffer(sig, ">u4") == want).sum()))
-        yield pa.RecordBatch.from_arrays([b.column("root"), b.column("node"), pa.array(scores, pa.int32())], ["root", "node", "score"])
-
-
-def centres(roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """(root, centre): for each group of more than CROWD classes the CENTRES
-    classes nearest to its consensus, the most frequent value at each place of
-    the signature. Votes are partial counts; no group is gathered."""
-    big = saved(roots.groupBy("root").agg(F.count("*").alias("m")).where(F.col("m") > CROWD).select("root"), "crowds")
-    members = saved(roots.join(big, "root").join(classes.select("node", "sig"), "node").select("root", "node", "sig"), "members")
-    votes = members.select("root", "sig").mapInArrow(_votes, "root binary, place int, value bigint, n bigint").groupBy("root", "place", "value").agg(F.sum("n").alias("n"))
-    mode = votes.groupBy("root", "place").agg(F.max(F.struct("n", "value")).alias("x")).select("root", "place", F.col("x.value").alias("value"))
-    cons = saved(mode.groupBy("root").agg(F.collect_list(F.struct("place", "value")).alias("cons")), "consensus")  # HASHES entries a group
-    near = members.join(cons, "root").select("root", "node", "sig", "cons").mapInArrow(_agreement, "root binary, node binary, score int")
-    best = near.groupBy("root", F.pmod(F.xxhash64("node"), F.lit(CENTRES)).alias("slot")).agg(F.max(F.struct("score", "node")).alias("x"))
-    return best.select("root", F.col("x.node").alias("centre"))
-
-
-def _nearest(batches):
-    """A class beside a crowd and the crowd's middle classes -> the pairs with
-    those whose signatures agree best with its own (one link is enough)."""
-    for b in batches:
+def _prefixes(num: int, den: int):
+    """Shingles of a class with their frequencies -> those of its prefix that
+    other classes have, with their places from behind."""
+    def run(batches):
+        for b in batches:
+            who, ss, ns, lefts = [], [], [], []
+            for i, x in enumerate(b.column("shingles")):
+                s, f = (x.values.field(c).to_numpy(zero_copy_only=False) for c in ("s", "f"))
+                n = len(s)
+                first = np.lexsort((s, f))[:n - -(-num * n // den) + 1]
+                at = np.flatnonzero(f[first] > 1)
+                who += [i] * len(at)
+                ss.append(s[first[at]])
+                ns += [n] * len(at)
+                lefts.append(n - at)
+            if who:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ss)), b.column("node").take(pa.array(who)), b.column("root").take(pa.array(who)),
+                                                  pa.array(np.array(ns, np.int64)), pa.array(np.concatenate(lefts).astype(np.int64))], ["s", "node", "root", "n", "rest"])
+    return run
+
+
+def _met(num: int, den: int):
+    """Two blocks of one shingle -> pairs of two components whose sizes and
+    places leave room for a link."""
+    def run(table: pa.Table) -> pa.Table:
+        side, n, rest = (table.column(c).to_numpy() for c in ("side", "n", "rest"))
+        same = table.column("a")[0].as_py() == table.column("b")[0].as_py()
+        node = table.column("node").to_pylist()
+        _, root = np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)
+        left = np.arange(len(n)) if same else np.flatnonzero(side == 0)
+        right = left if same else np.flatnonzero(side == 1)
         us, vs = [], []
-        for u, sig, middle in zip(b.column("u").to_pylist(), b.column("sig").to_pylist(), b.column("middle").to_pylist()):
-            own = np.frombuffer(sig, ">u4")
-            other = np.frombuffer(b"".join(m["sig"] for m in middle), ">u4").reshape(-1, HASHES)
-            agree = (other == own).sum(axis=1)
-            for i in np.argsort(-agree, kind="stable")[:MEETS].tolist():
-                c = middle[i]["centre"]
-                us.append(min(u, c))
-                vs.append(max(u, c))
-        yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
+        for i in left.tolist():
+            j = right[right > i] if same else right
+            most = np.minimum(np.minimum(rest[i], rest[j]), np.minimum(n[i], n[j]))
+            ok = (root[j] != root[i]) & (most * (num + den) >= num * (n[i] + n[j])) & (np.minimum(n[i], n[j]) * den >= np.maximum(n[i], n[j]) * num)
+            for x in j[ok].tolist():
+                us.append(min(node[i], node[x]))
+                vs.append(max(node[i], node[x]))
+        return pa.table({"u": pa.array(us, pa.binary()), "v": pa.array(vs, pa.binary())})
+    return run
+
+
+def beyond(crowded: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFrame:
+    """Distinct pairs (u, v) of the classes (node, root, set) that may be links
+    and are not in one component yet: no link is left out. Of each shingle's
+    classes those of the largest component are not compared with each other."""
+    rows = saved(crowded.select("node", "set").mapInArrow(_exploded, "node binary, s bigint"), "crowd-shingles")
+    often = saved(rows.groupBy("s").agg(F.count("*").alias("f")).where("f > 1"), "crowd-frequencies")
+    known = rows.join(often, "s", "left").select("node", F.struct("s", F.coalesce("f", F.lit(1)).alias("f")).alias("x"))
+    known = known.groupBy("node").agg(F.collect_list("x").alias("shingles")).join(crowded.select("node", "root"), "node")
+    first = saved(known.mapInArrow(_prefixes(num, den), "s bigint, node binary, root binary, n bigint, rest bigint"), "crowd-prefixes")
+    by_root = first.groupBy("s", "root").agg(F.count("*").alias("m"))
+    most = by_root.groupBy("s").agg(F.max(F.struct("m", "root")).alias("x"), F.sum("m").alias("m"))
+    most = most.select("s", F.col("x.root").alias("main"), F.ceil(F.col("x.m") / block).cast("int").alias("mains"), F.ceil((F.col("m") - F.col("x.m")) / block).cast("int").alias("others")).where("others > 0")
+    met = first.join(saved(most, "crowd-lists"), "s")
+    # blocks of the main component have numbers below 0; each meets all other blocks, these meet each other and themselves
+    own = F.when(F.col("root") == F.col("main"), -1 - F.pmod(F.xxhash64("node"), F.col("mains"))).otherwise(F.pmod(F.xxhash64("node"), F.col("others"))).cast("int")
+    met = met.withColumn("own", own)
+    met = met.withColumn("with", F.explode(F.when(F.col("own") < 0, F.sequence(F.lit(0), F.col("others") - 1)).otherwise(F.sequence(-F.col("mains"), F.col("others") - 1))))
+    met = met.select("s", F.least("own", "with").alias("a"), F.greatest("own", "with").alias("b"), (F.col("own") > F.col("with")).cast("int").alias("side"), "node", "root", "n", "rest")
+    return met.groupBy("s", "a", "b").applyInArrow(_met(num, den), "u binary, v binary").distinct()
 
 
 def near_dups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -283,8 +306,9 @@ def near_dups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFr
                 .where(F.least("nu", "nv") * den >= F.greatest("nu", "nv") * num)
                 .select("u", "v", "su", "sv").mapInArrow(_agree(least), "u binary, v binary"))
 
-    pairs = saved(likely(candidates(classes)), "candidates")
-    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    pairs, crowded = candidates(classes)
+    pairs, crowded = saved(likely(pairs), "candidates"), saved(crowded, "crowded")
+    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).unionByName(crowded).distinct()
     reps = classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("_rep")).distinct()
     sets = saved(d.join(reps, d["doc_id"].eqNullSafe(reps["_rep"])).select("text").mapInArrow(_sets(k), "node binary, set binary"), "sets")
 
@@ -294,19 +318,11 @@ def near_dups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFr
                 .mapInArrow(_confirmed(num, den), "u binary, v binary").distinct())
 
     roots = saved(components(linked(pairs)), "roots")
-    # a class beside a crowd, but in no link with those of it that it met, meets its centres
-    middle = saved(centres(roots, classes), "centres")
-    if middle.limit(1).count():
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        at = roots.select(F.col("node").alias("v"), F.col("root").alias("root_v")).join(middle.select(F.col("root").alias("root_v")).distinct(), "root_v", "left_semi")
-        beside = (both.join(at, "v").join(roots.select(F.col("node").alias("u"), F.col("root").alias("root_u")), "u", "left")
-                  .where(~F.col("root_v").eqNullSafe(F.col("root_u"))).select("u", F.col("root_v").alias("root")).distinct())
-        # at most CENTRES entries a crowd
-        packed = saved(middle.join(c.select(F.col("node").alias("centre"), "sig"), "centre").groupBy("root").agg(F.array_sort(F.collect_list(F.struct("centre", "sig"))).alias("middle")), "middles")
-        meet = (beside.join(c.select(F.col("node").alias("u"), "sig"), "u").join(packed, "root").select("u", "sig", "middle")
-                .mapInArrow(_nearest, "u binary, v binary").distinct().join(pairs, ["u", "v"], "left_anti"))
+    if crowded.limit(1).count():
+        members = crowded.join(sets, "node").dropDuplicates(["node"]).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "set")
+        more = beyond(saved(members, "crowd"), num, den).join(pairs, ["u", "v"], "left_anti")
         stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))  # what is joined already
-        roots = saved(components(stars.unionByName(linked(likely(meet)))), "roots")
+        roots = saved(components(stars.unionByName(linked(saved(likely(saved(more, "crowd-pairs")), "crowd-candidates")))), "roots")
     grouped = classes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = saved(grouped.groupBy("root").agg(F.min("rep").alias("component")), "components")  # stored: a large group's join can be split
     named = grouped.join(named, "root").select("node", "component")
