@@ -231,6 +231,25 @@ def test_tagger_learns(spark):
     assert all(not pii.find(c, t)[1] for c in clean)
 
 
+class _Everywhere:
+    """A tagger that takes every run without a space or bracket for an email,
+    as far as its window shows it."""
+
+    def decode(self, ids):
+        c = ids + 31
+        return ((ids > 0) & (c != 32)) * 2
+
+
+def test_spelled_out_email_needs_no_digit():
+    far = "plain words " * 30
+    for mail in ("jane.doe(at)example.com", "jane[at]example[dot]com", "JANE.DOE(AT)EXAMPLE.COM", "x" * 100 + "(at)" + "y" * 100 + ".com"):
+        t = f"{far}{mail} {far}"
+        assert pii.find(t, _Everywhere())[1] == [("email", len(far), len(far) + len(mail))]
+        import pyarrow as pa
+        batch = pa.RecordBatch.from_pydict({"text": [far, t, None, "meet me at\u00a0noon"]})
+        assert pii._worth(batch).tolist() == [False, True, False, True]
+
+
 OPS = {
     "near_dups": lambda d, s: near_dups.near_dups(d),
     "keep_one": lambda d, s: near_dups.keep_one(d),

@@ -6,12 +6,13 @@ in numpy on labelled spans: windows around base spans of a bounded sample of
 documents, the same windows with the spans written in other ways (a card with
 dots, a phone number without its plus sign, "at" for "@"), and windows with
 other numbers. Documents are tiled by windows of SIZE characters that overlap
-by half; all windows near a digit or an "@" are decoded by Viterbi, every
-character takes its tag from the window in whose middle half it stands, and
-stretches that meet at a tile's edge are joined. A kind needs a digit or an
-"@", so windows away from both cannot hold a span. Model spans that overlap a
-base span are dropped, the others are added if they have the parts their kind
-needs.
+by half, decoded by Viterbi; every character takes its tag from the window in
+whose middle half it stands, and stretches that meet at a tile's edge are
+joined. A span that is accepted holds a digit, an "@" or an "at" in brackets or
+between spaces, so decoding begins at the tiles with one of these and goes on
+to the tiles beside as long as a stretch reaches their edge: the result is that
+of decoding every window. Model spans that overlap a base span are dropped, the
+others are added if they have the parts their kind needs.
 
 Defined results: null text is empty and has no spans; overlapping base spans of
 two kinds both stay; repeated rows are searched each on its own; without any
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import documents, mapped, steps, text_bytes
+from threadlens.llm.common import LOWER, documents, mapped, steps, text_bytes
 from threadlens.llm.registry import query
 
 KINDS = ("email", "ip", "card", "phone")
@@ -37,6 +38,7 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+NEEDED = re.compile(r"[0-9@]|(?i:\(at\)|\[at\]|(?<=\s)at(?=\s))")  # what plausible() asks of a span of any kind
 
 SIZE, STRIDE = 64, 32
 MAX_DOCS = 6_000      # documents looked at for training, all of them where there are fewer
@@ -308,7 +310,7 @@ def plausible(kind: str, s: str) -> bool:
     """The parts a span of that kind must have."""
     n = len(_digits(s))
     if kind == "email":
-        return bool(re.search(r"[A-Za-z0-9]\s?(@|\(at\)|\[at\]|\sat\s)\s?[A-Za-z0-9-]+.*(\.|\[dot\])\s?[A-Za-z]{2,}", s))
+        return bool(re.search(r"[A-Za-z0-9]\s?(@|(?i:\(at\)|\[at\]|\sat\s))\s?[A-Za-z0-9-]+.*(\.|(?i:\[dot\]))\s?[A-Za-z]{2,}", s))
     if kind == "ip":
         p = re.findall("[0-9]+", s)
         return len(p) == 4 and all(int(x) <= 255 for x in p)
@@ -320,24 +322,23 @@ def plausible(kind: str, s: str) -> bool:
 def model_spans(t: str, tagger: Tagger) -> list[tuple[str, int, int]]:
     ids = char_ids(t)
     n = len(ids)
-    code = np.zeros(256, bool)
-    code[[ord(c) - 31 for c in "0123456789@"]] = True
     tiles = -(-n // STRIDE)
     margin = (SIZE - STRIDE) // 2
     padded = np.zeros(tiles * STRIDE + 2 * margin, np.int64)
     padded[margin:margin + n] = ids
     windows = np.lib.stride_tricks.sliding_window_view(padded, SIZE)[::STRIDE]
-    hot = code[windows].any(axis=1)
-    near = hot.copy()
-    near[1:] |= hot[:-1]
-    near[:-1] |= hot[1:]
-    pick = np.flatnonzero(near)
+    want, done = np.zeros(tiles, bool), np.zeros(tiles, bool)
+    for m in NEEDED.finditer(t):
+        want[m.start() // STRIDE:(m.end() - 1) // STRIDE + 1] = True
     tags = np.zeros(tiles * STRIDE, np.int64)
-    for lo in range(0, len(pick), 512):
-        part = pick[lo:lo + 512]
-        got = tagger.decode(windows[part])[:, margin:margin + STRIDE]
-        for j, row in zip(part, got):
-            tags[j * STRIDE:(j + 1) * STRIDE] = row
+    while len(pick := np.flatnonzero(want & ~done)):
+        for lo in range(0, len(pick), 512):
+            part = pick[lo:lo + 512]
+            tags.reshape(-1, STRIDE)[part] = tagger.decode(windows[part])[:, margin:margin + STRIDE]
+        done[pick] = True
+        ends = tags.reshape(-1, STRIDE) > 0
+        want[:-1] |= ends[1:, 0]
+        want[1:] |= ends[:-1, -1]
     tags = tags[:n]
     kind = (tags + 1) // 2  # 0 nothing, 1.. the kinds
     begins = (tags % 2 == 1) & (np.arange(n) % STRIDE != 0)
@@ -369,9 +370,14 @@ def find(t: str, tagger: Tagger | None) -> tuple[list, list]:
 
 
 def _worth(b):
-    """Which texts of a batch hold a digit or an "@"."""
+    """Which texts of a batch may hold what a span needs: a digit, an "@", or
+    an "at" that is not part of an ASCII word."""
     buf, offs = text_bytes(b.column("text"))
-    hit = np.concatenate(([0], np.cumsum(((buf >= 48) & (buf <= 57)) | (buf == 64))))
+    low = LOWER[buf]
+    word = ((low >= 97) & (low <= 122)) | ((buf >= 48) & (buf <= 57))
+    need = ((buf >= 48) & (buf <= 57)) | (buf == 64)
+    need[1:-2] |= (low[1:-2] == 97) & (low[2:-1] == 116) & ~word[:-3] & ~word[3:]
+    hit = np.concatenate(([0], np.cumsum(need)))
     return hit[offs[1:]] > hit[offs[:-1]]
 
 
