@@ -250,6 +250,16 @@ def test_spelled_out_email_needs_no_digit():
         assert pii._worth(batch).tolist() == [False, True, False, True]
 
 
+def test_rare_spans_are_trained_on(spark):
+    """A handful of labelled spans among many documents: all are used."""
+    rows = [(i, f"words {i} of a page with version {i % 7}" + (f" mail a{i}@b.org" if i % 300 == 7 else "")) for i in range(3000)]
+    t = pii.train(spark.createDataFrame(rows, "doc_id long, text string"), max_docs=100, max_windows=80, epochs=1)
+    assert t is not None and t.used["email"] == 20 and 0 < t.used["none"] <= 60
+    assert pii.shares({-1: 10**6, 0: 5, 1: 900, 2: 10**6}, 2400) == {-1: 600, 0: 5, 1: 897, 2: 898}
+    assert pii.shares({-1: 9, 3: 10**6}, 2400) == {-1: 9, 3: 2391}
+    assert pii.shares({-1: 50}, 2400) == {-1: 50}
+
+
 OPS = {
     "near_dups": lambda d, s: near_dups.near_dups(d),
     "keep_one": lambda d, s: near_dups.keep_one(d),

@@ -2,10 +2,10 @@
 transitions, beside fixed patterns.
 
 The patterns (email, ip, card, phone) give the base spans. The model is trained
-in numpy on labelled spans: windows around base spans of a bounded sample of
-documents, the same windows with the spans written in other ways (a card with
-dots, a phone number without its plus sign, "at" for "@"), and windows with
-other numbers. Documents are tiled by windows of SIZE characters that overlap
+in numpy on labelled spans: a bounded sample, kind by kind, of the windows
+around the base spans of all documents, the same windows with the spans written
+in other ways (a card with dots, a phone number without its plus sign, "at" for
+"@"), and windows with other numbers from a bounded sample of documents. Documents are tiled by windows of SIZE characters that overlap
 by half, decoded by Viterbi; every character takes its tag from the window in
 whose middle half it stands, and stretches that meet at a tile's edge are
 joined. A span that is accepted holds a digit, an "@" or an "at" in brackets or
@@ -23,6 +23,7 @@ extra columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import LOWER, documents, mapped, steps, text_bytes
+from threadlens.llm.common import LOWER, documents, mapped, saved, steps, text_bytes
 from threadlens.llm.registry import query
 
 KINDS = ("email", "ip", "card", "phone")
@@ -41,8 +42,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NEEDED = re.compile(r"[0-9@]|(?i:\(at\)|\[at\]|(?<=\s)at(?=\s))")  # what plausible() asks of a span of any kind
 
 SIZE, STRIDE = 64, 32
-MAX_DOCS = 6_000      # documents looked at for training, all of them where there are fewer
-MAX_WINDOWS = 2_400   # windows trained on
+MAX_DOCS = 6_000      # documents that windows without a span come from, all of them where there are fewer
+MAX_WINDOWS = 2_400   # windows trained on, a quarter of them without a span where there are enough with one
 EMBED, HIDDEN, EPOCHS, BATCH, RATE = 12, 16, 10, 32, 0.01
 TAGS = 1 + 2 * len(KINDS)  # O, then begin and inside of each kind
 N_CHARS = 100
@@ -243,12 +244,15 @@ def rewritten(kind: str, s: str, no: int) -> str:
 
 
 def _training(batches):
-    """Documents -> windows (chars, tags) around base spans and other numbers."""
+    """Documents -> windows (chars, tags) around base spans (kind 0, 1, ..) and,
+    of documents marked ``other``, around other numbers (kind -1)."""
     for batch in batches:
-        win, tag = [], []
-        for doc, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        win, tag, what = [], [], []
+        for doc, t, other in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("other").to_pylist()):
             t = t or ""
             spans = base_spans(t)
+            if not spans and not other:
+                continue
             taken = np.zeros(len(t) + 1, bool)
             for _, a, b in spans:
                 taken[a:b] = True
@@ -274,6 +278,9 @@ def _training(batches):
                     y[off] = k
                     win.append(ids.astype(np.uint8).tobytes())
                     tag.append(y.astype(np.uint8).tobytes())
+                    what.append(KINDS.index(kind))
+            if not other:
+                continue
             others = [m.start() for m in re.finditer("[0-9]", t) if not taken[m.start()]]
             for p in (others[::40] + ([int(r.integers(0, len(t)))] if t else []))[:4]:
                 lo = max(0, p - int(r.integers(8, SIZE - 8)))
@@ -283,23 +290,39 @@ def _training(batches):
                     ids[:len(row)] = row
                     win.append(ids.astype(np.uint8).tobytes())
                     tag.append(np.zeros(SIZE, np.uint8).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(win, pa.binary()), pa.array(tag, pa.binary())], ["win", "tag"])
+                    what.append(-1)
+        yield pa.RecordBatch.from_arrays([pa.array(what, pa.int32()), pa.array(win, pa.binary()), pa.array(tag, pa.binary())], ["kind", "win", "tag"])
+
+
+def shares(have: dict[int, int], most: int) -> dict[int, int]:
+    """How many windows of each kind to take: a quarter of ``most`` without a
+    span (-1), the rest dealt evenly; what a kind cannot fill the others get."""
+    out, left = {}, most - min(have.get(-1, 0), most // 4)
+    for i, k in enumerate(todo := sorted((k for k in have if k >= 0), key=lambda k: have[k])):
+        out[k] = min(have[k], left // (len(todo) - i))
+        left -= out[k]
+    return out | {-1: min(have.get(-1, 0), most - sum(out.values()))}
 
 
 def train(docs: DataFrame, max_docs: int = MAX_DOCS, max_windows: int = MAX_WINDOWS, epochs: int = EPOCHS) -> Tagger | None:
-    """A tagger fitted on a bounded sample: at most about ``max_docs`` documents
-    by hash of their id, and at most ``max_windows`` windows of them by hash."""
+    """A tagger fitted on at most ``max_windows`` windows: of those around the
+    base spans of all documents a share by hash for each kind, and windows
+    without a span from about ``max_docs`` documents by hash of their id.
+    ``used`` of the tagger, also logged, has the number of each kind."""
     d = docs.select("doc_id", "text")
-    total = d.count()
-    if total > max_docs:
-        d = d.where(F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(-(-total // max_docs))) == 0)
-    w = mapped(d, _training, "win binary, tag binary")
-    rows = w.orderBy(F.xxhash64("win", "tag"), "win", "tag").limit(max_windows).collect()
+    every = max(1, -(-d.count() // max_docs))
+    d = d.withColumn("other", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(every)) == 0)
+    w = saved(mapped(d, _training, "kind int, win binary, tag binary"), "pii-windows")
+    have = {r[0]: r[1] for r in w.groupBy("kind").count().collect()}
+    take = shares(have, max_windows)
+    if not any(n for k, n in take.items() if k >= 0):
+        return None
+    rows = [r for k in sorted(take) if take[k] for r in w.where(F.col("kind") == k).orderBy(F.xxhash64("win", "tag"), "win", "tag").limit(take[k]).collect()]
     ids = np.frombuffer(b"".join(r["win"] for r in rows), np.uint8).reshape(-1, SIZE).astype(np.int64)
     tags = np.frombuffer(b"".join(r["tag"] for r in rows), np.uint8).reshape(-1, SIZE).astype(np.int64)
-    if not tags.any():
-        return None
     t = Tagger()
+    t.used = {KINDS[k] if k >= 0 else "none": n for k, n in take.items()}
+    logging.getLogger(__name__).info("windows trained on: %s (found: %s)", t.used, have)
     t.fit(ids, tags, epochs)
     return t
 
