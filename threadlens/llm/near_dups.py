@@ -4,10 +4,10 @@ A document's set is the hashes of its distinct word shingles; documents with
 one and the same set are one class and go on as one. A class has TREES keys of
 DEPTH MinHash values. Each tree is the list of all classes sorted by its key,
 dealt by range, so a crowded prefix spreads over as many tasks as it needs.
-Candidates are a class's REACH nearest rows in each sorted list as long as at
-least MIN_DEPTH values agree: where few classes share a prefix all of them are
-compared, and where many do the nearest rows have longer common prefixes, so
-the depth follows the region. Neighbours across two partitions meet through the
+Candidates are neighbours in a sorted list that agree in at least MIN_DEPTH
+values: where few classes share a prefix (REACH + 1 at most) all of them are
+compared, and where many do each is compared with the next, which has the
+longest common prefix, so the depth follows the region. Neighbours across two partitions meet through the
 first and last rows of each. Candidates whose signatures agree far too little
 are dropped, the others are confirmed on full sets; components of the links
 give the groups.
@@ -46,6 +46,7 @@ from threadlens.llm.registry import query
 TREES, DEPTH, MIN_DEPTH, REACH = 16, 6, 3, 4
 HASHES = TREES * DEPTH
 BLOCK = 4096  # classes of one shingle that meet as many others in a task
+SLICE = 1 << 18  # pairs of two blocks that go out at once
 SLACK = 5.5  # standard deviations below the wanted similarity at which signatures still pass
 
 _RNG = np.random.default_rng(7)
@@ -114,14 +115,18 @@ def _tree_rows(batches):
 
 
 def _neighbours(tree: np.ndarray, key: np.ndarray, node: list[bytes]) -> tuple[list, list]:
-    """Pairs among rows in sorted order that are at most REACH apart and agree
-    in MIN_DEPTH leading values."""
+    """Pairs among rows in sorted order that agree in MIN_DEPTH leading values:
+    all of them where at most REACH + 1 rows do (of those at hand), else rows
+    that stand next to each other, since ``beyond`` joins such crowds exactly."""
     us, vs = [], []
+    new = np.concatenate(([True], (tree[1:] != tree[:-1]) | (key[1:, :MIN_DEPTH] != key[:-1, :MIN_DEPTH]).any(axis=1))) if len(node) else np.zeros(0, bool)
+    head = np.cumsum(new) - 1
+    few = np.bincount(head)[head] <= REACH + 1
     for o in range(1, REACH + 1):
         if len(node) <= o:
             break
-        same = (tree[o:] == tree[:-o]) & (key[o:, :MIN_DEPTH] == key[:-o, :MIN_DEPTH]).all(axis=1)
-        for i in np.flatnonzero(same):
+        same = head[o:] == head[:-o]
+        for i in np.flatnonzero(same if o == 1 else same & few[o:]):
             a, b = node[i], node[i + o]
             if a != b:
                 us.append(min(a, b))
@@ -248,22 +253,36 @@ def _prefixes(num: int, den: int):
 def _met(num: int, den: int):
     """Two blocks of one shingle -> pairs of two components whose sizes and
     places leave room for a link."""
-    def run(table: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).combine_chunks()  # at most 2 BLOCK rows
         side, n, rest = (table.column(c).to_numpy() for c in ("side", "n", "rest"))
         same = table.column("a")[0].as_py() == table.column("b")[0].as_py()
-        node = table.column("node").to_pylist()
+        nodes = table.column("node").to_pylist()
+        order = sorted(range(len(nodes)), key=nodes.__getitem__)
+        rank = np.empty(len(nodes), np.int64)
+        rank[order] = np.arange(len(nodes))
+        node = pa.array([nodes[i] for i in order], pa.binary())
         _, root = np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)
         left = np.arange(len(n)) if same else np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
-        us, vs = [], []
+        us, vs, held = [], [], 0
+
+        def pairs() -> pa.RecordBatch:
+            u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
+            return pa.RecordBatch.from_arrays([node.take(pa.array(np.minimum(u, v))), node.take(pa.array(np.maximum(u, v)))], ["u", "v"])
+
         for i in left.tolist():
             j = right[right > i] if same else right
             most = np.minimum(np.minimum(rest[i], rest[j]), np.minimum(n[i], n[j]))
             ok = (root[j] != root[i]) & (most * (num + den) >= num * (n[i] + n[j])) & (np.minimum(n[i], n[j]) * den >= np.maximum(n[i], n[j]) * num)
-            for x in j[ok].tolist():
-                us.append(min(node[i], node[x]))
-                vs.append(max(node[i], node[x]))
-        return pa.table({"u": pa.array(us, pa.binary()), "v": pa.array(vs, pa.binary())})
+            j = j[ok]
+            us.append(np.full(len(j), rank[i]))
+            vs.append(rank[j])
+            held += len(j)
+            if held >= SLICE:  # a block of 16 million pairs goes out in slices
+                yield pairs()
+                us, vs, held = [], [], 0
+        yield pairs()
     return run
 
 
