@@ -35,8 +35,11 @@ from threadlens.llm.common import LOWER, documents, mapped, saved, steps, text_b
 from threadlens.llm.registry import query
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# A match can only begin where a run of its first class does (inside a run it would end at the same place), or
+# where the match before ended; so long runs are read once. No part can give characters back to the next one.
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+EMAIL_RUN = re.compile(r"(?<![A-Za-z0-9._%+-])" + EMAIL.pattern)
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NEEDED = re.compile(r"[0-9@]|(?i:\(at\)|\[at\]|(?<=\s)at(?=\s))")  # what plausible() asks of a span of any kind
@@ -61,11 +64,25 @@ def _digits(s: str) -> str:
     return re.sub("[^0-9]", "", s)
 
 
+def byte_sized(digits: str) -> bool:
+    """A decimal number of any length is at most 255."""
+    d = digits.lstrip("0")
+    return len(d) <= 3 and int(d or "0") <= 255
+
+
+def emails(t: str) -> list[tuple[int, int]]:
+    out, m = [], EMAIL_RUN.search(t)
+    while m:
+        out.append(m.span())
+        m = EMAIL.match(t, m.end()) or EMAIL_RUN.search(t, m.end())
+    return out
+
+
 def base_spans(t: str) -> list[tuple[str, int, int]]:
     out = []
     if "@" in t:
-        out += [("email", m.start(), m.end()) for m in EMAIL.finditer(t)]
-    out += [("ip", m.start(), m.end()) for m in IP.finditer(t) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+        out += [("email", a, b) for a, b in emails(t)]
+    out += [("ip", m.start(), m.end()) for m in IP.finditer(t) if all(map(byte_sized, m.group().split(".")))]
     for m in CARD.finditer(t):
         d = _digits(m.group())
         if 13 <= len(d) <= 19 and luhn(d):
@@ -336,7 +353,7 @@ def plausible(kind: str, s: str) -> bool:
         return bool(re.search(r"[A-Za-z0-9]\s?(@|(?i:\(at\)|\[at\]|\sat\s))\s?[A-Za-z0-9-]+.*(\.|(?i:\[dot\]))\s?[A-Za-z]{2,}", s))
     if kind == "ip":
         p = re.findall("[0-9]+", s)
-        return len(p) == 4 and all(int(x) <= 255 for x in p)
+        return len(p) == 4 and all(map(byte_sized, p))
     if kind == "card":
         return 13 <= n <= 19 and luhn(_digits(s))
     return 9 <= n <= 15 and not re.search("[A-Za-z]", s)
