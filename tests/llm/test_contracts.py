@@ -301,3 +301,32 @@ def test_repeated_rows_are_cut_alike(spark, odd):
         for r in twice:
             same = {g for g in got if g.doc_id == r.doc_id}
             assert len([g for g in got if g.doc_id == r.doc_id]) >= 2 and len(same) == 1
+
+
+def test_personal_data_long_runs():
+    """Runs of a megabyte, digits beyond Python's limit, and matches that follow each other inside a run."""
+    import re
+    import time
+    plain = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    r = __import__("random").Random(8)
+    for _ in range(3000):
+        t = "".join(r.choice("ab1._@-@ .+") for _ in range(r.randint(0, 30)))
+        assert pii.emails(t) == [m.span() for m in plain.finditer(t)], t
+        assert [(a, b) for k, a, b in pii.base_spans(t) if k == "ip"] == [m.span() for m in re.finditer(r"[0-9]+(?:\.[0-9]+){3}", t) if all(int(p) <= 255 for p in m.group().split("."))]
+    start = time.time()
+    assert pii.base_spans("0" * 5000 + ".1.1.1") == [("ip", 0, 5006)]
+    assert pii.base_spans("9" * 5000 + ".1.1.1") == []
+    assert pii.plausible("ip", "0" * 5000 + "1 1 1 1") and not pii.plausible("ip", "9" * 5000 + " 1 1 1")
+    million = 1_000_000
+    assert pii.base_spans("7" * million) == []
+    assert pii.base_spans("a" * million + "@b.c") == [("email", 0, million + 4)]
+    assert pii.base_spans("@" + "b-" * (million // 2)) == pii.base_spans("a@" + "b-" * (million // 2)) == []
+    assert pii.base_spans("1." * (million // 2)) is not None
+    assert time.time() - start < 10
+
+
+def test_mix_of_a_table_with_a_copy_column(spark, small):
+    df, _ = small
+    want = mixing.mixed_documents(df)
+    got = mixing.mixed_documents(df.withColumn("copy", F.lit("x")))
+    assert got.columns == want.columns and got.count() == want.count()

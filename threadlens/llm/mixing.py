@@ -104,13 +104,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
 
 def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
     """The documents themselves, each as often as the mix takes it (``copy``
-    from 1). Only the thresholds, a row a source, are joined to them."""
+    from 1; a column of that name in the input gives way). Only the thresholds, a
+    row a source, are joined to them."""
     sizes = saved(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), hash40(F.col("doc_id")).alias("h")), "mix-sizes")
     cut = thresholds(sizes, source_targets(sizes, **kw)).select(F.col("source").alias("__source"), F.col("whole").alias("__whole"), F.col("threshold").alias("__threshold"))
     j = docs.join(cut, docs["source"].eqNullSafe(cut["__source"]))
     copies = F.least(F.col("__whole") + (hash40(F.col("doc_id")) < F.col("__threshold")).cast("long"), F.lit(kw.get("most", MOST_COPIES)))
     return (j.withColumn("__copies", copies).where("__copies > 0")
-            .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("copy")))
+            .select(*[c for c in docs.columns if c.lower() != "copy"], F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("copy")))
 
 
 ORACLE = """
