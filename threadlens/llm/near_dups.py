@@ -7,7 +7,9 @@ dealt by range, so a crowded prefix spreads over as many tasks as it needs.
 Candidates are neighbours in a sorted list that agree in at least MIN_DEPTH
 values: where few classes share a prefix (REACH + 1 at most) all of them are
 compared, and where many do each is compared with the next, which has the
-longest common prefix, so the depth follows the region. Neighbours across two partitions meet through the
+longest common prefix, so the depth follows the region; once the links found
+so far are joined to components, rows of a crowd up to REACH apart are compared
+as well where they are in two of them. Neighbours across two partitions meet through the
 first and last rows of each. Candidates whose signatures agree far too little
 are dropped, the others are confirmed on full sets; components of the links
 give the groups.
@@ -170,9 +172,36 @@ def _scan(edges: bool):
     return run
 
 
+def _apart(batches):
+    """Sorted rows of crowded prefixes -> pairs at most REACH apart whose
+    components (root) differ."""
+    kept = None
+    for batch in batches:
+        if kept is not None:
+            batch = pa.Table.from_batches([kept, batch]).combine_chunks().to_batches()[0]
+        tree, key, node = _rows(batch)
+        root, us, vs = batch.column("root").to_pylist(), [], []
+        for o in range(1, min(REACH, len(node) - 1) + 1):
+            same = (tree[o:] == tree[:-o]) & (key[o:, :MIN_DEPTH] == key[:-o, :MIN_DEPTH]).all(axis=1)
+            for i in np.flatnonzero(same).tolist():
+                if root[i] != root[i + o]:
+                    us.append(min(node[i], node[i + o]))
+                    vs.append(max(node[i], node[i + o]))
+        yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
+        kept = batch.slice(max(0, batch.num_rows - REACH))
+
+
+def apart(crowd: DataFrame, roots: DataFrame) -> DataFrame:
+    """Distinct pairs (u, v) that stand near each other in a crowded prefix
+    (tree, key, node) and are in two components so far."""
+    n = int(crowd.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = crowd.join(roots, "node", "left").select("tree", "key", "node", F.coalesce("root", "node").alias("root"))
+    return rows.repartitionByRange(n, "tree", "key", "node").sortWithinPartitions("tree", "key", "node").mapInArrow(_apart, "u binary, v binary").distinct()
+
+
 def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (u, v) of classes that are neighbours in some tree, and
-    the classes (node) that may have links beyond: in some tree more than
+    the rows (tree, key, node) of classes that may have links beyond: more than
     REACH others agree with them in MIN_DEPTH values."""
     spark = classes.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -184,9 +213,9 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     # 2 REACH rows of each partition: bounded by the number of partitions
     seams = found.where("edge").select("tree", "key", F.col("u").alias("node")).distinct().coalesce(1).sortWithinPartitions("tree", "key", "node").mapInArrow(_scan(False), schema)
     pairs = found.where(~F.col("edge")).select("u", "v").unionByName(seams.select("u", "v")).distinct()
-    rows = rows.select("tree", F.substring("key", 1, 4 * MIN_DEPTH).alias("head"), "node")
+    rows = rows.withColumn("head", F.substring("key", 1, 4 * MIN_DEPTH))
     full = rows.groupBy("tree", "head").count().where(F.col("count") > REACH + 1).select("tree", "head")
-    return pairs, rows.join(full, ["tree", "head"], "left_semi").select("node").distinct()
+    return pairs, rows.join(full, ["tree", "head"], "left_semi").drop("head")
 
 
 def _agree(least: float):
@@ -325,8 +354,9 @@ def near_dups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFr
                 .where(F.least("nu", "nv") * den >= F.greatest("nu", "nv") * num)
                 .select("u", "v", "su", "sv").mapInArrow(_agree(least), "u binary, v binary"))
 
-    pairs, crowded = candidates(classes)
-    pairs, crowded = saved(likely(pairs), "candidates"), saved(crowded, "crowded")
+    pairs, crowd = candidates(classes)
+    pairs, crowd = saved(likely(pairs), "candidates"), saved(crowd, "crowded")
+    crowded = crowd.select("node").distinct()
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).unionByName(crowded).distinct()
     reps = classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("_rep")).distinct()
     sets = saved(d.join(reps, d["doc_id"].eqNullSafe(reps["_rep"])).select("text").mapInArrow(_sets(k), "node binary, set binary"), "sets")
@@ -337,11 +367,17 @@ def near_dups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFr
                 .mapInArrow(_confirmed(num, den), "u binary, v binary").distinct())
 
     roots = saved(components(linked(pairs)), "roots")
-    if crowded.limit(1).count():
+    if crowd.limit(1).count():
+        def also(roots: DataFrame, links: DataFrame) -> DataFrame:
+            """The components with more links; what is joined already is one star each."""
+            stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+            return saved(components(stars.unionByName(links)), "roots")
+
+        wider = saved(likely(apart(crowd, roots).join(pairs, ["u", "v"], "left_anti")), "crowd-neighbours")
+        roots = also(roots, linked(wider))
         members = crowded.join(sets, "node").dropDuplicates(["node"]).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "set")
-        more = beyond(saved(members, "crowd"), num, den).join(pairs, ["u", "v"], "left_anti")
-        stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))  # what is joined already
-        roots = saved(components(stars.unionByName(linked(saved(likely(saved(more, "crowd-pairs")), "crowd-candidates")))), "roots")
+        more = beyond(saved(members, "crowd"), num, den).join(pairs.unionByName(wider), ["u", "v"], "left_anti")
+        roots = also(roots, linked(saved(likely(saved(more, "crowd-pairs")), "crowd-candidates")))
     grouped = classes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = saved(grouped.groupBy("root").agg(F.min("rep").alias("component")), "components")  # stored: a large group's join can be split
     named = grouped.join(named, "root").select("node", "component")
