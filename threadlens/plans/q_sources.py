@@ -138,9 +138,9 @@ def _reddit_root(spark, d, stray: bool = False, only: str = "true", trees: bool
         F.to_json(F.struct("data")).alias("content"))
     if stray:
         b = fixture(spark, d, "base").where(F.expr(STRAY) & (F.col("turn") == 0))
-        files = files.unionByName(b.select(
-            F.concat_ws("/", F.lit(root), folder, F.lit("replies"), F.lit("notes.txt")).alias("path"),
-            F.lit("not a post").alias("content")))
+        # no post by its name, a post whose name begins with "_", a hidden file and a hidden folder
+        for name in ("replies/notes.txt", "replies/_draft.json", "replies/.hidden.json", ".old/replies/1.json"):
+            files = files.unionByName(b.select(F.concat_ws("/", F.lit(root), folder, F.lit(name)).alias("path"), F.lit("not a post").alias("content")))
     if trees:
         docs = LY.tree_documents(fixture(spark, d, "edges").where(only))
         files = files.unionByName(docs.select(F.concat_ws("/", F.lit(root), folder, F.lit("structure.json")).alias("path"), F.col("value").alias("content")))
@@ -161,6 +161,9 @@ SELECT CAST(conv_id AS VARCHAR) || '_0' AS conv_id, post_id || '.json' AS file_n
 FROM base
 UNION ALL
 SELECT CAST(conv_id AS VARCHAR) || '_0', 'notes.txt', FALSE, CAST(NULL AS VARCHAR) FROM base
+WHERE {STRAY} AND turn = 0
+UNION ALL
+SELECT CAST(conv_id AS VARCHAR) || '_0', '_draft.json', TRUE, '_draft' FROM base
 WHERE {STRAY} AND turn = 0""")
 def q_id_from_path(spark, d):
     root = _reddit_root(spark, d, stray=True)

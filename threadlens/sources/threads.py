@@ -9,8 +9,8 @@ A post file is read as a whole and cut into lines, so the number of a line
 stays known (of several versions of a post the last counts) and a line that is
 no JSON object is kept as a corrupt line instead of an empty post. Topic,
 conversation and role come from the path. Names starting with ``.`` are no
-posts. Spark's file listing also hides names starting with ``_``; those are
-listed through the file system's own interface and read by the executors.
+posts, names starting with ``_`` are. Folders are listed and files read in
+tasks (``sources.listing``).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.operators.tree import tree_json_to_edges
-from threadlens.session import qualified, ship_package
+from threadlens.sources import listing
 
 TWEET_SCHEMA = T.StructType([
     T.StructField("id_str", T.StringType()),
@@ -41,7 +41,9 @@ REDDIT_SCHEMA = T.StructType([
     ])),
 ])
 
-ROLE_DIRS = "{source-tweet,replies}"
+ROLE_DIRS = ("source-tweet", "replies")
+#: Folder levels from the root to the conversations.
+LEVELS = {"twitter": 2, "reddit": 1}
 
 
 def post_id_from_path(path) -> Column:
@@ -50,37 +52,20 @@ def post_id_from_path(path) -> Column:
     return F.regexp_extract(p, r"([^/]+)\.json$", 1)
 
 
-def underscore_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files of a glob whose names begin with ``_`` (Spark's listing hides
-    them). A folder of threads has few or none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{qualified(spark, pattern.rsplit('/', 1)[0])}/_{pattern.rsplit('/', 1)[1]}")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [f.getPath().toString() for f in (found or []) if f.isFile()]
+def conversation_entries(spark: SparkSession, root: str, levels: int) -> DataFrame:
+    """What lies in each conversation folder: (path, name, is_dir, size)."""
+    return listing.children(listing.folders(spark, root, levels))
 
 
-def _read_each(batches):
-    import pyarrow as pa
+def role_files(spark: SparkSession, root: str, levels: int) -> DataFrame:
+    """(path, name, size) of every file in the role folders."""
+    roles = conversation_entries(spark, root, levels).where(F.col("is_dir") & F.col("name").isin(*ROLE_DIRS))
+    return listing.children(roles).where("not is_dir").select("path", "name", "size")
 
-    from threadlens.sources.layout import filesystem
 
-    for b in batches:
-        texts = []
-        for path in b.column("file_path").to_pylist():
-            fs, p = filesystem(path)
-            with fs.open_input_stream(p) as f:
-                texts.append(f.read().decode("utf-8", "replace"))
-        yield pa.RecordBatch.from_arrays([b.column("file_path"), pa.array(texts, pa.string())], ["file_path", "value"])
-
-
-def post_texts(spark: SparkSession, pattern: str) -> DataFrame:
-    """(file_path, value) of every post file of a glob ending in ``*.json``."""
-    df = spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
-    hidden = underscore_files(spark, pattern)
-    if hidden:
-        ship_package(spark)
-        paths = spark.createDataFrame([(p,) for p in hidden], "file_path string").repartition(min(len(hidden), 64))
-        df = df.unionByName(paths.mapInArrow(_read_each, "file_path string, value string"))
-    return df
+def post_texts(spark: SparkSession, root: str, platform: str) -> DataFrame:
+    """(file_path, value) of every post file below ``root``."""
+    return listing.read_texts(role_files(spark, root, LEVELS[platform]).where(F.col("name").endswith(".json")))
 
 
 def _parsed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -103,15 +88,11 @@ def _path_parts(df: DataFrame, with_topic: bool) -> DataFrame:
                      (F.regexp_extract(p, rx, 2) == "source-tweet").alias("is_source"))
 
 
-def _glob(root: str, platform: str) -> str:
-    return f"{root}/*/*/{ROLE_DIRS}/*.json" if platform == "twitter" else f"{root}/*/{ROLE_DIRS}/*.json"
-
-
 def corrupt_lines(spark: SparkSession, root: str, platform: str) -> DataFrame:
     """(file_path, line_no, line) of the lines that are no posts: no JSON
     object, or (Twitter) one without an id."""
     schema = TWEET_SCHEMA if platform == "twitter" else REDDIT_SCHEMA
-    df = _parsed(post_texts(spark, _glob(root, platform)), schema)
+    df = _parsed(post_texts(spark, root, platform), schema)
     bad = F.col("corrupt").isNotNull()
     if platform == "twitter":
         bad = bad | F.col("j.id_str").isNull()
@@ -122,7 +103,7 @@ def scan_twitter(spark: SparkSession, root: str) -> DataFrame:
     """``(platform, topic, conv_id, post_id, is_source, text, file_path,
     line_no)``; the post id is the tweet's own ``id_str``; NULL text is kept
     (see missing_text); corrupt lines are in ``corrupt_lines``."""
-    df = _parsed(post_texts(spark, _glob(root, "twitter")), TWEET_SCHEMA).where("corrupt is null and j.id_str is not null")
+    df = _parsed(post_texts(spark, root, "twitter"), TWEET_SCHEMA).where("corrupt is null and j.id_str is not null")
     df = _path_parts(df, True)
     return df.select(F.lit("twitter").alias("platform"), "topic", "conv_id", F.col("j.id_str").alias("post_id"),
                      "is_source", F.col("j.text").alias("text"), "file_path", "line_no")
@@ -131,7 +112,7 @@ def scan_twitter(spark: SparkSession, root: str) -> DataFrame:
 def scan_reddit_raw(spark: SparkSession, root: str) -> DataFrame:
     """S3: raw Reddit posts ``(conv_id, post_id, is_source, data, file_path,
     line_no)``; the post id is the file name (S5). Normalise with ``normalize_posts``."""
-    df = _parsed(post_texts(spark, _glob(root, "reddit")), REDDIT_SCHEMA).where("corrupt is null")
+    df = _parsed(post_texts(spark, root, "reddit"), REDDIT_SCHEMA).where("corrupt is null")
     df = _path_parts(df, False)
     return df.select(F.lit("reddit").alias("platform"), "conv_id", post_id_from_path("file_path").alias("post_id"),
                      "is_source", F.col("j.data").alias("data"), "file_path", "line_no")
@@ -140,25 +121,18 @@ def scan_reddit_raw(spark: SparkSession, root: str) -> DataFrame:
 def list_post_files(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
     """S5 report: every file below the role folders with the id taken from its
     name; ``is_json`` is false for names the scans do not read."""
-    stars = "/".join(["*"] * depth)
-    pattern = f"{root}/{stars}/{ROLE_DIRS}/*"
-    df = spark.read.format("binaryFile").load(pattern).select("path")
-    hidden = underscore_files(spark, pattern)
-    if hidden:
-        df = df.unionByName(spark.createDataFrame([(p,) for p in hidden], "path string"))
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    df = role_files(spark, root, depth)
     return df.select(F.regexp_extract("path", r"/([^/]+)/(source-tweet|replies)/[^/]+$", 1).alias("conv_id"),
-                     name.alias("file_name"), F.col("path").endswith(".json").alias("is_json"),
+                     F.col("name").alias("file_name"), F.col("path").endswith(".json").alias("is_json"),
                      F.when(F.col("path").endswith(".json"), post_id_from_path("path")).alias("post_id"))
 
 
 def scan_structures(spark: SparkSession, root: str, platform: str) -> DataFrame:
     """``(topic, conv_id, value)`` — the tree document of every conversation
     (Twitter: the last non-empty line of the file; Reddit: the whole file)."""
-    glob = f"{root}/*/*/structure.json" if platform == "twitter" else f"{root}/*/structure.json"
-    raw = spark.read.text(glob, wholetext=True).select(
-        (F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+/structure\.json$", 1) if platform == "twitter" else F.lit("")).alias("topic"),
-        F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/structure\.json$", 1).alias("conv_id"), "value")
+    found = conversation_entries(spark, root, LEVELS[platform]).where("not is_dir and name = 'structure.json'")
+    topic = F.regexp_extract("file_path", r"/([^/]+)/[^/]+/structure\.json$", 1) if platform == "twitter" else F.lit("")
+    raw = listing.read_texts(found).select(topic.alias("topic"), F.regexp_extract("file_path", r"/([^/]+)/structure\.json$", 1).alias("conv_id"), "value")
     if platform == "twitter":
         lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != F.lit(""))
         raw = raw.select("topic", "conv_id", F.element_at(lines, -1).alias("value"))
