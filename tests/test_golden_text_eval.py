@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from threadlens.functions import text as TX
+from threadlens.functions.entities import entity_vector
 from threadlens.operators import batching as BA
 from threadlens.operators import encode as EN
 from threadlens.operators import evaluate as EV
@@ -41,7 +42,7 @@ def test_processed_text(spark):
 def test_entity_vector_aligned(spark):
     df = spark.createDataFrame([("On Monday 3 people spoke English. Second try!",)], "t string")
     r = df.select(TX.processed_text("t").alias("p"),
-                  TX.entity_vector_from_tokens(TX.sent_tokens("t")).alias("v")).first()
+                  entity_vector(TX.sent_tokens("t")).alias("v")).first()
     toks = r.p.split()
     assert len(toks) == len(r.v)
     assert dict(zip(toks, r.v))["Monday"] == 12 and dict(zip(toks, r.v))["3"] == 18

@@ -156,33 +156,6 @@ def is_numeral(token: Column) -> Column:
     return F.substring(token, 1, 1).between("0", "9") & (F.translate(token, "0123456789", "") == "")
 
 
-def entity_class(low: Column, gazetteer: dict[str, list[str]] | None = None) -> Column:
-    """Rule-based entity class id of one lower-cased token (0 = unknown).
-
-    Order: gazetteer words by class, then numerals. One look-up among all
-    words sorts out the tokens that are in no list.
-    """
-    gaz = L.DEFAULT_GAZETTEER if gazetteer is None else gazetteer
-    lists = {c: sorted({w.lower() for w in gaz.get(c) or ()}) for c in L.ENTITY_CLASSES}
-    listed = sorted({w for ws in lists.values() for w in ws})
-    numeral = F.when(is_numeral(low), F.lit(L.ENTITY_CLASSES.index("CARDINAL"))).otherwise(F.lit(0))
-    if not listed:
-        return numeral
-    expr = None
-    for cid, cls in enumerate(L.ENTITY_CLASSES):
-        if lists[cls]:
-            cond = low.isin(lists[cls])
-            expr = F.when(cond, F.lit(cid)) if expr is None else expr.when(cond, F.lit(cid))
-    return F.when(low.isin(listed), expr).otherwise(numeral)
-
-
-def entity_vector_from_tokens(sents, gazetteer: dict[str, list[str]] | None = None) -> Column:
-    """class per token, 0 for each sentence's [EOS]; aligned with F17."""
-    return F.flatten(F.transform(
-        _col(sents),
-        lambda a: F.concat(F.transform(lower_tokens(a), lambda t: entity_class(t, gazetteer)), F.array(F.lit(0)))))
-
-
 def token_count(processed) -> Column:
     """Number of blank/newline separated tokens of a processed text."""
     return F.size(F.filter(F.split(_col(processed), "[ \n]"), lambda x: x != F.lit("")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions import lexicons as L
 from threadlens.functions import text as TX
+from threadlens.functions.entities import entity_vector, phrase_index
 from threadlens.operators import features as FE
 from threadlens.plans import duck as D
 from threadlens.plans.fixtures import duck_with, fixture, table
@@ -131,7 +132,7 @@ def q_processed(spark, d):
 SELECT doc_id, {duck_ints_str(D.entity_vector(D.sent_tokens('text')))} AS ner FROM docs_decorated""")
 def q_entity_vector(spark, d):
     doc = fixture(spark, d, "docs_decorated")
-    return doc.select("doc_id", ints_str(TX.entity_vector_from_tokens(TX.sent_tokens("text"))).alias("ner"))
+    return doc.select("doc_id", ints_str(entity_vector(TX.sent_tokens("text"))).alias("ner"))
 
 
 @register("join_entity_vector_gazetteer", POSTS_FEAT + f"""
@@ -145,6 +146,55 @@ def q_entity_vector_gaz(spark, d):
     return f.select("conv_id", "post_id", ints_str("ner").alias("ner"))
 
 
+# names of one to three tokens that overlap, tie and begin alike, on the sentences of the decorated posts
+PHRASES = {
+    "EVENT": ["rumour true", "true? Second"],          # the second crosses a sentence
+    "DATE": ["second of May", "monday", "May", "on Monday in"],
+    "ORDINAL": ["second"],
+    "LAW": ["of may", "no no!"],
+    "NORP": ["in French", "Monday"],                   # Monday is a DATE already
+    "WORK_OF_ART": ["this rumour", "hell crap", "crap, hell"],
+    "ORG": ["crap", "not believe it"],
+    "GPE": ["user_1"],                                 # the mention is masked
+}
+_PHRASE_ROWS = ", ".join(f"([{', '.join(D.q(t) for t in toks)}], {cls})" for entries in phrase_index(PHRASES).values() for toks, cls in entries)
+_PHRASES_ORACLE = duck_with("posts_all", recursive=True) + f""",
+gaz AS (SELECT * FROM (VALUES {_PHRASE_ROWS}) v(toks, cls)),
+sent AS (SELECT conv_id, post_id, unnest(s) AS a, generate_subscripts(s, 1) AS sno FROM (SELECT conv_id, post_id, {D.sent_tokens('text')} AS s FROM posts_all)),
+low AS (SELECT conv_id, post_id, sno, list_transform(a, lambda t: lower(t)) AS a FROM sent),
+hit AS (
+  SELECT conv_id, post_id, sno, p, max(len(toks)) AS n, arg_max(cls, len(toks)) AS cls
+  FROM (SELECT *, unnest(range(1, len(a) + 1)) AS p FROM low) l JOIN gaz ON l.a[p:p + len(toks) - 1] = gaz.toks GROUP BY ALL),
+scan AS (
+  SELECT conv_id, post_id, sno, CAST(1 AS BIGINT) AS p FROM low
+  UNION ALL
+  SELECT s.conv_id, s.post_id, s.sno, s.p + coalesce(h.n, 1) FROM scan s JOIN low l ON l.conv_id = s.conv_id AND l.post_id = s.post_id AND l.sno = s.sno
+  LEFT JOIN hit h ON h.conv_id = s.conv_id AND h.post_id = s.post_id AND h.sno = s.sno AND h.p = s.p WHERE s.p <= len(l.a)),
+tok AS (
+  SELECT s.conv_id, s.post_id, s.sno, s.p + k AS p, coalesce(h.cls, CASE WHEN regexp_full_match(l.a[s.p], '[0-9]+') THEN {L.ENTITY_CLASSES.index('CARDINAL')} ELSE 0 END) AS cls
+  FROM (SELECT s.*, coalesce(h.n, 1) AS n, h.cls FROM scan s LEFT JOIN hit h ON h.conv_id = s.conv_id AND h.post_id = s.post_id AND h.sno = s.sno AND h.p = s.p) s
+  JOIN low l ON l.conv_id = s.conv_id AND l.post_id = s.post_id AND l.sno = s.sno AND s.p <= len(l.a)
+  LEFT JOIN hit h ON h.conv_id = s.conv_id AND h.post_id = s.post_id AND h.sno = s.sno AND h.p = s.p, LATERAL (SELECT unnest(range(s.n)) AS k)
+  UNION ALL
+  SELECT conv_id, post_id, sno, len(a) + 1, 0 FROM low)
+SELECT p.conv_id, p.post_id, coalesce(v.ner, '') AS ner FROM posts_all p
+LEFT JOIN (SELECT conv_id, post_id, string_agg(CAST(cls AS VARCHAR), ',' ORDER BY sno, p) AS ner FROM tok GROUP BY conv_id, post_id) v ON v.conv_id = p.conv_id AND v.post_id = p.post_id"""
+
+
+@register("join_entity_phrases", _PHRASES_ORACLE)
+def q_entity_phrases(spark, d):
+    """F18 with names of several tokens, the gazetteer as a table."""
+    gaz = spark.createDataFrame([(w, cls) for cls, ws in PHRASES.items() for w in ws], "phrase string, entity string")
+    p = _posts(spark, d).select("conv_id", "post_id", TX.sent_tokens("text").alias("_sents"))
+    return FE.entity_vector_join(p, "_sents", gaz, "ner", ["conv_id", "post_id"]).select("conv_id", "post_id", ints_str("ner").alias("ner"))
+
+
+@register("txt_entity_phrases", _PHRASES_ORACLE)
+def q_entity_phrases_listed(spark, d):
+    """The same with the gazetteer as a list."""
+    return _posts(spark, d).select("conv_id", "post_id", ints_str(entity_vector(TX.sent_tokens("text"), PHRASES)).alias("ner"))
+
+
 @register("chk_alignment", f"""
 SELECT count(*) AS n_checked,
        count(*) FILTER (WHERE len(list_filter(string_split_regex(clean_text, '[ \\n]'), lambda x: x <> ''))
@@ -154,7 +204,7 @@ FROM (SELECT {D.processed('s')} AS clean_text, {D.entity_vector('s')} AS ner
 def q_alignment(spark, d):
     doc = table(spark, d, "documents").select(TX.sent_tokens("text").alias("s"))
     feats = doc.select(TX.processed_text_from_tokens("s").alias("clean_text"),
-                       TX.entity_vector_from_tokens("s").alias("ner"))
+                       entity_vector("s").alias("ner"))
     bad = FE.check_alignment(feats).agg(F.count(F.lit(1)).alias("n_misaligned"))
     return doc.agg(F.count(F.lit(1)).alias("n_checked")).crossJoin(bad)  # one row beside one row
 
