@@ -37,4 +37,4 @@ def update_group(batch_no, batch_size: int = L.DEFAULT_BATCH_SIZE,
     """Batches accumulated into one optimiser step."""
     ratio = max(1, true_batch_size // batch_size)
     c = F.col(batch_no) if isinstance(batch_no, str) else batch_no
-    return F.floor((c - F.pmod(c, F.lit(ratio))) / F.lit(ratio)).cast("long") if ratio > 1 else c.cast("long")
+    return F.call_function("div", c, F.lit(ratio)).cast("long")

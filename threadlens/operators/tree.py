@@ -195,7 +195,7 @@ def walk(edges: DataFrame, posts: DataFrame | None = None) -> DataFrame:
             F.coalesce("prev_id", "a_last").alias("prev_id"), F.coalesce("a_first", "src_id").alias("src_id"),
             (F.col("_n") + F.col("a_n")).alias("_n"), F.coalesce("_last", "a_last").alias("_last"), F.coalesce("a_first", "_first").alias("_first")), "walk")
         new = step.where("_up is null")
-        # depths are contiguous: a round that reaches no root leaves only cycles and orphans
+        # depths are contiguous: a round that reaches no root leaves only cycles and orphans (see ``unreachable``)
         if not new.limit(1).count():
             break
         done = done.unionByName(new)
@@ -203,6 +203,36 @@ def walk(edges: DataFrame, posts: DataFrame | None = None) -> DataFrame:
     return done.select("conv_id", "post_id", "parent_id", "present", "ord", "path", (F.size("path") - 1).alias("depth"), "n_anc", "prev_id", "src_id")
 
 
+def unreachable(edges: DataFrame, reached: DataFrame | None = None) -> DataFrame:
+    """(conv_id, post_id, reason, top): the posts that no root leads to, which
+    the walk leaves out. ``reason`` is 'orphan' where the way up ends at a post
+    without a row (``top``), 'cycle' where it runs in a circle (``top`` is the
+    circle's smallest post). ``reached``: the walk of these edges, if at hand.
+
+    Of the posts left over each points to its parent (several: the smallest
+    that is left over too). After k rounds of pointer doubling a post points
+    2^k steps up; with 2^k at least the number of posts left over in any
+    conversation, what is pointed at lies on a circle, and every post of a
+    circle is pointed at by one of its own. Rows have a fixed width."""
+    reached = walk(edges) if reached is None else reached
+    lost = unique_edges(edges).where(F.col("parent_id").isNotNull()).join(reached.select("conv_id", "post_id").distinct(), ["conv_id", "post_id"], "left_anti")
+    lost = materialize(lost.select("conv_id", "post_id", "parent_id"), "lost")
+    size = lost.groupBy("conv_id").agg(F.countDistinct("post_id").alias("n")).agg(F.max("n")).first()[0]
+    known = lost.select("conv_id", F.col("post_id").alias("parent_id"), F.lit(True).alias("_here")).distinct()
+    up = lost.join(known, ["conv_id", "parent_id"], "left").groupBy("conv_id", "post_id").agg(
+        F.min(F.when(F.col("_here"), F.col("parent_id"))).alias("_up"), F.min("parent_id").alias("_missing"))
+    # a post whose way up has ended: _up is null and _end is the post that is not there
+    state = materialize(up.select("conv_id", "post_id", "_up", F.when(F.col("_up").isNull(), F.col("_missing")).alias("_end"), F.col("post_id").alias("_low")), "ways")
+    for _ in range(max(0, ((size or 0) - 1).bit_length())):
+        a = state.select("conv_id", F.col("post_id").alias("_up"), F.col("_up").alias("a_up"), F.col("_end").alias("a_end"), F.col("_low").alias("a_low"))
+        state = materialize(state.join(a, ["conv_id", "_up"], "left").select(
+            "conv_id", "post_id", F.col("a_up").alias("_up"), F.coalesce("_end", "a_end").alias("_end"), F.least("_low", "a_low").alias("_low")), "ways")
+    circles = state.join(state.where("_up is not null").select("conv_id", F.col("_up").alias("post_id")).distinct(), ["conv_id", "post_id"], "left_semi") \
+        .select("conv_id", F.col("post_id").alias("_up"), F.col("_low").alias("_top"))
+    return state.join(circles, ["conv_id", "_up"], "left").select(
+        "conv_id", "post_id", F.when(F.col("_up").isNull(), "orphan").otherwise("cycle").alias("reason"), F.coalesce("_end", "_top").alias("top"))
+
+
 def nodes(edges: DataFrame, posts: DataFrame | None = None, materialized: bool = True) -> DataFrame:
     """``walk`` plus ``is_leaf`` (no child edge). Everything downstream reads
     the node table several times, so by default it is stored once."""

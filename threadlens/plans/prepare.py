@@ -72,17 +72,24 @@ def folder_posts(spark: SparkSession, folder: ThreadFolder, labels: DataFrame,
     return posts.join(folds, "conv_id").withColumn("fixed_fold", F.lit(folder.fold is not None))
 
 
-def folder_edges(spark: SparkSession, folder: ThreadFolder, no: int = 0, fixes: DataFrame | None = None) -> DataFrame:
-    """Reply edges of one folder. ``fixes(conv_id, post_id, new_parent,
-    fix_pos)``: moved subtrees, by the conversation's own name."""
+def repaired_edges(spark: SparkSession, folder: ThreadFolder, no: int = 0, fixes: DataFrame | None = None) -> DataFrame:
+    """Reply edges of one folder, all roots, with ``conv_name``. ``fixes(conv_id,
+    post_id, new_parent, fix_pos)``: moved subtrees, by the conversation's own name."""
     edges = TH.scan_edges(spark, folder.root, folder.platform, with_topic=True)
     if fixes is not None:
-        # repairs come before the other roots go: a moved subtree may hang below one of them
         edges = TR.graft(edges, fixes, keep=["topic"])
-    if folder.platform == "twitter":
-        edges = TR.prune_roots(edges, F.col("conv_id"))
     return edges.withColumn("conv_name", F.col("conv_id")).withColumn("conv_id", _conversation(no)) \
-        .select("conv_id", "parent_id", "post_id", "sib_pos")
+        .select("conv_id", "parent_id", "post_id", "sib_pos", "conv_name")
+
+
+def kept_roots(edges: DataFrame, folder: ThreadFolder) -> DataFrame:
+    """Twitter's other roots go; repairs come before: a moved subtree may hang below one of them."""
+    return (TR.prune_roots(edges, F.col("conv_name")) if folder.platform == "twitter" else edges).drop("conv_name")
+
+
+def folder_edges(spark: SparkSession, folder: ThreadFolder, no: int = 0, fixes: DataFrame | None = None) -> DataFrame:
+    """The reply edges of one folder that examples are made from."""
+    return kept_roots(repaired_edges(spark, folder, no, fixes), folder)
 
 
 def prepare(spark: SparkSession, folders: Sequence[ThreadFolder], labels: DataFrame, lexicon,
@@ -90,14 +97,21 @@ def prepare(spark: SparkSession, folders: Sequence[ThreadFolder], labels: DataFr
     """Example sets of all folders, one row per post and fold (column
     ``fold``; write them with ``sources.examples_io.write_examples``), and the
     reports: ``missing_text`` (N3), ``unlabelled`` (N5), ``split_trees`` (N7),
-    ``unknown_labels`` (N11), ``corrupt_lines``."""
-    posts, edges, corrupt = None, None, None
+    ``unknown_labels`` (N11), ``corrupt_lines``, ``unreachable`` (posts that a
+    repair has cut off from every root, or put below themselves)."""
+    posts, edges, corrupt, rooted = None, None, None, None
     for no, f in enumerate(folders):
-        p, e = folder_posts(spark, f, labels, priority, no), folder_edges(spark, f, no, fixes)
+        p, r = folder_posts(spark, f, labels, priority, no), repaired_edges(spark, f, no, fixes)
         c = TH.corrupt_lines(spark, f.root, f.platform)
+        if fixes is None:
+            r, e = None, kept_roots(r, f)
+        else:  # read twice; only a repair can cut a post off, a nested document cannot
+            r = materialize(r, "repaired")
+            e = kept_roots(r, f)
         posts = p if posts is None else posts.unionByName(p, allowMissingColumns=True)
         edges = e if edges is None else edges.unionByName(e)
         corrupt = c if corrupt is None else corrupt.unionByName(c)
+        rooted = r if rooted is None else rooted.unionByName(r)
     # read several times (presence in the walk, conversations, features, reports): the JSON is parsed once
     posts = materialize(posts, "posts")
     examples = build_examples(posts, edges, lexicon, conv_order=["platform_rank", "topic", "conv_name", "conv_id"], gazetteer=gazetteer)
@@ -107,6 +121,7 @@ def prepare(spark: SparkSession, folders: Sequence[ThreadFolder], labels: DataFr
         "split_trees": NO.split_trees(posts.where(~F.col("fixed_fold"))),
         "unknown_labels": NO.unknown_labels(posts),
         "corrupt_lines": corrupt,
+        **({} if rooted is None else {"unreachable": TR.unreachable(rooted)}),
     })
 
 

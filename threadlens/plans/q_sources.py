@@ -250,12 +250,16 @@ edges AS (SELECT k.conv_id, parent_id, post_id, sib_pos FROM base JOIN
 """ + D.features_cte("posts") + DUCK_TREE + DUCK_EXAMPLES + DUCK_EXAMPLES_TABLE + "\n" + _EX_SELECT
 
 
-def _prepared(spark, d):
+# a repair that puts the first reply below its own first reply: a circle that no root leads to
+CIRCLE = "conv_id % 8 = 0"
+
+
+def _prepared(spark, d, fixes=None):
     folders = [PREP.ThreadFolder(_twitter_root(spark, d, missing=True, only=IN_TWITTER), "twitter"),
                PREP.ThreadFolder(_reddit_root(spark, d, only=IN_REDDIT, trees=True), "reddit", fold="dev"),
                PREP.ThreadFolder(_twitter_root(spark, d, missing=True, only=IN_TEST), "twitter", fold="test")]
     keys = LB.read_label_keys(spark, _write_keys(spark, fixture(spark, d, "label_keys"), "keys"), whole_file=False)
-    return PREP.prepare(spark, folders, keys, L.FIXTURE_SWEAR_LEXICON)
+    return PREP.prepare(spark, folders, keys, L.FIXTURE_SWEAR_LEXICON, fixes=fixes)
 
 
 @register("examples_from_folders", _FOLDERS_ORACLE)
@@ -266,12 +270,17 @@ def q_from_folders(spark, d):
     return _prepared(spark, d).examples.select(*[c.strip() for c in EXAMPLE_COLS.split(",")]).withColumn("ner", ints_str("ner"))
 
 
-@register("reports_from_folders", duck_with("base", "label_keys") + f""",
+@register("reports_from_folders", duck_with("base", "label_keys", recursive=True) + f""",
+below AS (
+  SELECT a.conv_id, a.post_id FROM base a JOIN base b ON b.conv_id = a.conv_id AND b.turn = 3 WHERE a.turn = 1 AND a.{CIRCLE}
+  UNION ALL
+  SELECT e.conv_id, e.post_id FROM below w JOIN base e ON e.conv_id = w.conv_id AND e.parent_id = w.post_id),
 src AS (SELECT *, CAST(conv_id % 4 AS INT) AS part FROM base WHERE {IN_REDDIT} OR NOT missing)
 SELECT 'unlabelled' AS report, count(*) AS n FROM src WHERE post_id NOT IN (SELECT post_id FROM label_keys)
 UNION ALL SELECT 'missing_text', 0
 UNION ALL SELECT 'unknown_labels', 0
 UNION ALL SELECT 'corrupt_lines', 0
+UNION ALL SELECT 'unreachable', count(*) FROM below
 UNION ALL SELECT 'split_trees', count(*) FROM (
   SELECT conv_id FROM (
     SELECT s.conv_id, coalesce(max(CASE WHEN k.split = 'dev' THEN 'dev' END), max(CASE WHEN k.split = 'train' THEN 'train' END), min(k.split)) AS split
@@ -279,8 +288,10 @@ UNION ALL SELECT 'split_trees', count(*) FROM (
   GROUP BY conv_id HAVING count(DISTINCT split) > 1)""")
 def q_reports(spark, d):
     """What the preparation reports while it loads, counted."""
+    b = fixture(spark, d, "base").where(f"turn = 3 and {CIRCLE}")
+    fixes = b.select(F.concat(F.col("conv_id").cast("string"), F.lit("_0")).alias("conv_id"), F.col("parent_id").alias("post_id"), F.col("post_id").alias("new_parent"), F.lit(0).alias("fix_pos"))
     out = None
-    for name, df in _prepared(spark, d).reports.items():
+    for name, df in _prepared(spark, d, fixes).reports.items():
         row = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
         out = row if out is None else out.unionByName(row)
     return out
