@@ -25,9 +25,9 @@ def test_names(spark):
     root = shared_dir(spark, "names")
     put(root, {"t/1/replies/2.json": "{}", "t/1/replies/_3.json": "{}", "t/1/replies/.4.json": "{}", "t/1/source-tweet/1.json": "{}", "t/1/structure.json": "{}",
                "t/1/other/5.json": "{}", "t/.1/replies/6.json": "{}", ".t/1/replies/7.json": "{}", "_t/_1/replies/8.json": "{}", "t/notes.json": "{}", "t/1/replies/9.json/x": ""})
-    got = {(r.name, r.path.split("/")[-4]) for r in TH.role_files(spark, root, 2).collect()}
+    got = {(r.name, r.path.split("/")[-4]) for r in TH.Listed(spark, root, 2).files.collect()}
     assert got == {("2.json", "t"), ("_3.json", "t"), ("1.json", "t"), ("8.json", "_t")}
-    assert {r.name for r in TH.conversation_entries(spark, root, 2).where("not is_dir").collect()} == {"structure.json"}
+    assert {r.name for r in TH.Listed(spark, root, 2).entries.where("not is_dir").collect()} == {"structure.json"}
 
 
 def test_empty_root_and_missing_root(spark):
@@ -43,7 +43,7 @@ def test_texts_are_dealt_by_size(spark):
     root = shared_dir(spark, "sizes")
     texts = {f"c/replies/{i}.json": "é" * (10 + i) for i in range(40)} | {"c/replies/5.json": "x" * (4 << 20)}
     put(root, texts)
-    df = LI.read_texts(TH.role_files(spark, root, 1), 1 << 20).withColumn("part", F.spark_partition_id())
+    df = LI.read_texts(TH.Listed(spark, root, 1).files, 1 << 20).withColumn("part", F.spark_partition_id())
     rows = df.collect()
     assert {r.file_path.split(root.removeprefix("file:") + "/")[1]: r.value for r in rows} == texts
     by = {}
@@ -61,7 +61,7 @@ def test_a_hundred_thousand_files(spark):
         os.makedirs(d)
         for i in range(1000):
             os.close(os.open(f"{d}/{c}_{i}.json", os.O_CREAT | os.O_WRONLY))
-    files = TH.role_files(spark, root, 1)
+    files = TH.Listed(spark, root, 1).files
     assert files.count() == 100_000
     assert files.select(F.countDistinct("name")).first()[0] == 100_000
     assert len(files._jdf.queryExecution().toString()) < 20_000

@@ -18,7 +18,7 @@ folders or topics is two conversations. A post given several times is one post
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +35,10 @@ PLATFORM_RANK = {"twitter": 0, "reddit": 1}
 
 @dataclass
 class ThreadFolder:
-    """One folder of threads: ``platform`` 'twitter' or 'reddit'; ``fold``
+    """One folder of threads (a path, or a ``Listed`` one): ``platform`` 'twitter' or 'reddit'; ``fold``
     fixes the fold of every conversation in it (Reddit folders, test data),
     otherwise it comes from the labels of the replies (N6)."""
-    root: str
+    root: str | TH.Listed
     platform: str
     fold: str | None = None
 
@@ -101,6 +101,7 @@ def prepare(spark: SparkSession, folders: Sequence[ThreadFolder], labels: DataFr
     repair has cut off from every root, or put below themselves)."""
     posts, edges, corrupt, rooted = None, None, None, None
     for no, f in enumerate(folders):
+        f = replace(f, root=TH.listed(spark, f.root, f.platform))  # posts, trees and corrupt lines come from one listing
         p, r = folder_posts(spark, f, labels, priority, no), repaired_edges(spark, f, no, fixes)
         c = TH.corrupt_lines(spark, f.root, f.platform)
         if fixes is None:

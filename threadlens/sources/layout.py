@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.operators.tree import nodes
+from threadlens.operators.tree import walk
 from threadlens.session import qualified, ship_package
 
 
@@ -61,27 +61,20 @@ def _json_str(c: Column) -> Column:
     return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
 
 
-def tree_documents(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
+def tree_documents(edges: DataFrame) -> DataFrame:
     """``(conv_id, value)``: the nested ``{"id": {...} | []}`` document of
-    every conversation, built bottom-up one tree level at a time (children
-    are grouped per parent, in sibling order)."""
-    nd = nodes(edges).select("conv_id", "post_id", "parent_id", "depth",
-                             F.element_at("ord", -1).alias("sib_pos"))
-    if max_depth is None:
-        max_depth = nd.agg(F.max("depth")).first()[0] or 0
-    level_up = None
-    for d in range(max_depth, -1, -1):
-        lvl = nd.where(F.col("depth") == d)
-        if level_up is not None:
-            kids = level_up.groupBy("conv_id", F.col("parent_id").alias("post_id")).agg(
-                F.array_sort(F.collect_list(F.struct("sib_pos", "kv"))).alias("_k"))
-            kids = kids.select("conv_id", "post_id", F.concat(
-                F.lit("{"), F.array_join(F.transform("_k", lambda s: s["kv"]), ", "), F.lit("}")).alias("_obj"))
-            lvl = lvl.join(kids, ["conv_id", "post_id"], "left")
-        else:
-            lvl = lvl.withColumn("_obj", F.lit(None).cast("string"))
-        level_up = lvl.select("conv_id", "post_id", "parent_id", "sib_pos", F.concat(
-            _json_str(F.col("post_id")), F.lit(": "), F.coalesce("_obj", F.lit("[]"))).alias("kv"))
-    roots = level_up.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("sib_pos", "kv"))).alias("_k"))
-    return roots.select("conv_id", F.concat(F.lit("{"), F.array_join(F.transform("_k", lambda s: s["kv"]), ", "),
-                                            F.lit("}")).alias("value"))
+    every conversation, written down in pre-order: a node opens an object if
+    the next one is deeper, else it is a leaf and closes as many as the next
+    one is higher. One document is one row, by nature of the format."""
+    nd = walk(edges).select("conv_id", F.struct("ord", "depth", _json_str(F.col("post_id")).alias("name")).alias("n"))
+    g = nd.groupBy("conv_id").agg(F.array_sort(F.collect_list("n")).alias("_n"))
+
+    def pieces(nodes: Column) -> Column:
+        def piece(x: Column, i: Column) -> Column:
+            before, after = F.when(i > 0, F.get(nodes, i - 1)["depth"]), F.get(nodes, i + 1)["depth"]
+            comma = F.when(before >= x["depth"], ", ").otherwise("")
+            leaf = F.concat(F.lit("[]"), F.repeat(F.lit("}"), x["depth"] - F.coalesce(after, F.lit(0))))
+            return F.concat(comma, x["name"], F.lit(": "), F.when(after > x["depth"], "{").otherwise(leaf))
+        return F.array_join(F.transform(nodes, piece), "")
+
+    return g.select("conv_id", F.concat(F.lit("{"), F.transform(F.array("_n"), pieces)[0], F.lit("}")).alias("value"))

@@ -10,11 +10,14 @@ stays known (of several versions of a post the last counts) and a line that is
 no JSON object is kept as a corrupt line instead of an empty post. Topic,
 conversation and role come from the path. Names starting with ``.`` are no
 posts, names starting with ``_`` are. Folders are listed and files read in
-tasks (``sources.listing``).
+tasks (``sources.listing``); a scan takes a root, or a ``Listed`` one that
+several scans share.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,20 +55,36 @@ def post_id_from_path(path) -> Column:
     return F.regexp_extract(p, r"([^/]+)\.json$", 1)
 
 
-def conversation_entries(spark: SparkSession, root: str, levels: int) -> DataFrame:
-    """What lies in each conversation folder: (path, name, is_dir, size)."""
-    return listing.children(listing.folders(spark, root, levels))
+class Listed:
+    """What lies below a root, listed once for several scans of it."""
+
+    def __init__(self, spark: SparkSession, root: str, levels: int):
+        self.spark, self.root, self.levels = spark, root, levels
+
+    @cached_property
+    def entries(self) -> DataFrame:
+        """(path, name, is_dir, size) of what each conversation folder holds."""
+        return listing.children(listing.folders(self.spark, self.root, self.levels))
+
+    @cached_property
+    def files(self) -> DataFrame:
+        """(path, name, size) of every file in the role folders."""
+        roles = self.entries.where(F.col("is_dir") & F.col("name").isin(*ROLE_DIRS))
+        return listing.children(roles).where("not is_dir").select("path", "name", "size")
 
+    @cached_property
+    def posts(self) -> DataFrame:
+        """(file_path, value) of every post file."""
+        return listing.read_texts(self.files.where(F.col("name").endswith(".json")))
 
-def role_files(spark: SparkSession, root: str, levels: int) -> DataFrame:
-    """(path, name, size) of every file in the role folders."""
-    roles = conversation_entries(spark, root, levels).where(F.col("is_dir") & F.col("name").isin(*ROLE_DIRS))
-    return listing.children(roles).where("not is_dir").select("path", "name", "size")
+    @cached_property
+    def structures(self) -> DataFrame:
+        """(file_path, value) of every ``structure.json``."""
+        return listing.read_texts(self.entries.where("not is_dir and name = 'structure.json'"))
 
 
-def post_texts(spark: SparkSession, root: str, platform: str) -> DataFrame:
-    """(file_path, value) of every post file below ``root``."""
-    return listing.read_texts(role_files(spark, root, LEVELS[platform]).where(F.col("name").endswith(".json")))
+def listed(spark: SparkSession, root: str | Listed, platform: str) -> Listed:
+    return root if isinstance(root, Listed) else Listed(spark, root, LEVELS[platform])
 
 
 def _parsed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -88,31 +107,31 @@ def _path_parts(df: DataFrame, with_topic: bool) -> DataFrame:
                      (F.regexp_extract(p, rx, 2) == "source-tweet").alias("is_source"))
 
 
-def corrupt_lines(spark: SparkSession, root: str, platform: str) -> DataFrame:
+def corrupt_lines(spark: SparkSession, root: str | Listed, platform: str) -> DataFrame:
     """(file_path, line_no, line) of the lines that are no posts: no JSON
     object, or (Twitter) one without an id."""
     schema = TWEET_SCHEMA if platform == "twitter" else REDDIT_SCHEMA
-    df = _parsed(post_texts(spark, root, platform), schema)
+    df = _parsed(listed(spark, root, platform).posts, schema)
     bad = F.col("corrupt").isNotNull()
     if platform == "twitter":
         bad = bad | F.col("j.id_str").isNull()
     return df.where(bad).select("file_path", "line_no", F.coalesce("corrupt", F.to_json("j")).alias("line"))
 
 
-def scan_twitter(spark: SparkSession, root: str) -> DataFrame:
+def scan_twitter(spark: SparkSession, root: str | Listed) -> DataFrame:
     """``(platform, topic, conv_id, post_id, is_source, text, file_path,
     line_no)``; the post id is the tweet's own ``id_str``; NULL text is kept
     (see missing_text); corrupt lines are in ``corrupt_lines``."""
-    df = _parsed(post_texts(spark, root, "twitter"), TWEET_SCHEMA).where("corrupt is null and j.id_str is not null")
+    df = _parsed(listed(spark, root, "twitter").posts, TWEET_SCHEMA).where("corrupt is null and j.id_str is not null")
     df = _path_parts(df, True)
     return df.select(F.lit("twitter").alias("platform"), "topic", "conv_id", F.col("j.id_str").alias("post_id"),
                      "is_source", F.col("j.text").alias("text"), "file_path", "line_no")
 
 
-def scan_reddit_raw(spark: SparkSession, root: str) -> DataFrame:
+def scan_reddit_raw(spark: SparkSession, root: str | Listed) -> DataFrame:
     """S3: raw Reddit posts ``(conv_id, post_id, is_source, data, file_path,
     line_no)``; the post id is the file name (S5). Normalise with ``normalize_posts``."""
-    df = _parsed(post_texts(spark, root, "reddit"), REDDIT_SCHEMA).where("corrupt is null")
+    df = _parsed(listed(spark, root, "reddit").posts, REDDIT_SCHEMA).where("corrupt is null")
     df = _path_parts(df, False)
     return df.select(F.lit("reddit").alias("platform"), "conv_id", post_id_from_path("file_path").alias("post_id"),
                      "is_source", F.col("j.data").alias("data"), "file_path", "line_no")
@@ -121,25 +140,24 @@ def scan_reddit_raw(spark: SparkSession, root: str) -> DataFrame:
 def list_post_files(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
     """S5 report: every file below the role folders with the id taken from its
     name; ``is_json`` is false for names the scans do not read."""
-    df = role_files(spark, root, depth)
+    df = Listed(spark, root, depth).files
     return df.select(F.regexp_extract("path", r"/([^/]+)/(source-tweet|replies)/[^/]+$", 1).alias("conv_id"),
                      F.col("name").alias("file_name"), F.col("path").endswith(".json").alias("is_json"),
                      F.when(F.col("path").endswith(".json"), post_id_from_path("path")).alias("post_id"))
 
 
-def scan_structures(spark: SparkSession, root: str, platform: str) -> DataFrame:
+def scan_structures(spark: SparkSession, root: str | Listed, platform: str) -> DataFrame:
     """``(topic, conv_id, value)`` — the tree document of every conversation
     (Twitter: the last non-empty line of the file; Reddit: the whole file)."""
-    found = conversation_entries(spark, root, LEVELS[platform]).where("not is_dir and name = 'structure.json'")
     topic = F.regexp_extract("file_path", r"/([^/]+)/[^/]+/structure\.json$", 1) if platform == "twitter" else F.lit("")
-    raw = listing.read_texts(found).select(topic.alias("topic"), F.regexp_extract("file_path", r"/([^/]+)/structure\.json$", 1).alias("conv_id"), "value")
+    raw = listed(spark, root, platform).structures.select(topic.alias("topic"), F.regexp_extract("file_path", r"/([^/]+)/structure\.json$", 1).alias("conv_id"), "value")
     if platform == "twitter":
         lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != F.lit(""))
         raw = raw.select("topic", "conv_id", F.element_at(lines, -1).alias("value"))
     return raw
 
 
-def scan_edges(spark: SparkSession, root: str, platform: str, with_topic: bool = False) -> DataFrame:
+def scan_edges(spark: SparkSession, root: str | Listed, platform: str, with_topic: bool = False) -> DataFrame:
     """S6 + T1: the reply edges of every conversation under ``root``; with
     ``with_topic`` the key is (topic, conv_id), for ids that recur in topics."""
     docs = scan_structures(spark, root, platform)
