@@ -5,7 +5,7 @@ vocabulary is built from the corpus (pretrained word-piece vocabularies are
 not part of this library): token counts -> top-k -> ids from 4, with
 [PAD] 0, [UNK] 1, [CLS] 2, [SEP] 3.
 
-A vocabulary of at most MAX_SENT_VOCAB rows (counted first) is sent to the
+A vocabulary of at most MAX_SENT_VOCAB rows is sent to the
 tasks, and a vectorised function looks the tokens up where they stand: no
 token is exploded or shuffled. A larger one is joined, with the same result.
 """
@@ -20,9 +20,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.functions import lexicons as L
-from threadlens.session import ship_package
+from threadlens.session import materialize, ship_package
 
 MAX_SENT_VOCAB = 1_000_000
+MAX_NAMED, MAX_TRACKED = 100_000, 1_000_000  # the most a frequent-items sketch names and keeps (Spark's limits)
 
 
 def text_tokens(col) -> Column:
@@ -30,14 +31,49 @@ def text_tokens(col) -> Column:
     return F.filter(F.split(F.coalesce(c, F.lit("")), "[ \n]+"), lambda x: x != F.lit(""))
 
 
-def build_vocab(df: DataFrame, text_cols: Sequence[str], size: int = L.DEFAULT_VOCAB_SIZE) -> DataFrame:
-    """(token, token_id, n) for the ``size`` most frequent tokens (ties
-    by token). Counting is a partial aggregation; the cut is a top-k."""
+def all_tokens(df: DataFrame, text_cols: Sequence[str]) -> DataFrame:
+    """(token): a row for every token of the text columns."""
     toks = None
     for c in text_cols:
         t = df.select(F.explode(text_tokens(c)).alias("token"))
         toks = t if toks is None else toks.unionByName(t)
-    counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return toks
+
+
+def heavy_hitters(tokens: DataFrame, size: int, named: int | None = None, tracked: int | None = None) -> DataFrame:
+    """(token, n) of at least the ``size`` most frequent tokens, counted
+    exactly, without a shuffle of all distinct tokens.
+
+    Each task keeps a frequent-items sketch; the merged one names candidates,
+    and only these (sent to the tasks, at most ``MAX_NAMED``) are counted. A
+    token that is not named occurs at most as often as the last one named, or
+    as twice the sketch's error (3.5 / counters kept, of all tokens). So the
+    result holds if the ``size``-th exact count is above both, or if the named
+    tokens are all there are (their counts add up to the whole). If neither can
+    be shown the sketch is widened fourfold, and beyond Spark's limits all
+    tokens are counted."""
+    named, tracked = named or 2 * size, tracked or 8 * size
+    while named <= MAX_NAMED and tracked <= MAX_TRACKED:
+        sketch = materialize(tokens.agg(F.count(F.lit(1)).alias("all"), F.expr(f"approx_top_k(token, {int(named)}, {int(tracked)})").alias("top")), "sketch")
+        found = sketch.select("all", F.size("top").alias("k"), F.coalesce(F.array_min(F.transform("top", lambda x: x["count"])), F.lit(0)).alias("least")).first()
+        names = sketch.select(F.explode("top.item").alias("token"))
+        counts = materialize(tokens.join(F.broadcast(names), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n")), "candidates")
+        unnamed = max(found["least"] if found["k"] >= named else 0, -(-7 * found["all"] // tracked))
+        last = counts.orderBy(F.desc("n")).limit(size).agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n")).first()
+        if (last["k"] == size and last["n"] > unnamed) or (counts.agg(F.sum("n")).first()[0] or 0) == found["all"]:
+            return counts
+        named, tracked = 4 * named, 4 * tracked
+    return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+def build_vocab(df: DataFrame, text_cols: Sequence[str], size: int = L.DEFAULT_VOCAB_SIZE, sketch: bool = False) -> DataFrame:
+    """(token, token_id, n) for the ``size`` most frequent tokens (ties
+    by token). Counting is a partial aggregation; the cut is a top-k. With
+    ``sketch`` only likely tokens are counted (``heavy_hitters``): the same
+    rows, for corpora whose distinct tokens are far more than the vocabulary,
+    at the price of reading the texts twice."""
+    toks = all_tokens(df, text_cols)
+    counts = heavy_hitters(toks, size) if sketch else toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size)
     # at most `size` rows from here on: numbering them in one window is bounded
     w = Window.orderBy(F.desc("n"), F.asc("token"))
@@ -70,9 +106,10 @@ def encode_texts(df: DataFrame, key_cols: Sequence[str], texts: dict[str, str],
     key_cols = list(key_cols)
     outs = list(texts)
     v = vocab.select("token", "token_id")
-    if v.limit(most + 1).count() <= most:
+    rows = v.limit(most + 1).collect()
+    if len(rows) <= most:
         ship_package(df.sparkSession)
-        look = _looked_up({r["token"]: r["token_id"] for r in v.collect()})
+        look = _looked_up({r["token"]: r["token_id"] for r in rows})
         return df.select("*", *[look(text_tokens(texts[o])).alias(o) for o in outs])
 
     def tag(j):

@@ -77,19 +77,10 @@ def evaluate_splits(scored: DataFrame, weights: DataFrame, gold: str = "stance_l
 
 
 def learning_curve(examples: DataFrame, epochs: int = 2, with_features: bool = False, run: str = "lr",
-                   train_fold: str = "train", num_features: int = 1 << 16) -> DataFrame:
-    """The epoch loop of training, as a table: after each epoch e the model is
-    the pipeline fitted with ``e + 1`` solver iterations, scored on every fold.
-    Returns ``(run, epoch, split, loss, accuracy, f1_macro, f1_weighted)`` —
-    the input of ``running_best`` / ``early_stop`` / ``learning_curves``.
-    ``epochs`` is a small number of driver iterations; each is a Spark job set."""
-    train = examples.where(F.col("fold") == train_fold)
-    weights = class_weights(train.where(F.col("stance_label").isNotNull()))
-    out = None
-    for e in range(epochs):
-        model = fit_stance(train, with_features=with_features, num_features=num_features, max_iter=e + 1)
-        m = evaluate_splits(predict(model, examples), weights) \
-            .select(F.lit(run).alias("run"), F.lit(e).alias("epoch"), "split", "loss", "accuracy",
-                    "f1_macro", "f1_weighted")
-        out = m if out is None else out.unionByName(m)
-    return out
+                   train_fold: str = "train", num_features: int = 1 << 16, patience: int | None = None) -> DataFrame:
+    """The epoch loop of training, as a table ``(run, epoch, split, loss,
+    accuracy, f1_macro, f1_weighted)`` — the input of ``running_best`` /
+    ``early_stop`` / ``learning_curves``. One model is carried from epoch to
+    epoch (``operators.epochs``); with ``patience`` the loop stops as M11 says."""
+    from threadlens.operators.epochs import fit_epochs
+    return fit_epochs(examples, epochs, with_features, run, train_fold, num_features, patience).curve(examples.sparkSession)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from threadlens.functions import lexicons as L
 from threadlens.functions import text as TX
 from threadlens.operators import batching as BA
 from threadlens.operators import encode as EN
@@ -12,7 +13,7 @@ from threadlens.operators import evaluate as EV
 from threadlens.operators import normalize as NO
 from threadlens.operators import profile as PR
 from threadlens.operators import tree as TR
-from threadlens.plans.fixtures import duck_with, fixture
+from threadlens.plans.fixtures import duck_with, fixture, table
 from threadlens.plans.q_threads import (DUCK_EXAMPLES_WITH, DUCK_TREE, _present_branches, duck_ints_str,
                                         examples_df, ints_str)
 from threadlens.plans.registry import register
@@ -373,7 +374,7 @@ def q_triple(spark, d):
     return e.select("fold", "id", TX.triple_text("raw_text_src", "raw_text_prev", "raw_text").alias("triple"))
 
 
-VOCAB_SIZE = 200
+VOCAB_SIZE = L.DEFAULT_VOCAB_SIZE
 DUCK_TOKS = "list_filter(string_split_regex(coalesce({c}, ''), '[ \\n]+'), lambda x: x <> '')"
 DUCK_VOCAB = f""",
 vocab AS (
@@ -392,6 +393,21 @@ def q_vocab(spark, d):
     return _vocab(spark, d)[1]
 
 
+TOP = 300
+
+
+@register("agg_vocab_sketch", f"""
+SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) - 1 + 4 AS INT) AS token_id, n FROM (
+  SELECT token, count(*) AS n FROM (
+    SELECT unnest({DUCK_TOKS.format(c='text')}) AS token FROM documents UNION ALL SELECT unnest({DUCK_TOKS.format(c='html')}) FROM pages)
+  GROUP BY token ORDER BY n DESC, token LIMIT {TOP})""")
+def q_vocab_sketch(spark, d):
+    """E2 by the sketch of frequent tokens, over whole documents and pages:
+    the cut is far above the rare tokens, which are never shuffled."""
+    texts = table(spark, d, "documents").select("text").unionByName(table(spark, d, "pages").select(F.col("html").alias("text")))
+    return EN.build_vocab(texts, ["text"], TOP, sketch=True)
+
+
 def duck_encoded(max_length: int) -> str:
     budget = max_length - 3
     half = budget // 2
@@ -547,9 +563,22 @@ def q_learning_curve(spark, d):
     """M2 + M4/M6-M8 per epoch and split, then M11 on it: the training loop's
     table (rows-only check: solver output is not SQL)."""
     from threadlens.operators.model import learning_curve
-    curve = learning_curve(examples_df(spark, d), epochs=3)
+    curve = learning_curve(examples_df(spark, d), epochs=3, patience=4)
     return curve.select("run", "epoch", "split", r6("loss").alias("loss"), r6("accuracy").alias("accuracy"),
                         r6("f1_macro").alias("f1_macro"), r6("f1_weighted").alias("f1_weighted"))
 
 
+@register("ml_epochs_check", DUCK_EXAMPLES_WITH + """
+SELECT fold AS split, 6 AS n_epochs, TRUE AS in_range, CASE WHEN fold = 'train' THEN TRUE END AS loss_falls FROM examples WHERE stance_label IS NOT NULL GROUP BY fold""")
+def q_epochs_check(spark, d):
+    """M2 with carried weights, what must hold for any data: every epoch is
+    measured on every split, and the training loss falls from the first to the last."""
+    from threadlens.operators.epochs import fit_epochs
+    c = fit_epochs(examples_df(spark, d), epochs=6, with_features=True).curve(spark)
+    falls = F.max_by("loss", "epoch") < F.min_by("loss", "epoch")
+    ok = F.min(F.col("accuracy").between(0, 1) & F.col("f1_macro").between(0, 1) & F.col("f1_weighted").between(0, 1) & (F.col("loss") >= 0))
+    return c.groupBy("split").agg(F.countDistinct("epoch").cast("int").alias("n_epochs"), ok.alias("in_range"), falls.alias("f")) \
+        .select("split", "n_epochs", "in_range", F.when(F.col("split") == "train", F.col("f")).alias("loss_falls"))
+
+
 __all__ = ["duck_ints_str"]
