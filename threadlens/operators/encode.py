@@ -52,7 +52,7 @@ def heavy_hitters(tokens: DataFrame, size: int, named: int | None = None, tracke
     tokens are all there are (their counts add up to the whole). If neither can
     be shown the sketch is widened fourfold, and beyond Spark's limits all
     tokens are counted."""
-    named, tracked = named or 2 * size, tracked or 8 * size
+    named, tracked = named or 2 * size, tracked or max(8 * size, 1 << 13)
     while named <= MAX_NAMED and tracked <= MAX_TRACKED:
         sketch = materialize(tokens.agg(F.count(F.lit(1)).alias("all"), F.expr(f"approx_top_k(token, {int(named)}, {int(tracked)})").alias("top")), "sketch")
         found = sketch.select("all", F.size("top").alias("k"), F.coalesce(F.array_min(F.transform("top", lambda x: x["count"])), F.lit(0)).alias("least")).first()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,28 @@ def branch_profile(branch_rows: DataFrame, approx: bool = False) -> DataFrame:
         F.sum(F.col("issource").cast("long")).alias("n_source_occurrences"))
 
 
+def profile_sketches(branch_rows: DataFrame, group_cols: Sequence[str] = ("fold",), lg_k: int = 14) -> DataFrame:
+    """A1 to be kept and merged: per group the two counts and a HyperLogLog
+    sketch of the distinct posts (2^``lg_k`` registers at most). Store it, and
+    profile new folders alone."""
+    return branch_rows.groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("n_occurrences"), F.sum(F.col("issource").cast("long")).alias("n_source_occurrences"),
+        F.hll_sketch_agg("post_id", F.lit(lg_k)).alias("posts"))
+
+
+def merge_profiles(sketches: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``profile_sketches`` (of any parts, united) merged to coarser
+    groups; the result has the same columns and can be merged again."""
+    return sketches.groupBy(*group_cols).agg(
+        F.sum("n_occurrences").alias("n_occurrences"), F.sum("n_source_occurrences").alias("n_source_occurrences"),
+        F.hll_union_agg("posts").alias("posts"))
+
+
+def profile_estimates(sketches: DataFrame) -> DataFrame:
+    """A1 from merged sketches: ``n_posts`` is an estimate, the counts are exact."""
+    return sketches.withColumn("n_posts", F.hll_sketch_estimate("posts")).drop("posts")
+
+
 def class_balance(examples: DataFrame, label_col: str = "stance_label", k: int = N_CLASSES) -> DataFrame:
     """A2: class counts over all examples and over source posts only; every
     class of ``range(k)`` appears (0 when absent)."""

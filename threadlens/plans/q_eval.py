@@ -17,6 +17,7 @@ from threadlens.plans.fixtures import duck_with, fixture, table
 from threadlens.plans.q_threads import (DUCK_EXAMPLES_WITH, DUCK_TREE, _present_branches, duck_ints_str,
                                         examples_df, ints_str)
 from threadlens.plans.registry import register
+from threadlens.session import materialize
 
 STANCE_CASE = ("CASE {c} WHEN 'support' THEN 0 WHEN 'comment' THEN 1 WHEN 'deny' THEN 2 "
                "WHEN 'query' THEN 3 END")
@@ -335,6 +336,21 @@ def q_branch_profile(spark, d):
     return PR.branch_profile(rows)
 
 
+@register("agg_branch_profile_sketch", duck_with("posts", "edges", recursive=True) + DUCK_TREE + """
+SELECT p.fold, count(*) AS n_occurrences, CAST(sum(CASE WHEN p.is_source THEN 1 ELSE 0 END) AS BIGINT) AS n_source_occurrences, TRUE AS near
+FROM present_bp b JOIN posts p ON p.conv_id = b.conv_id AND p.post_id = b.post_id GROUP BY p.fold""")
+def q_branch_profile_sketch(spark, d):
+    """A1 by stored sketches: a profile per fold and folder (conv_id % 3),
+    written, merged to folds; ``near``: the estimate is within 3 % of the count."""
+    posts, pb = _present_branches(spark, d)
+    rows = pb.join(posts.select("conv_id", "post_id", "fold", F.col("is_source").cast("int").alias("issource")), ["conv_id", "post_id"])
+    rows = materialize(rows.withColumn("folder", F.col("conv_id") % 3), "branch-rows")
+    stored = materialize(PR.profile_sketches(rows, ["fold", "folder"]), "profiles")
+    merged = PR.profile_estimates(PR.merge_profiles(stored, ["fold"]))
+    exact = rows.groupBy("fold").agg(F.countDistinct("post_id").alias("exact"))
+    return merged.join(exact, "fold").select("fold", "n_occurrences", "n_source_occurrences", (F.abs(F.col("n_posts") - F.col("exact")) <= 0.03 * F.col("exact")).alias("near"))
+
+
 @register("agg_class_balance", DUCK_EXAMPLES_WITH + """,
 c AS (SELECT stance_label AS class, count(*) AS n, CAST(sum(issource) AS BIGINT) AS n_source
       FROM examples WHERE stance_label IS NOT NULL GROUP BY 1),

@@ -24,8 +24,10 @@ from threadlens.plans.q_threads import (DUCK_EXAMPLES, DUCK_EXAMPLES_TABLE, DUCK
 from threadlens.plans.registry import register
 from threadlens.session import shared_dir
 from threadlens.sources import examples_io as IO
+from threadlens.sources import key_ranges as KR
 from threadlens.sources import labels as LB
 from threadlens.sources import layout as LY
+from threadlens.sources import listing
 from threadlens.sources import threads as TH
 from threadlens.sources.lexicon import read_lexicon, strip_ws
 
@@ -54,6 +56,22 @@ def q_label_keys(spark, d):
     return LB.read_label_keys(spark, paths, whole_file=False)
 
 
+@register("src_label_keys_ranges", duck_with("label_keys") + "SELECT post_id, split, label FROM label_keys")
+def q_label_keys_ranges(spark, d):
+    """S1 by byte ranges: a few documents a split, each read by many tasks."""
+    keys = fixture(spark, d, "label_keys")
+    out = None
+    for s in SPLITS:
+        root = shared_dir(spark, "key-documents")
+        part = F.pmod(F.xxhash64("post_id"), F.lit(4)).cast("string")
+        docs = LB.label_documents(keys.where(F.col("split") == s).withColumn("part", part), F.col("part"))
+        LY.write_files(docs.select(F.concat_ws("/", F.lit(root), F.concat(F.md5("value"), F.lit(".json"))).alias("path"), F.col("value").alias("content")))
+        files = listing.children(spark.createDataFrame([(root,)], "path string"))
+        rows = KR.key_rows(files.select("path", "size"), s, range_bytes=512)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _answers(spark, d):
     p = fixture(spark, d, "preds")
     names = {0: "support", 1: "comment", 2: "deny", 3: "query"}

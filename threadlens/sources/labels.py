@@ -26,9 +26,15 @@ def read_documents(spark: SparkSession, path: str, whole_file: bool = True) -> D
 
 def parse_label_keys(raw: DataFrame, split: str | None = None, section: str = SECTION) -> DataFrame:
     """Flatten ``{section: {id: label}}`` documents into ``(post_id, split,
-    label)`` rows. Duplicate ids inside one document: the last one wins."""
-    m = F.from_json("value", "map<string,map<string,string>>")
-    rows = raw.select(F.explode(F.element_at(m, F.lit(section))).alias("post_id", "label"))
+    label)`` rows. Duplicate ids (or sections) inside one document: the last
+    one wins. A document is parsed by one task; for documents too large for
+    that see ``sources.key_ranges``."""
+    def last(m):
+        # the parser keeps repeated keys; building the map anew drops all but the last
+        return F.map_from_entries(F.map_entries(m))
+
+    m = last(F.from_json("value", "map<string,map<string,string>>"))
+    rows = raw.select(F.explode(last(F.element_at(m, F.lit(section)))).alias("post_id", "label"))
     return rows.select("post_id", F.lit(split).cast("string").alias("split"), "label")
 
 
