@@ -157,7 +157,7 @@ def test_prepare_with_repairs_two_topics_and_reports(spark):
     got = {(r.tweet_id, r.raw_text_src) for r in p.examples.collect()}
     assert got == {("1", ""), ("2", "src a"), ("9", "src a"), ("5", "")}
     n = {k: df.count() for k, df in p.reports.items()}
-    assert n == {"missing_text": 1, "unlabelled": 2, "split_trees": 1, "unknown_labels": 1, "corrupt_lines": 0}
+    assert n == {"missing_text": 1, "unlabelled": 2, "split_trees": 1, "unknown_labels": 1, "corrupt_lines": 0, "unreachable": 0}
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
