@@ -114,16 +114,46 @@ def test_personal_data(small):
 def test_lm_score(small):
     df, docs = small
     want = B.unigram(docs.items())
-    for block in (2_000, lm_score.BLOCK):  # many blocks, one block
-        got = table(lm_score.lm_scores(df, block), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "open_score")
+    for block, per in ((2_000, 500), (lm_score.BLOCK, lm_score.PER_BUCKET)):  # many blocks and buckets, one
+        got = table(lm_score.lm_scores(df, block, per), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "open_score")
         for i, w in want.items():
             assert got[i][:4] == w[:4]
             assert got[i][4] == pytest.approx(w[4], abs=1e-6)
-            assert got[i][5] < 0 and got[i][6] <= got[i][5] + 1e-9
+            assert got[i][5] < 0 and got[i][6] <= got[i][5] + 1e-6
         held = [g for g in got.values() if g[0]]
         assert sum(g[5] for g in held) > sum(g[4] for g in held)
 
 
+def test_lm_score_has_word_contexts(spark):
+    """A learned order scores above its shuffles, contexts beat the unigram on
+    held-out text, and the scores of all texts of up to two words stay below 1."""
+    import random
+    import zlib
+
+    r = random.Random(3)
+    follow = {"the": ["dog", "cat", "bird"], "dog": ["ran", "sat"], "cat": ["ran", "sat"], "bird": ["ran"], "ran": ["after", "home"], "sat": ["home", "after"], "after": ["the"], "home": ["the"]}
+
+    def walk(n):
+        out = ["the"]
+        while len(out) < n:
+            out.append(r.choice(follow[out[-1]]))
+        return " ".join(out)
+
+    train_ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held_ids = iter([i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 == 1])
+    texts = [(i, walk(12)) for i in train_ids[:200]]
+    known = sorted(follow)
+    short = ["", *known, "zebra", *(f"{a} {b}" for a in [*known, "zebra"] for b in [*known, "zebra"])]
+    probes = ["the dog ran after the cat", "cat the after ran dog the", "dog the cat the after ran", *[walk(12) for _ in range(20)]]
+    ids = {t: next(held_ids) for t in dict.fromkeys([*short, *probes])}
+    df = spark.createDataFrame(texts + [(i, t) for t, i in ids.items()], "doc_id long, text string").repartition(3)
+    got = table(lm_score.lm_scores(df, 1_000, 300), "held_out", "n_tokens", "base_score", "score")
+    right, *wrong = [got[ids[t]][3] for t in probes[:3]]
+    assert all(right > w + 2 for w in wrong)
+    assert sum(got[ids[t]][3] for t in probes[3:]) > 0.8 * sum(got[ids[t]][2] for t in probes[3:])
+    assert sum(10 ** got[ids[t]][3] for t in short) <= 1 + 1e-6
+
+
 def test_quality_rules(small):
     df, docs = small
     got = table(quality_rules.judge(df), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

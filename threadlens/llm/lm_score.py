@@ -1,26 +1,33 @@
 """Operator 8: language-model scores from a hierarchical Pitman-Yor model.
 
-The model is nested. Words are customers of one restaurant whose tables are
-labelled by spellings; a spelling is drawn byte by byte from context
-restaurants (the last three, two, one and no bytes), each sharing its parent
-with all contexts that end alike. Every table of a restaurant is a customer of
-its parent. Seatings are sampled by Gibbs sweeps: given the spelling model, the
-customers of each word are seated anew; given the tables, the context
-restaurants are, from the longest contexts to the shortest. The predictive
-probabilities of the sweeps behind the burn-in are averaged.
-
-Scale. Text is read in blocks of about BLOCK bytes. A block sends one row for
-each of its distinct words; counts and seatings live in the vocabulary table,
-dealt by word; a block gets back one vector of counts and log-probabilities in
-the order of its own words. So what is shuffled follows the distinct words of
-the blocks, not the tokens, and a word that stands in all documents is one row
-a block. Context classes bound the spelling model: 2^16 contexts of 257 symbols
-at most, whatever the corpus, so it may be sent to all tasks.
+Each word is a context: the words behind it sit in its restaurant, the first
+words of texts in that of the end. All contexts share one parent, the word
+restaurant; every table of a context is a customer of it. Below it stands a
+spelling model: tables of the word restaurant are labelled by spellings, drawn
+byte by byte from context restaurants of the last bytes of a word.
+
+Seatings are sampled by Gibbs sweeps: given the word restaurant's probabilities
+and each context's tables, the customers of all pairs are seated anew; then
+those of the word restaurant by the spelling model, then the spellings. The
+predictive probabilities of the sweeps behind the burn-in are averaged.
+
+Scale. Text is read in blocks of about BLOCK bytes. Rows that travel are packed:
+one for each block and bucket, holding number arrays. Words are dealt to buckets
+by hash; a word's number is its rank in its bucket. Pairs (context, word) are
+dealt to a grid, by context and by word, so a frequent context (or word) is
+spread over a row (column) of the grid. A pair counted once has one table and is
+only counted; the others are seated each sweep by what the words' buckets
+send to their row and column. A block gets back the counts of its pairs and the
+words' states, and seats its own pairs again by the same draws. The number of
+buckets follows the words and tokens, PER_BUCKET of them each.
 
 ``score`` has the events of the base score: the words of the training texts,
-each by itself, and "any other word", whose probability is what the word
-restaurant leaves to new tables times the spellings no known word has.
-``open_score`` spells such words out.
+and "any other word", whose probability is what the word restaurant leaves to
+new tables times the spellings no known word has. ``open_score`` spells such
+words out.
+
+Spelling contexts are folded to 16 bits, so that model has a bound whatever the
+corpus and is sent to all tasks; word contexts are not folded.
 
 The end of a text is the empty word. Its spelling has the first symbol "end".
 
@@ -41,7 +48,9 @@ from threadlens.llm.common import LOWER, documents, mapped, mixed, saved, span_h
 from threadlens.llm.registry import query
 
 BLOCK = 6 << 20
-SWEEPS, BURN_IN = 4, 1
+PER_BUCKET = 1 << 20                # words or tokens of blocks that a bucket is meant for
+SWEEPS, BURN_IN = 3, 1
+CONTEXT_STRENGTH = 1.0              # theta of the word contexts
 STRENGTH = 20.0                     # theta of the word restaurant
 DISCOUNTS = (0.3, 0.5, 0.6, 0.7)    # of the context restaurants, by bytes of context
 STRENGTHS = (1.0, 1.0, 1.0, 1.0)
@@ -164,207 +173,478 @@ class Spelling:
         return Spelling(levels[::-1])
 
 
+# --- packed rows ---------------------------------------------------------------
+
+def planes(x: np.ndarray, width: int = 8) -> bytes:
+    """Whole numbers as bytes, all lowest bytes first: small ones compress."""
+    return np.ascontiguousarray(x.astype(f"<u{width}")).view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def numbers(b: bytes, width: int = 8) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel().astype(np.int64)
+
+
+def part(gid: np.ndarray, n: int) -> np.ndarray:
+    return (mixed(gid.astype(np.uint64)) % np.uint64(n)).astype(np.int64)
+
+
+def dealt(dest: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order by destination, and where each of the n begins and ends in it."""
+    order = np.argsort(dest, kind="stable")
+    return order, np.searchsorted(dest[order], np.arange(n + 1))
+
+
+def batch_of(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema)
+
+
+def word_places(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, offsets, hashes) of packed words."""
+    raw = np.frombuffer(row["words"], np.uint8)
+    offs = np.concatenate(([0], np.cumsum(numbers(row["lens"], 4))))
+    return raw, offs, span_hashes(raw, offs[:-1], offs[1:]) if len(raw) else np.zeros(len(offs) - 1, np.uint64)
+
+
+def picked(raw: np.ndarray, offs: np.ndarray, order: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The words in another order: their bytes and offsets."""
+    a = pa.Array.from_buffers(pa.large_binary(), len(offs) - 1, [None, pa.py_buffer(offs.astype(np.int64)), pa.py_buffer(raw.tobytes())]).take(pa.array(order))
+    out, data = text_bytes(a)[::-1]
+    return data.tobytes(), out
+
+
+def each(batch: pa.RecordBatch):
+    """Rows one at a time: a block's row is megabytes."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
+def rows_of(table: pa.Table, by: str) -> list[dict]:
+    return sorted(table.to_pylist(), key=lambda r: r[by])
+
+
+def schema_of(ddl: str) -> pa.Schema:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64()}
+    return pa.schema([(n, kinds[t]) for n, t in (x.split() for x in ddl.split(", "))])
+
+
 # --- blocks --------------------------------------------------------------------
 
-_BLOCK_SCHEMA = "block string, lid int, h bigint, c bigint, word binary, ids array<{id}>, held array<boolean>, sizes array<int>, lids binary, tfs binary"
+_BLOCKS = "block string, ids array<{id}>, held array<boolean>, sizes array<int>, toks binary, words binary, lens binary, c binary, n_words bigint, n_tokens bigint"
 
 
 def _blocks(most: int):
-    """Documents -> per block one row a distinct word, and one row with the
-    words of all its documents as numbers."""
+    """Documents -> one row a block: its tokens as numbers in order, most
+    frequent words first, with the spellings and training counts of its words."""
     def run(batches):
         from pyspark import TaskContext
 
         task, no = TaskContext.get().partitionId(), 0
-        docs, size, id_type = [], 0, None
-
-        def flush():
-            h = np.concatenate([d[2] for d in docs])
-            tf = np.concatenate([d[3] for d in docs])
-            train = np.repeat([not d[1] for d in docs], [len(d[2]) for d in docs])
-            u, first, inv = np.unique(h, return_index=True, return_inverse=True)
-            c = np.bincount(inv, tf * train, len(u)).astype(np.int64)
-            spell = [w for d in docs for w in d[4]]
-            name, n = f"{task}-{no}", len(u)
-            null = lambda t: pa.nulls(n, t)
-            arr = {"block": pa.array([name] * n), "lid": pa.array(np.arange(n, dtype=np.int32)), "h": pa.array(u.view(np.int64)), "c": pa.array(c),
-                   "word": pa.array([spell[i] for i in first.tolist()], pa.binary()), "ids": null(pa.list_(id_type)), "held": null(pa.list_(pa.bool_())),
-                   "sizes": null(pa.list_(pa.int32())), "lids": null(pa.binary()), "tfs": null(pa.binary())}
-            yield pa.RecordBatch.from_arrays(list(arr.values()), list(arr))
-            lids = np.diff(inv.astype(np.int32), prepend=np.int32(0)).astype(np.int32)
-            row = {"block": pa.array([name]), "lid": pa.nulls(1, pa.int32()), "h": pa.nulls(1, pa.int64()), "c": pa.nulls(1, pa.int64()), "word": pa.nulls(1, pa.binary()),
-                   "ids": pa.array([[d[0] for d in docs]], pa.list_(id_type)), "held": pa.array([[d[1] for d in docs]], pa.list_(pa.bool_())),
-                   "sizes": pa.array([[len(d[2]) for d in docs]], pa.list_(pa.int32())), "lids": pa.array([lids.tobytes()], pa.binary()), "tfs": pa.array([tf.astype(np.int32).tobytes()], pa.binary())}
-            yield pa.RecordBatch.from_arrays(list(row.values()), list(row))
-
-        seen: set = set()
         for batch in batches:
-            id_type = batch.schema.field("doc_id").type
-            for b in steps(batch):
+            for b in steps(batch, most=most):
                 buf, offs = text_bytes(b.column("text"))
                 buf = LOWER[buf]
                 starts, ends, at = word_bounds(buf, offs)
-                h = span_hashes(buf, starts, ends)
-                raw = buf.tobytes()
-                for i, (doc, held) in enumerate(zip(b.column("doc_id").to_pylist(), b.column("held").to_pylist())):
-                    lo, hi = at[i], at[i + 1]
-                    u, first, n = np.unique(np.append(h[lo:hi], np.uint64(0)), return_index=True, return_counts=True)  # 0: the end
-                    # a spelling is kept once a block
-                    words = [b"" if j == hi - lo else None if x in seen else raw[starts[lo + j]:ends[lo + j]] for x, j in zip(u.tolist(), first.tolist())]
-                    seen.update(u.tolist())
-                    docs.append((doc, held, u, n, words))
-                    size += int(offs[i + 1] - offs[i]) + 64
-                    if size >= most:
-                        yield from flush()
-                        docs, size, no = [], 0, no + 1
-                        seen.clear()
-        if docs:
-            yield from flush()
+                h = np.insert(span_hashes(buf, starts, ends), at[1:], np.uint64(0))  # 0: the end
+                starts, ends = np.insert(starts, at[1:], 0), np.insert(ends, at[1:], 0)
+                sizes = np.diff(at) + 1
+                held = b.column("held").to_numpy(zero_copy_only=False).astype(bool)
+                u, first, inv, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+                order = np.argsort(-n, kind="stable")
+                lid = np.empty(len(u), np.int64)
+                lid[order] = np.arange(len(u))
+                toks = lid[inv]
+                c = np.bincount(toks, np.repeat(~held, sizes), len(u))
+                raw, lo, hi = buf.tobytes(), starts[first[order]], ends[first[order]]
+                row = {"block": [f"{task}-{no}"], "ids": pa.array([b.column("doc_id").to_pylist()], pa.list_(batch.schema.field("doc_id").type)), "held": [held.tolist()],
+                       "sizes": pa.array([sizes.tolist()], pa.list_(pa.int32())), "toks": [planes(toks, 4)], "words": [b"".join(raw[i:j] for i, j in zip(lo.tolist(), hi.tolist()))],
+                       "lens": [planes(hi - lo, 4)], "c": [planes(c)], "n_words": [len(u)], "n_tokens": [len(toks)]}
+                no += 1
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) if k in ("toks", "words", "lens", "c") else pa.array(v) if isinstance(v, list) else v for k, v in row.items()], list(row))
     return run
 
 
-def _binary(col):
-    """(offsets, bytes) of an Arrow binary column."""
-    return (x := text_bytes(col))[1], x[0]
+# --- words ---------------------------------------------------------------------
+
+_SENT = "bucket int, block string, words binary, lens binary, c binary"
+_NAMED = "bucket int, block string, words binary, lens binary, c binary, gids binary, known bigint, once bigint, twice bigint, customers bigint"
+
+
+def _send_words(k: int):
+    schema = schema_of(_SENT)
 
+    def run(batches):
+        for b in batches:
+            for r in each(b):
+                raw, offs, h = word_places(r)
+                order, cut = dealt((h % np.uint64(k)).astype(np.int64), k)
+                data, offs = picked(raw, offs, order)
+                c, lens = numbers(r["c"])[order], np.diff(offs)
+                yield batch_of(schema, [{"bucket": i, "block": r["block"], "words": data[offs[lo]:offs[hi]], "lens": planes(lens[lo:hi], 4), "c": planes(c[lo:hi])}
+                                        for i, (lo, hi) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if hi > lo])
+    return run
 
-class Word:
-    """The word restaurant: discount, customers in all, tables of each sweep."""
 
-    def __init__(self, d: float, customers: float, tables: list[float], spelling: list[Spelling]):
-        self.d, self.customers, self.tables, self.spelling = d, customers, tables, spelling
+def _name(k: int):
+    """A bucket's words -> one row of all its words by rank, and to each block
+    the numbers (rank * k + bucket) and counts of its own."""
+    schema = schema_of(_NAMED)
+
+    def run(key, table):
+        bucket, rows = key[0].as_py(), rows_of(table, "block")
+        got = [word_places(r) for r in rows]
+        raw = np.concatenate([g[0] for g in got])
+        lens = np.concatenate([np.diff(g[1]) for g in got])
+        u, first, inv = np.unique(np.concatenate([g[2] for g in got]), return_index=True, return_inverse=True)
+        c = np.bincount(inv, np.concatenate([numbers(r["c"]) for r in rows]), len(u)).astype(np.int64)
+        order = np.lexsort((u, -c))
+        rank = np.empty(len(u), np.int64)
+        rank[order] = np.arange(len(u))
+        data, offs = picked(raw, np.concatenate(([0], np.cumsum(lens))), first[order])
+        out = [{"bucket": bucket, "words": data, "lens": planes(np.diff(offs), 4), "c": planes(c[order]), "known": int((c > 0).sum()),
+                "once": int((c == 1).sum()), "twice": int((c == 2).sum()), "customers": int(c.sum())}]
+        gid, at = rank[inv] * k + bucket, 0
+        for r, g in zip(rows, got):
+            n = len(g[2])
+            out.append({"bucket": bucket, "block": r["block"], "gids": planes(gid[at:at + n]), "c": planes(c[inv[at:at + n]])})
+            at += n
+        return pa.Table.from_pylist(out, schema)
+    return run
+
 
-    def seat(self, sweep: int, h, c, offs, raw):
-        """(log spelling probability, tables) of words in a sweep."""
-        lp = self.spelling[sweep].words(offs, raw)
-        return lp, seated(c, np.exp(lp), STRENGTH + self.d * self.tables[sweep], self.d, h, 1_000_003 * (sweep + 1))
+# --- pairs ---------------------------------------------------------------------
 
+_PAIRS = "bucket int, block string, x binary, w binary, c binary"
+_COUNTED = "bucket int, block string, x binary, w binary, c binary, dest int, gid binary, tw binary, tx binary, once bigint, twice bigint"
 
-def _customers(model: Word, sweep: int):
-    """Vocabulary -> customers of the longest contexts, and the tables in all
-    as a row of symbol -1."""
+
+def block_words(r, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of a block stands in the buckets' answers: (order, bounds)."""
+    return dealt((word_places(r)[2] % np.uint64(k)).astype(np.int64), k)
+
+
+def block_pairs(r, gid: np.ndarray, grid: int):
+    """(index of the pair of each token, local context, local word, training
+    count of the pairs, their order by bucket, context and word, the bounds)."""
+    cur = numbers(r["toks"], 4)
+    n = len(gid)
+    u, inv = np.unique(np.roll(cur, 1) * n + cur, return_inverse=True)  # a block ends with an end
+    lx, lw = u // n, u % n
+    c = np.bincount(inv, np.repeat(~np.array(r["held"], bool), r["sizes"]), len(u)).astype(np.int64)
+    bucket = part(gid, grid)[lx] * grid + part(gid, grid)[lw]
+    order = np.lexsort((gid[lw], gid[lx], bucket))
+    return inv, lx, lw, c, order, np.searchsorted(bucket[order], np.arange(grid * grid + 1))
+
+
+def block_gids(r, k: int) -> tuple[np.ndarray, np.ndarray]:
+    order, _ = block_words(r, k)
+    gid, c = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    lex = sorted(r["lex"], key=lambda x: x["bucket"])
+    gid[order] = np.concatenate([numbers(x["gids"]) for x in lex])
+    c[order] = np.concatenate([numbers(x["c"]) for x in lex])
+    return gid, c
+
+
+def _number(k: int, grid: int, schema: pa.Schema):
+    """Blocks with the buckets' answers -> pairs for the grid."""
     def run(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
-            offs, raw = _binary(b.column("word"))
-            h, c = b.column("h").to_numpy(zero_copy_only=False).view(np.uint64), b.column("c").to_numpy(zero_copy_only=False).astype(np.float64)
-            _, t = model.seat(sweep, h, c, offs, raw)
-            ctx, sym, word = spelled(offs, raw)
-            keys, inv = np.unique(ctx * N_SYMBOLS + sym, return_inverse=True)
-            n = np.bincount(inv, t[word], len(keys)).astype(np.int64)
-            on = n > 0
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(keys[on] // N_SYMBOLS, -1)), pa.array(np.append(keys[on] % N_SYMBOLS, -1)), pa.array(np.append(n[on], int(t.sum())))], ["ctx", "sym", "n"])
+            for r in each(b):
+                gid, _ = block_gids(r, k)
+                _, lx, lw, c, order, cut = block_pairs(r, gid, grid)
+                x, w, c = gid[lx[order]], gid[lw[order]], c[order]
+                for i in np.flatnonzero(np.diff(cut)).tolist():
+                    lo, hi = int(cut[i]), int(cut[i + 1])
+                    yield batch_of(schema, [{"bucket": i, "block": r["block"], "x": planes(np.diff(x[lo:hi], prepend=0)), "w": planes(w[lo:hi]), "c": planes(c[lo:hi], 4)}])
     return run
 
 
-def _predicted(model: Word):
-    """Vocabulary -> log10 of the averaged predictive probability of each word
-    (h, c, lp), and by sample the spelling probability of all known words of a
-    batch in units of 2^-50 (s, mass)."""
+def summed(gids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    u, inv = np.unique(gids, return_inverse=True)
+    return u, np.bincount(inv, values, len(u)).astype(np.int64)
+
+
+def tables_sent(x, w, t, k: int) -> list[dict]:
+    """Tables by word (customers of the parent) and by context, to the buckets of the words."""
+    gid = np.unique(np.concatenate((x, w)))
+    tw, tx = (np.bincount(np.searchsorted(gid, g), t, len(gid)).astype(np.int64) for g in (w, x))
+    order, cut = dealt(gid % k, k)
+    gid, tw, tx = gid[order], tw[order], tx[order]
+    return [{"dest": i, "gid": planes(gid[lo:hi] // k), "tw": planes(tw[lo:hi]), "tx": planes(tx[lo:hi])}
+            for i, (lo, hi) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if hi > lo]
+
+
+def _count(k: int):
+    """A grid cell's pairs -> counts to the blocks, pairs of two and more as one
+    row, tables of the pairs counted once."""
+    schema = schema_of(_COUNTED)
+
+    def run(key, table):
+        bucket, rows = key[0].as_py(), rows_of(table, "block")
+        x, w = np.concatenate([np.cumsum(numbers(r["x"])) for r in rows]), np.concatenate([numbers(r["w"]) for r in rows])
+        c = np.concatenate([numbers(r["c"], 4) for r in rows])
+        order = np.lexsort((w, x))
+        new = np.ones(len(x), bool)
+        new[1:] = (np.diff(x[order]) != 0) | (np.diff(w[order]) != 0)
+        inv = np.empty(len(x), np.int64)
+        inv[order] = np.cumsum(new) - 1
+        total = np.bincount(inv, c).astype(np.int64)
+        ux, uw = x[order][new], w[order][new]
+        one, more = total == 1, total > 1
+        out = [{"bucket": bucket, "x": planes(np.diff(ux[more], prepend=0)), "w": planes(uw[more]), "c": planes(total[more]), "once": int(one.sum()), "twice": int((total == 2).sum())}]
+        out += tables_sent(ux[one], uw[one], np.ones(int(one.sum())), k)
+        at = 0
+        for r in rows:
+            n = len(r["c"]) // 4
+            out.append({"bucket": bucket, "block": r["block"], "c": planes(total[inv[at:at + n]])})
+            at += n
+        return pa.Table.from_pylist(out, schema)
+    return run
+
+
+# --- sweeps --------------------------------------------------------------------
+
+class Model:
+    """What all tasks know: discounts, customers, tables of the word restaurant
+    and the spelling model of each sweep, buckets of words, grid of pairs."""
+
+    def __init__(self, k: int, grid: int, customers: int, d1: float, d2: float):
+        self.k, self.grid, self.customers, self.d1, self.d2 = k, grid, customers, d1, d2
+        self.spelling, self.mass, self.seats, self.tables = [Spelling()], [0.0], [0.0], [0.0]
+
+    def new(self, s: int) -> float:
+        """Share the word restaurant leaves to new tables after sweep s."""
+        return (STRENGTH + self.d1 * self.tables[s]) / (STRENGTH + self.seats[s])
+
+    def unknown(self, s: int) -> float:
+        return self.new(s) * max(1.0 - self.mass[s], 1e-12)
+
+    def pair_tables(self, s: int, c, x, w, q, t):
+        """Tables of pairs in sweep s, by the state q (of the word), t (of the
+        context) of the sweep before."""
+        key = mixed(x.astype(np.uint64)) ^ w.astype(np.uint64)
+        return seated(c.astype(np.float64), q, CONTEXT_STRENGTH + self.d2 * t, self.d2, key, 6_700_417 * s)
+
+
+_STATE = "bucket int, q binary, t binary, gid binary, sym bigint, ctx bigint, n bigint, seats bigint, tables bigint, mass bigint"
+
+
+def _send_state(model: Model):
+    """Words met twice and more: probability to their column, tables to their row of the grid."""
+    schema, grid = schema_of("bucket int, role int, gid binary, v binary"), model.grid
+
     def run(batches):
         for b in batches:
-            if not b.num_rows:
+            for r in each(b):
+                gid, q, t = numbers(r["gid"]) * model.k + r["bucket"], np.frombuffer(r["q"], np.float32), numbers(r["t"])
+                order, cut = dealt(part(gid, grid), grid)
+                for i in np.flatnonzero(np.diff(cut)).tolist():
+                    at = order[cut[i]:cut[i + 1]]
+                    g, p, n = planes(gid[at]), q[at].tobytes(), planes(t[at])
+                    yield batch_of(schema, [{"bucket": j * grid + i, "role": 0, "gid": g, "v": p} for j in range(grid)] + [{"bucket": i * grid + j, "role": 1, "gid": g, "v": n} for j in range(grid)])
+    return run
+
+
+def _seat_pairs(model: Model, s: int):
+    schema = schema_of("dest int, gid binary, tw binary, tx binary")
+
+    def run(key, pairs, sent):
+        out = []
+        rows = sent.to_pylist()
+        for r in pairs.to_pylist():
+            x, w, c = np.cumsum(numbers(r["x"])), numbers(r["w"]), numbers(r["c"])
+            if not len(c):
                 continue
-            offs, raw = _binary(b.column("word"))
-            h, c = b.column("h").to_numpy(zero_copy_only=False).view(np.uint64), b.column("c").to_numpy(zero_copy_only=False).astype(np.float64)
+            vals = []
+            for role, want in ((0, w), (1, x)):
+                mine = [y for y in rows if y["role"] == role]
+                g = np.concatenate([numbers(y["gid"]) for y in mine])
+                v = np.concatenate([np.frombuffer(y["v"], np.float32).astype(np.float64) if role == 0 else numbers(y["v"]).astype(np.float64) for y in mine])
+                o = np.argsort(g)
+                vals.append(v[o][np.searchsorted(g[o], want)])
+            out += tables_sent(x, w, model.pair_tables(s, c, x, w, *vals), model.k)
+        return pa.Table.from_pylist(out, schema)
+    return run
+
+
+def _seat_words(model: Model, s: int):
+    """A bucket's words and the tables sent to them -> its state after sweep s
+    and the customers of the spelling contexts."""
+    schema = schema_of(_STATE)
+
+    def run(key, words, sent):
+        out = []
+        for r in words.to_pylist():
+            raw, offs, _ = word_places(r)
+            n, c0 = len(offs) - 1, numbers(r["c"])
+            c, t = np.zeros(n), np.zeros(n)
+            for y in sent.to_pylist():
+                at = numbers(y["gid"])
+                c[at] += numbers(y["tw"])
+                t[at] += numbers(y["tx"])
+            lp = model.spelling[s - 1].words(offs, raw)
+            h = np.exp(lp)
+            # tables in all: as many as the sweep before had (the first: one a word)
+            t1 = seated(c, h, STRENGTH + model.d1 * model.tables[s - 1], model.d1, (np.arange(n) * model.k + r["bucket"]).astype(np.uint64), 1_000_003 * s)
+            state = {"bucket": r["bucket"], "q": np.maximum(c - model.d1 * t1, 0).tobytes() + lp.tobytes(), "t": planes(t), "gid": planes(np.flatnonzero(c0 > 1)),
+                     "seats": int(c.sum()), "tables": int(t1.sum()), "mass": int(h[c0 > 0].sum() * 2**50)}
             ctx, sym, word = spelled(offs, raw)
-            total, mass, before = None, [], None
-            for s in range(BURN_IN, SWEEPS + 1):
-                lp = np.bincount(word, np.log(model.spelling[s].prob(ctx, sym)), len(h))
-                if before is not None:  # sample s - 1: seated by the spelling before it, predicted by this one
-                    t = seated(c, np.exp(before), STRENGTH + model.d * model.tables[s - 1], model.d, h, 1_000_003 * s)
-                    new = np.log(STRENGTH + model.d * model.tables[s]) + lp
-                    one = np.logaddexp(np.log(np.maximum(c - model.d * t, 0) + 1e-300), new) - np.log(STRENGTH + model.customers)
-                    total = one if total is None else np.logaddexp(total, one)
-                    mass.append(int(np.exp(lp[c > 0]).sum() * 2**50))
-                before = lp
-            n, m = len(h), len(mass)
-            yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([b.column("h"), pa.nulls(m, pa.int64())]), pa.concat_arrays([b.column("c"), pa.nulls(m, pa.int64())]),
-                 pa.array(np.append((total - np.log(SWEEPS - BURN_IN)) / np.log(10), np.zeros(m))), pa.array([None] * n + list(range(BURN_IN, SWEEPS)), pa.int32()), pa.array([None] * n + mass, pa.int64())],
-                ["h", "c", "lp", "s", "mass"])
+            cells, inv = np.unique(ctx * N_SYMBOLS + sym, return_inverse=True)
+            got = np.bincount(inv, t1[word], len(cells)).astype(np.int64)
+            on = got > 0
+            m = int(on.sum())
+            # one row of state, then the spelling customers
+            out.append(pa.Table.from_pylist([state], schema))
+            out.append(pa.table({"bucket": pa.nulls(m, pa.int32()), "q": pa.nulls(m, pa.binary()), "t": pa.nulls(m, pa.binary()), "gid": pa.nulls(m, pa.binary()), "sym": cells[on] % N_SYMBOLS,
+                                 "ctx": cells[on] // N_SYMBOLS, "n": got[on], "seats": pa.nulls(m, pa.int64()), "tables": pa.nulls(m, pa.int64()), "mass": pa.nulls(m, pa.int64())}, schema=schema))
+        return pa.concat_tables(out) if out else schema.empty_table()
+    return run
+
+
+def _first_state(model: Model):
+    """Before the first sweep: probabilities by counts, as many tables as customers."""
+    schema = schema_of("bucket int, q binary, t binary, gid binary")
+
+    def run(batches):
+        for b in batches:
+            for r in each(b):
+                c = numbers(r["c"])
+                gid = np.flatnonzero(c > 1)
+                yield batch_of(schema, [{"bucket": r["bucket"], "q": (c[gid] / max(1, model.customers)).astype(np.float32).tobytes(), "t": planes(c[gid]), "gid": planes(gid)}])
     return run
 
 
-def unknown_log10(predicted: DataFrame, model: Word) -> float:
-    """log10 of the averaged probability of "any other word"."""
-    got = {r[0]: r[1] for r in predicted.where("s is not null").groupBy("s").agg(F.sum("mass")).collect()}
-    new = [(STRENGTH + model.d * model.tables[s + 1]) / (STRENGTH + model.customers) * max(1 - got.get(s, 0) / 2**50, 1e-12) for s in range(BURN_IN, SWEEPS)]
-    return float(np.log10(np.mean(new)))
-
-
-def _packed(batches):
-    """Joined rows -> per block of a batch one row of three number arrays."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        code = b.column("block").dictionary_encode()
-        block = code.indices.to_numpy(zero_copy_only=False)
-        order = np.argsort(block, kind="stable")
-        cut = np.searchsorted(block[order], np.arange(len(code.dictionary) + 1))
-        cols = [b.column(x).to_numpy(zero_copy_only=False)[order] for x in ("lid", "c", "lp")]
-        yield pa.RecordBatch.from_arrays([code.dictionary, *(pa.array([x[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])], pa.binary()) for x in cols)], ["block", "lid", "c", "lp"])
-
-
-def train(vocabulary: DataFrame) -> Word:
-    """Gibbs sweeps over the vocabulary (h, c, word)."""
-    n = vocabulary.agg(F.sum("c"), F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1)), F.count(F.when(F.col("c") > 0, 1))).first()
-    once, twice = n[1] or 0, n[2] or 0
-    d = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
-    model = Word(d, float(n[0] or 0), [float(n[3] or 0)], [Spelling()])
-    for sweep in range(SWEEPS):
-        got = (mapped(vocabulary, _customers(model, sweep), "ctx bigint, sym bigint, n bigint").groupBy("ctx", "sym").agg(F.sum("n").alias("n"))
-               .orderBy("ctx", "sym").toArrow())
-        ctx, sym, cnt = (got.column(c).to_numpy().astype(np.int64) for c in ("ctx", "sym", "n"))
-        on = sym >= 0
-        model.tables.append(float(cnt[~on].sum()))
-        model.spelling.append(Spelling.sampled(ctx[on], sym[on], cnt[on].astype(np.float64), 31 * (sweep + 1), model.spelling[-1]) if on.any() else Spelling())
-    return model
-
-
-def _scored(customers: int, types: int, unknown: float):
+def q_of(model: Model, s: int, q: bytes) -> np.ndarray:
+    """Logs of the probabilities of a bucket's words after sweep s."""
+    own, lp = np.frombuffer(q, np.float64).reshape(2, -1)
+    with np.errstate(divide="ignore"):
+        return np.logaddexp(np.log(own / (STRENGTH + model.seats[s])), np.log(model.new(s)) + lp)
+
+
+def _next_state(model: Model, s: int):
+    schema = schema_of("bucket int, q binary, t binary, gid binary")
+
+    def run(batches):
+        for b in batches:
+            for r in each(b):
+                gid = numbers(r["gid"])
+                yield batch_of(schema, [{"bucket": r["bucket"], "q": np.exp(q_of(model, s, r["q"])[gid]).astype(np.float32).tobytes(), "t": planes(numbers(r["t"])[gid]), "gid": r["gid"]}])
+    return run
+
+
+def discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+
+
+def train(model: Model, words: DataFrame, pairs: DataFrame, ones: DataFrame) -> list[DataFrame]:
+    """Gibbs sweeps; the stored state of each."""
+    states, now = [], mapped(words, _first_state(model), "bucket int, q binary, t binary, gid binary")
+    for s in range(1, SWEEPS + 1):
+        sent = mapped(now, _send_state(model), "bucket int, role int, gid binary, v binary")
+        tables = pairs.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(_seat_pairs(model, s), "dest int, gid binary, tw binary, tx binary")
+        both = ones.unionByName(tables)
+        state = saved(words.groupBy("bucket").cogroup(both.withColumnRenamed("dest", "bucket").groupBy("bucket")).applyInArrow(_seat_words(model, s), _STATE), "lm-state")
+        seats = state.where("q is not null").agg(F.sum("seats"), F.sum("tables"), F.sum("mass")).first()
+        model.seats.append(float(seats[0] or 0))
+        model.tables.append(float(seats[1] or 0))
+        model.mass.append((seats[2] or 0) / 2**50)
+        got = state.where("q is null").groupBy("ctx", "sym").agg(F.sum("n").alias("n")).orderBy("ctx", "sym").toArrow()
+        ctx, sym, cnt = (got.column(x).to_numpy().astype(np.int64) for x in ("ctx", "sym", "n"))
+        model.spelling.append(Spelling.sampled(ctx, sym, cnt.astype(np.float64), 31 * s, model.spelling[-1]) if len(ctx) else Spelling())
+        states.append(state.where("q is not null").select("bucket", "q", "t", "gid"))
+        now = mapped(states[-1], _next_state(model, s), "bucket int, q binary, t binary, gid binary")
+    return states
+
+
+# --- scores --------------------------------------------------------------------
+
+def _answers(model: Model):
+    """A bucket's states of all sweeps -> to each block what its words need."""
+    schema = schema_of("block string, bucket int, q binary, t binary")
+
+    def run(key, asked, states):
+        rows = rows_of(states, "s")
+        q = np.array([q_of(model, r["s"], r["q"]) for r in rows], np.float32)
+        t = np.array([numbers(r["t"]) for r in rows])
+        out = []
+        for r in asked.to_pylist():
+            at = numbers(r["gids"]) // model.k
+            out.append({"block": r["block"], "bucket": r["bucket"], "q": q[:, at].tobytes(), "t": planes(t[:, at].ravel())})
+        return pa.Table.from_pylist(out, schema)
+    return run
+
+
+def _scored(model: Model, types: int):
+    d, theta = model.d2, CONTEXT_STRENGTH
+
     def run(batches):
         for batch in batches:
-            for r in range(batch.num_rows):
-                vec = batch.column("vec")[r].as_py()
-                lid = np.concatenate([np.frombuffer(x["lid"], np.int32) for x in vec])
-                c, lp = np.zeros(len(lid)), np.zeros(len(lid))
-                c[lid] = np.concatenate([np.frombuffer(x["c"], np.int64) for x in vec])
-                lp[lid] = np.concatenate([np.frombuffer(x["lp"], np.float64) for x in vec])
-                ids = batch.column("ids")[r].values
-                sizes = batch.column("sizes")[r].values.to_numpy(zero_copy_only=False)
-                w = np.cumsum(np.frombuffer(batch.column("lids")[r].as_py(), np.int32), dtype=np.int32)
-                tf = np.frombuffer(batch.column("tfs")[r].as_py(), np.int32)
+            id_type = batch.schema.field("ids").type.value_type
+            for r in each(batch):
+                gid, c = block_gids(r, model.k)
+                order, _ = block_words(r, model.k)
+                q, t = np.empty((SWEEPS, len(gid))), np.empty((SWEEPS, len(gid)))
+                state = sorted(r["state"], key=lambda x: x["bucket"])
+                q[:, order] = np.concatenate([np.frombuffer(x["q"], np.float32).reshape(SWEEPS, -1) for x in state], axis=1)
+                t[:, order] = np.concatenate([numbers(x["t"]).reshape(SWEEPS, -1) for x in state], axis=1)
+                inv, lx, lw, _, by, _ = block_pairs(r, gid, model.grid)
+                n = np.empty(len(lx), np.int64)
+                n[by] = np.concatenate([numbers(x["c"]) for x in sorted(r["counts"], key=lambda x: x["bucket"])])
+                more = np.flatnonzero(n > 1)
+                new = c[lw] == 0
+                p, p_open = np.zeros(len(lx)), np.full(len(lx), -np.inf)
+                for s in range(BURN_IN + 1, SWEEPS + 1):
+                    tables = np.minimum(n, 1).astype(np.float64)
+                    tables[more] = model.pair_tables(s, n[more], gid[lx[more]], gid[lw[more]], np.exp(q[s - 2][lw[more]]).astype(np.float32), t[s - 2][lx[more]])
+                    own = (n - d * tables) / (theta + c[lx])
+                    rest = (theta + d * t[s - 1]) / (theta + c)
+                    p += own + rest[lx] * np.where(c > 0, np.exp(q[s - 1]), model.unknown(s))[lw]
+                    p_open = np.logaddexp(p_open, np.log(rest[lx]) + q[s - 1][lw])  # of words nobody counted
+                lp = np.log10(p / (SWEEPS - BURN_IN))
+                lo = np.where(new, (p_open - np.log(SWEEPS - BURN_IN)) / np.log(10), lp)
+                cur, sizes = numbers(r["toks"], 4), np.array(r["sizes"])
+                base = np.log10((c + 0.5) / (model.customers + 0.5 * (types + 1)))
                 first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
                 sums = lambda x: np.add.reduceat(x, first)  # noqa: E731  every document has its end
-                base = np.log10((c + 0.5) / (customers + 0.5 * (types + 1)))
-                n = len(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, batch.column("held")[r].values, pa.array(sums(tf).astype(np.int64)), pa.array(sums(tf * (c[w] > 0)).astype(np.int64)),
-                     pa.array(np.full(n, customers, np.int64)), pa.array(sums(tf * base[w])), pa.array(sums(tf * np.where(c > 0, lp, unknown)[w])), pa.array(sums(tf * lp[w]))],
+                    [pa.array(r["ids"], id_type), pa.array(r["held"], pa.bool_()), pa.array(sizes.astype(np.int64)), pa.array(sums((c[cur] > 0).astype(np.int64))),
+                     pa.array(np.full(len(sizes), model.customers, np.int64)), pa.array(sums(base[cur])), pa.array(sums(lp[inv])), pa.array(sums(lo[inv]))],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "open_score"])
     return run
 
 
-def lm_scores(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+def lm_scores(docs: DataFrame, block: int = BLOCK, per_bucket: int = PER_BUCKET) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     open_score, perplexity of every document."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == HELD_OUT
     d = docs.select("doc_id", "text", held.alias("held"))
-    blocks = saved(mapped(d, _blocks(block), _BLOCK_SCHEMA.format(id=id_type)), "lm-blocks")
-    words = blocks.where("lid is not null")
-    vocabulary = saved(words.groupBy("h").agg(F.sum("c").alias("c"), F.max("word").alias("word")), "lm-vocabulary")
-    totals = vocabulary.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
-    model = train(vocabulary)
-    predicted = saved(mapped(vocabulary, _predicted(model), "h bigint, c bigint, lp double, s int, mass bigint"), "lm-predicted")
-    # a block's words come back as a few packed rows: its bytes bound them
-    vec = (words.select("block", "lid", "h").join(predicted.where("h is not null").select("h", "c", "lp"), "h").select("block", "lid", "c", "lp")
-           .mapInArrow(_packed, "block string, lid binary, c binary, lp binary").groupBy("block").agg(F.collect_list(F.struct("lid", "c", "lp")).alias("vec")))
-    out = blocks.where("lids is not null").select("block", "ids", "held", "sizes", "lids", "tfs").join(vec, "block").drop("block")
-    out = out.mapInArrow(_scored(int(totals[0] or 0), int(totals[1]), unknown_log10(predicted, model)),
-                         f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, open_score double")
+    blocks = saved(mapped(d, _blocks(block), _BLOCKS.format(id=id_type)), "lm-blocks")
+    size = blocks.agg(F.sum("n_words"), F.sum("n_tokens")).first()
+    k, grid = -(-(size[0] or 1) // per_bucket), int(np.ceil(np.sqrt((size[1] or 1) / per_bucket)))
+
+    named = saved(mapped(blocks.select("block", "words", "lens", "c"), _send_words(k), _SENT).groupBy("bucket").applyInArrow(_name(k), _NAMED), "lm-words")
+    words = named.where("words is not null").select("bucket", "words", "lens", "c")
+    asked = named.where("block is not null").select("block", "bucket", "gids", "c")
+    met = named.agg(F.sum("customers"), F.sum("known"), F.sum("once"), F.sum("twice")).first()
+
+    lex = asked.groupBy("block").agg(F.collect_list(F.struct("bucket", "gids", "c")).alias("lex"))
+    full = blocks.select("block", "ids", "held", "sizes", "toks", "words", "lens").join(lex, "block")
+    counted = saved(mapped(full.drop("ids"), _number(k, grid, schema_of(_PAIRS)), _PAIRS).groupBy("bucket").applyInArrow(_count(k), _COUNTED), "lm-pairs")
+    pairs = counted.where("x is not null").select("bucket", "x", "w", "c")
+    ones = counted.where("dest is not null").select("dest", "gid", "tw", "tx")
+    seen = counted.agg(F.sum("once"), F.sum("twice")).first()
+
+    model = Model(k, grid, int(met[0] or 0), discount(met[2] or 0, met[3] or 0), discount(seen[0] or 0, seen[1] or 0))
+    states = train(model, words, pairs, ones)
+    every = None
+    for s, state in enumerate(states, 1):
+        one = state.select("bucket", "q", "t", F.lit(s).alias("s"))
+        every = one if every is None else every.unionByName(one)
+    answers = (asked.select("block", "bucket", "gids").groupBy("bucket").cogroup(every.groupBy("bucket")).applyInArrow(_answers(model), "block string, bucket int, q binary, t binary")
+               .groupBy("block").agg(F.collect_list(F.struct("bucket", "q", "t")).alias("state")))
+    counts = counted.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("bucket", "c")).alias("counts"))
+    out = full.join(answers, "block").join(counts, "block").drop("block").mapInArrow(
+        _scored(model, int(met[1] or 0)), f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, open_score double")
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 
