@@ -175,13 +175,18 @@ class Spelling:
 
 # --- packed rows ---------------------------------------------------------------
 
-def planes(x: np.ndarray, width: int = 8) -> bytes:
-    """Whole numbers as bytes, all lowest bytes first: small ones compress."""
-    return np.ascontiguousarray(x.astype(f"<u{width}")).view(np.uint8).reshape(-1, width).T.tobytes()
+def planes(x: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes as the largest needs, all lowest bytes
+    first; the first byte is the width."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return bytes([width]) + np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def numbers(b: bytes, width: int = 8) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel().astype(np.int64)
+def numbers(b: bytes) -> np.ndarray:
+    raw = np.frombuffer(b, np.uint8, offset=1).reshape(b[0], -1)
+    out = np.zeros((raw.shape[1], 8), np.uint8)
+    out[:, :b[0]] = raw.T
+    return out.view("<i8").ravel()
 
 
 def part(gid: np.ndarray, n: int) -> np.ndarray:
@@ -201,7 +206,7 @@ def batch_of(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
 def word_places(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, offsets, hashes) of packed words."""
     raw = np.frombuffer(row["words"], np.uint8)
-    offs = np.concatenate(([0], np.cumsum(numbers(row["lens"], 4))))
+    offs = np.concatenate(([0], np.cumsum(numbers(row["lens"]))))
     return raw, offs, span_hashes(raw, offs[:-1], offs[1:]) if len(raw) else np.zeros(len(offs) - 1, np.uint64)
 
 
@@ -256,8 +261,8 @@ def _blocks(most: int):
                 c = np.bincount(toks, np.repeat(~held, sizes), len(u))
                 raw, lo, hi = buf.tobytes(), starts[first[order]], ends[first[order]]
                 row = {"block": [f"{task}-{no}"], "ids": pa.array([b.column("doc_id").to_pylist()], pa.list_(batch.schema.field("doc_id").type)), "held": [held.tolist()],
-                       "sizes": pa.array([sizes.tolist()], pa.list_(pa.int32())), "toks": [planes(toks, 4)], "words": [b"".join(raw[i:j] for i, j in zip(lo.tolist(), hi.tolist()))],
-                       "lens": [planes(hi - lo, 4)], "c": [planes(c)], "n_words": [len(u)], "n_tokens": [len(toks)]}
+                       "sizes": pa.array([sizes.tolist()], pa.list_(pa.int32())), "toks": [planes(toks)], "words": [b"".join(raw[i:j] for i, j in zip(lo.tolist(), hi.tolist()))],
+                       "lens": [planes(hi - lo)], "c": [planes(c)], "n_words": [len(u)], "n_tokens": [len(toks)]}
                 no += 1
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) if k in ("toks", "words", "lens", "c") else pa.array(v) if isinstance(v, list) else v for k, v in row.items()], list(row))
     return run
@@ -279,7 +284,7 @@ def _send_words(k: int):
                 order, cut = dealt((h % np.uint64(k)).astype(np.int64), k)
                 data, offs = picked(raw, offs, order)
                 c, lens = numbers(r["c"])[order], np.diff(offs)
-                yield batch_of(schema, [{"bucket": i, "block": r["block"], "words": data[offs[lo]:offs[hi]], "lens": planes(lens[lo:hi], 4), "c": planes(c[lo:hi])}
+                yield batch_of(schema, [{"bucket": i, "block": r["block"], "words": data[offs[lo]:offs[hi]], "lens": planes(lens[lo:hi]), "c": planes(c[lo:hi])}
                                         for i, (lo, hi) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if hi > lo])
     return run
 
@@ -300,7 +305,7 @@ def _name(k: int):
         rank = np.empty(len(u), np.int64)
         rank[order] = np.arange(len(u))
         data, offs = picked(raw, np.concatenate(([0], np.cumsum(lens))), first[order])
-        out = [{"bucket": bucket, "words": data, "lens": planes(np.diff(offs), 4), "c": planes(c[order]), "known": int((c > 0).sum()),
+        out = [{"bucket": bucket, "words": data, "lens": planes(np.diff(offs)), "c": planes(c[order]), "known": int((c > 0).sum()),
                 "once": int((c == 1).sum()), "twice": int((c == 2).sum()), "customers": int(c.sum())}]
         gid, at = rank[inv] * k + bucket, 0
         for r, g in zip(rows, got):
@@ -325,7 +330,7 @@ def block_words(r, k: int) -> tuple[np.ndarray, np.ndarray]:
 def block_pairs(r, gid: np.ndarray, grid: int):
     """(index of the pair of each token, local context, local word, training
     count of the pairs, their order by bucket, context and word, the bounds)."""
-    cur = numbers(r["toks"], 4)
+    cur = numbers(r["toks"])
     n = len(gid)
     u, inv = np.unique(np.roll(cur, 1) * n + cur, return_inverse=True)  # a block ends with an end
     lx, lw = u // n, u % n
@@ -354,7 +359,7 @@ def _number(k: int, grid: int, schema: pa.Schema):
                 x, w, c = gid[lx[order]], gid[lw[order]], c[order]
                 for i in np.flatnonzero(np.diff(cut)).tolist():
                     lo, hi = int(cut[i]), int(cut[i + 1])
-                    yield batch_of(schema, [{"bucket": i, "block": r["block"], "x": planes(np.diff(x[lo:hi], prepend=0)), "w": planes(w[lo:hi]), "c": planes(c[lo:hi], 4)}])
+                    yield batch_of(schema, [{"bucket": i, "block": r["block"], "x": planes(np.diff(x[lo:hi], prepend=0)), "w": planes(w[lo:hi]), "c": planes(c[lo:hi])}])
     return run
 
 
@@ -381,7 +386,8 @@ def _count(k: int):
     def run(key, table):
         bucket, rows = key[0].as_py(), rows_of(table, "block")
         x, w = np.concatenate([np.cumsum(numbers(r["x"])) for r in rows]), np.concatenate([numbers(r["w"]) for r in rows])
-        c = np.concatenate([numbers(r["c"], 4) for r in rows])
+        counts = [numbers(r["c"]) for r in rows]
+        c = np.concatenate(counts)
         order = np.lexsort((w, x))
         new = np.ones(len(x), bool)
         new[1:] = (np.diff(x[order]) != 0) | (np.diff(w[order]) != 0)
@@ -393,8 +399,8 @@ def _count(k: int):
         out = [{"bucket": bucket, "x": planes(np.diff(ux[more], prepend=0)), "w": planes(uw[more]), "c": planes(total[more]), "once": int(one.sum()), "twice": int((total == 2).sum())}]
         out += tables_sent(ux[one], uw[one], np.ones(int(one.sum())), k)
         at = 0
-        for r in rows:
-            n = len(r["c"]) // 4
+        for r, mine in zip(rows, counts):
+            n = len(mine)
             out.append({"bucket": bucket, "block": r["block"], "c": planes(total[inv[at:at + n]])})
             at += n
         return pa.Table.from_pylist(out, schema)
@@ -601,7 +607,7 @@ def _scored(model: Model, types: int):
                     p_open = np.logaddexp(p_open, np.log(rest[lx]) + q[s - 1][lw])  # of words nobody counted
                 lp = np.log10(p / (SWEEPS - BURN_IN))
                 lo = np.where(new, (p_open - np.log(SWEEPS - BURN_IN)) / np.log(10), lp)
-                cur, sizes = numbers(r["toks"], 4), np.array(r["sizes"])
+                cur, sizes = numbers(r["toks"]), np.array(r["sizes"])
                 base = np.log10((c + 0.5) / (model.customers + 0.5 * (types + 1)))
                 first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
                 sums = lambda x: np.add.reduceat(x, first)  # noqa: E731  every document has its end
