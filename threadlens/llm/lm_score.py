@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from threadlens.llm.common import LOWER, documents, mapped, mixed, saved, span_hashes, steps, text_bytes, word_bounds
 from threadlens.llm.registry import query
 
-BLOCK = 6 << 20
+BLOCK = 4 << 20
 PER_BUCKET = 1 << 20                # words or tokens of blocks that a bucket is meant for
 SWEEPS, BURN_IN = 3, 1
 CONTEXT_STRENGTH = 1.0              # theta of the word contexts
