@@ -49,6 +49,7 @@ from threadlens.llm.registry import query
 
 BLOCK = 4 << 20
 PER_BUCKET = 1 << 20                # words or tokens of blocks that a bucket is meant for
+BLOCKS_A_TASK = 2                   # blocks whose rows meet their answers in one task
 SWEEPS, BURN_IN = 3, 1
 CONTEXT_STRENGTH = 1.0              # theta of the word contexts
 STRENGTH = 20.0                     # theta of the word restaurant
@@ -625,7 +626,7 @@ def lm_scores(docs: DataFrame, block: int = BLOCK, per_bucket: int = PER_BUCKET)
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == HELD_OUT
     d = docs.select("doc_id", "text", held.alias("held"))
     blocks = saved(mapped(d, _blocks(block), _BLOCKS.format(id=id_type)), "lm-blocks")
-    size = blocks.agg(F.sum("n_words"), F.sum("n_tokens")).first()
+    size = blocks.agg(F.sum("n_words"), F.sum("n_tokens"), F.count("*")).first()
     k, grid = -(-(size[0] or 1) // per_bucket), int(np.ceil(np.sqrt((size[1] or 1) / per_bucket)))
 
     named = saved(mapped(blocks.select("block", "words", "lens", "c"), _send_words(k), _SENT).groupBy("bucket").applyInArrow(_name(k), _NAMED), "lm-words")
@@ -634,7 +635,7 @@ def lm_scores(docs: DataFrame, block: int = BLOCK, per_bucket: int = PER_BUCKET)
     met = named.agg(F.sum("customers"), F.sum("known"), F.sum("once"), F.sum("twice")).first()
 
     lex = asked.groupBy("block").agg(F.collect_list(F.struct("bucket", "gids", "c")).alias("lex"))
-    full = blocks.select("block", "ids", "held", "sizes", "toks", "words", "lens").join(lex, "block")
+    full = blocks.select("block", "ids", "held", "sizes", "toks", "words", "lens").repartition(max(1, -(-size[2] // BLOCKS_A_TASK)), "block").join(lex, "block")
     counted = saved(mapped(full.drop("ids"), _number(k, grid, schema_of(_PAIRS)), _PAIRS).groupBy("bucket").applyInArrow(_count(k), _COUNTED), "lm-pairs")
     pairs = counted.where("x is not null").select("bucket", "x", "w", "c")
     ones = counted.where("dest is not null").select("dest", "gid", "tw", "tx")
