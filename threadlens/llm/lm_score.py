@@ -320,7 +320,8 @@ def _name(k: int):
 # --- pairs ---------------------------------------------------------------------
 
 _PAIRS = "bucket int, block string, x binary, w binary, c binary"
-_COUNTED = "bucket int, block string, x binary, w binary, c binary, dest int, gid binary, tw binary, tx binary, once bigint, twice bigint"
+_COUNTED = "bucket int, block string, x binary, w binary, c binary, dest int, gid binary, tw binary, tx binary, more int, once bigint, twice bigint"
+_WORDS = "bucket int, words binary, lens binary, c binary, ow binary, ox binary, need binary"
 
 
 def block_words(r, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -398,7 +399,8 @@ def _count(k: int):
         ux, uw = x[order][new], w[order][new]
         one, more = total == 1, total > 1
         out = [{"bucket": bucket, "x": planes(np.diff(ux[more], prepend=0)), "w": planes(uw[more]), "c": planes(total[more]), "once": int(one.sum()), "twice": int((total == 2).sum())}]
-        out += tables_sent(ux[one], uw[one], np.ones(int(one.sum())), k)
+        out += [r | {"more": 0} for r in tables_sent(ux[one], uw[one], np.ones(int(one.sum())), k)]
+        out += [r | {"more": 1} for r in tables_sent(ux[more], uw[more], np.zeros(int(more.sum())), k)]
         at = 0
         for r, mine in zip(rows, counts):
             n = len(mine)
@@ -408,6 +410,25 @@ def _count(k: int):
     return run
 
 
+def _with_ones():
+    """A bucket's words with their tables of pairs counted once (as word, as
+    context), and the ranks that are in pairs counted more often."""
+    schema = schema_of(_WORDS)
+
+    def run(key, words, sent):
+        out = []
+        for r in words.to_pylist():
+            ow, ox, need = (np.zeros(len(numbers(r["c"])), np.int64) for _ in range(3))
+            for y in sent.to_pylist():
+                at = numbers(y["gid"])
+                ow[at] += numbers(y["tw"])
+                ox[at] += numbers(y["tx"])
+                need[at] |= y["more"]
+            out.append(r | {"ow": planes(ow), "ox": planes(ox), "need": planes(np.flatnonzero(need))})
+        return pa.Table.from_pylist(out, schema)
+    return run
+
+
 # --- sweeps --------------------------------------------------------------------
 
 class Model:
@@ -436,7 +457,7 @@ _STATE = "bucket int, q binary, t binary, gid binary, sym bigint, ctx bigint, n
 
 
 def _send_state(model: Model):
-    """Words met twice and more: probability to their column, tables to their row of the grid."""
+    """Words of the pairs that are seated: probability to their column, tables to their row of the grid."""
     schema, grid = schema_of("bucket int, role int, gid binary, v binary"), model.grid
 
     def run(batches):
@@ -483,7 +504,7 @@ def _seat_words(model: Model, s: int):
         for r in words.to_pylist():
             raw, offs, _ = word_places(r)
             n, c0 = len(offs) - 1, numbers(r["c"])
-            c, t = np.zeros(n), np.zeros(n)
+            c, t = numbers(r["ow"]).astype(np.float64), numbers(r["ox"])
             for y in sent.to_pylist():
                 at = numbers(y["gid"])
                 c[at] += numbers(y["tw"])
@@ -492,7 +513,7 @@ def _seat_words(model: Model, s: int):
             h = np.exp(lp)
             # tables in all: as many as the sweep before had (the first: one a word)
             t1 = seated(c, h, STRENGTH + model.d1 * model.tables[s - 1], model.d1, (np.arange(n) * model.k + r["bucket"]).astype(np.uint64), 1_000_003 * s)
-            state = {"bucket": r["bucket"], "q": np.maximum(c - model.d1 * t1, 0).tobytes() + lp.tobytes(), "t": planes(t), "gid": planes(np.flatnonzero(c0 > 1)),
+            state = {"bucket": r["bucket"], "q": np.maximum(c - model.d1 * t1, 0).tobytes() + lp.tobytes(), "t": planes(t), "gid": r["need"],
                      "seats": int(c.sum()), "tables": int(t1.sum()), "mass": int(h[c0 > 0].sum() * 2**50)}
             ctx, sym, word = spelled(offs, raw)
             cells, inv = np.unique(ctx * N_SYMBOLS + sym, return_inverse=True)
@@ -515,8 +536,8 @@ def _first_state(model: Model):
         for b in batches:
             for r in each(b):
                 c = numbers(r["c"])
-                gid = np.flatnonzero(c > 1)
-                yield batch_of(schema, [{"bucket": r["bucket"], "q": (c[gid] / max(1, model.customers)).astype(np.float32).tobytes(), "t": planes(c[gid]), "gid": planes(gid)}])
+                gid = numbers(r["need"])
+                yield batch_of(schema, [{"bucket": r["bucket"], "q": (c[gid] / max(1, model.customers)).astype(np.float32).tobytes(), "t": planes(c[gid]), "gid": r["need"]}])
     return run
 
 
@@ -542,14 +563,13 @@ def discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
 
 
-def train(model: Model, words: DataFrame, pairs: DataFrame, ones: DataFrame) -> list[DataFrame]:
+def train(model: Model, words: DataFrame, pairs: DataFrame) -> list[DataFrame]:
     """Gibbs sweeps; the stored state of each."""
     states, now = [], mapped(words, _first_state(model), "bucket int, q binary, t binary, gid binary")
     for s in range(1, SWEEPS + 1):
         sent = mapped(now, _send_state(model), "bucket int, role int, gid binary, v binary")
         tables = pairs.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(_seat_pairs(model, s), "dest int, gid binary, tw binary, tx binary")
-        both = ones.unionByName(tables)
-        state = saved(words.groupBy("bucket").cogroup(both.withColumnRenamed("dest", "bucket").groupBy("bucket")).applyInArrow(_seat_words(model, s), _STATE), "lm-state")
+        state = saved(words.groupBy("bucket").cogroup(tables.withColumnRenamed("dest", "bucket").groupBy("bucket")).applyInArrow(_seat_words(model, s), _STATE), "lm-state")
         seats = state.where("q is not null").agg(F.sum("seats"), F.sum("tables"), F.sum("mass")).first()
         model.seats.append(float(seats[0] or 0))
         model.tables.append(float(seats[1] or 0))
@@ -638,11 +658,12 @@ def lm_scores(docs: DataFrame, block: int = BLOCK, per_bucket: int = PER_BUCKET)
     full = blocks.select("block", "ids", "held", "sizes", "toks", "words", "lens").repartition(max(1, -(-size[2] // BLOCKS_A_TASK)), "block").join(lex, "block")
     counted = saved(mapped(full.drop("ids"), _number(k, grid, schema_of(_PAIRS)), _PAIRS).groupBy("bucket").applyInArrow(_count(k), _COUNTED), "lm-pairs")
     pairs = counted.where("x is not null").select("bucket", "x", "w", "c")
-    ones = counted.where("dest is not null").select("dest", "gid", "tw", "tx")
+    ones = counted.where("dest is not null").select(F.col("dest").alias("bucket"), "gid", "tw", "tx", "more")
+    words = saved(words.groupBy("bucket").cogroup(ones.groupBy("bucket")).applyInArrow(_with_ones(), _WORDS), "lm-vocabulary")
     seen = counted.agg(F.sum("once"), F.sum("twice")).first()
 
     model = Model(k, grid, int(met[0] or 0), discount(met[2] or 0, met[3] or 0), discount(seen[0] or 0, seen[1] or 0))
-    states = train(model, words, pairs, ones)
+    states = train(model, words, pairs)
     every = None
     for s, state in enumerate(states, 1):
         one = state.select("bucket", "q", "t", F.lit(s).alias("s"))
