@@ -48,6 +48,7 @@ from threadlens.llm.common import LOWER, documents, mapped, mixed, saved, span_h
 from threadlens.llm.registry import query
 
 BLOCK = 4 << 20
+PIECE = 1 << 19                     # bytes of text hashed in one numpy step (a longer single text is one step)
 PER_BUCKET = 1 << 20                # words or tokens of blocks that a bucket is meant for
 BLOCKS_A_TASK = 2                   # blocks whose rows meet their answers in one task
 SWEEPS, BURN_IN = 3, 1
@@ -247,12 +248,15 @@ def _blocks(most: int):
         task, no = TaskContext.get().partitionId(), 0
         for batch in batches:
             for b in steps(batch, most=most):
-                buf, offs = text_bytes(b.column("text"))
-                buf = LOWER[buf]
-                starts, ends, at = word_bounds(buf, offs)
-                h = np.insert(span_hashes(buf, starts, ends), at[1:], np.uint64(0))  # 0: the end
-                starts, ends = np.insert(starts, at[1:], 0), np.insert(ends, at[1:], 0)
-                sizes = np.diff(at) + 1
+                raw, parts = b"", []
+                for piece in steps(b, most=PIECE):
+                    buf, offs = text_bytes(piece.column("text"))
+                    buf = LOWER[buf]
+                    starts, ends, at = word_bounds(buf, offs)
+                    parts.append((np.insert(span_hashes(buf, starts, ends), at[1:], np.uint64(0)),  # 0: the end
+                                  np.insert(starts + len(raw), at[1:], 0), np.insert(ends + len(raw), at[1:], 0), np.diff(at) + 1))
+                    raw += buf.tobytes()
+                h, starts, ends, sizes = (np.concatenate(x) for x in zip(*parts))
                 held = b.column("held").to_numpy(zero_copy_only=False).astype(bool)
                 u, first, inv, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
                 order = np.argsort(-n, kind="stable")
@@ -260,7 +264,7 @@ def _blocks(most: int):
                 lid[order] = np.arange(len(u))
                 toks = lid[inv]
                 c = np.bincount(toks, np.repeat(~held, sizes), len(u))
-                raw, lo, hi = buf.tobytes(), starts[first[order]], ends[first[order]]
+                lo, hi = starts[first[order]], ends[first[order]]
                 row = {"block": [f"{task}-{no}"], "ids": pa.array([b.column("doc_id").to_pylist()], pa.list_(batch.schema.field("doc_id").type)), "held": [held.tolist()],
                        "sizes": pa.array([sizes.tolist()], pa.list_(pa.int32())), "toks": [planes(toks)], "words": [b"".join(raw[i:j] for i, j in zip(lo.tolist(), hi.tolist()))],
                        "lens": [planes(hi - lo)], "c": [planes(c)], "n_words": [len(u)], "n_tokens": [len(toks)]}
