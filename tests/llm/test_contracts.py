@@ -1,6 +1,7 @@
 """Each operator against a plain version, and on awkward tables."""
 
 import brute as B
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -239,6 +240,33 @@ def test_quality_model_held_out(spark):
     assert quality_model.keep_good(docs, model).columns == docs.columns
 
 
+def test_quality_model_metadata_and_pool(spark):
+    """Ten sources in five languages, none like another to the metadata view;
+    the views are handed documents from all that have no label."""
+    import random
+    r = random.Random(11)
+    langs, sources = ["en", "de", "fr", "es", None], [f"site{i}" for i in range(10)]
+    docs, labels = [], []
+    for i in range(1500):
+        source = r.choice(sources)
+        bad = source in ("site3", "site7")
+        words = [r.choice("alpha beta gamma delta epsilon zeta".split()) for _ in range(60)]
+        if bad and r.random() < 0.9:
+            words[::3] = [w[::-1] for w in words[::3]]  # lengths tell nothing
+        docs.append((i, " ".join(words), r.choice(langs), source))
+        if i < 400:
+            labels.append((i, 1, int(bad)))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    model = quality_model.train(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert len(model.names) == 15 and model.handed["text"] > 100 and model.handed["meta"] > 100
+    got = {x.doc_id: x for x in quality_model.score(df, model).collect()}
+    assert all((got[i].meta_score < 0.5) == (d[3] in ("site3", "site7")) for i, d in enumerate(docs))
+    assert sum(got[i].kept == (d[3] in ("site3", "site7")) for i, d in enumerate(docs)) <= 15
+    batch = pa.RecordBatch.from_pylist([{"lang": v, "source": "new"} for v in [*langs, "it"]])
+    numbers = model.names.find(batch)
+    assert len(set(numbers[:5, 0])) == 5 and min(numbers[:5, 0]) >= 0 and numbers[5, 0] == -1 and set(numbers[:, 1]) == {-1}
+
+
 def test_tagger_learns(spark):
     """Held-out accuracy of the tagger on spans written in other ways."""
     import random

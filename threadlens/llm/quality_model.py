@@ -2,17 +2,19 @@
 
 Two classifiers see a document from two sides: one its words, their first
 letters and the way its characters are used, one only its metadata (language,
-source, length, layout). Both are logistic regressions in numpy on a bounded
-sample: at most MAX_LABELLED labelled and MAX_POOL unlabelled documents, taken
-by hash of their id. In each round both are fitted, calibrated on labelled
-documents kept aside, and each hands the documents of the pool it is surest
-of, with its own label, to the other. At last a third regression over the two
-calibrated scores, fitted on the documents kept aside, combines them, and all
-documents are scored in one narrow pass.
+source, length, layout). Both are logistic regressions in numpy, fitted on at
+most MAX_LABELLED labelled documents, taken by hash of their id. All documents
+without a label are the pool: their features are counted once and stored. In
+each round both classifiers are fitted, calibrated on labelled documents kept
+aside, and score the whole pool; each hands the HANDED documents of either kind
+it is surest of, with its own label, to the other. At last a third regression
+over the two calibrated scores, fitted on the documents kept aside, combines
+them, and all documents are scored in one narrow pass.
 
 Which words and word beginnings the text view keeps is counted by Spark over
-the sample; the driver gets the VOCABULARY most telling ones and each sample
-document's counts of those.
+the labelled sample; the driver gets the VOCABULARY most telling ones and each
+sample document's counts of those. The metadata view has one weight for each
+language and each source that MIN_DOCS labelled documents of the sample have.
 
 A document is good if its label says quality 1 and toxic 0; a null label
 counts as no label.
@@ -20,25 +22,29 @@ counts as no label.
 Defined results: null text has no words and is scored like an empty one; an id
 labelled twice is good only if all its labels are; with no labels, or of one
 kind only, every document gets that kind's share (1.0 if none) as its score;
-repeated rows are scored each on its own; an empty table gives no rows; extra
+repeated rows are scored each on its own, and of an id given several times one
+row is learned from; null ids are scored only; an empty table gives no rows; extra
 columns are not looked at; a missing ``lang`` or ``source`` is null.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.llm.common import LOWER, documents, mapped, mixed, saved, span_hashes, steps, text_bytes
 from threadlens.llm.registry import query
 
-MAX_LABELLED, MAX_POOL = 10_000, 2_000
+MAX_LABELLED = 10_000     # labelled documents the classifiers are fitted on
 VOCABULARY = 3_000        # words and beginnings the text view keeps, by how much they tell
 MIN_DOCS = 5              # documents of the sample a kept one stands in
 BEGINNINGS = (5, 6, 7, 8) # bytes of the word beginnings
-ROUNDS, HANDED, SURE = 3, 100, 0.98
+ROUNDS, HANDED, SURE = 3, 100, 0.98  # HANDED of either kind, from each view to the other
 ASIDE = 4                 # one labelled document in so many is kept aside
 THRESHOLD = 0.5
 
@@ -48,7 +54,9 @@ _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 _UPPER, _DIGIT, _SPACE, _SYMBOL = (np.zeros(256, bool) for _ in range(4))
 _UPPER[65:91] = _DIGIT[48:58] = _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _SYMBOL[[ord(c) for c in "#*$%&|<>@=_~^{}[]\\/+!?"]] = True
-N_STYLE, N_META = 8, 12
+N_STYLE, N_META = 8, 4
+VIEWS = (("text", "meta"), ("meta", "text"))
+FEATURES = "cols binary, vals binary, names binary, dense binary"
 
 
 class Vocabulary:
@@ -71,6 +79,69 @@ class Vocabulary:
         return at[hit], col[hit]
 
 
+class Names:
+    """The languages and sources that have a weight of their own."""
+
+    COLUMNS = ("lang", "source")
+
+    def __init__(self, values: list[tuple[str, str | None]]):
+        self.at = {v: i for i, v in enumerate(values)}
+
+    def __len__(self):
+        return len(self.at)
+
+    def find(self, b: pa.RecordBatch) -> np.ndarray:
+        """Per row the numbers of its language and its source, -1 if not known."""
+        out = np.full((b.num_rows, len(self.COLUMNS)), -1, np.int32)
+        for j, name in enumerate(self.COLUMNS):
+            e = b.column(name).cast(pa.string()).dictionary_encode()
+            numbers = np.array([self.at.get((name, v), -1) for v in [*e.dictionary.to_pylist(), None]], np.int32)
+            out[:, j] = numbers[e.indices.fill_null(len(e.dictionary)).to_numpy(zero_copy_only=False).astype(np.int64)]
+        return out
+
+
+class Features(NamedTuple):
+    """What the two views see of some documents."""
+
+    words: tuple[np.ndarray, np.ndarray, np.ndarray]  # rows, columns, values
+    names: np.ndarray
+    style: np.ndarray
+    meta: np.ndarray
+
+    def of(self, view: str):
+        """(rows, columns, values, dense numbers) of a view."""
+        if view == "text":
+            return *self.words, self.style
+        row, j = np.nonzero(self.names >= 0)
+        return row, self.names[row, j].astype(np.int64), np.ones(len(row)), self.meta
+
+    def packed(self) -> list[pa.Array]:
+        r, c, v = self.words
+        cut = np.searchsorted(r, np.arange(len(self.style) + 1))
+        return [pa.array([c[x:y].astype(np.int32).tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary()),
+                pa.array([v[x:y].astype(np.float32).tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary()),
+                pa.array([x.tobytes() for x in self.names], pa.binary()), pa.array([x.tobytes() for x in np.hstack((self.style, self.meta))], pa.binary())]
+
+    @staticmethod
+    def unpacked(cols: list[bytes], vals: list[bytes], names: list[bytes], dense: list[bytes]) -> "Features":
+        d = np.frombuffer(b"".join(dense)).reshape(-1, N_STYLE + N_META)
+        rows = np.repeat(np.arange(len(cols)), [len(c) // 4 for c in cols])
+        return Features((rows, np.frombuffer(b"".join(cols), np.int32).astype(np.int64), np.frombuffer(b"".join(vals), np.float32).astype(float)),
+                        np.frombuffer(b"".join(names), np.int32).reshape(-1, len(Names.COLUMNS)), d[:, :N_STYLE], d[:, N_STYLE:])
+
+    def take(self, on: np.ndarray) -> "Features":
+        place = np.full(len(self.style), -1)
+        place[on] = np.arange(len(on))
+        r, c, v = self.words
+        k = place[r] >= 0
+        return Features((place[r[k]], c[k], v[k]), self.names[on], self.style[on], self.meta[on])
+
+    def __add__(self, other: "Features") -> "Features":
+        (r, c, v), (r2, c2, v2) = self.words, other.words
+        return Features((np.concatenate((r, r2 + len(self.style))), np.concatenate((c, c2)), np.concatenate((v, v2))),
+                        np.vstack((self.names, other.names)), np.vstack((self.style, other.style)), np.vstack((self.meta, other.meta)))
+
+
 def words(b: pa.RecordBatch):
     """(hash of each word and word beginning, its row), words in each row."""
     buf, offs = text_bytes(b.column("text"))
@@ -94,9 +165,9 @@ def words(b: pa.RecordBatch):
     return np.concatenate(hs), np.concatenate(rows), n, same
 
 
-def counts(b: pa.RecordBatch, vocab: Vocabulary):
-    """(rows, columns, values) of the kept words, and the two dense views. A
-    value is the count, over the root of the document's length."""
+def counts(b: pa.RecordBatch, vocab: Vocabulary, names: Names) -> Features:
+    """The features of a batch. A word's value is its count, over the root of
+    the document's length."""
     h, row, n, same = words(b)
     at, col = vocab.find(h)
     pair, c = np.unique(row[at].astype(np.int64) * max(1, len(vocab)) + col, return_counts=True)
@@ -109,15 +180,12 @@ def counts(b: pa.RecordBatch, vocab: Vocabulary):
     style = np.column_stack((*share, same / np.maximum(1, n), n / size * 5, np.log1p(n) / 10, size / np.maximum(1, n) / 10))
     meta = np.zeros((b.num_rows, N_META))
     meta[:, 0], meta[:, 1], meta[:, 2], meta[:, 3] = np.log1p(size) / 10, np.log1p(lines) / 5, np.log1p(size / lines) / 10, lines > 1
-    for j, name in ((4, "lang"), (8, "source")):  # four slots each, by the bytes of the name
-        for i, v in enumerate(b.column(name).to_pylist()):
-            meta[i, j + sum(str("" if v is None else v).encode()) % 4] = 1.0
-    return (r, col, value), style, meta
+    return Features((r, col, value.astype(np.float32).astype(float)), names.find(b), style, meta)
 
 
 class Logistic:
     """Regularised logistic regression by full-batch Newton-like steps on
-    sparse words (row, column pairs) and dense numbers."""
+    sparse words or names (row, column pairs) and dense numbers."""
 
     def __init__(self, n_words: int):
         self.n_words = n_words
@@ -175,63 +243,50 @@ class CoTrained:
 
     constant: float | None = None
 
-    def fit(self, vocab: Vocabulary, sparse, style, meta, y, aside):
-        """``sparse``, ``style`` and ``meta`` of the labelled documents, then of
-        the pool; ``y`` and ``aside`` of the labelled ones."""
-        n, total = len(y), len(style)
+    def fit(self, vocab: Vocabulary, names: Names, known: Features, y, aside, surest):
+        """``known``, ``y`` and ``aside`` of the labelled documents.
+        ``surest(model, cal)`` gives, for each view, the features and the labels
+        of the documents the other view is surest of and has not handed yet."""
+        n = len(y)
         if n == 0 or y.min() == y.max():
             self.constant = float(y[0]) if n else 1.0
             return self
-        self.vocab = vocab
+        self.vocab, self.names = vocab, names
         if not aside.any() or aside.all() or y[aside].min() == y[aside].max() or y[~aside].min() == y[~aside].max():
-            fit_on = cal_on = np.ones(n, bool)  # too few to keep any aside
+            fit_on = cal_on = np.arange(n)  # too few to keep any aside
         else:
-            fit_on, cal_on = ~aside, aside
-        rows, cols, vals = sparse
-        label = np.concatenate((y, np.zeros(total - n)))
-        use = {v: np.concatenate((fit_on, np.zeros(total - n, bool))) for v in ("text", "meta")}
-        given = {v: label.copy() for v in ("text", "meta")}
-        none = np.zeros(0, np.int64)
-        c = np.flatnonzero(cal_on)
+            fit_on, cal_on = np.flatnonzero(~aside), np.flatnonzero(aside)
+        learned = {view: (known.take(fit_on), y[fit_on]) for view, _ in VIEWS}
+        check, target = known.take(cal_on), y[cal_on]
         for turn in range(ROUNDS + 1):
-            model, cal, prob = {}, {}, {}
-            for view in ("text", "meta"):
-                on = np.flatnonzero(use[view])
-                place = np.full(total, -1)
-                place[on] = np.arange(len(on))
-                t = given[view][on]
+            self.model, self.cal = {}, {}
+            for view, _ in VIEWS:
+                f, t = learned[view]
                 weight = np.where(t > 0, 0.5 / max(t.mean(), 1e-6), 0.5 / max(1 - t.mean(), 1e-6))
-                if view == "text":
-                    k = place[rows] >= 0
-                    model[view] = Logistic(len(vocab)).fit(place[rows[k]], cols[k], vals[k], style[on], t, weight)
-                    m = model[view].margin(rows, cols, vals, style)
-                else:
-                    model[view] = Logistic(0).fit(none, none, none, meta[on], t, weight)
-                    m = model[view].margin(none, none, none, meta)
-                cal[view] = Platt().fit(m[c], label[c])
-                prob[view] = cal[view](m)
+                self.model[view] = Logistic(len(vocab) if view == "text" else len(names)).fit(*f.of(view), t, weight)
+                self.cal[view] = Platt().fit(self.model[view].margin(*check.of(view)), target)
             if turn == ROUNDS:
                 break
-            for view, other in (("text", "meta"), ("meta", "text")):
-                free = np.flatnonzero(~use[other][n:]) + n
-                sure = np.maximum(prob[view][free], 1 - prob[view][free])
-                pick = free[np.argsort(-sure, kind="stable")[:HANDED]]
-                pick = pick[np.maximum(prob[view][pick], 1 - prob[view][pick]) >= SURE]
-                use[other][pick] = True
-                given[other][pick] = (prob[view][pick] >= 0.5).astype(float)
-        self.text, self.meta, self.cal = model["text"], model["meta"], cal
-        self.both = Platt().fit(np.column_stack((_logit(prob["text"][c]), _logit(prob["meta"][c]))), y[c])
+            more = surest(self.model, self.cal)
+            for view, (f, t) in more.items():
+                learned[view] = (learned[view][0] + f, np.concatenate((learned[view][1], t)))
+            if not more:
+                break  # nothing is sure any more: the next round would be this one
+        self.handed = {view: len(t) - len(fit_on) for view, (_, t) in learned.items()}
+        self.both = Platt().fit(np.column_stack([_logit(self.view(v, check)) for v, _ in VIEWS]), target)
         return self
 
+    def view(self, view: str, f: Features):
+        """Calibrated scores of one view."""
+        return self.cal[view](self.model[view].margin(*f.of(view)))
+
     def __call__(self, b: pa.RecordBatch):
         """(text score, metadata score, combined score) of a batch of documents."""
         if self.constant is not None:
             c = np.full(b.num_rows, self.constant)
             return c, c, c
-        (rows, cols, vals), style, meta = counts(b, self.vocab)
-        none = np.zeros(0, np.int64)
-        t = self.cal["text"](self.text.margin(rows, cols, vals, style))
-        m = self.cal["meta"](self.meta.margin(none, none, none, meta))
+        f = counts(b, self.vocab, self.names)
+        t, m = self.view("text", f), self.view("meta", f)
         return t, m, self.both(np.column_stack((_logit(t), _logit(m))))
 
 
@@ -252,16 +307,34 @@ def _told(batches):
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.bincount(inv, minlength=len(u)).astype(np.int64)), pa.array(np.bincount(inv, good[row[once]], len(u)).astype(np.int64))], ["h", "n", "pos"])
 
 
-def _counted(vocab: Vocabulary):
+def _counted(vocab: Vocabulary, names: Names):
     def run(batches):
         for batch in batches:
             for b in steps(batch):
-                (r, c, v), style, meta = counts(b, vocab)
-                cut = np.searchsorted(r, np.arange(b.num_rows + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), b.column("good"), b.column("aside"), pa.array([c[x:y].astype(np.int32).tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary()),
-                     pa.array([v[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary()), pa.array([x.tobytes() for x in np.hstack((style, meta))], pa.binary())],
-                    ["doc_id", "good", "aside", "cols", "vals", "dense"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), *counts(b, vocab, names).packed()], ["doc_id", "cols", "vals", "names", "dense"])
+    return run
+
+
+def _sure_of(model: dict[str, Logistic], cal: dict[str, Platt], used: dict[str, list], handed: int):
+    """Stored features -> the rows each view is surest of and that are not
+    ``used`` yet, at most ``handed`` a task, view and label."""
+    def run(batches):
+        best = {}
+        for b in batches:
+            f = Features.unpacked(*(b.column(c).to_pylist() for c in ("cols", "vals", "names", "dense")))
+            for view, other in VIEWS:
+                p = cal[view](model[view].margin(*f.of(view)))
+                free = ~pc.is_in(b.column("doc_id"), value_set=pa.array(used[other], b.schema.field("doc_id").type)).to_numpy(zero_copy_only=False)
+                for label in (0, 1):
+                    sure = p if label else 1 - p
+                    at = np.flatnonzero(free & (sure >= SURE))
+                    t = pa.table({"doc_id": b.column("doc_id").take(pa.array(at)), "other": pa.array([other] * len(at), pa.string()), "label": pa.array([label] * len(at), pa.int32()),
+                                  "sure": pa.array(sure[at]), "h": b.column("h").take(pa.array(at))})
+                    if (other, label) in best:
+                        t = pa.concat_tables([best[other, label], t])
+                    best[other, label] = t.sort_by([("sure", "descending"), ("h", "ascending")]).slice(0, handed).combine_chunks()
+        for t in best.values():
+            yield from t.to_batches()
     return run
 
 
@@ -269,33 +342,70 @@ def _columns(docs: DataFrame) -> DataFrame:
     return docs.select(*[F.col(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("doc_id", "text", "lang", "source")])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL) -> CoTrained:
-    """Fits on at most ``max_labelled`` labelled and ``max_pool`` other documents."""
+def _one_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row of features for each document id, the same one in any order."""
+    return rows.groupBy("doc_id", *keys).agg(F.min(F.struct("dense", "cols", "vals", "names")).alias("f")).select("doc_id", *keys, "f.*")
+
+
+def _features(rows: list) -> Features:
+    return Features.unpacked(*([bytes(r[c]) for r in rows] for c in ("cols", "vals", "names", "dense")))
+
+
+def _asked(pool: DataFrame, id_type: str, handed: int):
+    """The question the classifiers put to the pool after each round."""
+    used = {view: [] for view, _ in VIEWS}
+
+    def surest(model, cal):
+        near = saved(mapped(pool, _sure_of(model, cal, used, handed), f"doc_id {id_type}, other string, label int, sure double, h bigint"), "sure")
+        near = near.groupBy("doc_id", "other", "label", "h").agg(F.max("sure").alias("sure"))
+        picks = None
+        for view, _ in VIEWS:
+            for label in (0, 1):
+                part = near.where((F.col("other") == view) & (F.col("label") == label)).orderBy(F.desc("sure"), "h", "doc_id").limit(handed).select(F.col("doc_id").alias("_id"), "other", "label")
+                picks = part if picks is None else picks.unionByName(part)
+        # at most 4 * handed ids go out, at most as many rows of features come back
+        rows = _one_each(pool.join(F.broadcast(picks), F.col("doc_id") == F.col("_id")), "other", "label").collect()
+        out = {}
+        for view, _ in VIEWS:
+            mine = sorted((r for r in rows if r["other"] == view), key=lambda r: (r["doc_id"], r["label"]))
+            if mine:
+                used[view] += [r["doc_id"] for r in mine]
+                out[view] = _features(mine), np.array([r["label"] for r in mine], float)
+        return out
+    return surest
+
+
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, handed: int = HANDED) -> CoTrained:
+    """Fits on at most ``max_labelled`` labelled documents and those that the
+    views hand each other out of all documents without a label."""
     d = _columns(docs)
     id_type = d.schema["doc_id"].dataType.simpleString()
-    known = (labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy("doc_id")
-             .agg(F.min(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("double")).alias("good")))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    labelled = labels.where("doc_id is not null and quality is not null and toxic is not null")
+    known = labelled.groupBy("doc_id").agg(F.min(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("double")).alias("good"))
     ids = d.select("doc_id").where("doc_id is not null")
-    # two bounded lists of ids; sent to all tasks, they are at most max_labelled + max_pool rows
-    some = known.join(ids, "doc_id", "left_semi").orderBy(*order).limit(max_labelled).select("doc_id", "good")
-    pool = ids.join(known, "doc_id", "left_anti").distinct().orderBy(*order).limit(max_pool).select("doc_id", F.lit(None).cast("double").alias("good"))
-    chosen = F.broadcast(some.unionByName(pool).select(F.col("doc_id").alias("_id"), "good", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(ASIDE)) == 0).alias("aside")))
+    # a bounded list of ids, sent to all tasks
+    some = known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    chosen = F.broadcast(some.select(F.col("doc_id").alias("_id"), "good", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(ASIDE)) == 0).alias("aside")))
     sample = saved(d.join(chosen, F.col("doc_id") == F.col("_id")).drop("_id"), "labelled")
-    told = mapped(sample.where("good is not null and not aside"), _told, "h bigint, n bigint, pos bigint").groupBy("h").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-    share = sample.where("good is not null and not aside").agg(F.avg("good")).first()[0] or 0.5
+    told = mapped(sample.where("not aside"), _told, "h bigint, n bigint, pos bigint").groupBy("h").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    share = sample.where("not aside").agg(F.avg("good")).first()[0] or 0.5
     expect = F.col("n") * F.lit(float(share))
     chi = F.pow(F.col("pos") - expect, F.lit(2.0)) / F.greatest(expect * F.lit(1 - float(share)), F.lit(1e-9))
     top = told.where(F.col("n") >= MIN_DOCS).orderBy(chi.desc(), "h").limit(VOCABULARY).select("h").collect()
     vocab = Vocabulary(np.array([r["h"] for r in top], np.int64).view(np.uint64))
-    got = mapped(sample, _counted(vocab), f"doc_id {id_type}, good double, aside boolean, cols binary, vals binary, dense binary").collect()
-    got.sort(key=lambda r: (r["good"] is None, r["doc_id"], bytes(r["dense"])))
-    n = sum(r["good"] is not None for r in got)
-    cols = [np.frombuffer(r["cols"], np.int32) for r in got]
-    rows = np.repeat(np.arange(len(got)), [len(c) for c in cols])
-    sparse = (rows, np.concatenate([*cols, np.zeros(0, np.int32)]).astype(np.int64), np.concatenate([*(np.frombuffer(r["vals"]) for r in got), np.zeros(0)]))
-    dense = np.frombuffer(b"".join(r["dense"] for r in got)).reshape(-1, N_STYLE + N_META)
-    return CoTrained().fit(vocab, sparse, dense[:, :N_STYLE], dense[:, N_STYLE:], np.array([r["good"] for r in got[:n]], float), np.array([r["aside"] for r in got[:n]], bool))
+    named = [sample.groupBy(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")).agg(F.countDistinct("doc_id").alias("n")) for c in Names.COLUMNS]
+    values = named[0].unionByName(named[1]).where(F.col("n") >= MIN_DOCS).collect()  # bounded by the sample
+    names = Names(sorted(((r["c"], r["v"]) for r in values), key=lambda x: (x[0], x[1] is not None, x[1] or "")))
+    schema = f"doc_id {id_type}, {FEATURES}"
+    got = _one_each(mapped(sample.select("doc_id", "text", "lang", "source"), _counted(vocab, names), schema)).join(chosen, F.col("doc_id") == F.col("_id")).collect()
+    got.sort(key=lambda r: r["doc_id"])
+    y = np.array([r["good"] for r in got], float)
+    surest = None
+    if len(y) and y.min() != y.max():
+        free = d.where("doc_id is not null").join(known.select("doc_id"), "doc_id", "left_anti")
+        pool = saved(mapped(free.select("doc_id", "text", "lang", "source"), _counted(vocab, names), schema).withColumn("h", F.xxhash64("doc_id")), "pool")
+        surest = _asked(pool, id_type, handed)
+    return CoTrained().fit(vocab, names, _features(got), y, np.array([r["aside"] for r in got], bool), surest)
 
 
 def _scores(model: CoTrained):
