@@ -315,26 +315,19 @@ def _counted(vocab: Vocabulary, names: Names):
     return run
 
 
-def _sure_of(model: dict[str, Logistic], cal: dict[str, Platt], used: dict[str, list], handed: int):
-    """Stored features -> the rows each view is surest of and that are not
-    ``used`` yet, at most ``handed`` a task, view and label."""
+def _sure_of(model: dict[str, Logistic], cal: dict[str, Platt], used: dict[str, list]):
+    """Stored features -> thin rows of the documents a view is sure of and that
+    it has not handed yet."""
     def run(batches):
-        best = {}
         for b in batches:
             f = Features.unpacked(*(b.column(c).to_pylist() for c in ("cols", "vals", "names", "dense")))
             for view, other in VIEWS:
                 p = cal[view](model[view].margin(*f.of(view)))
+                sure = np.maximum(p, 1 - p)
                 free = ~pc.is_in(b.column("doc_id"), value_set=pa.array(used[other], b.schema.field("doc_id").type)).to_numpy(zero_copy_only=False)
-                for label in (0, 1):
-                    sure = p if label else 1 - p
-                    at = np.flatnonzero(free & (sure >= SURE))
-                    t = pa.table({"doc_id": b.column("doc_id").take(pa.array(at)), "other": pa.array([other] * len(at), pa.string()), "label": pa.array([label] * len(at), pa.int32()),
-                                  "sure": pa.array(sure[at]), "h": b.column("h").take(pa.array(at))})
-                    if (other, label) in best:
-                        t = pa.concat_tables([best[other, label], t])
-                    best[other, label] = t.sort_by([("sure", "descending"), ("h", "ascending")]).slice(0, handed).combine_chunks()
-        for t in best.values():
-            yield from t.to_batches()
+                at = np.flatnonzero(free & (sure >= SURE))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(at)), pa.array([other] * len(at), pa.string()), pa.array((p[at] >= 0.5).astype(np.int32)), pa.array(sure[at])],
+                                                 ["doc_id", "other", "label", "sure"])
     return run
 
 
@@ -351,13 +344,16 @@ def _features(rows: list) -> Features:
     return Features.unpacked(*([bytes(r[c]) for r in rows] for c in ("cols", "vals", "names", "dense")))
 
 
-def _asked(pool: DataFrame, id_type: str, handed: int):
-    """The question the classifiers put to the pool after each round."""
+def _asked(pool: DataFrame, known: DataFrame, id_type: str, handed: int):
+    """The question the classifiers put to the pool after each round. ``pool``
+    holds the features of all documents; those with a label in ``known`` are
+    taken out of the thin rows, so no features or texts are shuffled."""
     used = {view: [] for view, _ in VIEWS}
 
     def surest(model, cal):
-        near = saved(mapped(pool, _sure_of(model, cal, used, handed), f"doc_id {id_type}, other string, label int, sure double, h bigint"), "sure")
-        near = near.groupBy("doc_id", "other", "label", "h").agg(F.max("sure").alias("sure"))
+        sure = mapped(pool, _sure_of(model, cal, used), f"doc_id {id_type}, other string, label int, sure double")
+        sure = sure.groupBy("doc_id", "other", "label").agg(F.max("sure").alias("sure"))
+        near = saved(sure.join(known.select("doc_id"), "doc_id", "left_anti"), "sure").withColumn("h", F.xxhash64("doc_id"))
         picks = None
         for view, _ in VIEWS:
             for label in (0, 1):
@@ -381,7 +377,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     d = _columns(docs)
     id_type = d.schema["doc_id"].dataType.simpleString()
     labelled = labels.where("doc_id is not null and quality is not null and toxic is not null")
-    known = labelled.groupBy("doc_id").agg(F.min(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("double")).alias("good"))
+    known = saved(labelled.groupBy("doc_id").agg(F.min(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("double")).alias("good")), "known")
     ids = d.select("doc_id").where("doc_id is not null")
     # a bounded list of ids, sent to all tasks
     some = known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
@@ -402,9 +398,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     y = np.array([r["good"] for r in got], float)
     surest = None
     if len(y) and y.min() != y.max():
-        free = d.where("doc_id is not null").join(known.select("doc_id"), "doc_id", "left_anti")
-        pool = saved(mapped(free.select("doc_id", "text", "lang", "source"), _counted(vocab, names), schema).withColumn("h", F.xxhash64("doc_id")), "pool")
-        surest = _asked(pool, id_type, handed)
+        pool = saved(mapped(d.where("doc_id is not null"), _counted(vocab, names), schema), "pool")
+        surest = _asked(pool, known, id_type, handed)
     return CoTrained().fit(vocab, names, _features(got), y, np.array([r["aside"] for r in got], bool), surest)
 
 
