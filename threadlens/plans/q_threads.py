@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from threadlens.functions import lexicons as L
 from threadlens.functions import text as TX
 from threadlens.operators import examples as EX
+from threadlens.operators import tour as TO
 from threadlens.operators import tree as TR
 from threadlens.operators.features import thread_features
 from threadlens.plans import duck as D
@@ -135,6 +136,25 @@ def q_tree_branch_conv(spark, d):
     return TR.branch_conv(TR.branches(TR.nodes(fixture(spark, d, "edges"))))
 
 
+# the same branches, and the numbers they come from, by an Euler tour
+@register("tree_tour_branches", duck_with("posts", "edges", recursive=True) + DUCK_TREE + """
+SELECT cb.conv_id, cb.branch_no, CAST(bp.k - 1 AS INT) AS pos, bp.post_id
+FROM bp JOIN conv_branch cb ON cb.conv_id = bp.conv_id AND cb.ord = bp.ord""")
+def q_tree_tour_branches(spark, d):
+    return TO.tour_branches(TO.euler_tour(fixture(spark, d, "edges")))
+
+
+@register("tree_tour", duck_with("posts", "edges", recursive=True) + DUCK_TREE + """,
+sizes AS (SELECT conv_id, post_id, count(*) AS size FROM (SELECT conv_id, unnest(path) AS post_id FROM walk) GROUP BY ALL),
+below AS (SELECT conv_id, post_id, count(*) AS n_leaves FROM bp GROUP BY ALL)
+SELECT w.conv_id, w.post_id, row_number() OVER (PARTITION BY w.conv_id ORDER BY w.ord) - 1 AS enter,
+  CAST(len(w.path) - 1 AS BIGINT) AS depth, s.size, b.n_leaves,
+  (SELECT count(*) FROM leaves l WHERE l.conv_id = w.conv_id AND l.ord < w.ord) AS branch_no
+FROM walk w JOIN sizes s USING (conv_id, post_id) JOIN below b USING (conv_id, post_id)""")
+def q_tree_tour(spark, d):
+    return TO.euler_tour(fixture(spark, d, "edges"))
+
+
 # --- T3 -------------------------------------------------------------------------------
 @register("tree_branch_no", duck_with("posts", "edges", recursive=True) + DUCK_TREE + """,
 cf AS (SELECT conv_id, min(fold) AS fold FROM posts GROUP BY conv_id),
