@@ -239,13 +239,15 @@ def q_features_all(spark, d):
 SELECT conv_id, post_id, issource, hasqmark, hasemark, hasperiod, hashashtag, hasurl, haspic, hasnegation,
        hasswearwords, src_rumour, clean_text, {duck_ints_str('ner')} AS ner FROM f1""")
 def q_stream_features(spark, d):
-    """The conversations file read as a stream (file source, availableNow),
-    decorated by the same fixture SQL, row-local features, written as files."""
+    """The conversations table (a file or a folder of part files) read as a
+    stream (file source, availableNow), decorated by the same fixture SQL,
+    row-local features, written as files."""
     from threadlens.streaming import features as SF
-    conv = SF.read_post_stream(spark, d, glob="conversations.parquet")
+    conv = SF.read_post_stream(spark, SF.only(f"{d}/conversations.parquet"))
     posts = fixture(spark, d, "posts_all", sources={"conversations": conv})
-    _, path = SF.run_feature_stream(SF.feature_stream(posts, L.FIXTURE_SWEAR_LEXICON))
-    out = spark.read.parquet(path)
+    feats = SF.feature_stream(posts, L.FIXTURE_SWEAR_LEXICON)
+    _, path = SF.run_feature_stream(feats)
+    out = spark.read.schema(feats.schema).parquet(path)
     return out.select("conv_id", "post_id", "issource", "hasqmark", "hasemark", "hasperiod", "hashashtag",
                       "hasurl", "haspic", "hasnegation", "hasswearwords", "src_rumour", "clean_text",
                       ints_str("ner").alias("ner"))

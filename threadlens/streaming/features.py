@@ -12,6 +12,8 @@ from its checkpoint folder, which must be on shared storage.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -36,6 +38,13 @@ def feature_stream(posts: DataFrame, lexicon, gazetteer=None) -> DataFrame:
     return post_features(posts, lexicon, gazetteer)
 
 
+def only(path: str) -> str:
+    """A pattern that fits this path alone. A stream takes a folder of part files
+    as it is, a single file only by a pattern; this one reads either."""
+    path = path.rstrip("/")
+    return path if re.search(r"[*?\[\]{}\\]", path) else f"{path[:-1]}[{path[-1]}]"
+
+
 def read_post_stream(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None,
                      glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """A file-source stream (new files under ``path`` become new rows)."""
