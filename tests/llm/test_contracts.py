@@ -77,6 +77,22 @@ def test_near_dups_main_component_in_blocks(spark):
         assert all(root[a] != root[b] for a, b in got)
 
 
+def test_near_dups_crowd_below_the_threshold(spark):
+    """Classes that share a template and, two by two, a rare shingle, but are no
+    links: hardly a pair becomes a row, and none of the links is missing."""
+    r, sets = __import__("random").Random(5), {}
+    base, pool = ([r.getrandbits(62) for _ in range(n)] for n in (160, 200))
+    for i in range(200):
+        sets[bytes([i])] = set(base) | set(r.sample(pool, 20))
+    for i in range(20):  # and some links
+        sets[bytes([i, 1])] = sets[bytes([i])] - {r.choice(base)}
+    rows = [(k, k, b"".join(x.to_bytes(8, "little") for x in sorted(v))) for k, v in sets.items()]
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    got = {(bytes(x.u), bytes(x.v)) for x in near_dups.beyond(spark.createDataFrame(rows, "node binary, root binary, set binary"), 85, 100).collect()}
+    assert len(want) >= 20 and want <= got
+    assert len(got) < 5 * len(want), (len(got), len(want))
+
+
 def test_token_counts(small):
     import public_tokenizers as P
     df, docs = small

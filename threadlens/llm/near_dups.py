@@ -7,12 +7,12 @@ dealt by range, so a crowded prefix spreads over as many tasks as it needs.
 Candidates are neighbours in a sorted list that agree in at least MIN_DEPTH
 values: where few classes share a prefix (REACH + 1 at most) all of them are
 compared, and where many do each is compared with the next, which has the
-longest common prefix, so the depth follows the region; once the links found
-so far are joined to components, rows of a crowd up to REACH apart are compared
-as well where they are in two of them. Neighbours across two partitions meet through the
-first and last rows of each. Candidates whose signatures agree far too little
-are dropped, the others are confirmed on full sets; components of the links
-give the groups.
+longest common prefix, so the depth follows the region. This is done in FIRST
+trees; once the links found so far are joined to components, rows of a crowd up
+to REACH apart in any tree are compared where they are in two of them.
+Neighbours across two partitions meet through the first and last rows of each.
+Candidates whose signatures agree far too little are dropped, the others are
+confirmed on full sets; components of the links give the groups.
 
 Where more than REACH + 1 classes agree in the MIN_DEPTH leading values of a
 tree, a link may stand between rows further apart. All classes of such crowds
@@ -22,6 +22,11 @@ of each, at places that leave room for the overlap wanted. Pairs within a
 component of the links found so far need no look. A shingle's classes are dealt
 in blocks of BLOCK, of which each two meet in a task.
 
+Classes of a crowd carry the parity of their shingles in each of MARKS bins. The
+bins in which two sets differ are at most as many as the shingles only one of
+them has, so a pair with too many such bins is no link and is not made a row; no
+link is dropped by this.
+
 Chance to miss a link of similarity 0.85 in all lists, by depth alone:
 (1 - 0.85^3)^16 = 2e-7.
 
@@ -45,10 +50,11 @@ from threadlens.llm.common import LOWER, documents, mapped, mixed, saved, span_h
 from threadlens.llm.graph import components
 from threadlens.llm.registry import query
 
-TREES, DEPTH, MIN_DEPTH, REACH = 16, 6, 3, 4
+TREES, DEPTH, MIN_DEPTH, REACH, FIRST = 16, 6, 3, 4, 4
 HASHES = TREES * DEPTH
 BLOCK = 4096  # classes of one shingle that meet as many others in a task
 SLICE = 1 << 18  # pairs of two blocks that go out at once
+MARKS = 1024  # bins whose parities stand for a set of a crowd
 SLACK = 5.5  # standard deviations below the wanted similarity at which signatures still pass
 
 _RNG = np.random.default_rng(7)
@@ -96,6 +102,22 @@ def set_key(s: np.ndarray) -> bytes:
     return np.array([a.sum(dtype=np.uint64) + np.uint64(len(s)), np.bitwise_xor.reduce(b, initial=np.uint64(0))], np.uint64).tobytes()
 
 
+def marks_of(s: np.ndarray) -> bytes:
+    """Whether the shingles in each of MARKS bins are odd in number."""
+    return np.packbits((np.bincount((s & s.dtype.type(MARKS - 1)).astype(np.int64), minlength=MARKS) & 1).astype(bool)).tobytes()
+
+
+def marked(marks: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(marks.to_pylist()), np.uint64).reshape(-1, MARKS // 64)
+
+
+def room(n, m, marks, other, num: int, den: int) -> np.ndarray:
+    """Whether sizes and marks allow a link: shingles that one of two linked sets
+    has are at most (n + m) (den - num) / (den + num)."""
+    apart = np.bitwise_count(marks ^ other).sum(axis=-1, dtype=np.int64)
+    return (np.minimum(n, m) * den >= np.maximum(n, m) * num) & (apart * (den + num) <= (n + m) * (den - num))
+
+
 def _signed(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,9 +139,9 @@ def _tree_rows(batches):
 
 
 def _neighbours(tree: np.ndarray, key: np.ndarray, node: list[bytes]) -> tuple[list, list]:
-    """Pairs among rows in sorted order that agree in MIN_DEPTH leading values:
-    all of them where at most REACH + 1 rows do (of those at hand), else rows
-    that stand next to each other, since ``beyond`` joins such crowds exactly."""
+    """All pairs among rows in sorted order that agree in MIN_DEPTH leading
+    values, where at most REACH + 1 rows do (of those at hand); crowds are left
+    to ``apart`` and ``beyond``, which joins them exactly."""
     us, vs = [], []
     new = np.concatenate(([True], (tree[1:] != tree[:-1]) | (key[1:, :MIN_DEPTH] != key[:-1, :MIN_DEPTH]).any(axis=1))) if len(node) else np.zeros(0, bool)
     head = np.cumsum(new) - 1
@@ -128,7 +150,7 @@ def _neighbours(tree: np.ndarray, key: np.ndarray, node: list[bytes]) -> tuple[l
         if len(node) <= o:
             break
         same = head[o:] == head[:-o]
-        for i in np.flatnonzero(same if o == 1 else same & few[o:]):
+        for i in np.flatnonzero(same & few[o:]):
             a, b = node[i], node[i + o]
             if a != b:
                 us.append(min(a, b))
@@ -172,31 +194,32 @@ def _scan(edges: bool):
     return run
 
 
-def _apart(batches):
-    """Sorted rows of crowded prefixes -> pairs at most REACH apart whose
-    components (root) differ."""
-    kept = None
-    for batch in batches:
-        if kept is not None:
-            batch = pa.Table.from_batches([kept, batch]).combine_chunks().to_batches()[0]
-        tree, key, node = _rows(batch)
-        root, us, vs = batch.column("root").to_pylist(), [], []
-        for o in range(1, min(REACH, len(node) - 1) + 1):
-            same = (tree[o:] == tree[:-o]) & (key[o:, :MIN_DEPTH] == key[:-o, :MIN_DEPTH]).all(axis=1)
-            for i in np.flatnonzero(same).tolist():
-                if root[i] != root[i + o]:
+def _apart(num: int, den: int, reach: int):
+    """Sorted rows of crowded prefixes -> pairs at most ``reach`` rows apart whose
+    components (root) differ and whose sizes and marks allow a link."""
+    def run(batches):
+        kept = None
+        for batch in batches:
+            if kept is not None:
+                batch = pa.Table.from_batches([kept, batch]).combine_chunks().to_batches()[0]
+            tree, key, node = _rows(batch)
+            n, marks, us, vs = batch.column("n").to_numpy(), marked(batch.column("marks")), [], []
+            root = np.array(batch.column("root").to_pylist() + [None], object)[:-1]
+            for o in range(1, min(reach, len(node) - 1) + 1):
+                ok = (tree[o:] == tree[:-o]) & (key[o:, :MIN_DEPTH] == key[:-o, :MIN_DEPTH]).all(axis=1) & (root[o:] != root[:-o])
+                for i in np.flatnonzero(ok & room(n[o:], n[:-o], marks[o:], marks[:-o], num, den)).tolist():
                     us.append(min(node[i], node[i + o]))
                     vs.append(max(node[i], node[i + o]))
-        yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
-        kept = batch.slice(max(0, batch.num_rows - REACH))
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
+            kept = batch.slice(max(0, batch.num_rows - reach))
+    return run
 
 
-def apart(crowd: DataFrame, roots: DataFrame) -> DataFrame:
-    """Distinct pairs (u, v) that stand near each other in a crowded prefix
-    (tree, key, node) and are in two components so far."""
-    n = int(crowd.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = crowd.join(roots, "node", "left").select("tree", "key", "node", F.coalesce("root", "node").alias("root"))
-    return rows.repartitionByRange(n, "tree", "key", "node").sortWithinPartitions("tree", "key", "node").mapInArrow(_apart, "u binary, v binary").distinct()
+def apart(crowd: DataFrame, num: int, den: int, reach: int) -> DataFrame:
+    """Distinct pairs (u, v) that stand near each other in a crowded prefix (tree,
+    key, node, n, marks, root), are in two components so far and may be links."""
+    parts = int(crowd.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return crowd.repartitionByRange(parts, "tree", "key", "node").sortWithinPartitions("tree", "key", "node").mapInArrow(_apart(num, den, reach), "u binary, v binary").distinct()
 
 
 def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -233,7 +256,8 @@ def _sets(k: int):
         for batch in batches:
             for b in steps(batch):
                 sets = shingle_sets(*text_bytes(b.column("text")), k)
-                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()),
+                                                  pa.array([len(s) for s in sets], pa.int64()), pa.array([marks_of(s) for s in sets], pa.binary())], ["node", "set", "n", "marks"])
     return run
 
 
@@ -260,10 +284,10 @@ def _exploded(batches):
 
 def _prefixes(num: int, den: int):
     """Shingles of a class with their frequencies -> those of its prefix that
-    other classes have, with their places from behind."""
+    other classes have, with their places from behind and the class's marks."""
     def run(batches):
         for b in batches:
-            who, ss, ns, lefts = [], [], [], []
+            who, ss, ns, lefts, marks = [], [], [], [], []
             for i, x in enumerate(b.column("shingles")):
                 s, f = (x.values.field(c).to_numpy(zero_copy_only=False) for c in ("s", "f"))
                 n = len(s)
@@ -273,18 +297,21 @@ def _prefixes(num: int, den: int):
                 ss.append(s[first[at]])
                 ns += [n] * len(at)
                 lefts.append(n - at)
+                marks.append(marks_of(s))
             if who:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ss)), b.column("node").take(pa.array(who)), b.column("root").take(pa.array(who)),
-                                                  pa.array(np.array(ns, np.int64)), pa.array(np.concatenate(lefts).astype(np.int64))], ["s", "node", "root", "n", "rest"])
+                                                  pa.array(np.array(ns, np.int64)), pa.array(np.concatenate(lefts).astype(np.int64)), pa.array(marks, pa.binary()).take(pa.array(who))],
+                                                 ["s", "node", "root", "n", "rest", "marks"])
     return run
 
 
 def _met(num: int, den: int):
-    """Two blocks of one shingle -> pairs of two components whose sizes and
-    places leave room for a link."""
+    """Two blocks of one shingle -> pairs of two components whose sizes, places
+    and marks leave room for a link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches)).combine_chunks()  # at most 2 BLOCK rows
         side, n, rest = (table.column(c).to_numpy() for c in ("side", "n", "rest"))
+        marks = marked(table.column("marks"))
         same = table.column("a")[0].as_py() == table.column("b")[0].as_py()
         nodes = table.column("node").to_pylist()
         order = sorted(range(len(nodes)), key=nodes.__getitem__)
@@ -303,8 +330,8 @@ def _met(num: int, den: int):
         for i in left.tolist():
             j = right[right > i] if same else right
             most = np.minimum(np.minimum(rest[i], rest[j]), np.minimum(n[i], n[j]))
-            ok = (root[j] != root[i]) & (most * (num + den) >= num * (n[i] + n[j])) & (np.minimum(n[i], n[j]) * den >= np.maximum(n[i], n[j]) * num)
-            j = j[ok]
+            j = j[(root[j] != root[i]) & (most * (num + den) >= num * (n[i] + n[j]))]
+            j = j[room(n[i], n[j], marks[i], marks[j], num, den)]
             us.append(np.full(len(j), rank[i]))
             vs.append(rank[j])
             held += len(j)
@@ -323,7 +350,7 @@ def beyond(crowded: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFr
     often = saved(rows.groupBy("s").agg(F.count("*").alias("f")).where("f > 1"), "crowd-frequencies")
     known = rows.join(often, "s", "left").select("node", F.struct("s", F.coalesce("f", F.lit(1)).alias("f")).alias("x"))
     known = known.groupBy("node").agg(F.collect_list("x").alias("shingles")).join(crowded.select("node", "root"), "node")
-    first = saved(known.mapInArrow(_prefixes(num, den), "s bigint, node binary, root binary, n bigint, rest bigint"), "crowd-prefixes")
+    first = saved(known.mapInArrow(_prefixes(num, den), "s bigint, node binary, root binary, n bigint, rest bigint, marks binary"), "crowd-prefixes")
     by_root = first.groupBy("s", "root").agg(F.count("*").alias("m"))
     most = by_root.groupBy("s").agg(F.max(F.struct("m", "root")).alias("x"), F.sum("m").alias("m"))
     most = most.select("s", F.col("x.root").alias("main"), F.ceil(F.col("x.m") / block).cast("int").alias("mains"), F.ceil((F.col("m") - F.col("x.m")) / block).cast("int").alias("others")).where("others > 0")
@@ -332,7 +359,7 @@ def beyond(crowded: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFr
     own = F.when(F.col("root") == F.col("main"), -1 - F.pmod(F.xxhash64("node"), F.col("mains"))).otherwise(F.pmod(F.xxhash64("node"), F.col("others"))).cast("int")
     met = met.withColumn("own", own)
     met = met.withColumn("with", F.explode(F.when(F.col("own") < 0, F.sequence(F.lit(0), F.col("others") - 1)).otherwise(F.sequence(-F.col("mains"), F.col("others") - 1))))
-    met = met.select("s", F.least("own", "with").alias("a"), F.greatest("own", "with").alias("b"), (F.col("own") > F.col("with")).cast("int").alias("side"), "node", "root", "n", "rest")
+    met = met.select("s", F.least("own", "with").alias("a"), F.greatest("own", "with").alias("b"), (F.col("own") > F.col("with")).cast("int").alias("side"), "node", "root", "n", "rest", "marks")
     return met.groupBy("s", "a", "b").applyInArrow(_met(num, den), "u binary, v binary").distinct()
 
 
@@ -359,25 +386,32 @@ def near_dups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFr
     crowded = crowd.select("node").distinct()
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).unionByName(crowded).distinct()
     reps = classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("_rep")).distinct()
-    sets = saved(d.join(reps, d["doc_id"].eqNullSafe(reps["_rep"])).select("text").mapInArrow(_sets(k), "node binary, set binary"), "sets")
+    sets = saved(d.join(reps, d["doc_id"].eqNullSafe(reps["_rep"])).select("text").mapInArrow(_sets(k), "node binary, set binary, n bigint, marks binary"), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
         return (pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("set_u")), "u")
                 .join(sets.select(F.col("node").alias("v"), F.col("set").alias("set_v")), "v")
                 .mapInArrow(_confirmed(num, den), "u binary, v binary").distinct())
 
-    roots = saved(components(linked(pairs)), "roots")
-    if crowd.limit(1).count():
+    if not crowd.limit(1).count():
+        roots = saved(components(linked(pairs)), "roots")
+    else:
         def also(roots: DataFrame, links: DataFrame) -> DataFrame:
             """The components with more links; what is joined already is one star each."""
             stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
             return saved(components(stars.unionByName(links)), "roots")
 
-        wider = saved(likely(apart(crowd, roots).join(pairs, ["u", "v"], "left_anti")), "crowd-neighbours")
+        # marks are exact, so candidates in crowds go to their full sets without a look at signatures
+        crowd = crowd.join(sets.select("node", "n", "marks").dropDuplicates(["node"]), "node")
+        following = saved(apart(crowd.where(F.col("tree") < FIRST).withColumn("root", F.col("node")), num, den, 1), "crowd-next")
+        tried = pairs.unionByName(following).distinct()
+        roots = saved(components(linked(tried)), "roots")
+        rows = crowd.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        wider = saved(apart(rows, num, den, REACH).join(tried, ["u", "v"], "left_anti"), "crowd-neighbours")
         roots = also(roots, linked(wider))
         members = crowded.join(sets, "node").dropDuplicates(["node"]).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "set")
-        more = beyond(saved(members, "crowd"), num, den).join(pairs.unionByName(wider), ["u", "v"], "left_anti")
-        roots = also(roots, linked(saved(likely(saved(more, "crowd-pairs")), "crowd-candidates")))
+        more = beyond(saved(members, "crowd"), num, den).join(tried.unionByName(wider), ["u", "v"], "left_anti")
+        roots = also(roots, linked(saved(more, "crowd-pairs")))
     grouped = classes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = saved(grouped.groupBy("root").agg(F.min("rep").alias("component")), "components")  # stored: a large group's join can be split
     named = grouped.join(named, "root").select("node", "component")
