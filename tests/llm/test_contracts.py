@@ -1,12 +1,13 @@
 """Each operator against a plain version, and on awkward tables."""
 
 import brute as B
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from threadlens.llm import decontaminate, lm_score, mixing, near_dups, pii, quality_model, quality_rules, substring_dedup, suffix_dedup, token_counts
+from threadlens.llm import common, decontaminate, lm_score, mixing, near_dups, pii, quality_model, quality_rules, substring_dedup, suffix_dedup, token_counts
 
 
 def table(df, *cols):
@@ -141,6 +142,22 @@ def test_lm_score(small):
         assert sum(g[5] for g in held) > sum(g[4] for g in held)
 
 
+def test_lm_score_packs_numbers_by_their_entropy():
+    r = np.random.default_rng(2)
+    x = np.minimum(r.zipf(1.3, 200_000), 60_000).astype(np.int64)
+    packed = lm_score.planes(x)
+    assert (lm_score.numbers(packed) == x).all() and len(packed) < 1.4 * len(x)
+    for few in (np.zeros(0, np.int64), np.array([0]), np.array([2**40, 3])):
+        assert lm_score.numbers(lm_score.planes(few)).tolist() == few.tolist()
+
+
+def test_hashes_of_small_texts_keep_small_tables(monkeypatch):
+    monkeypatch.setattr(common, "_POWERS", {})
+    buf = np.frombuffer(b"some words " * 5_000, np.uint8)
+    common.span_hashes(buf, np.array([0, 5]), np.array([4, 10]))
+    assert sum(x.nbytes for x in common._POWERS.values()) <= 2 << 20
+
+
 def test_lm_score_has_word_contexts(spark):
     """A learned order scores above its shuffles, contexts beat the unigram on
     held-out text, and the scores of all texts of up to two words stay below 1."""

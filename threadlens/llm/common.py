@@ -70,10 +70,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i modulo 2^64 for i < n (kept between calls unless
-    one very long text asked for them)."""
+    """base^i and base^-i modulo 2^64 for i < n (kept between calls, as many as
+    were asked for, unless one very long text asked for them)."""
     if len(_POWERS.get("p", ())) < n:
-        m = max(n, STEP_BYTES + (STEP_BYTES >> 2))
+        m = max(n, 1 << 16, min(2 * len(_POWERS.get("p", ())), STEP_BYTES + (STEP_BYTES >> 2)))
         made = {}
         for key, b in (("p", _BASE), ("q", pow(_BASE, -1, 1 << 64))):
             a = np.full(m, b, np.uint64)

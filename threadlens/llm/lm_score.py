@@ -50,7 +50,7 @@ from threadlens.llm.registry import query
 BLOCK = 4 << 20
 PIECE = 1 << 19                     # bytes of text hashed in one numpy step (a longer single text is one step)
 PER_BUCKET = 1 << 20                # words or tokens of blocks that a bucket is meant for
-BLOCKS_A_TASK = 2                   # blocks whose rows meet their answers in one task
+BLOCKS_A_TASK = 1                   # blocks whose rows meet their answers in one task
 SWEEPS, BURN_IN = 3, 1
 CONTEXT_STRENGTH = 1.0              # theta of the word contexts
 STRENGTH = 20.0                     # theta of the word restaurant
@@ -179,13 +179,15 @@ class Spelling:
 
 def planes(x: np.ndarray) -> bytes:
     """Whole numbers in as few bytes as the largest needs, all lowest bytes
-    first; the first byte is the width."""
+    first, compressed; before them the width and how many numbers there are."""
     width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
-    return bytes([width]) + np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    raw = np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return bytes([width]) + len(x).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def numbers(b: bytes) -> np.ndarray:
-    raw = np.frombuffer(b, np.uint8, offset=1).reshape(b[0], -1)
+    n = int.from_bytes(b[1:9], "little")
+    raw = np.frombuffer(pa.decompress(pa.py_buffer(b)[9:], decompressed_size=b[0] * n, codec="zstd"), np.uint8).reshape(b[0], n)
     out = np.zeros((raw.shape[1], 8), np.uint8)
     out[:, :b[0]] = raw.T
     return out.view("<i8").ravel()
@@ -205,10 +207,14 @@ def batch_of(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema)
 
 
+def word_bytes(row) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of packed words."""
+    return np.frombuffer(row["words"], np.uint8), np.concatenate(([0], np.cumsum(numbers(row["lens"]))))
+
+
 def word_places(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, offsets, hashes) of packed words."""
-    raw = np.frombuffer(row["words"], np.uint8)
-    offs = np.concatenate(([0], np.cumsum(numbers(row["lens"]))))
+    raw, offs = word_bytes(row)
     return raw, offs, span_hashes(raw, offs[:-1], offs[1:]) if len(raw) else np.zeros(len(offs) - 1, np.uint64)
 
 
@@ -220,9 +226,10 @@ def picked(raw: np.ndarray, offs: np.ndarray, order: np.ndarray) -> tuple[bytes,
 
 
 def each(batch: pa.RecordBatch):
-    """Rows one at a time: a block's row is megabytes."""
+    """Rows one at a time: a block's row is megabytes, and what it took goes back."""
     for i in range(batch.num_rows):
         yield batch.slice(i, 1).to_pylist()[0]
+        pa.default_memory_pool().release_unused()
 
 
 def rows_of(table: pa.Table, by: str) -> list[dict]:
@@ -506,7 +513,7 @@ def _seat_words(model: Model, s: int):
     def run(key, words, sent):
         out = []
         for r in words.to_pylist():
-            raw, offs, _ = word_places(r)
+            raw, offs = word_bytes(r)
             n, c0 = len(offs) - 1, numbers(r["c"])
             c, t = numbers(r["ow"]).astype(np.float64), numbers(r["ox"])
             for y in sent.to_pylist():
