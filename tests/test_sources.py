@@ -77,3 +77,12 @@ def test_prepare_examples_twitter_then_reddit(spark):
         ("train", 3, "1.1", "r2", 2, "reply", "Title"),
         ("train", 4, "2.1", "r3", 1, "", "Title"),
     ]
+
+
+def test_stored_texts_open_each_file_once(spark):
+    root = shared_dir(spark, "t-stored")
+    write(spark, root, {"t/1/source-tweet/1.json": tweet("1", "source"), "t/1/replies/2.json": tweet("2", "reply") + "\nno tweet"})
+    once = TH.listed(spark, root, "twitter", stored=True)
+    assert {r.post_id for r in TH.scan_twitter(spark, once).collect()} == {"1", "2"}
+    write(spark, root, {"t/1/replies/2.json": "another text"})  # what was read stays
+    assert [r.line for r in TH.corrupt_lines(spark, once, "twitter").collect()] == ["no tweet"]

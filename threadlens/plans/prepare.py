@@ -101,7 +101,7 @@ def prepare(spark: SparkSession, folders: Sequence[ThreadFolder], labels: DataFr
     repair has cut off from every root, or put below themselves)."""
     posts, edges, corrupt, rooted = None, None, None, None
     for no, f in enumerate(folders):
-        f = replace(f, root=TH.listed(spark, f.root, f.platform))  # posts, trees and corrupt lines come from one listing
+        f = replace(f, root=TH.listed(spark, f.root, f.platform, stored=True))  # posts, trees and corrupt lines come from one listing, read once
         p, r = folder_posts(spark, f, labels, priority, no), repaired_edges(spark, f, no, fixes)
         c = TH.corrupt_lines(spark, f.root, f.platform)
         if fixes is None:

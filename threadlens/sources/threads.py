@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.operators.tree import tree_json_to_edges
+from threadlens.session import materialize
 from threadlens.sources import listing
 
 TWEET_SCHEMA = T.StructType([
@@ -56,10 +57,15 @@ def post_id_from_path(path) -> Column:
 
 
 class Listed:
-    """What lies below a root, listed once for several scans of it."""
+    """What lies below a root, listed once for several scans of it; ``stored``:
+    files are opened once as well, their texts kept in the shared folder."""
 
-    def __init__(self, spark: SparkSession, root: str, levels: int):
-        self.spark, self.root, self.levels = spark, root, levels
+    def __init__(self, spark: SparkSession, root: str, levels: int, stored: bool = False):
+        self.spark, self.root, self.levels, self.stored = spark, root, levels, stored
+
+    def _texts(self, files: DataFrame) -> DataFrame:
+        texts = listing.read_texts(files)
+        return materialize(texts, "texts") if self.stored else texts
 
     @cached_property
     def entries(self) -> DataFrame:
@@ -75,16 +81,16 @@ class Listed:
     @cached_property
     def posts(self) -> DataFrame:
         """(file_path, value) of every post file."""
-        return listing.read_texts(self.files.where(F.col("name").endswith(".json")))
+        return self._texts(self.files.where(F.col("name").endswith(".json")))
 
     @cached_property
     def structures(self) -> DataFrame:
         """(file_path, value) of every ``structure.json``."""
-        return listing.read_texts(self.entries.where("not is_dir and name = 'structure.json'"))
+        return self._texts(self.entries.where("not is_dir and name = 'structure.json'"))
 
 
-def listed(spark: SparkSession, root: str | Listed, platform: str) -> Listed:
-    return root if isinstance(root, Listed) else Listed(spark, root, LEVELS[platform])
+def listed(spark: SparkSession, root: str | Listed, platform: str, stored: bool = False) -> Listed:
+    return root if isinstance(root, Listed) else Listed(spark, root, LEVELS[platform], stored)
 
 
 def _parsed(df: DataFrame, schema: T.StructType) -> DataFrame:
