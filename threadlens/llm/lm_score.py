@@ -282,8 +282,8 @@ def _blocks(most: int):
 
 # --- words ---------------------------------------------------------------------
 
-_SENT = "bucket int, block string, words binary, lens binary, c binary"
-_NAMED = "bucket int, block string, words binary, lens binary, c binary, gids binary, known bigint, once bigint, twice bigint, customers bigint"
+_SENT = "bucket int, block string, words binary, lens binary, c binary, at binary"
+_NAMED = "bucket int, block string, words binary, lens binary, c binary, gids binary, at binary, known bigint, once bigint, twice bigint, customers bigint"
 
 
 def _send_words(k: int):
@@ -296,14 +296,14 @@ def _send_words(k: int):
                 order, cut = dealt((h % np.uint64(k)).astype(np.int64), k)
                 data, offs = picked(raw, offs, order)
                 c, lens = numbers(r["c"])[order], np.diff(offs)
-                yield batch_of(schema, [{"bucket": i, "block": r["block"], "words": data[offs[lo]:offs[hi]], "lens": planes(lens[lo:hi]), "c": planes(c[lo:hi])}
+                yield batch_of(schema, [{"bucket": i, "block": r["block"], "words": data[offs[lo]:offs[hi]], "lens": planes(lens[lo:hi]), "c": planes(c[lo:hi]), "at": planes(np.diff(order[lo:hi], prepend=0))}
                                         for i, (lo, hi) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if hi > lo])
     return run
 
 
 def _name(k: int):
     """A bucket's words -> one row of all its words by rank, and to each block
-    the numbers (rank * k + bucket) and counts of its own."""
+    the numbers (rank * k + bucket) and counts of its own, with their places in it."""
     schema = schema_of(_NAMED)
 
     def run(key, table):
@@ -322,7 +322,7 @@ def _name(k: int):
         gid, at = rank[inv] * k + bucket, 0
         for r, g in zip(rows, got):
             n = len(g[2])
-            out.append({"bucket": bucket, "block": r["block"], "gids": planes(gid[at:at + n]), "c": planes(c[inv[at:at + n]])})
+            out.append({"bucket": bucket, "block": r["block"], "gids": planes(gid[at:at + n]), "c": planes(c[inv[at:at + n]]), "at": r["at"]})
             at += n
         return pa.Table.from_pylist(out, schema)
     return run
@@ -335,9 +335,9 @@ _COUNTED = "bucket int, block string, x binary, w binary, c binary, dest int, gi
 _WORDS = "bucket int, words binary, lens binary, c binary, ow binary, ox binary, need binary"
 
 
-def block_words(r, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where each word of a block stands in the buckets' answers: (order, bounds)."""
-    return dealt((word_places(r)[2] % np.uint64(k)).astype(np.int64), k)
+def block_words(r) -> np.ndarray:
+    """The words of a block in the order of the buckets' answers."""
+    return np.concatenate([np.cumsum(numbers(x["at"])) for x in sorted(r["lex"], key=lambda x: x["bucket"])])
 
 
 def block_pairs(r, gid: np.ndarray, grid: int):
@@ -353,8 +353,8 @@ def block_pairs(r, gid: np.ndarray, grid: int):
     return inv, lx, lw, c, order, np.searchsorted(bucket[order], np.arange(grid * grid + 1))
 
 
-def block_gids(r, k: int) -> tuple[np.ndarray, np.ndarray]:
-    order, _ = block_words(r, k)
+def block_gids(r) -> tuple[np.ndarray, np.ndarray]:
+    order = block_words(r)
     gid, c = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
     lex = sorted(r["lex"], key=lambda x: x["bucket"])
     gid[order] = np.concatenate([numbers(x["gids"]) for x in lex])
@@ -362,12 +362,12 @@ def block_gids(r, k: int) -> tuple[np.ndarray, np.ndarray]:
     return gid, c
 
 
-def _number(k: int, grid: int, schema: pa.Schema):
+def _number(grid: int, schema: pa.Schema):
     """Blocks with the buckets' answers -> pairs for the grid."""
     def run(batches):
         for b in batches:
             for r in each(b):
-                gid, _ = block_gids(r, k)
+                gid, _ = block_gids(r)
                 _, lx, lw, c, order, cut = block_pairs(r, gid, grid)
                 x, w, c = gid[lx[order]], gid[lw[order]], c[order]
                 for i in np.flatnonzero(np.diff(cut)).tolist():
@@ -618,8 +618,8 @@ def _scored(model: Model, types: int):
         for batch in batches:
             id_type = batch.schema.field("ids").type.value_type
             for r in each(batch):
-                gid, c = block_gids(r, model.k)
-                order, _ = block_words(r, model.k)
+                gid, c = block_gids(r)
+                order = block_words(r)
                 q, t = np.empty((SWEEPS, len(gid))), np.empty((SWEEPS, len(gid)))
                 state = sorted(r["state"], key=lambda x: x["bucket"])
                 q[:, order] = np.concatenate([np.frombuffer(x["q"], np.float32).reshape(SWEEPS, -1) for x in state], axis=1)
@@ -662,12 +662,12 @@ def lm_scores(docs: DataFrame, block: int = BLOCK, per_bucket: int = PER_BUCKET)
 
     named = saved(mapped(blocks.select("block", "words", "lens", "c"), _send_words(k), _SENT).groupBy("bucket").applyInArrow(_name(k), _NAMED), "lm-words")
     words = named.where("words is not null").select("bucket", "words", "lens", "c")
-    asked = named.where("block is not null").select("block", "bucket", "gids", "c")
+    asked = named.where("block is not null").select("block", "bucket", "gids", "c", "at")
     met = named.agg(F.sum("customers"), F.sum("known"), F.sum("once"), F.sum("twice")).first()
 
-    lex = asked.groupBy("block").agg(F.collect_list(F.struct("bucket", "gids", "c")).alias("lex"))
-    full = blocks.select("block", "ids", "held", "sizes", "toks", "words", "lens").repartition(max(1, -(-size[2] // BLOCKS_A_TASK)), "block").join(lex, "block")
-    counted = saved(mapped(full.drop("ids"), _number(k, grid, schema_of(_PAIRS)), _PAIRS).groupBy("bucket").applyInArrow(_count(k), _COUNTED), "lm-pairs")
+    lex = asked.groupBy("block").agg(F.collect_list(F.struct("bucket", "gids", "c", "at")).alias("lex"))
+    full = blocks.select("block", "ids", "held", "sizes", "toks").repartition(max(1, -(-size[2] // BLOCKS_A_TASK)), "block").join(lex, "block")
+    counted = saved(mapped(full.drop("ids"), _number(grid, schema_of(_PAIRS)), _PAIRS).groupBy("bucket").applyInArrow(_count(k), _COUNTED), "lm-pairs")
     pairs = counted.where("x is not null").select("bucket", "x", "w", "c")
     ones = counted.where("dest is not null").select(F.col("dest").alias("bucket"), "gid", "tw", "tx", "more")
     words = saved(words.groupBy("bucket").cogroup(ones.groupBy("bucket")).applyInArrow(_with_ones(), _WORDS), "lm-vocabulary")
