@@ -151,6 +151,17 @@ def test_lm_score_packs_numbers_by_their_entropy():
         assert lm_score.numbers(lm_score.planes(few)).tolist() == few.tolist()
 
 
+def test_lm_score_seats_by_parts_as_one_by_one():
+    """Dishes seated together, ordered by customers, get the tables each gets alone."""
+    r = np.random.default_rng(4)
+    c = np.minimum(r.zipf(1.3, 300), 5_000).astype(np.float64)
+    c[::7] = 0
+    q, weight, key = r.random(300) * 0.01, 1 + 0.6 * r.integers(1, 900, 300), r.integers(0, 2**63, 300, dtype=np.uint64)
+    together = lm_score.seated(c, q, weight, 0.6, key, 9)
+    alone = [lm_score.seated(c[i:i + 1], q[i:i + 1], weight[i:i + 1], 0.6, key[i:i + 1], 9)[0] for i in range(300)]
+    assert together.tolist() == alone and ((together >= (c > 0)) & (together <= c)).all()
+
+
 def test_hashes_of_small_texts_keep_small_tables(monkeypatch):
     monkeypatch.setattr(common, "_POWERS", {})
     buf = np.frombuffer(b"some words " * 5_000, np.uint8)

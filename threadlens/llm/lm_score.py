@@ -76,25 +76,27 @@ def seated(c: np.ndarray, q: np.ndarray, weight: np.ndarray | float, d: float, k
     customers of the dish less d for each of its tables. From the 64th on
     customers are seated in groups a tenth as large as those already there."""
     t = np.minimum(c, 1).astype(np.float64)
-    w = np.broadcast_to(weight * q, c.shape)
-    seated_, step = 1.0, 1.0
-    alive = np.flatnonzero(c > 1)
-    no = 0
-    while len(alive):
-        here = np.minimum(step, c[alive] - seated_)
-        p = w[alive] / (w[alive] + seated_ + (step - 1) / 2 - d * t[alive])
-        u = uniform(key[alive], salt + 7919 * no)
+    many = np.flatnonzero(c > 1)
+    many = many[np.argsort(-c[many], kind="stable")]  # who has customers left is a leading part
+    left, ws, keys, ts = c[many], np.broadcast_to(weight * q, c.shape)[many], key[many], t[many]
+    seated_, step, no, m = 1.0, 1.0, 0, len(many)
+    while m:
+        w, tables = ws[:m], ts[:m]
+        p = w / (w + seated_ + (step - 1) / 2 - d * tables)
+        u = uniform(keys[:m], salt + 7919 * no)
         if step == 1.0:
-            t[alive] += u < p
+            tables += u < p
         else:  # a group: binomial by its normal limit
+            here = np.minimum(step, left[:m] - seated_)
             mean, sd = here * p, np.sqrt(here * p * (1 - p))
-            u2 = uniform(key[alive], salt + 7919 * no + 13)
+            u2 = uniform(keys[:m], salt + 7919 * no + 13)
             z = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * u2)
-            t[alive] += np.clip(np.rint(mean + sd * z), 0, here)
+            tables += np.clip(np.rint(mean + sd * z), 0, here)
         seated_ += step
         step = 1.0 if seated_ < 64 else float(int(seated_ * 0.1))
         no += 1
-        alive = alive[c[alive] > seated_]
+        m = int(np.searchsorted(-left[:m], -seated_, "left"))
+    t[many] = ts
     return np.minimum(t, c)
 
 
@@ -349,7 +351,9 @@ def block_pairs(r, gid: np.ndarray, grid: int):
     lx, lw = u // n, u % n
     c = np.bincount(inv, np.repeat(~np.array(r["held"], bool), r["sizes"]), len(u)).astype(np.int64)
     bucket = part(gid, grid)[lx] * grid + part(gid, grid)[lw]
-    order = np.lexsort((gid[lw], gid[lx], bucket))
+    rank = np.empty(n, np.int64)
+    rank[np.argsort(gid)] = np.arange(n)
+    order = np.argsort((bucket * n + rank[lx]) * n + rank[lw]) if grid * grid * n * n < 2**62 else np.lexsort((gid[lw], gid[lx], bucket))
     return inv, lx, lw, c, order, np.searchsorted(bucket[order], np.arange(grid * grid + 1))
 
 
@@ -628,17 +632,18 @@ def _scored(model: Model, types: int):
                 n = np.empty(len(lx), np.int64)
                 n[by] = np.concatenate([numbers(x["c"]) for x in sorted(r["counts"], key=lambda x: x["bucket"])])
                 more = np.flatnonzero(n > 1)
-                new = c[lw] == 0
-                p, p_open = np.zeros(len(lx)), np.full(len(lx), -np.inf)
+                new = np.flatnonzero(c[lw] == 0)
+                p, p_open = np.zeros(len(lx)), np.full(len(new), -np.inf)
                 for s in range(BURN_IN + 1, SWEEPS + 1):
                     tables = np.minimum(n, 1).astype(np.float64)
-                    tables[more] = model.pair_tables(s, n[more], gid[lx[more]], gid[lw[more]], np.exp(q[s - 2][lw[more]]).astype(np.float32), t[s - 2][lx[more]])
+                    tables[more] = model.pair_tables(s, n[more], gid[lx[more]], gid[lw[more]], np.exp(q[s - 2]).astype(np.float32)[lw[more]], t[s - 2][lx[more]])
                     own = (n - d * tables) / (theta + c[lx])
                     rest = (theta + d * t[s - 1]) / (theta + c)
                     p += own + rest[lx] * np.where(c > 0, np.exp(q[s - 1]), model.unknown(s))[lw]
-                    p_open = np.logaddexp(p_open, np.log(rest[lx]) + q[s - 1][lw])  # of words nobody counted
+                    p_open = np.logaddexp(p_open, np.log(rest[lx[new]]) + q[s - 1][lw[new]])  # of words nobody counted
                 lp = np.log10(p / (SWEEPS - BURN_IN))
-                lo = np.where(new, (p_open - np.log(SWEEPS - BURN_IN)) / np.log(10), lp)
+                lo = lp.copy()
+                lo[new] = (p_open - np.log(SWEEPS - BURN_IN)) / np.log(10)
                 cur, sizes = numbers(r["toks"]), np.array(r["sizes"])
                 base = np.log10((c + 0.5) / (model.customers + 0.5 * (types + 1)))
                 first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
