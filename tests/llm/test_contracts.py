@@ -151,6 +151,27 @@ def test_lm_score_packs_numbers_by_their_entropy():
         assert lm_score.numbers(lm_score.planes(few)).tolist() == few.tolist()
 
 
+def test_lm_score_packs_states_counts_and_spellings_small():
+    r = np.random.default_rng(5)
+    c = np.sort(r.zipf(1.6, 3_000).clip(max=50_000))[::-1]
+    gid = np.arange(3_000) * 5 + 2
+    at = r.permutation(3_000)
+    sent = lm_score.ranked(c[at], gid[at])  # a word's number is its rank by count, so counts are steps down
+    assert (lm_score.counts_of(sent, gid[at]) == c[at]).all() and len(sent) < len(lm_score.planes(c[at])) / 2
+    for n in (0, 1):
+        assert (lm_score.counts_of(lm_score.ranked(c[:n], gid[:n]), gid[:n]) == c[:n]).all()
+    state = np.concatenate((c - 0.6 * r.integers(1, 3, 3_000), r.normal(-20, 5, 3_000), [0.0, -0.0, np.inf, -np.inf]))
+    for kind in (np.float64, np.float32):
+        x = state.astype(kind)
+        packed = lm_score.bits(x)
+        assert lm_score.floats(packed, kind).tobytes() == x.tobytes() and len(packed) < 0.85 * x.nbytes
+    words = [f"word{i % 97}".encode() for i in range(500)] + [b""]
+    row = {"words": lm_score.squeezed(b"".join(words)), "lens": lm_score.planes(np.array([len(w) for w in words]))}
+    raw, offs = lm_score.word_bytes(row)
+    assert [raw[i:j].tobytes() for i, j in zip(offs[:-1], offs[1:])] == words and len(row["words"]) < len(raw) / 2
+    assert lm_score.word_bytes({"words": lm_score.squeezed(b""), "lens": lm_score.planes(np.array([0]))})[1].tolist() == [0, 0]
+
+
 def test_lm_score_seats_by_parts_as_one_by_one():
     """Dishes seated together, ordered by customers, get the tables each gets alone."""
     r = np.random.default_rng(4)

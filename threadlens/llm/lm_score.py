@@ -195,6 +195,38 @@ def numbers(b: bytes) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
+def bits(x: np.ndarray) -> bytes:
+    """Floats as planes of their bits: signs, exponents and what repeats shrink,
+    and every number comes back as it was."""
+    return planes(np.ascontiguousarray(x).view(f"<u{x.dtype.itemsize}").ravel())
+
+
+def floats(b: bytes, kind) -> np.ndarray:
+    return numbers(b).astype(f"<u{np.dtype(kind).itemsize}").view(kind)
+
+
+_SPELLINGS = pa.Codec("zstd", compression_level=3)
+
+
+def squeezed(words: bytes) -> bytes:
+    """Spellings one after another as they travel; their lengths tell how many bytes come back."""
+    return _SPELLINGS.compress(words, asbytes=True) if words else b""
+
+
+def ranked(c: np.ndarray, gid: np.ndarray) -> bytes:
+    """Counts in the order of the words' numbers: these are ranks by count, so
+    what is written are the steps down from the count before."""
+    c = c[np.argsort(gid)]
+    return planes(np.concatenate((c[:1], c[:-1] - c[1:])))
+
+
+def counts_of(b: bytes, gid: np.ndarray) -> np.ndarray:
+    steps_down = numbers(b)
+    c = np.empty(len(gid), np.int64)
+    c[np.argsort(gid)] = 2 * steps_down[:1].sum() - np.cumsum(steps_down)
+    return c
+
+
 def part(gid: np.ndarray, n: int) -> np.ndarray:
     return (mixed(gid.astype(np.uint64)) % np.uint64(n)).astype(np.int64)
 
@@ -211,7 +243,9 @@ def batch_of(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
 
 def word_bytes(row) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of packed words."""
-    return np.frombuffer(row["words"], np.uint8), np.concatenate(([0], np.cumsum(numbers(row["lens"]))))
+    offs = np.concatenate(([0], np.cumsum(numbers(row["lens"]))))
+    raw = _SPELLINGS.decompress(row["words"], int(offs[-1]), asbytes=True) if row["words"] else b""
+    return np.frombuffer(raw, np.uint8), offs
 
 
 def word_places(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -275,7 +309,7 @@ def _blocks(most: int):
                 c = np.bincount(toks, np.repeat(~held, sizes), len(u))
                 lo, hi = starts[first[order]], ends[first[order]]
                 row = {"block": [f"{task}-{no}"], "ids": pa.array([b.column("doc_id").to_pylist()], pa.list_(batch.schema.field("doc_id").type)), "held": [held.tolist()],
-                       "sizes": pa.array([sizes.tolist()], pa.list_(pa.int32())), "toks": [planes(toks)], "words": [b"".join(raw[i:j] for i, j in zip(lo.tolist(), hi.tolist()))],
+                       "sizes": pa.array([sizes.tolist()], pa.list_(pa.int32())), "toks": [planes(toks)], "words": [squeezed(b"".join(raw[i:j] for i, j in zip(lo.tolist(), hi.tolist())))],
                        "lens": [planes(hi - lo)], "c": [planes(c)], "n_words": [len(u)], "n_tokens": [len(toks)]}
                 no += 1
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) if k in ("toks", "words", "lens", "c") else pa.array(v) if isinstance(v, list) else v for k, v in row.items()], list(row))
@@ -298,7 +332,7 @@ def _send_words(k: int):
                 order, cut = dealt((h % np.uint64(k)).astype(np.int64), k)
                 data, offs = picked(raw, offs, order)
                 c, lens = numbers(r["c"])[order], np.diff(offs)
-                yield batch_of(schema, [{"bucket": i, "block": r["block"], "words": data[offs[lo]:offs[hi]], "lens": planes(lens[lo:hi]), "c": planes(c[lo:hi]), "at": planes(np.diff(order[lo:hi], prepend=0))}
+                yield batch_of(schema, [{"bucket": i, "block": r["block"], "words": squeezed(data[offs[lo]:offs[hi]]), "lens": planes(lens[lo:hi]), "c": planes(c[lo:hi]), "at": planes(np.diff(order[lo:hi], prepend=0))}
                                         for i, (lo, hi) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if hi > lo])
     return run
 
@@ -319,12 +353,12 @@ def _name(k: int):
         rank = np.empty(len(u), np.int64)
         rank[order] = np.arange(len(u))
         data, offs = picked(raw, np.concatenate(([0], np.cumsum(lens))), first[order])
-        out = [{"bucket": bucket, "words": data, "lens": planes(np.diff(offs)), "c": planes(c[order]), "known": int((c > 0).sum()),
+        out = [{"bucket": bucket, "words": squeezed(data), "lens": planes(np.diff(offs)), "c": planes(c[order]), "known": int((c > 0).sum()),
                 "once": int((c == 1).sum()), "twice": int((c == 2).sum()), "customers": int(c.sum())}]
         gid, at = rank[inv] * k + bucket, 0
         for r, g in zip(rows, got):
             n = len(g[2])
-            out.append({"bucket": bucket, "block": r["block"], "gids": planes(gid[at:at + n]), "c": planes(c[inv[at:at + n]]), "at": r["at"]})
+            out.append({"bucket": bucket, "block": r["block"], "gids": planes(gid[at:at + n]), "c": ranked(c[inv[at:at + n]], gid[at:at + n]), "at": r["at"]})
             at += n
         return pa.Table.from_pylist(out, schema)
     return run
@@ -361,8 +395,9 @@ def block_gids(r) -> tuple[np.ndarray, np.ndarray]:
     order = block_words(r)
     gid, c = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
     lex = sorted(r["lex"], key=lambda x: x["bucket"])
-    gid[order] = np.concatenate([numbers(x["gids"]) for x in lex])
-    c[order] = np.concatenate([numbers(x["c"]) for x in lex])
+    gids = [numbers(x["gids"]) for x in lex]
+    gid[order] = np.concatenate(gids)
+    c[order] = np.concatenate([counts_of(x["c"], g) for x, g in zip(lex, gids)])
     return gid, c
 
 
@@ -482,7 +517,7 @@ def _send_state(model: Model):
                 order, cut = dealt(part(gid, grid), grid)
                 for i in np.flatnonzero(np.diff(cut)).tolist():
                     at = order[cut[i]:cut[i + 1]]
-                    g, p, n = planes(gid[at]), q[at].tobytes(), planes(t[at])
+                    g, p, n = planes(gid[at]), bits(q[at]), planes(t[at])
                     yield batch_of(schema, [{"bucket": j * grid + i, "role": 0, "gid": g, "v": p} for j in range(grid)] + [{"bucket": i * grid + j, "role": 1, "gid": g, "v": n} for j in range(grid)])
     return run
 
@@ -501,7 +536,7 @@ def _seat_pairs(model: Model, s: int):
             for role, want in ((0, w), (1, x)):
                 mine = [y for y in rows if y["role"] == role]
                 g = np.concatenate([numbers(y["gid"]) for y in mine])
-                v = np.concatenate([np.frombuffer(y["v"], np.float32).astype(np.float64) if role == 0 else numbers(y["v"]).astype(np.float64) for y in mine])
+                v = np.concatenate([floats(y["v"], np.float32).astype(np.float64) if role == 0 else numbers(y["v"]).astype(np.float64) for y in mine])
                 o = np.argsort(g)
                 vals.append(v[o][np.searchsorted(g[o], want)])
             out += tables_sent(x, w, model.pair_tables(s, c, x, w, *vals), model.k)
@@ -528,7 +563,7 @@ def _seat_words(model: Model, s: int):
             h = np.exp(lp)
             # tables in all: as many as the sweep before had (the first: one a word)
             t1 = seated(c, h, STRENGTH + model.d1 * model.tables[s - 1], model.d1, (np.arange(n) * model.k + r["bucket"]).astype(np.uint64), 1_000_003 * s)
-            state = {"bucket": r["bucket"], "q": np.maximum(c - model.d1 * t1, 0).tobytes() + lp.tobytes(), "t": planes(t), "gid": r["need"],
+            state = {"bucket": r["bucket"], "q": bits(np.concatenate((np.maximum(c - model.d1 * t1, 0), lp))), "t": planes(t), "gid": r["need"],
                      "seats": int(c.sum()), "tables": int(t1.sum()), "mass": int(h[c0 > 0].sum() * 2**50)}
             ctx, sym, word = spelled(offs, raw)
             cells, inv = np.unique(ctx * N_SYMBOLS + sym, return_inverse=True)
@@ -558,7 +593,7 @@ def _first_state(model: Model):
 
 def q_of(model: Model, s: int, q: bytes) -> np.ndarray:
     """Logs of the probabilities of a bucket's words after sweep s."""
-    own, lp = np.frombuffer(q, np.float64).reshape(2, -1)
+    own, lp = floats(q, np.float64).reshape(2, -1)
     with np.errstate(divide="ignore"):
         return np.logaddexp(np.log(own / (STRENGTH + model.seats[s])), np.log(model.new(s)) + lp)
 
@@ -610,7 +645,7 @@ def _answers(model: Model):
         out = []
         for r in asked.to_pylist():
             at = numbers(r["gids"]) // model.k
-            out.append({"block": r["block"], "bucket": r["bucket"], "q": q[:, at].tobytes(), "t": planes(t[:, at].ravel())})
+            out.append({"block": r["block"], "bucket": r["bucket"], "q": bits(q[:, at]), "t": planes(t[:, at].ravel())})
         return pa.Table.from_pylist(out, schema)
     return run
 
@@ -626,7 +661,7 @@ def _scored(model: Model, types: int):
                 order = block_words(r)
                 q, t = np.empty((SWEEPS, len(gid))), np.empty((SWEEPS, len(gid)))
                 state = sorted(r["state"], key=lambda x: x["bucket"])
-                q[:, order] = np.concatenate([np.frombuffer(x["q"], np.float32).reshape(SWEEPS, -1) for x in state], axis=1)
+                q[:, order] = np.concatenate([floats(x["q"], np.float32).reshape(SWEEPS, -1) for x in state], axis=1)
                 t[:, order] = np.concatenate([numbers(x["t"]).reshape(SWEEPS, -1) for x in state], axis=1)
                 inv, lx, lw, _, by, _ = block_pairs(r, gid, model.grid)
                 n = np.empty(len(lx), np.int64)
