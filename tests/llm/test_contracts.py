@@ -151,6 +151,30 @@ def test_lm_score_packs_numbers_by_their_entropy():
         assert lm_score.numbers(lm_score.planes(few)).tolist() == few.tolist()
 
 
+def test_workers_hold_small_pieces_of_a_batch(monkeypatch):
+    import tracemalloc
+
+    r = np.random.default_rng(11)
+    texts = [" ".join(f"w{i}" for i in r.integers(0, 5_000, 18_000)) for _ in range(60)]
+    docs = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": texts, "lang": ["en"] * 60, "source": ["a"] * 60})
+    sets = [np.unique(r.integers(0, 2**63, 4_000, dtype=np.uint64)).tobytes() for _ in range(400)]
+    node = [bytes([i % 256, i // 256]) * 8 for i in range(400)]
+    links = pa.RecordBatch.from_pydict({"u": node, "v": node[::-1], "set_u": sets, "set_v": sets[:200] + sets[:200]})
+    vocab = quality_model.Vocabulary(r.integers(0, 2**63, 1_000, dtype=np.uint64))
+    for run, batch, most in ((near_dups._signed(5), docs, 60), (near_dups._sets(5), docs, 60), (quality_model._counted(vocab, quality_model.Names([])), docs, 60),
+                             (near_dups._exploded, links.select(["u", "set_u"]).rename_columns(["node", "set"]), 70), (near_dups._confirmed(4, 5), links, 70)):
+        monkeypatch.setattr(common, "_POWERS", {})  # a worker's table begins empty
+        tracemalloc.start()
+        got = [b for b in run(iter([batch]))]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(got) > 1 and peak < most << 20, (run, len(got), peak >> 20)
+        rows = pa.Table.from_batches(got).to_pylist()
+        alone = pa.Table.from_batches([b for i in range(batch.num_rows) for b in run(iter([batch.slice(i, 1)]))]).to_pylist()
+        assert rows == alone
+    assert [x["u"] for x in rows] == node[:200]
+
+
 def test_lm_score_packs_states_counts_and_spellings_small():
     r = np.random.default_rng(5)
     c = np.sort(r.zipf(1.6, 3_000).clip(max=50_000))[::-1]

@@ -21,6 +21,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one numpy step looks at (a longer single text is one step).
 STEP_BYTES = 4 << 20
 
+#: Bytes of text hashed in one step where steps are joined to nothing: a worker
+#: then holds a few times that, and the powers of the longest step it met.
+PIECE = 1 << 19
+
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 9, 10, 11, 12, 13]] = False
 LOWER = np.arange(256, dtype=np.uint8)
@@ -99,11 +103,12 @@ def text_bytes(col) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0]:offs[-1]], (offs - offs[0]).astype(np.int64)
 
 
-def steps(batch: pa.RecordBatch, text: str = "text", most: int = STEP_BYTES):
-    """Slices of a batch of at most ``most`` bytes of text each (or one row)."""
+def steps(batch: pa.RecordBatch, text: str = "text", most: int = STEP_BYTES, also: str | None = None):
+    """Slices of a batch of at most ``most`` bytes of text each (or one row);
+    the bytes of a second column count as well if it is named."""
     if batch.num_rows == 0:
         return
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in (text, also) if c)
     ends = np.cumsum(sizes)
     lo = 0
     while lo < batch.num_rows:

@@ -44,11 +44,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import LOWER, documents, mapped, mixed, saved, span_hashes, steps, text_bytes, word_bounds
+from threadlens.llm.common import LOWER, PIECE, documents, mapped, mixed, saved, span_hashes, steps, text_bytes, word_bounds
 from threadlens.llm.registry import query
 
 BLOCK = 4 << 20
-PIECE = 1 << 19                     # bytes of text hashed in one numpy step (a longer single text is one step)
 PER_BUCKET = 1 << 20                # words or tokens of blocks that a bucket is meant for
 BLOCKS_A_TASK = 1                   # blocks whose rows meet their answers in one task
 SWEEPS, BURN_IN = 3, 1

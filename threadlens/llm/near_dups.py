@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import LOWER, documents, mapped, mixed, saved, span_hashes, steps, text_bytes, word_bounds
+from threadlens.llm.common import LOWER, PIECE, documents, mapped, mixed, saved, span_hashes, steps, text_bytes, word_bounds
 from threadlens.llm.graph import components
 from threadlens.llm.registry import query
 
@@ -121,7 +121,7 @@ def room(n, m, marks, other, num: int, den: int) -> np.ndarray:
 def _signed(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in steps(batch):
+            for b in steps(batch, most=PIECE):
                 sets = shingle_sets(*text_bytes(b.column("text")), k)
                 sig = [signature(s).astype(">u4").tobytes() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -254,7 +254,7 @@ def _agree(least: float):
 def _sets(k: int):
     def run(batches):
         for batch in batches:
-            for b in steps(batch):
+            for b in steps(batch, most=PIECE):
                 sets = shingle_sets(*text_bytes(b.column("text")), k)
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()),
                                                   pa.array([len(s) for s in sets], pa.int64()), pa.array([marks_of(s) for s in sets], pa.binary())], ["node", "set", "n", "marks"])
@@ -263,23 +263,25 @@ def _sets(k: int):
 
 def _confirmed(num: int, den: int):
     def run(batches):
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column("set_u").to_pylist(), b.column("set_v").to_pylist()):
-                s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(s) > len(t):
-                    s, t = t, s
-                both = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
-                ok.append(den * both >= num * (len(s) + len(t) - both))
-            yield b.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
+        for batch in batches:
+            for b in steps(batch, "set_u", also="set_v"):
+                ok = []
+                for x, y in zip(b.column("set_u"), b.column("set_v")):
+                    s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                    if len(s) > len(t):
+                        s, t = t, s
+                    both = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
+                    ok.append(den * both >= num * (len(s) + len(t) - both))
+                yield b.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
     return run
 
 
 def _exploded(batches):
-    for b in batches:
-        sets = b.column("set").to_pylist()
-        at = np.repeat(np.arange(len(sets)), [len(x) // 8 for x in sets])
-        yield pa.RecordBatch.from_arrays([b.column("node").take(pa.array(at)), pa.array(np.frombuffer(b"".join(sets), np.int64))], ["node", "s"])
+    for batch in batches:
+        for b in steps(batch, "set"):
+            sets = b.column("set").to_pylist()
+            at = np.repeat(np.arange(len(sets)), [len(x) // 8 for x in sets])
+            yield pa.RecordBatch.from_arrays([b.column("node").take(pa.array(at)), pa.array(np.frombuffer(b"".join(sets), np.int64))], ["node", "s"])
 
 
 def _prefixes(num: int, den: int):

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import LOWER, documents, mapped, mixed, saved, span_hashes, steps, text_bytes
+from threadlens.llm.common import LOWER, PIECE, documents, mapped, mixed, saved, span_hashes, steps, text_bytes
 from threadlens.llm.registry import query
 
 MAX_LABELLED = 10_000     # labelled documents the classifiers are fitted on
@@ -297,7 +297,7 @@ def _logit(p):
 def _told(batches):
     """Sample documents to learn from -> (hash, documents, good ones) of a batch."""
     for batch in batches:
-        for b in steps(batch):
+        for b in steps(batch, most=PIECE):
             h, row, _, _ = words(b)
             good = b.column("good").to_numpy(zero_copy_only=False)
             order = np.lexsort((row, h))
@@ -310,7 +310,7 @@ def _told(batches):
 def _counted(vocab: Vocabulary, names: Names):
     def run(batches):
         for batch in batches:
-            for b in steps(batch):
+            for b in steps(batch, most=PIECE):
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), *counts(b, vocab, names).packed()], ["doc_id", "cols", "vals", "names", "dense"])
     return run
 
@@ -406,7 +406,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 def _scores(model: CoTrained):
     def run(batches):
         for batch in batches:
-            for b in steps(batch):
+            for b in steps(batch, most=PIECE):
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(np.asarray(x, float)) for x in model(b))], ["doc_id", "text_score", "meta_score", "score"])
     return run
 
@@ -423,7 +423,7 @@ def keep_good(docs: DataFrame, model: CoTrained) -> DataFrame:
     the columns text, lang and source."""
     def run(batches):
         for batch in batches:
-            for b in steps(batch):
+            for b in steps(batch, most=PIECE):
                 yield b.filter(pa.array(model(b)[2] >= THRESHOLD))
     return mapped(docs, run, docs.schema)
 
